@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-from shelfcast.plans.sales_queries import QUERIES as SALES
-from shelfcast.plans.sales_sql import ORACLES as SALES_SQL
+from shelfcast.plans import file_queries, file_sql, forecast_queries, forecast_sql, sales_queries, sales_sql
 
 
 def queries():
-    return {**SALES}
+    return {**sales_queries.QUERIES, **file_queries.QUERIES, **forecast_queries.QUERIES}
 
 
 def oracles():
-    return {**SALES_SQL}
+    return {**sales_sql.ORACLES, **file_sql.ORACLES, **forecast_sql.ORACLES}

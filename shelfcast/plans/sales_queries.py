@@ -192,7 +192,7 @@ QUERIES: dict[str, Query] = {
     "top_families": lambda s, d: rounded(an.top_families(sales_panel(s, d), 10)),
     "correlation": lambda s, d: rounded(an.correlation(sales_panel(s, d))),
     "weekday_pattern": lambda s, d: rounded(an.weekday_pattern(sales_panel(s, d))),
-    "seasonal_classical": lambda s, d: rounded(an.seasonal_classical(sales_panel(s, d))),
+    "seasonal_classical": lambda s, d: rounded(an.seasonal_classical(sales_panel(s, d)), "trend", "seasonal", "residual", offset=1e-8),
     "promo_effect": lambda s, d: rounded(an.promo_effect(sales_panel(s, d))),
     "promo_effect_by_family": lambda s, d: rounded(an.promo_effect_by_family(sales_panel(s, d))),
     "analysis_report": _report,

@@ -327,7 +327,7 @@ ORACLES: dict[str, str] = {
     "correlation": panel(f"select family_1, family_2, {_CORR_OUT} as corr from pairs", _CORR),
     "weekday_pattern": panel("select weekday, round(avg_sales, 6) as avg_sales from week", _WEEKDAY),
     "seasonal_classical": panel(
-        f"""select family, store_nbr, date, observed, round(trend, 6) as trend, round(seasonal, 6) as seasonal, round(observed - trend - seasonal, 6) as residual
+        f"""select family, store_nbr, date, observed, round(trend + 1e-8, 6) as trend, round(seasonal + 1e-8, 6) as seasonal, round(observed - trend - seasonal + 1e-8, 6) as residual
         from (select *, avg(observed - trend) over (partition by family, store_nbr, rn % 7) as seasonal from (
           select family, store_nbr, date, sales as observed, row_number() over ({_W}) as rn,
             avg(sales) over ({_W} rows between 3 preceding and 3 following) as trend, count(*) over (partition by family, store_nbr) as n from panel)
