@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, Window, WindowSpec
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from shelfcast.schema import SERIES
@@ -18,6 +18,16 @@ BEFORE = Window.unboundedPreceding
 HERE = Window.currentRow
 
 
+def spread(df: DataFrame, keys: Sequence[str] = SERIES) -> DataFrame:
+    """Partition by series for work that is heavy per row: AQE would merge such partitions by their bytes.
+
+    Windows, grouped maps and joins on the same keys that follow need no further shuffle.
+    """
+    if not keys:
+        return df
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
+
+
 def whole(keys: Sequence[str] = SERIES) -> WindowSpec:
     return Window.partitionBy(*keys)
 

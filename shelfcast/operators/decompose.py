@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfcast.functions import solvers
+from shelfcast.functions.series import spread
 from shelfcast.schema import MIN_ADF_ROWS, SERIES
 
 _KEY_TYPES = {"family": "string", "store_nbr": "int", "session_id": "string"}
@@ -48,7 +49,7 @@ def seasonal_decomposition(df: DataFrame, period: int = 7, series: Sequence[str]
         return pd.DataFrame({"date": pdf["date"], "observed": y, "trend": trend, "seasonal": season, "residual": y - trend - season})
 
     daily = df.groupBy(*series, "date").agg(F.sum("sales").alias("sales"))
-    return per_series(daily, run, "date date, observed double, trend double, seasonal double, residual double", series)
+    return per_series(spread(daily, series), run, "date date, observed double, trend double, seasonal double, residual double", series)
 
 
 def decomposition_status(df: DataFrame, period: int = 7, series: Sequence[str] = SERIES) -> DataFrame:
@@ -73,10 +74,10 @@ def adf_stationarity(df: DataFrame, series: Sequence[str] = SERIES) -> DataFrame
         return pd.DataFrame([{**row, "adf_statistic": stat, "p_value": p, "used_lag": lag, "is_stationary": p < 0.05, "suggested_d": int(p >= 0.05)}])
 
     columns = "n int, adf_statistic double, p_value double, used_lag int, is_stationary boolean, suggested_d int, reason string"
-    return per_series(df.select(*series, "date", "sales"), run, columns, series)
+    return per_series(spread(df.select(*series, "date", "sales"), series), run, columns, series)
 
 
 def difference_order(df: DataFrame, series: Sequence[str] = SERIES) -> DataFrame:
     """How often each series must be differenced: 0, 1 or 2; 1 when the test fails."""
     run = lambda pdf: pd.DataFrame({"d": [solvers.difference_order(pdf["sales"].dropna().to_numpy(float))]})
-    return per_series(df.select(*series, "date", "sales"), run, "d int", series)
+    return per_series(spread(df.select(*series, "date", "sales"), series), run, "d int", series)

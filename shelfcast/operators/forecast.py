@@ -12,15 +12,16 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.regression import LinearRegression
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfcast.functions import solvers
-from shelfcast.functions.series import ordered, whole
+from shelfcast.functions.series import ordered, spread, whole
 from shelfcast.functions.values import clip_low
-from shelfcast.operators.decompose import per_series
+from shelfcast.operators.decompose import key_schema, per_series
 from shelfcast.operators.evaluate import compare_models, compute_all
 from shelfcast.operators.features import (
     floor_zero,
@@ -82,7 +83,7 @@ def order_candidates(df: DataFrame, series: Sequence[str] = SERIES) -> DataFrame
         rows = [(p, d, q, m["aic"], m["bic"]) for (p, q), m in found.items()]
         return pd.DataFrame(rows, columns=["p", "d", "q", "aic", "bic"])
 
-    return per_series(df.select(*series, "date", "sales"), run, "p int, d int, q int, aic double, bic double", series)
+    return per_series(spread(df.select(*series, "date", "sales"), series), run, "p int, d int, q int, aic double, bic double", series)
 
 
 def order_search(df: DataFrame, criterion: str = "aic", series: Sequence[str] = SERIES) -> DataFrame:
@@ -146,7 +147,7 @@ def arima(
         out["date"] = out["date"].dt.date
         return out
 
-    return per_series(df.select(*series, "date", "sales"), run, _ARIMA_COLUMNS, series)
+    return per_series(spread(df.select(*series, "date", "sales"), series), run, _ARIMA_COLUMNS, series)
 
 
 def arima_forecast(df: DataFrame, horizon: int = 30, series: Sequence[str] = SERIES) -> DataFrame:
@@ -214,21 +215,30 @@ def fit_decomposable(design: DataFrame, multiplicative: bool = True, series: Seq
     The multiplicative form is fitted on logarithms, zero sales counting as 0.01.
     """
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        x, y = np.stack(pdf["x"].to_list()), pdf["y"].to_numpy(float)
-        names = sorted({h for row in pdf["holidays"] for h in row})
-        flags = np.array([[float(h in row) for h in names] for row in pdf["holidays"]]).reshape(len(pdf), len(names))
+    def run(key: tuple, rows: pa.Table) -> pa.Table:
+        y = rows["y"].to_numpy()
+        x = rows["x"].combine_chunks().flatten().to_numpy().reshape(len(y), -1)
+        days = rows["holidays"].to_pylist()
+        names = sorted({h for day in days for h in day})
+        at = {h: i for i, h in enumerate(names)}
+        flags = np.zeros((len(y), len(names)))
+        for i, day in enumerate(days):
+            flags[i, [at[h] for h in day]] = 1.0
         centre, scale = float(y.mean()), float(y.std()) or 1.0
         scales = np.full(x.shape[1], SEASON_SCALE)
         scales[:2], scales[2:_TREND] = BASE_SCALE, CHANGE_SCALE
         beta, spread = solvers.ridge(np.hstack([x, flags]), (y - centre) / scale, np.r_[scales, np.full(len(names), HOLIDAY_SCALE)])
         beta = beta * scale
         beta[0] += centre
-        return pd.DataFrame({"beta": [beta[: x.shape[1]]], "names": [names], "effects": [beta[x.shape[1] :]], "spread": [spread * scale]})
+        found = [[beta[: x.shape[1]].tolist()], [names], [beta[x.shape[1] :].tolist()], [spread * scale]]
+        types = [pa.list_(pa.float64()), pa.list_(pa.string()), pa.list_(pa.float64()), pa.float64()]
+        columns = [pa.array([k.as_py()], type=k.type) for k in key] + [pa.array(v, type=t) for v, t in zip(found, types)]
+        return pa.table(columns, names=[*series, "beta", "names", "effects", "spread"])
 
     y = F.log(floor_zero(F.greatest("sales", F.lit(0.0)))) if multiplicative else F.col("sales")
-    learned = design.filter("learn").select(*series, "date", "x", "holidays", y.alias("y"))
-    return per_series(learned, run, "beta array<double>, names array<string>, effects array<double>, spread double", series)
+    learned = design.filter("learn").select(*series, "x", "holidays", y.alias("y"))
+    schema = key_schema(series) + "beta array<double>, names array<string>, effects array<double>, spread double"
+    return learned.groupBy(*series).applyInArrow(run, schema)
 
 
 def score_decomposable(design: DataFrame, coefficients: DataFrame, multiplicative: bool = True, series: Sequence[str] = SERIES) -> DataFrame:
@@ -270,7 +280,8 @@ def score_decomposable(design: DataFrame, coefficients: DataFrame, multiplicativ
 
 
 def _long_enough(df: DataFrame, series: Sequence[str]) -> DataFrame:
-    return df.withColumn("n", F.count("*").over(whole(series))).filter(F.col("n") >= MIN_SERIES_ROWS).drop("n")
+    df = spread(df, series).withColumn("n", F.count("*").over(whole(series)))
+    return df.filter(F.col("n") >= MIN_SERIES_ROWS).drop("n")
 
 
 def _with_future(df: DataFrame, horizon: int, planned: DataFrame | None, series: Sequence[str]) -> DataFrame:
@@ -336,7 +347,7 @@ def short_series_window(df: DataFrame, length: int = WINDOW_LENGTH, series: Sequ
 def _scaled(df: DataFrame, length: int, series: Sequence[str]) -> DataFrame:
     """Split and scaled rows of the series that can be used, with the window length `used` of each."""
     w = whole(series)
-    rows = minmax_train(split_forecast(df, series), series)
+    rows = minmax_train(split_forecast(spread(df, series), series), series)
     sizes = F.least(*[F.sum(F.when(F.col("split") == s, 1).otherwise(0)).over(w) for s in ("train", "val")])
     rows = rows.withColumn("least", sizes).filter((F.col("least") > 1) & (F.col("n") >= MIN_SERIES_ROWS))
     used = F.when(F.col("least") <= length, F.greatest(F.lit(1), F.col("least") - 1)).otherwise(F.lit(length))
