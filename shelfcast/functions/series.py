@@ -53,9 +53,17 @@ def next_known(c: Column, keys: Sequence[str] = SERIES) -> Column:
     return F.last(c, ignorenulls=True).over(from_here(keys))
 
 
-def median_of(values: Column) -> Column:
-    """Median of a short array without NULLs; NULL for an empty one."""
-    s, n = F.sort_array(values), F.size(values)
-    low = F.try_element_at(s, F.floor((n + 1) / 2).cast("int"))
-    high = F.try_element_at(s, F.floor(n / 2).cast("int") + 1)
-    return F.when(n > 0, (low + high) / 2)
+def neighbours(c: str, reach: int, keys: Sequence[str] = SERIES) -> tuple[list[Column], list[Column]]:
+    """The `reach` values before and after a row, NULL outside the series. Offsets keep no frame buffer."""
+    w = ordered(keys)
+    return [F.lag(c, k).over(w) for k in range(1, reach + 1)], [F.lead(c, k).over(w) for k in range(1, reach + 1)]
+
+
+def median_of(values: Sequence[Column]) -> Column:
+    """Median of a few columns, NULLs left out; NULL when there is none.
+
+    Infinity stands for NULL so that the array is sorted as primitives, the gaps last.
+    """
+    known = sum((v.isNotNull().cast("int") for v in values), F.lit(0))
+    ranked = F.sort_array(F.array(*[F.coalesce(v, F.lit(float("inf"))) for v in values]))
+    return (F.get(ranked, F.shiftright(known - 1, 1)) + F.get(ranked, F.shiftright(known, 1))) / 2

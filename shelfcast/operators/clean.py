@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelfcast.functions.series import BEFORE, HERE, median_of, next_known, ordered, previous_known, up_to_here, whole
+from shelfcast.functions.series import BEFORE, HERE, median_of, neighbours, next_known, ordered, previous_known, up_to_here, whole
 from shelfcast.functions.values import clip_low, to_day, to_number
 from shelfcast.schema import (
     EVENT_WINDOWS,
@@ -167,8 +167,8 @@ def flag_events(df: DataFrame, calendar: DataFrame, name: str = "is_event") -> D
 
 def rolling_median7(series: Sequence[str] = SERIES) -> Column:
     """Median of the up to seven rows centred on the row."""
-    half = SPIKE_WINDOW // 2
-    return median_of(F.collect_list("sales").over(ordered(series).rowsBetween(-half, half)))
+    before, after = neighbours("sales", SPIKE_WINDOW // 2, series)
+    return median_of([*before, F.col("sales"), *after])
 
 
 def iqr_fence(series: Sequence[str] = SERIES) -> Column:
@@ -193,17 +193,16 @@ def replace_spikes(df: DataFrame, series: Sequence[str] = SERIES) -> DataFrame:
     """
     half = SPIKE_WINDOW // 2
     w = ordered(series)
-    limit = F.col("sales") * SPIKE_NEIGHBOUR
-    low = lambda frame, c: F.coalesce(F.max(c).over(frame) < limit, F.lit(True))
-    fixed_before = F.when(~F.col("candidate"), F.col("sales"))
+    low = lambda values: F.coalesce(F.greatest(*values) < F.col("sales") * SPIKE_NEIGHBOUR, F.lit(True))
     df = (
         with_spike_candidates(df, series)
         .withColumn("rn", F.row_number().over(w))
-        .withColumn("calm", low(w.rowsBetween(-half, -1), fixed_before) & low(w.rowsBetween(1, half), F.col("sales")))
+        .withColumn("fixed", F.when(~F.col("candidate"), F.col("sales")))
+        .withColumn("calm", low(neighbours("fixed", half, series)[0]) & low(neighbours("sales", half, series)[1]))
         .withColumn("earlier", F.last(F.when(F.col("candidate"), F.col("rn")), ignorenulls=True).over(w.rowsBetween(BEFORE, -1)))
     )
     opens = F.col("candidate") & F.coalesce(F.col("rn") - F.col("earlier") > half, F.lit(True))
-    chain_id = F.when(F.col("candidate"), F.count_if(opens).over(up_to_here(series))).otherwise(-F.col("rn"))
+    chain_id = F.when(F.col("candidate"), F.count_if(opens).over(up_to_here(series))).otherwise(0)
     member = F.when(F.col("candidate"), F.struct("rn", F.col("sales").alias("value"), "med", "calm"))
     # The fold's state is the array of members, so each row carries only its own chain.
     chain = F.collect_list(member).over(Window.partitionBy(*series, "chain_id").orderBy("date").rowsBetween(BEFORE, HERE))
@@ -224,7 +223,7 @@ def replace_spikes(df: DataFrame, series: Sequence[str] = SERIES) -> DataFrame:
         .withColumn("chain", chain)
         .withColumn("is_outlier", F.coalesce(hit, F.lit(False)))
         .withColumn("sales", F.when(F.col("is_outlier"), F.col("med")).otherwise(F.col("sales")))
-        .drop("med", "fence", "candidate", "rn", "calm", "earlier", "chain_id", "chain")
+        .drop("med", "fence", "candidate", "rn", "fixed", "calm", "earlier", "chain_id", "chain")
     )
 
 

@@ -346,10 +346,9 @@ def short_series_window(df: DataFrame, length: int = WINDOW_LENGTH, series: Sequ
 
 def _scaled(df: DataFrame, length: int, series: Sequence[str]) -> DataFrame:
     """Split and scaled rows of the series that can be used, with the window length `used` of each."""
-    w = whole(series)
     rows = minmax_train(split_forecast(spread(df, series), series), series)
-    sizes = F.least(*[F.sum(F.when(F.col("split") == s, 1).otherwise(0)).over(w) for s in ("train", "val")])
-    rows = rows.withColumn("least", sizes).filter((F.col("least") > 1) & (F.col("n") >= MIN_SERIES_ROWS))
+    train_end, val_end = (F.floor(F.col("n") * F.lit(r)) for r in (TRAIN_RATIO, TRAIN_RATIO + VAL_RATIO))
+    rows = rows.withColumn("least", F.least(train_end, val_end - train_end)).filter((F.col("least") > 1) & (F.col("n") >= MIN_SERIES_ROWS))
     used = F.when(F.col("least") <= length, F.greatest(F.lit(1), F.col("least") - 1)).otherwise(F.lit(length))
     return rows.withColumn("used", used.cast("int")).drop("least")
 

@@ -25,13 +25,25 @@ def check_required_columns(df: DataFrame) -> DataFrame:
     return df.agg(F.count("*").alias("rows"), *counts).select(F.inline(F.array(*rows)))
 
 
-def _bad_dates() -> Column:
-    return F.count_if(missing_text_to_null(F.col("date").cast("string")).isNotNull() & to_day(F.col("date")).isNull())
+def _day(df: DataFrame) -> Column:
+    return to_day(F.col("date")) if dict(df.dtypes)["date"] == "string" else F.col("date").try_cast("date")
+
+
+def _missing(df: DataFrame, c: str) -> Column:
+    """NULL, or in a text column one of the texts that stand for it."""
+    kind = dict(df.dtypes)[c]
+    if kind == "string":
+        return missing_text_to_null(F.col(c)).isNull()
+    return F.col(c).isNull() | F.isnan(c) if kind in ("double", "float") else F.col(c).isNull()
+
+
+def _bad_dates(df: DataFrame) -> Column:
+    return F.count_if(_day(df).isNull() & ~_missing(df, "date"))
 
 
 def check_date_parse(df: DataFrame) -> DataFrame:
     """Unreadable, non-empty dates: any of them is an error."""
-    return df.agg(_bad_dates().alias("bad_dates")).select("bad_dates", (F.col("bad_dates") == 0).alias("ok"))
+    return df.agg(_bad_dates(df).alias("bad_dates")).select("bad_dates", (F.col("bad_dates") == 0).alias("ok"))
 
 
 def check_sales_numeric(df: DataFrame) -> DataFrame:
@@ -57,16 +69,12 @@ def check_negatives(df: DataFrame) -> DataFrame:
 
 def check_min_history(df: DataFrame) -> DataFrame:
     """Distinct days, and whether they are enough for a forecast."""
-    days = df.agg(F.count_distinct(to_day(F.col("date"))).alias("days"))
+    days = df.agg(F.count_distinct(_day(df)).alias("days"))
     return days.select("days", (F.col("days") >= MIN_HISTORY_DAYS).alias("enough"))
 
 
 def _null_cells(df: DataFrame) -> Column:
-    cells = [F.when(missing_text_to_null(F.col(c).cast("string")).isNull(), 1).otherwise(0) for c in df.columns]
-    total = cells[0]
-    for c in cells[1:]:
-        total = total + c
-    return total
+    return sum((_missing(df, c).cast("int") for c in df.columns), F.lit(0))
 
 
 def _key_profile(df: DataFrame) -> DataFrame:
@@ -75,7 +83,7 @@ def _key_profile(df: DataFrame) -> DataFrame:
         F.count("*").alias("n"),
         F.sum(_null_cells(df)).alias("null_cells"),
         F.count(to_number(F.col("sales"))).alias("numeric"),
-        _bad_dates().alias("bad_dates"),
+        _bad_dates(df).alias("bad_dates"),
         *_negatives(df),
     )
 
@@ -88,7 +96,7 @@ def profile_raw(df: DataFrame) -> DataFrame:
     """
     sets = (
         _key_profile(df)
-        .withColumn("day", to_day(F.col("date")))
+        .withColumn("day", _day(df))
         .withColumn("duplicates", F.when(F.col("n") > 1, F.col("n")).otherwise(0))
         .groupingSets([["day"], ["family"], ["store_nbr"]], "day", "family", "store_nbr")
         .agg(
@@ -146,7 +154,7 @@ def validation_report(df: DataFrame) -> DataFrame:
         F.sum("negative_sales").alias("negative_sales"),
         F.sum("negative_promo").alias("negative_promo"),
         F.sum("null_cells").alias("null_cells"),
-        F.count_distinct(to_day(F.col("date"))).alias("days"),
+        F.count_distinct(_day(df)).alias("days"),
     )
 
     def row(level: str, code: str, n: Column, shown: Column) -> Column:
