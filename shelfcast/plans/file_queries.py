@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from shelfcast.operators import aggregate as agg
 from shelfcast.operators import clean as cl
+from shelfcast.plans.process import process
 from shelfcast.schema import SERIES
 from shelfcast.sources import files
 from shelfcast.sources.scratch import scratch_path
@@ -71,14 +72,20 @@ def _subset(spark: SparkSession, sf: str) -> DataFrame:
 def _save_and_load(spark: SparkSession, sf: str) -> DataFrame:
     """Two sessions in one table; the second write of a session replaces the first."""
     path, raw = scratch_path(spark, "clean"), raw_sales(spark, sf)
-    files.write_clean(sales_panel(spark, sf), path, "first")
-    files.write_clean(cl.clean(raw, calendar(spark)), path, "second")
-    return files.load_clean(spark, path, "second")
+    files.write_session(sales_panel(spark, sf), path, "first")
+    files.write_session(cl.clean(raw, calendar(spark)), path, "second")
+    return files.load_session(spark, path, "second")
+
+
+def _process(spark: SparkSession, sf: str) -> DataFrame:
+    path = scratch_path(spark, "upload")
+    raw_sales(spark, sf).write.option("header", True).csv(f"{path}/raw")
+    return process(spark, files.read_sales_csv(spark, f"{path}/raw"), calendar(spark), f"{path}/out", "s1")
 
 
 def _save_daily(spark: SparkSession, sf: str) -> DataFrame:
     path = scratch_path(spark, "daily")
-    files.write_daily_total(agg.daily_total(sales_panel(spark, sf)), path, "s1")
+    files.write_session(agg.daily_total(sales_panel(spark, sf)), path, "s1")
     return files.load_session(spark, path, "s1")
 
 
@@ -124,6 +131,7 @@ QUERIES: dict[str, Query] = {
     "read_sales_files": _read_files,
     "file_gate": _gate,
     "extract_subset": _subset,
+    "process": _process,
     "write_clean": _save_and_load,
     "write_daily_total": _save_daily,
     "write_summary": _summary,

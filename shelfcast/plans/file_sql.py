@@ -23,6 +23,7 @@ ORACLES: dict[str, str] = {
         TEXT,
     ),
     "extract_subset": panel("select * from panel where store_nbr in (1, 3, 5)"),
+    "process": SALES["handle_outliers"],
     "write_clean": SALES["handle_outliers"],
     "write_daily_total": SALES["daily_total"],
     "read_calendar": v.with_views("select distinct date from order_calendar where type in ('Holiday','Event','Additional') and not transferred", ORDER_CALENDAR),

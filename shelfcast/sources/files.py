@@ -9,7 +9,7 @@ from collections.abc import Iterator, Sequence
 
 import pandas as pd
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfcast.functions.values import missing_text_to_null, to_day
@@ -117,18 +117,10 @@ def extract_subset(df: DataFrame, path: str, stores: Sequence[int] = TARGET_STOR
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def _save(df: DataFrame, path: str, session_id: str | Column) -> None:
+def write_session(df: DataFrame, path: str, session_id: str) -> None:
     """Replace this session's partition and leave the others; a repeated write gives the same table."""
-    session = F.lit(session_id) if isinstance(session_id, str) else session_id
-    df.withColumn("session_id", session).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("session_id").parquet(path)
-
-
-def write_clean(df: DataFrame, path: str, session_id: str | Column) -> None:
-    _save(df, path, session_id)
-
-
-def write_daily_total(daily: DataFrame, path: str, session_id: str) -> None:
-    _save(daily, path, session_id)
+    out = df.withColumn("session_id", F.lit(session_id)).write.mode("overwrite")
+    out.option("partitionOverwriteMode", "dynamic").partitionBy("session_id").parquet(path)
 
 
 def load_session(spark: SparkSession, path: str, session_id: str) -> DataFrame:
@@ -138,9 +130,6 @@ def load_session(spark: SparkSession, path: str, session_id: str) -> DataFrame:
     return spark.read.parquet(f"{path}/session_id={session_id}")
 
 
-load_clean = load_session
-
-
 def write_summary(df: DataFrame, path: str, session_id: str) -> None:
     """The dataset summary as one JSON document."""
     summary = dataset_summary(df)

@@ -78,14 +78,14 @@ def test_calendar_file_or_none(spark, tmp_path):
 
 def test_sessions_replace_only_themselves(spark, one, tmp_path):
     path = str(tmp_path / "clean")
-    files.write_clean(one([1.0, 2.0]), path, "a")
-    files.write_clean(one([5.0], promo=False), path, "b")
-    files.write_clean(one([7.0, 8.0, 9.0]), path, "a")
-    assert sorted(r["sales"] for r in files.load_clean(spark, path, "a").collect()) == [7.0, 8.0, 9.0]
-    loaded = files.load_clean(spark, path, "b")
+    files.write_session(one([1.0, 2.0]), path, "a")
+    files.write_session(one([5.0], promo=False), path, "b")
+    files.write_session(one([7.0, 8.0, 9.0]), path, "a")
+    assert sorted(r["sales"] for r in files.load_session(spark, path, "a").collect()) == [7.0, 8.0, 9.0]
+    loaded = files.load_session(spark, path, "b")
     assert loaded.count() == 1 and "onpromotion" not in loaded.columns and "session_id" not in loaded.columns
     with pytest.raises(ValueError):
-        files.load_clean(spark, path, "../a")
+        files.load_session(spark, path, "../a")
 
 
 def test_summary_document(spark, one, tmp_path, empty_calendar):
