@@ -15,8 +15,9 @@ from shelfcast.functions.values import family_label, finite_or_zero, ratio
 from shelfcast.schema import SERIES
 
 ERRORS = ("mae", "rmse", "mape", "smape")
-# Weights of the combined score and the note that goes with a recommendation.
+# Weights of the combined score, and the texts that go with a recommendation.
 WEIGHTS = {"mape": 0.5, "rmse": 0.3, "mae": 0.2}
+REASON = "综合评分最高（MAPE: %.1f%%）"
 NOTE = "注：LSTM 为扩展对比模块，在小样本场景下预测精度可能低于统计模型"
 
 
@@ -92,7 +93,7 @@ def radar(metrics: DataFrame, series: Sequence[str] = SERIES) -> DataFrame:
 
 
 def best_model(ranking: DataFrame, series: Sequence[str] = SERIES) -> DataFrame:
-    reason = F.format_string("综合评分最高（MAPE: %.1f%%）", "mape")
+    reason = F.format_string(REASON, "mape")
     return ranking.filter("rank = 1").select(*series, F.col("model").alias("best_model"), "mape", reason.alias("reason"))
 
 
@@ -123,6 +124,6 @@ def evaluation_report(metrics: DataFrame, horizon: int, series: Sequence[str] =
         F.lit(horizon).alias("forecast_days"),
         "metrics_table",
         best["model"].alias("best_model"),
-        F.format_string("综合评分最高（MAPE: %.1f%%）", best["mape"]).alias("reason"),
+        F.format_string(REASON, best["mape"]).alias("reason"),
         F.lit(NOTE).alias("note"),
     )

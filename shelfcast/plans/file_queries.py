@@ -69,12 +69,13 @@ def _subset(spark: SparkSession, sf: str) -> DataFrame:
     return files.extract_subset(sales_panel(spark, sf), scratch_path(spark, "subset"), (1, 3, 5))
 
 
-def _save_and_load(spark: SparkSession, sf: str) -> DataFrame:
-    """Two sessions in one table; the second write of a session replaces the first."""
-    path, raw = scratch_path(spark, "clean"), raw_sales(spark, sf)
-    files.write_session(sales_panel(spark, sf), path, "first")
-    files.write_session(cl.clean(raw, calendar(spark)), path, "second")
-    return files.load_session(spark, path, "second")
+def _two_sessions(spark: SparkSession, sf: str, wanted: str) -> DataFrame:
+    """Two sessions with different columns in one table; the second write of a session replaces the first."""
+    path, panel = scratch_path(spark, "clean"), sales_panel(spark, sf)
+    files.write_session(panel, path, "second")
+    files.write_session(panel, path, "first")
+    files.write_session(cl.clean(raw_sales(spark, sf), calendar(spark)), path, "second")
+    return files.load_session(spark, path, wanted)
 
 
 def _process(spark: SparkSession, sf: str) -> DataFrame:
@@ -92,7 +93,12 @@ def _save_daily(spark: SparkSession, sf: str) -> DataFrame:
 def _summary(spark: SparkSession, sf: str) -> DataFrame:
     path = scratch_path(spark, "summary")
     files.write_summary(cl.clean(raw_sales(spark, sf), calendar(spark)), path, "s1")
-    return spark.read.json(path)
+    read = spark.read.json(path).select("session_id", "summary.*")
+    return read.select(
+        "session_id", "total_rows", "start", "end", "days", "family_count", "store_count", "outliers_replaced", "outliers_kept",
+        F.aggregate("families", F.lit(0.0), lambda a, f: a + f["total_sales"]).alias("total_sales"),
+        F.array_join(F.transform("families", lambda f: f["label"]), ",").alias("labels"),
+    )
 
 
 def _calendar_file(spark: SparkSession, sf: str) -> DataFrame:
@@ -132,7 +138,8 @@ QUERIES: dict[str, Query] = {
     "file_gate": _gate,
     "extract_subset": _subset,
     "process": _process,
-    "write_clean": _save_and_load,
+    "write_clean": lambda s, d: _two_sessions(s, d, "second"),
+    "load_clean": lambda s, d: _two_sessions(s, d, "first"),
     "write_daily_total": _save_daily,
     "write_summary": _summary,
     "read_calendar": _calendar_file,

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from shelfcast.plans import sql_views as v
 from shelfcast.plans.sales_sql import ORACLES as SALES
-from shelfcast.plans.sales_sql import panel, raw
+from shelfcast.plans.sales_sql import panel, raw, spiked
 from shelfcast.plans.sql_views import ORDER_CALENDAR, TEXT
 
 _PATH = "store_nbr || '-' || substr(date, 1, 7) || '-sales.csv'"
@@ -25,6 +25,12 @@ ORACLES: dict[str, str] = {
     "extract_subset": panel("select * from panel where store_nbr in (1, 3, 5)"),
     "process": SALES["handle_outliers"],
     "write_clean": SALES["handle_outliers"],
+    "load_clean": SALES["panel"],
+    "write_summary": spiked(
+        """select 's1' as session_id, count(*) as total_rows, cast(min(date) as varchar) as start, cast(max(date) as varchar) as "end", count(distinct date) as days,
+        count(distinct family) as family_count, count(distinct store_nbr) as store_count, count(*) filter (is_outlier) as outliers_replaced,
+        count(*) filter (is_event) as outliers_kept, sum(sales) as total_sales, string_agg(distinct family, ',' order by family) as labels from z_done"""
+    ),
     "write_daily_total": SALES["daily_total"],
     "read_calendar": v.with_views("select distinct date from order_calendar where type in ('Holiday','Event','Additional') and not transferred", ORDER_CALENDAR),
     "export_forecast": panel(

@@ -83,7 +83,11 @@ def _window_backtest(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _evaluation(spark: SparkSession, sf: str) -> DataFrame:
-    return ev.evaluation_report(_metrics(spark, sf), 30)
+    report = ev.evaluation_report(_metrics(spark, sf), 30)
+    return report.select(
+        *SERIES, "label", "forecast_days", F.size("metrics_table").alias("models"), "best_model",
+        F.round(F.col("metrics_table")[0]["mape"], 6).alias("best_mape"), F.round(F.element_at("metrics_table", -1)["score"], 6).alias("last_score"),
+    )
 
 
 QUERIES: dict[str, Query] = {

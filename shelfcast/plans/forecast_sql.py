@@ -84,6 +84,11 @@ ORACLES: dict[str, str] = {
         " union all ".join(f"select family, store_nbr, rank, model, '{m}' as metric, round({m}, 6) as value from ranked" for m in ("mae", "rmse", "mape")),
         *_BASE, _METRICS, _RANKED,
     ),
+    "evaluation_report": panel(
+        """select family, store_nbr, family as label, 30 as forecast_days, cast(count(*) as int) as models, max(case when rank = 1 then model end) as best_model,
+        round(max(case when rank = 1 then mape end), 6) as best_mape, round(arg_max(score, rank), 6) as last_score from ranked group by 1, 2""",
+        *_BASE, _METRICS, _RANKED,
+    ),
     "actual_vs_predicted": panel(
         """select family, store_nbr, date, model as name, round(coalesce(predicted, 0), 6) as value from pairs
         union all select family, store_nbr, date, 'actual', actual from pairs where model = 'ARIMA'""",
