@@ -147,19 +147,26 @@ def top_families(df: DataFrame, n: int = 10) -> DataFrame:
     return totals.orderBy(F.desc("sales"), "family").limit(n).select("family", family_label(F.col("family")).alias("label"), "sales", "onpromotion_avg")
 
 
+_CELLS = 4_000_000  # most cells of a matrix block held at once
+
+
 def _products(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Sums of products over the days of a batch, for each pair of families and the constant 1 (name NULL)."""
     for batch in batches:
-        days = [(list(p["family"] for p in day), list(p["s"] for p in day)) for day in batch["points"]]
-        names = sorted({f for fams, _ in days for f in fams})
-        at = {f: i + 1 for i, f in enumerate(names)}
-        x = np.zeros((len(days), len(names) + 1))
-        x[:, 0] = 1.0
-        for i, (fams, values) in enumerate(days):
-            x[i, [at[f] for f in fams]] = values
-        gram = x.T @ x
+        names = sorted({p["family"] for day in batch["points"] for p in day})
+        at, width = {f: i + 1 for i, f in enumerate(names)}, len(names) + 1
+        gram, step = np.zeros((width, width)), max(1, _CELLS // width)
+        for start in range(0, len(batch), step):
+            days = batch["points"].iloc[start : start + step]
+            x = np.zeros((len(days), width))
+            x[:, 0] = 1.0
+            for i, day in enumerate(days):
+                x[i, [at[p["family"]] for p in day]] = [p["s"] for p in day]
+            gram += x.T @ x
         labels = np.array([None, *names], dtype=object)
-        yield pd.DataFrame({"f1": np.repeat(labels, len(labels)), "f2": np.tile(labels, len(labels)), "dot": gram.ravel()})
+        for start in range(0, width, step):
+            block = gram[start : start + step]
+            yield pd.DataFrame({"f1": np.repeat(labels[start : start + step], width), "f2": np.tile(labels, len(block)), "dot": block.ravel()})
 
 
 def correlation(df: DataFrame) -> DataFrame:

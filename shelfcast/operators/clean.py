@@ -120,8 +120,10 @@ def fill_month_mean(df: DataFrame, series: Sequence[str] = SERIES) -> DataFrame:
     return _month_mean(df, series, "filled").withColumn("sales", F.col("filled")).drop("filled")
 
 
-def _median(series: Sequence[str]) -> Column:
-    return F.coalesce(F.col("sales"), F.percentile("sales", F.lit(0.5)).over(whole(series)))
+def _median(series: Sequence[str], wanted: Column | None = None) -> Column:
+    """NULLs become the series median; `wanted` spares the series that do not need it the counting."""
+    known = F.col("sales") if wanted is None else F.when(wanted, F.col("sales"))
+    return F.coalesce(F.col("sales"), F.percentile(known, F.lit(0.5)).over(whole(series)))
 
 
 def fill_median(df: DataFrame, series: Sequence[str] = SERIES) -> DataFrame:
@@ -138,7 +140,8 @@ def fill_promo(df: DataFrame, series: Sequence[str] = SERIES) -> DataFrame:
 def handle_missing(df: DataFrame, series: Sequence[str] = SERIES) -> DataFrame:
     """One filling rule per whole series, chosen by its longest gap; what is left becomes 0."""
     df = _with_run(df, series)
-    df = _month_mean(df, series, "by_month").withColumn("by_line", _linear(series)).withColumn("by_median", _median(series))
+    df = _month_mean(df, series, "by_month").withColumn("by_line", _linear(series))
+    df = df.withColumn("by_median", _median(series, F.col("gap_run") > LONG_GAP))
     sales = (
         F.when(F.col("gap_run") <= SHORT_GAP, F.col("by_line"))
         .when(F.col("gap_run") <= LONG_GAP, F.col("by_month"))

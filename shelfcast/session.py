@@ -19,6 +19,7 @@ def local_session(cores: int | None = None, app: str = "shelfcast") -> SparkSess
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.driver.memory", os.environ.get("SHELFCAST_DRIVER_MEMORY", "12g"))
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")  # no stack capture per column expression
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
