@@ -58,8 +58,8 @@ def clip_low(c: Column, low: float = 0.0) -> Column:
 
 def family_label(c: Column) -> Column:
     """Display label, or the name itself when none is known."""
-    pairs = [F.lit(x) for kv in FAMILY_LABELS.items() for x in kv]
-    return F.coalesce(F.try_element_at(F.create_map(*pairs), c), c)
+    pairs = ", ".join(f"'{name}', '{label}'" for name, label in FAMILY_LABELS.items())
+    return F.coalesce(F.try_element_at(F.expr(f"map({pairs})"), c), c)
 
 
 def safe_key(c: Column) -> Column:

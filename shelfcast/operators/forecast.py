@@ -182,9 +182,14 @@ _TREND = 2 + CHANGEPOINTS
 _YEAR, _WEEK = 2 * YEARLY, 2 * WEEKLY
 
 
-def _waves(days: Column, period: float, count: int) -> list[Column]:
-    angle = lambda k: days * F.lit(2 * math.pi * k / period)
-    return [f(angle(k)) for k in range(1, count + 1) for f in (F.sin, F.cos)]
+def _waves(period: float, count: int) -> list[str]:
+    return [f"{f}(unix_date(date) * {2 * math.pi * k / period!r}D)" for k in range(1, count + 1) for f in ("sin", "cos")]
+
+
+# One SQL expression for the whole row: about fifty terms that Spark compiles together.
+_HINGES = [f"greatest(0D, t - {CHANGE_RANGE * j / CHANGEPOINTS!r}D)" for j in range(1, CHANGEPOINTS + 1)]
+_TERMS = ["1D", "t", *_HINGES, *_waves(365.25, YEARLY), *_waves(7.0, WEEKLY)]
+_PROMO_TERM = "cast(coalesce(onpromotion, 0) as double)"
 
 
 def design_rows(rows: DataFrame, calendar: DataFrame, use_promo: bool = False, series: Sequence[str] = SERIES) -> DataFrame:
@@ -194,11 +199,7 @@ def design_rows(rows: DataFrame, calendar: DataFrame, use_promo: bool = False, s
     """
     learn = F.when(F.col("learn"), F.col("date"))
     rows = rows.withColumn("first_day", F.min(learn).over(whole(series))).withColumn("last_day", F.max(learn).over(whole(series)))
-    t = F.col("t")
-    hinges = [F.greatest(F.lit(0.0), t - F.lit(CHANGE_RANGE * j / CHANGEPOINTS)) for j in range(1, CHANGEPOINTS + 1)]
-    days = F.unix_date("date").cast("double")
-    promo = [F.coalesce(F.col("onpromotion"), F.lit(0)).cast("double")] if use_promo else []
-    x = F.array(F.lit(1.0), t, *hinges, *_waves(days, 365.25, YEARLY), *_waves(days, 7.0, WEEKLY), *promo)
+    x = F.expr(f"array({', '.join([*_TERMS, _PROMO_TERM] if use_promo else _TERMS)})")
     names = holiday_windows(calendar).groupBy("date").agg(F.sort_array(F.collect_set("holiday")).alias("holidays"))
     span = F.greatest(F.datediff("last_day", "first_day"), F.lit(1))
     return (
