@@ -234,14 +234,19 @@ def handle_outliers(df: DataFrame, calendar: DataFrame, series: Sequence[str] =
     return replace_spikes(flag_events(df, calendar), series)
 
 
+def merged_panel(raw: DataFrame, keep_missing: bool = False, series: Sequence[str] = SERIES) -> DataFrame:
+    """Raw rows to one non-negative row per (date, series): the only step that sees every raw row."""
+    extra = [k for k in series if k not in SERIES]
+    return clip_negative(merge_duplicates(coerce_types(raw, extra), keep_missing, series))
+
+
 def clean(raw: DataFrame, calendar: DataFrame, keep_missing: bool = False, series: Sequence[str] = SERIES) -> DataFrame:
     """Raw rows to the clean panel, lazily.
 
     As defined, duplicates are summed before gaps are filled and an all-NULL sum is 0, so no gap is
     left and the filling step changes nothing: it is planned only with `keep_missing`.
     """
-    extra = [k for k in series if k not in SERIES]
-    df = clip_negative(merge_duplicates(coerce_types(raw, extra), keep_missing, series))
+    df = merged_panel(raw, keep_missing, series)
     if keep_missing:
         df = handle_missing(df, series)
     return handle_outliers(df, calendar, series)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from shelfcast.functions.values import family_label, missing_text_to_null, to_day, to_number
@@ -142,7 +142,7 @@ def panel_completeness(df: DataFrame) -> DataFrame:
 
 def validation_report(df: DataFrame) -> DataFrame:
     """Rows (level, code, n): errors first; warnings and stats only when there is no error."""
-    missing = [c for c in REQUIRED if c not in df.columns]
+    missing = missing_columns(df)
     if missing:
         rows = [F.struct(F.lit("error").alias("level"), F.lit(f"missing_column:{c}").alias("code"), F.lit(1).cast("bigint").alias("n")) for c in missing]
         return df.agg(F.count("*").alias("rows")).select(F.inline(F.array(*rows)))
@@ -176,6 +176,26 @@ def validation_report(df: DataFrame) -> DataFrame:
     return facts.select(F.inline(F.array_compact(F.array(*lines))))
 
 
+def missing_columns(df: DataFrame) -> list[str]:
+    return [c for c in REQUIRED if c not in df.columns]
+
+
+def observed_errors(df: DataFrame) -> tuple[DataFrame, Observation]:
+    """The same rows, with the facts that decide about errors counted while another job reads them."""
+    facts = Observation()
+    return df.observe(facts, _bad_dates(df).alias("bad_date"), F.count(to_number(F.col("sales"))).alias("numeric")), facts
+
+
+def require_observed(facts: Observation) -> None:
+    """Raises on an error that `observed_errors` saw. Rereading a lost part may raise a count, never hide an error."""
+    seen = facts.get
+    errors = [f"bad_date ({seen['bad_date']})"] if seen["bad_date"] else []
+    if not seen["numeric"]:
+        errors.append("no_numeric_sales")
+    if errors:
+        raise ValueError("; ".join(errors))
+
+
 def require_valid(df: DataFrame) -> None:
     """The gate before cleaning: raises on any error row. Reads back at most a few error rows."""
     errors = validation_report(df).filter("level = 'error'").collect()

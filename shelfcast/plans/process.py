@@ -5,17 +5,25 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from shelfcast.operators.aggregate import by_family, by_store, daily_total
-from shelfcast.operators.clean import clean
-from shelfcast.operators.validate import require_valid
+from shelfcast.operators.clean import handle_outliers, merged_panel
+from shelfcast.operators.validate import missing_columns, observed_errors, require_observed
 from shelfcast.sources.files import load_session, write_session, write_summary
+from shelfcast.sources.scratch import snapshot
 
 
 def process(spark: SparkSession, raw: DataFrame, calendar: DataFrame, out: str, session_id: str) -> DataFrame:
-    """Raises on invalid input. The raw rows are read twice, by the check and by the cleaning; totals and
-    summary read the saved panel. Returns that panel.
+    """Raises on invalid input before anything is saved under `out`; returns the saved panel.
+
+    The raw rows are read once: the checks are counted while the merged panel, one row per key, is
+    written. Spikes, totals and summary work on that smaller table.
     """
-    require_valid(raw)
-    write_session(clean(raw, calendar), f"{out}/clean", session_id)
+    missing = missing_columns(raw)
+    if missing:
+        raise ValueError("; ".join(f"missing_column:{c}" for c in missing))
+    watched, facts = observed_errors(raw)
+    merged = snapshot(merged_panel(watched), "merged")
+    require_observed(facts)
+    write_session(handle_outliers(merged, calendar), f"{out}/clean", session_id)
     panel = load_session(spark, f"{out}/clean", session_id)
     write_session(daily_total(panel), f"{out}/daily_total", session_id)
     write_session(by_family(panel), f"{out}/by_family", session_id)
