@@ -41,8 +41,8 @@ def _urls(z: float = 1.645, limit: float = 0.25) -> str:
 
     def weight(name: str, units: str, n: str, x: str) -> str:
         return f"""{name}_sums as (select count(*)::double k, sum({n})::double s1, sum({n} * {n})::double s2, sum({x})::double x, sum({x} * ({x} / {n}))::double xp from {units} where {n} > 0),
-{name}_spread as (select *, (xp - x * x / s1) / (k - 1) between_, (x - xp) / (s1 - k) within, (s1 - s2 / s1) / (k - 1) size from {name}_sums),
-{name} as (select 1 / (case when k > 1 and s1 > k and between_ + (size - 1) * within > 0 then greatest(0.001, least(0.5, (between_ - within) / (between_ + (size - 1) * within))) else 0.1 end) - 1 as w from {name}_spread)"""
+{name}_spread as (select *, (xp - x * x / s1) / (k - 1) between_, (x - xp) / (s1 - k) inside, (s1 - s2 / s1) / (k - 1) size from {name}_sums),
+{name} as (select 1 / (case when k > 1 and s1 > k and between_ + (size - 1) * inside > 0 then greatest(0.001, least(0.5, (between_ - inside) / (between_ + (size - 1) * inside))) else 0.1 end) - 1 as w from {name}_spread)"""
 
     return rf"""
 with seen as (
