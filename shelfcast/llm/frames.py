@@ -12,10 +12,10 @@ id (i64, i64), a mark whether it has null ids (u8) and its documents and token i
 
 from __future__ import annotations
 
-import os
 import struct
 import uuid
 import zlib
+from array import array
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
@@ -23,6 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shelfcast.llm.pieces import Pieces
 from shelfcast.sources.scratch import scratch_path
 
 # Fixed values of the public seekable format.
@@ -31,7 +32,7 @@ SEEKABLE_MAGIC = 0x8F92EAB1
 CHECKSUM_FLAG = 0x80
 #: Token ids after which a frame is closed, and words whose ids a task remembers before it starts anew.
 FRAME_TOKENS = 1 << 17
-REMEMBERED = 300_000
+REMEMBERED = 600_000
 
 
 def file_system(uri: str):
@@ -141,28 +142,41 @@ class FrameReader:
 def encoder(vocabulary: str, end_id: int | None) -> Callable[[list[str]], list[bytes]]:
     """A function from texts to their token ids as u32 bytes, each with the end id.
 
-    Texts are encoded by their space-separated words, which is exact for a vocabulary that drops white space; each word of a
-    batch is encoded once.
+    Texts are encoded by their space-separated words, which is exact for a vocabulary that drops white space; the ids of words and of
+    their pieces are remembered.
     """
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    from tokenizers import Tokenizer
-
-    tokenizer = Tokenizer.from_str(vocabulary)
-    known: dict[str, bytes] = {"": b""}
+    splitter = Pieces(vocabulary)
+    tokenize = splitter.tokenizer.model.tokenize
     end = b"" if end_id is None else struct.pack("<I", end_id)
+    pieces: dict[str, bytes] = {}
+
+    def of_piece(piece: str) -> bytes:
+        ids = pieces.get(piece)
+        if ids is None:
+            ids = pieces[piece] = array("I", [t.id for t in tokenize(piece)]).tobytes()
+        return ids
+
+    class Words(dict):
+        def __missing__(self, word: str) -> bytes:
+            split = splitter.split(word)
+            if len(split) == 1 and type(split[0]) is str:
+                out = of_piece(split[0])
+            else:
+                out = b"".join([struct.pack("<I", x) if type(x) is int else of_piece(x) for x in split])
+            self[word] = out
+            return out
+
+    known = Words({"": b""})
 
     def encode(batch: list[str]) -> list[bytes]:
         out = []
         for text in batch:
-            words = text.replace("\n", " ").split(" ")
-            if missing := [w for w in dict.fromkeys(words) if w not in known]:
-                if len(known) > REMEMBERED:
-                    known.clear()
-                    known[""] = b""
-                    missing = [w for w in dict.fromkeys(words) if w]
-                for word, found in zip(missing, tokenizer.encode_batch_fast(missing, add_special_tokens=False)):
-                    known[word] = np.array(found.ids, "<u4").tobytes()
-            out.append(b"".join(map(known.__getitem__, words)) + end)
+            if len(known) > REMEMBERED:
+                known.clear()
+                known[""] = b""
+            if len(pieces) > REMEMBERED:
+                pieces.clear()
+            out.append(b"".join(map(known.__getitem__, text.replace("\n", " ").split(" "))) + end)
         return out
 
     return encode

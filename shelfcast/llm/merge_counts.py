@@ -6,8 +6,6 @@ again, and the count is the initial number of symbols less the merges.
 
 from __future__ import annotations
 
-import json
-import re
 from collections.abc import Callable
 from heapq import heapify, heappop, heappush
 
@@ -15,6 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from shelfcast.llm.common import mapped, texts
+from shelfcast.llm.pieces import Pieces
 
 #: Words whose counts a task remembers; beyond that it starts anew.
 REMEMBERED = 600_000
@@ -56,37 +55,25 @@ def counter(vocabulary: str) -> Callable[[str], int]:
     Normalizing and splitting into pieces are the vocabulary's own steps. White space never lies inside a token of such a
     vocabulary, so texts are counted by space-separated words, each of which is worked out once.
     """
-    from tokenizers import Tokenizer
-
-    described, tokenizer = json.loads(vocabulary), Tokenizer.from_str(vocabulary)
-    model = described["model"]
-    ranks = {tuple(pair if isinstance(pair, list) else pair.split(" ")): i for i, pair in enumerate(model["merges"])}
-    suffix, special = model.get("end_of_word_suffix") or "", [x["content"] for x in described["added_tokens"]]
-    split = re.compile("|".join(map(re.escape, sorted(special, key=len, reverse=True)))) if special else None
-    plain = re.compile(r"([A-Za-z]+)([.,!]*)").fullmatch
+    splitter = Pieces(vocabulary)
+    ranks = {tuple(pair if isinstance(pair, list) else pair.split(" ")): i for i, pair in enumerate(splitter.model["merges"])}
     known: dict[str, int] = {}
     pieces: dict[str, int] = {}
 
-    def of_piece(piece: str) -> int:
+    def of_piece(piece: str | int) -> int:
+        if isinstance(piece, int):
+            return 1
         n = pieces.get(piece)
         if n is None:
             if len(pieces) >= REMEMBERED:
                 pieces.clear()
             symbols = list(piece)
-            symbols[-1] += suffix
+            symbols[-1] += splitter.suffix
             n = pieces[piece] = merged_length(symbols, ranks)
         return n
 
-    def of_part(part: str) -> int:
-        if found := plain(part):  # letters, then marks: two pieces under any such vocabulary
-            letters, marks = found.groups()
-            return of_piece(letters.lower()) + (of_piece(marks) if marks else 0)
-        part = tokenizer.normalizer.normalize_str(part)
-        return sum(of_piece(piece) for piece, _ in tokenizer.pre_tokenizer.pre_tokenize_str(part) if piece)
-
     def of_word(word: str) -> int:
-        parts = split.split(word) if split else [word]
-        return len(parts) - 1 + sum(of_part(part) for part in parts if part)
+        return sum(map(of_piece, splitter.split(word)))
 
     def count(text: str) -> int:
         total = 0
