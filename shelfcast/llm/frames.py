@@ -15,15 +15,15 @@ from __future__ import annotations
 import struct
 import uuid
 import zlib
-from array import array
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfcast.llm.pieces import Pieces
+from shelfcast.llm.pieces import LATIN, Pieces
 from shelfcast.sources.scratch import scratch_path
 
 # Fixed values of the public seekable format.
@@ -33,6 +33,8 @@ CHECKSUM_FLAG = 0x80
 #: Token ids after which a frame is closed, and words whose ids a task remembers before it starts anew.
 FRAME_TOKENS = 1 << 17
 REMEMBERED = 600_000
+#: Pieces, and bytes of text, that are worked on at a time.
+BATCHED, TEXT_BYTES = 2000, 8_000_000
 
 
 def file_system(uri: str):
@@ -139,47 +141,79 @@ class FrameReader:
                 yield from ((d, x) for d, x in unpack(self.frame(i)) if ids is None or d is not None and ids[min(int(np.searchsorted(ids, d)), len(ids) - 1)] == d)
 
 
-def encoder(vocabulary: str, end_id: int | None) -> Callable[[list[str]], list[bytes]]:
-    """A function from texts to their token ids as u32 bytes, each with the end id.
+def gather(flat: np.ndarray, lengths: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The runs with the wanted numbers, one after another, and their lengths; run i follows run i - 1 in `flat`."""
+    n = lengths[wanted]
+    ends = np.cumsum(n)
+    starts = (np.cumsum(lengths) - lengths)[wanted]
+    return flat[np.repeat(starts - (ends - n), n) + np.arange(ends[-1] if len(ends) else 0)], n
 
-    Texts are encoded by their space-separated words, which is exact for a vocabulary that drops white space; the ids of words and of
-    their pieces are remembered.
+
+class Encoder:
+    """Encodes texts to their token ids as u32 bytes, each with the end id.
+
+    Texts are encoded by their space-separated words, which is exact for a vocabulary that drops white space. The distinct words
+    of some texts are taken apart in columns: words of Latin letters and marks into these two pieces, others by the splitter. Pieces
+    that are not known yet are encoded together, as each piece of letters is one to the library, and ids are gathered by number.
     """
-    splitter = Pieces(vocabulary)
-    tokenize = splitter.tokenizer.model.tokenize
-    end = b"" if end_id is None else struct.pack("<I", end_id)
-    pieces: dict[str, bytes] = {}
-
-    def of_piece(piece: str) -> bytes:
-        ids = pieces.get(piece)
-        if ids is None:
-            ids = pieces[piece] = array("I", [t.id for t in tokenize(piece)]).tobytes()
-        return ids
-
-    class Words(dict):
-        def __missing__(self, word: str) -> bytes:
-            split = splitter.split(word)
-            if len(split) == 1 and type(split[0]) is str:
-                out = of_piece(split[0])
-            else:
-                out = b"".join([struct.pack("<I", x) if type(x) is int else of_piece(x) for x in split])
-            self[word] = out
-            return out
-
-    known = Words({"": b""})
-
-    def encode(batch: list[str]) -> list[bytes]:
-        out = []
-        for text in batch:
-            if len(known) > REMEMBERED:
-                known.clear()
-                known[""] = b""
-            if len(pieces) > REMEMBERED:
-                pieces.clear()
-            out.append(b"".join(map(known.__getitem__, text.replace("\n", " ").split(" "))) + end)
-        return out
-
-    return encode
+
+    def __init__(self, vocabulary: str, end_id: int | None):
+        self.splitter = Pieces(vocabulary)
+        self.end = np.array([] if end_id is None else [end_id], "<u4")
+        self._forget()
+
+    def _forget(self) -> None:
+        self.number, self.flat, self.lengths = {"": 0}, np.zeros(0, "<u4"), np.zeros(1, "i8")
+
+    def _numbers(self, strings: list[str], letters: bool) -> np.ndarray:
+        """The numbers of pieces or, if they are not of letters, of whole words."""
+        number, new = self.number, [x for x in strings if x not in self.number]
+        flat, lengths = [self.flat], [self.lengths]
+        if letters:
+            for i in range(0, len(new), BATCHED):
+                part = new[i : i + BATCHED]
+                found = self.splitter.tokenizer.encode(" ".join(part), add_special_tokens=False)
+                flat.append(np.array(found.ids, "<u4"))
+                lengths.append(np.bincount(np.array(found.word_ids), minlength=len(part)))
+        else:
+            tokenize = self.splitter.tokenizer.model.tokenize
+            for word in new:
+                ids = [i for p in self.splitter.split(word) for i in ([p] if type(p) is int else [t.id for t in tokenize(p)])]
+                flat.append(np.array(ids, "<u4"))
+                lengths.append(np.array([len(ids)]))
+        number.update(zip(new, range(len(number), len(number) + len(new))))
+        self.flat, self.lengths = np.concatenate(flat), np.concatenate(lengths)
+        return np.fromiter(map(number.__getitem__, strings), "i8", len(strings))
+
+    def _words(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of distinct words, one word after another, and how many each has."""
+        if len(self.number) > REMEMBERED:
+            self._forget()
+        plain = pc.match_substring_regex(words, f"^{LATIN}+[.,!]*$")
+        both = np.zeros((len(words), 2), "i8")
+        at = plain.to_numpy(zero_copy_only=False)
+        latin = words.filter(plain)
+        first = pc.utf8_lower(pc.utf8_rtrim(latin, ".,!")).dictionary_encode()
+        second = pc.replace_substring_regex(latin, "^[^.,!]+", "").dictionary_encode()
+        if len(latin):
+            both[at, 0] = self._numbers(first.dictionary.to_pylist(), True)[first.indices.to_numpy()]
+            both[at, 1] = self._numbers(second.dictionary.to_pylist(), False)[second.indices.to_numpy()]
+        both[~at, 0] = self._numbers(words.filter(pc.invert(plain)).to_pylist(), False)
+        ids, n = gather(self.flat, self.lengths, both.reshape(-1))
+        return ids, n.reshape(-1, 2).sum(axis=1)
+
+    def __call__(self, batch: pa.Array) -> Iterator[bytes]:
+        batch = pc.fill_null(batch, "")
+        sizes = np.cumsum(pc.binary_length(batch).to_numpy()) // TEXT_BYTES
+        for some in np.split(np.arange(len(batch)), np.flatnonzero(np.diff(sizes)) + 1) if len(batch) else ():
+            part = pc.replace_substring(batch.slice(some[0], len(some)), "\n", " ")
+            split = pc.split_pattern(part, " ")
+            coded = split.flatten().dictionary_encode()
+            ids, n = gather(*self._words(coded.dictionary), coded.indices.to_numpy())
+            ends = np.concatenate([[0], np.cumsum(n)])
+            edges = ends[np.concatenate([[0], np.cumsum(pc.list_value_length(split).to_numpy())])].tolist()
+            for a, b in zip(edges, edges[1:]):
+                yield ids[a:b].tobytes() + self.end.tobytes()
 
 
 def write_files(docs: DataFrame, folder: str, vocabulary: str, end_id: int | None = 2) -> list[tuple[int, str, int, int]]:
@@ -201,14 +235,13 @@ def write_files(docs: DataFrame, folder: str, vocabulary: str, end_id: int | Non
         if first is None:
             return
         store, base = file_system(folder)
-        encode, shard = encoder(shipped.value, end_id), TaskContext.get().partitionId()
+        encode, shard = Encoder(shipped.value, end_id), TaskContext.get().partitionId()
         name, part = f"{base}/shard-{shard:06d}.tokens", f"{base}/_part-{uuid.uuid4().hex}"
         store.create_dir(base, recursive=True)
         with store.open_output_stream(part, compression=None) as out:
             writer = FrameWriter(out)
             for batch in _and_rest(first, batches):
-                data = [x or "" for x in batch.column("text").to_pylist()]
-                for doc_id, payload in zip(batch.column("doc_id").to_pylist(), encode(data)):
+                for doc_id, payload in zip(batch.column("doc_id").to_pylist(), encode(batch.column("text"))):
                     writer.add(doc_id, payload)
             writer.close()
         store.move(part, name)

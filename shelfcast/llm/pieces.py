@@ -6,7 +6,8 @@ import json
 import re
 
 #: Letters of the Latin blocks that lower-case to one letter and are composed already.
-_LATIN = re.compile("([A-Za-zÀ-ÖØ-öø-įı-ɏ]+)([.,!]*)")
+LATIN = "[A-Za-zÀ-ÖØ-öø-įı-ɏ]"
+_PLAIN = re.compile(f"({LATIN}+)([.,!]*)")
 
 
 def byte_letters() -> dict[int, int]:
@@ -29,7 +30,7 @@ class Pieces:
         self.suffix = self.model.get("end_of_word_suffix") or ""
         names = sorted(self.special, key=len, reverse=True)
         self._cut = re.compile("(" + "|".join(map(re.escape, names)) + ")").split if names else lambda word: [word]
-        self._letters, self._plain = byte_letters(), _LATIN.fullmatch
+        self._letters, self._plain = byte_letters(), _PLAIN.fullmatch
 
     def split(self, word: str) -> list[str | int]:
         """The pieces of a word in the byte-level alphabet, and the ids of special strings."""
