@@ -30,11 +30,13 @@ from shelfcast.sources.scratch import scratch_path
 SKIPPABLE_MAGIC = 0x184D2A5E
 SEEKABLE_MAGIC = 0x8F92EAB1
 CHECKSUM_FLAG = 0x80
+#: Bytes of text for which there is one file: large enough that a file's words repeat, small enough to encode in seconds.
+FILE_BYTES = 40_000_000
 #: Token ids after which a frame is closed, and words whose ids a task remembers before it starts anew.
 FRAME_TOKENS = 1 << 17
 REMEMBERED = 600_000
 #: Pieces, and bytes of text, that are worked on at a time.
-BATCHED, TEXT_BYTES = 2000, 8_000_000
+BATCHED, TEXT_BYTES = 2000, 6_000_000
 
 
 def file_system(uri: str):
@@ -247,7 +249,9 @@ def write_files(docs: DataFrame, folder: str, vocabulary: str, end_id: int | Non
         store.move(part, name)
         yield pa.RecordBatch.from_pydict({"shard": [shard], "path": [name], "n_docs": [writer.n_docs], "n_tokens": [writer.n_tokens]}, schema=schema)
 
-    dealt = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").repartitionByRange(F.asc_nulls_first("doc_id")).sortWithinPartitions(F.asc_nulls_first("doc_id"), "text")
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    ranges = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").repartitionByRange(int(size // FILE_BYTES) + 1, F.asc_nulls_first("doc_id"))
+    dealt = ranges.sortWithinPartitions(F.asc_nulls_first("doc_id"), "text")
     written = dealt.mapInArrow(run, "shard long, path string, n_docs long, n_tokens long").collect()
     return sorted(tuple(r) for r in written)
 
