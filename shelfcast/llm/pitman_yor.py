@@ -29,7 +29,7 @@ BITS = 12
 CONTEXTS = 1 << BITS
 MIX = np.uint64(0x9E3779B97F4A7C15)
 #: Tokens of a chunk of documents, about, and bytes of text for which there is one part.
-CHUNK_TOKENS, PART_BYTES = 1_000_000, 48_000_000
+CHUNK_TOKENS, PART_BYTES = 1_000_000, 32_000_000
 #: Parallel rounds of seating, the last ones of which are averaged; strengths of the two levels; steps in which a round unseats all.
 ROUNDS, AVERAGED, STRENGTH, STEPS = 3, 2, 1.0, 4
 #: Customers of a dish up to which the chance that one sits alone is exact.
@@ -108,15 +108,28 @@ class Chunk:
 
 
 def merge(payloads: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct training words of a part, its pairs (word place * CONTEXTS + context) in order, and their counts."""
+    """Distinct training words of a part, its pairs (word place * CONTEXTS + context) in order, and their counts.
+
+    Payloads are unpacked one at a time, first for the words, then for the pairs, which a chunk counts by itself.
+    """
     seen = []
     for payload in payloads:
         c = Chunk(payload)
-        seen.append((c.words, c.word_at[c.train], c.contexts[c.train]))
-    words = np.unique(np.concatenate([w[np.unique(at)] for w, at, _ in seen]))
-    keys = np.concatenate([np.searchsorted(words, w)[at] * CONTEXTS + b for w, at, b in seen])
-    keys, counts = np.unique(keys, return_counts=True)
-    return words, keys, counts
+        used = np.zeros(len(c.words), bool)
+        used[c.word_at[c.train]] = True
+        seen.append(c.words[used])
+    words = np.unique(np.concatenate(seen))
+    pairs = []
+    for payload in payloads:
+        c = Chunk(payload)
+        place = np.searchsorted(words, c.words)
+        pairs.append(np.unique(place[c.word_at[c.train]] * CONTEXTS + c.contexts[c.train], return_counts=True))
+    keys, counts = (np.concatenate(x) for x in zip(*pairs))
+    del pairs
+    order = np.argsort(keys)
+    keys, counts = keys[order], counts[order]
+    first = np.flatnonzero(np.diff(keys, prepend=-1))
+    return words, keys[first], np.add.reduceat(counts, first) if len(first) else counts
 
 
 def alone(discount: float) -> np.ndarray:
@@ -176,10 +189,9 @@ class Sums:
 class Part:
     """The customers of a part's words and their seating, replayed from the sums of the rounds so far."""
 
-    def __init__(self, number: int, words: np.ndarray, keys: np.ndarray, counts: np.ndarray):
-        self.number, self.words, self.keys, self.counts = number, words, keys, counts.astype("i8")
-        self.at, self.context = keys // CONTEXTS, keys % CONTEXTS
-        self.tables = np.ones(len(keys), "i8")
+    def __init__(self, number: int, words: np.ndarray, at: np.ndarray, context: np.ndarray, counts: np.ndarray):
+        self.number, self.words, self.at, self.context, self.counts = number, words, at.astype("i4"), context, counts.astype("i4")
+        self.tables = np.ones(len(at), "i4")
         self.root_customers = np.bincount(self.at, minlength=len(words)).astype("i8")
         self.root_tables = np.ones(len(words), "i8")
 
@@ -251,7 +263,7 @@ def _vector(rows: DataFrame, column: str) -> np.ndarray:
 
 def _load(number: int, merged: bytes) -> Part:
     words, variety, context, counts = _spread(merged)
-    return Part(number, np.cumsum(words, dtype="u8"), np.repeat(np.arange(len(words)), variety) * CONTEXTS + context, counts)
+    return Part(number, np.cumsum(words, dtype="u8"), np.repeat(np.arange(len(words)), variety), context, counts)
 
 
 def score_texts(docs: DataFrame) -> DataFrame:
@@ -320,7 +332,8 @@ class Predictor:
     def __init__(self, part: Part, history: list[Sums]):
         self.part, last = part, history[-1]
         turns = len(history) - 1
-        self.extra, self.weights, self.roots, self.others = np.zeros(len(part.keys)), [], [], []
+        self.keys = part.at.astype("i8") * CONTEXTS + part.context
+        self.extra, self.weights, self.roots, self.others = np.zeros(len(self.keys)), [], [], []
         for t in range(turns):
             part.seat(history[t], t)
             if t >= turns - AVERAGED:
@@ -347,9 +360,9 @@ class Predictor:
         k_at, k_context = at[known], context[known]
         value = sum(w[k_context] * root[k_at] for w, root in zip(self.weights, self.roots)) / len(self.weights)
         keys = k_at * CONTEXTS + k_context
-        pair = np.searchsorted(part.keys, keys)
-        pair[pair == len(part.keys)] = 0
-        p[known] = value + np.where(part.keys[pair] == keys, self.extra[pair], 0.0) if len(part.keys) else value
+        pair = np.searchsorted(self.keys, keys)
+        pair[pair == len(self.keys)] = 0
+        p[known] = value + np.where(self.keys[pair] == keys, self.extra[pair], 0.0) if len(self.keys) else value
         logs = np.log10(p)
         docs, where = np.unique(c.owner, return_inverse=True)
         add = lambda x: np.bincount(where, x, len(docs))
