@@ -29,9 +29,11 @@ BITS = 12
 CONTEXTS = 1 << BITS
 MIX = np.uint64(0x9E3779B97F4A7C15)
 #: Tokens of a chunk of documents, about, and bytes of text for which there is one part.
-CHUNK_TOKENS, PART_BYTES = 1_000_000, 32_000_000
+CHUNK_TOKENS, PART_BYTES = 1_000_000, 16_000_000
 #: Parallel rounds of seating, the last ones of which are averaged; strengths of the two levels; steps in which a round unseats all.
 ROUNDS, AVERAGED, STRENGTH, STEPS = 3, 2, 1.0, 4
+#: Steps to which a part's sums of log10 are rounded on their way to the document's: base and model.
+BASE_STEP, STEP = 2.0**-24, 2.0**-16
 #: Customers of a dish up to which the chance that one sits alone is exact.
 EXACT = 64
 
@@ -318,10 +320,10 @@ def score_texts(docs: DataFrame) -> DataFrame:
         sums = np.zeros((4, n_docs))
         for _, docs_, n, known_, base, score, ids, nulls in found:
             for row, x in zip(sums, (n, known_, base, score)):
-                row[docs_] += x
+                row[docs_] += x  # whole numbers: the order of the parts does not matter
             if len(ids):
                 names = pa.array(ids, mask=nulls.astype(bool))
-        return pa.table({"doc_id": names, "held_out": np.arange(n_docs) >= n_train, "n_tokens": sums[0].astype("i8"), "n_known": sums[1].astype("i8"), "train_tokens": np.full(n_docs, int(facts[0])), "base_score": sums[2], "score": sums[3]})
+        return pa.table({"doc_id": names, "held_out": np.arange(n_docs) >= n_train, "n_tokens": sums[0].astype("i8"), "n_known": sums[1].astype("i8"), "train_tokens": np.full(n_docs, int(facts[0])), "base_score": -sums[2] * BASE_STEP, "score": -sums[3] * STEP})
 
     return table.select("part", "merged", "chunks").mapInArrow(predict, "chunk long, payload binary").groupBy("chunk").applyInArrow(total, kind)
 
@@ -366,5 +368,6 @@ class Predictor:
         logs = np.log10(p)
         docs, where = np.unique(c.owner, return_inverse=True)
         add = lambda x: np.bincount(where, x, len(docs))
+        rounded = lambda x, step: np.rint(-x / step).astype("i8")
         head = np.array([c.n_docs, int(c.n_train)], "u8")
-        return _squeeze(head, docs, add(None).astype("u4"), add(known.astype(float)).astype("u4"), add(base), add(logs).astype("f4"), c.ids, c.nulls)
+        return _squeeze(head, docs, add(None).astype("u4"), add(known.astype(float)).astype("u4"), rounded(add(base), BASE_STEP), rounded(add(logs), STEP), c.ids, c.nulls)
