@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfcast.sources.scratch import scratch_path
@@ -42,6 +43,18 @@ def mapped(rows: Callable[[pa.RecordBatch], dict], schema: pa.Schema) -> Callabl
     return run
 
 
+@contextmanager
+def small_batches(spark: SparkSession, records: int = 500) -> Iterator[None]:
+    """Jobs run inside hand rows to Python in batches of few records, since texts can be long; the setting is put back after."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(records))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def small_enough(df: DataFrame, row_bytes: int, limit: int = 32 << 20) -> DataFrame:
     """Mark a side for broadcast if its counted rows need at most `limit` bytes; else leave the join to Spark."""
     return F.broadcast(df) if df.count() * row_bytes <= limit else df

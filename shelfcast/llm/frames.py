@@ -23,6 +23,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shelfcast.llm.common import small_batches
 from shelfcast.llm.pieces import LATIN, Pieces
 from shelfcast.sources.scratch import scratch_path
 
@@ -252,7 +253,8 @@ def write_files(docs: DataFrame, folder: str, vocabulary: str, end_id: int | Non
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     ranges = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").repartitionByRange(int(size // FILE_BYTES) + 1, F.asc_nulls_first("doc_id"))
     dealt = ranges.sortWithinPartitions(F.asc_nulls_first("doc_id"), "text")
-    written = dealt.mapInArrow(run, "shard long, path string, n_docs long, n_tokens long").collect()
+    with small_batches(spark, 2000):
+        written = dealt.mapInArrow(run, "shard long, path string, n_docs long, n_tokens long").collect()
     return sorted(tuple(r) for r in written)
 
 

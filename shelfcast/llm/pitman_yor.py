@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfcast.llm.common import crc, stored, texts
+from shelfcast.llm.common import crc, small_batches, stored, texts
 
 BITS = 12
 CONTEXTS = 1 << BITS
@@ -254,7 +254,8 @@ def _parts(docs: DataFrame, parts: int) -> DataFrame:
 
     kind = "part int, merged binary, chunks array<struct<chunk: long, payload: binary>>, customers array<long>, tables array<long>, facts array<long>"
     flagged = docs.select(F.col("doc_id").cast("long").alias("doc_id"), (F.pmod(crc(F.col("doc_id")), F.lit(5)) != 1).alias("train"), "text")
-    return stored(flagged.mapInArrow(encode, "part int, chunk long, payload binary").groupBy("part").applyInArrow(count, kind), "language-model")
+    with small_batches(docs.sparkSession):
+        return stored(flagged.mapInArrow(encode, "part int, chunk long, payload binary").groupBy("part").applyInArrow(count, kind), "language-model")
 
 
 def _vector(rows: DataFrame, column: str) -> np.ndarray:
