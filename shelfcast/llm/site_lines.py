@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+#: Tasks that the documents of one host are spread over when they meet its lines.
+SALTS = 64
 #: Tags that do not end a line.
 INLINE = r"(?i)</?(?:a|b|i|em|strong|span|u|small)(?:\s[^>]*)?>"
 #: Elements whose content is no text, and comments.
@@ -41,8 +43,9 @@ def drop_boilerplate(docs: DataFrame, ratio: float = 0.2, min_pages: int = 3) ->
     their own; every copy of a repeated row counts as a document; other columns are not read.
     """
     keyed = docs.select("doc_id", F.coalesce("host", F.lit("")).alias("host"), "text")
-    known = site_boilerplate(keyed, ratio, min_pages)
-    joined = keyed.join(known, "host", "left").select("doc_id", "host", _lines(F.col("text")).alias("lines"), "boilerplate")
+    known = site_boilerplate(keyed, ratio, min_pages).withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    salted = keyed.withColumn("salt", F.pmod(F.xxhash64("doc_id", "text"), F.lit(SALTS)).cast("int"))
+    joined = salted.join(known, ["host", "salt"], "left").select("doc_id", "host", _lines(F.col("text")).alias("lines"), "boilerplate")
     kept = F.when(F.col("boilerplate").isNull(), F.col("lines")).otherwise(F.filter("lines", lambda x: ~F.array_contains(F.col("boilerplate"), F.xxhash64(x))))
     cleaned = joined.select("doc_id", "host", F.size("lines").cast("long").alias("n_lines"), kept.alias("kept"))
     return cleaned.select("doc_id", "host", F.array_join("kept", "\n").alias("text"), "n_lines", (F.col("n_lines") - F.size("kept")).cast("long").alias("n_dropped"))
