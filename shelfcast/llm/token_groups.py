@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfcast.llm.common import small_enough, stored, texts
+from shelfcast.llm.common import small_batches, small_enough, stored, texts
 from shelfcast.llm.components import components
 
 BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -25,7 +25,7 @@ MIX = np.uint64(0xD6E8FEB86659FD93)
 #: Odd multipliers of the minimum hashes that form groups.
 ROUNDS = np.array([(0xBF58476D1CE4E5B9 * (2 * i + 1)) % (1 << 64) for i in range(6)], "u8")
 #: A token is frequent from this share of the documents on, and from this count; a batch reports tokens that it has this often.
-FREQUENT_SHARE, FREQUENT, IN_BATCH = 2e-4, 32, 3
+FREQUENT_SHARE, FREQUENT, IN_BATCH = 5e-5, 16, 2
 
 
 def shingles(text: bytes, k: int) -> np.ndarray:
@@ -125,6 +125,19 @@ def verified(pairs: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFra
     return both.select("a", "b", "x", "y").mapInArrow(compare, "a long, b long")
 
 
+def plausible(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) that their prefixes do not rule out.
+
+    Of two prefixes one ends first in the common order, and no token of it is in the rest of the other set; so the sets share at
+    most the tokens that the prefixes share and the rest of the set whose prefix ends first.
+    """
+    ids = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    known = nodes.select("node", "n", "prefix").join(small_enough(ids, 24), "node", "left_semi")
+    side = lambda name: known.select(F.col("node").alias(name), F.col("n").alias(f"n_{name}"), F.col("prefix").alias(f"prefix_{name}"))
+    most = F.size(F.array_intersect("prefix_a", "prefix_b")) + F.greatest(F.col("n_a") - F.size("prefix_a"), F.col("n_b") - F.size("prefix_b"))
+    return pairs.join(side("a"), "a").join(side("b"), "b").where(most * (100 + percent) >= (F.col("n_a") + F.col("n_b")) * percent).select("a", "b")
+
+
 def led_pairs(nodes: DataFrame) -> DataFrame:
     """Nodes with the leader, the smallest node, of the nodes that share a minimum hash, if they meet in two rounds or more.
 
@@ -166,19 +179,22 @@ def linked_classes(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     shingles, links with nothing and is its own component; a null doc_id has component null. Rows with the same doc_id are one document:
     it links through any of its texts, each row keeping its own n_shingles. Other columns are not read; ids must be integers.
     """
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    docs, spark = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), docs.sparkSession
     signed = stored(signatures(docs, k, percent), "signatures")
     sets = signed.where(F.col("key").isNotNull() & F.col("doc_id").isNotNull())
     copies = stored(sets.groupBy("key").agg(F.min("doc_id").alias("node")), "copies")
     nodes = stored(sets.join(copies, "key").where(F.col("doc_id") == F.col("node")).select("node", F.col("n_shingles").alias("n"), "mins", "prefix").distinct(), "nodes")
 
-    led = stored(verified(stored(led_pairs(nodes), "led-pairs"), docs, k, percent), "led-links")
-    groups = stored(components(led), "groups")
+    def links(pairs: DataFrame, name: str) -> DataFrame:
+        left = stored(plausible(stored(pairs, f"{name}-pairs"), nodes, percent), f"{name}-plausible")
+        with small_batches(spark, 1000):
+            return stored(verified(left, docs, k, percent), f"{name}-links")
 
+    groups = stored(components(links(led_pairs(nodes), "led")), "groups")
     tokens = nodes.select("node", "n", F.posexplode("prefix").alias("place", "token")).select("token", "node", "n", (F.col("n") - F.col("place")).alias("rest"))
     shared = tokens.groupBy("token").agg(F.min("node").alias("low"), F.max("node").alias("high")).where(F.col("low") < F.col("high")).select("token")
     entries = tokens.join(shared, "token", "left_semi").join(groups, "node", "left").select("token", "node", "n", "rest", F.coalesce("root", "node").alias("group"))
-    met = verified(stored(opened_pairs(entries, percent), "opened-pairs"), docs, k, percent)
+    met = links(opened_pairs(entries, percent), "opened")
 
     doubled = signed.where(F.col("key").isNotNull()).groupBy("doc_id").agg(F.min("key").alias("x"), F.max("key").alias("y")).where(F.col("x") != F.col("y")).select("doc_id")
     tied = sets.join(doubled, "doc_id", "left_semi").join(copies, "key").select(F.col("doc_id").alias("a"), F.col("node").alias("b"))
