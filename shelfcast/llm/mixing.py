@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from shelfcast.llm.common import small_enough, stored
 
 #: Hashed words of the classifier, and the bound of its sample of labelled rows.
-BUCKETS = 1 << 16
+BUCKETS = 1 << 15
 MAX_LABELLED = 20_000
 
 
@@ -48,7 +48,7 @@ def posteriors(docs: DataFrame, labelled: DataFrame, domains: list[str], max_lab
     if sample.select("label").distinct().count() < 2:
         even = F.array(*(F.lit(1.0 / len(domains)) for _ in domains))
         return docs.select("doc_id", words(F.col("text")).alias("words")).select("doc_id", n_tokens, even.alias("p"))
-    model = LogisticRegression(regParam=0.002, maxIter=40, family="multinomial").fit(sample)
+    model = LogisticRegression(regParam=0.002, maxIter=25, family="multinomial").fit(sample.coalesce(12))  # bounded rows, so few sums
     scored = model.transform(prepare(docs, "doc_id")).select("doc_id", n_tokens, vector_to_array("probability").alias("p"))
     missing = len(domains) - model.numClasses
     return scored.withColumn("p", F.concat("p", F.array(*[F.lit(0.0)] * missing))) if missing else scored
@@ -58,7 +58,7 @@ def _dot(p: str, step: list[float]) -> Column:
     return reduce(lambda a, b: a + b, (F.get(F.col(p), F.lit(i)) * F.lit(x) for i, x in enumerate(step)))
 
 
-def solve_rates(members: DataFrame, targets: dict[str, float], domains: list[str], total_tokens: float | None = None, tolerance: float = 1e-4, max_steps: int = 60) -> DataFrame:
+def solve_rates(members: DataFrame, targets: dict[str, float], domains: list[str], total_tokens: float | None = None, tolerance: float = 1.5e-4, max_steps: int = 24) -> DataFrame:
     """members (n_tokens, p and any other columns) with `rate`, whose expected domain totals meet the targets as far as they can.
 
     Least squares over rates r >= 0 of sum over domains of (S(r) - T)^2 / C, S the expected totals, T the targets and C the totals
