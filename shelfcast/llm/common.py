@@ -27,9 +27,10 @@ def crc(column: Column) -> Column:
     return F.crc32(F.coalesce(column.cast("string"), F.lit("")).cast("binary"))
 
 
-def texts(batch: pa.RecordBatch, name: str = "text") -> list[bytes]:
-    """The UTF-8 bytes of a text column; null is empty."""
-    return [x or b"" for x in batch.column(name).cast(pa.binary()).to_pylist()]
+def texts(rows: pa.RecordBatch | pa.StructArray, name: str = "text") -> list[bytes]:
+    """The UTF-8 bytes of a text column, or of a field of structs; null is empty."""
+    column = rows.field(name) if isinstance(rows, pa.StructArray) else rows.column(name)
+    return [x or b"" for x in column.cast(pa.binary()).to_pylist()]
 
 
 def mapped(rows: Callable[[pa.RecordBatch], dict], schema: pa.Schema) -> Callable[[Iterator], Iterator]:

@@ -72,12 +72,12 @@ def ledger(docs: DataFrame, rules: tuple[tuple[str, str], ...] = RULES) -> DataF
     A null text counts as empty and so fails `few_words`; null ids and repeated rows pass through; further columns, whatever their
     names, stay in `row`. Very long texts are measured whole. No shuffle.
     """
-    whole = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), "text")
-    kind = whole.select("row").limit(0).toArrow().schema.field(0).type
+    whole = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"))
+    kind = whole.limit(0).toArrow().schema.field(0).type
     schema = pa.schema([("row", kind), *((m, pa.int64()) for m in MEASURES)])
 
     def rows(batch: pa.RecordBatch) -> dict:
-        return {"row": batch.column("row"), **dict(zip(MEASURES, zip(*map(measure, texts(batch)))))}
+        return {"row": batch.column("row"), **dict(zip(MEASURES, zip(*map(measure, texts(batch.column("row"))))))}
 
     measured = whole.mapInArrow(mapped(rows, schema), f"row {whole.schema['row'].dataType.simpleString()}, " + ", ".join(f"{m} long" for m in MEASURES))
     bits = [F.when(F.expr(condition), F.lit(1 << i)).otherwise(F.lit(0)).cast("long") for i, (_, condition) in enumerate(rules)]
