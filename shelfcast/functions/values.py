@@ -38,12 +38,13 @@ def to_number(c: Column) -> Column:
 
 
 def to_day(c: Column) -> Column:
-    """Calendar day of a text, timestamp or date, NULL where it cannot be read."""
+    """Calendar day of a text, timestamp or date, NULL where it cannot be read or its year is not one of a timestamp in nanoseconds."""
     text = c.cast("string")
-    return F.coalesce(
+    day = F.coalesce(
         c.try_cast("date"),
         *[F.try_to_timestamp(text, F.lit(fmt)).cast("date") for fmt in DATE_FORMATS],
     )
+    return F.when(F.year(day).between(1678, 2261), day)
 
 
 def ratio(a: Column, b: Column) -> Column:

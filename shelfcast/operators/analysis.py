@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 
 from shelfcast.functions.values import family_label, month_label, ratio, week_end, week_label
 from shelfcast.operators.validate import filter_series
-from shelfcast.schema import DAILY_TREND_LIMIT, MAX_FAMILIES
 from shelfcast.sources.scratch import snapshot
 
 
@@ -81,10 +80,10 @@ def _with_empty(buckets: DataFrame, step: Column) -> DataFrame:
     return rows.withColumn("sales", F.when(F.col("at") == F.col("bucket"), F.col("sales")).otherwise(0.0)).drop("bucket", "until")
 
 
-def trend(df: DataFrame, granularity: str = "monthly", family: str = "all", store_nbr: int = 0) -> DataFrame:
+def trend(df: DataFrame, granularity: str = "monthly", family: str = "all", store_nbr: int = 0, weekly_above: int | None = None) -> DataFrame:
     """(label, sales) per day, week ending on Sunday, or month; buckets without sales in between are 0.
 
-    More than a year of days turns daily into weekly. An empty selection gives an empty result; an
+    With `weekly_above`, a daily request for more days than that is answered by weeks, as the labels show. An empty selection gives an empty result; an
     unknown granularity is refused.
     """
     daily = filter_series(df, family, store_nbr).groupBy("date").agg(F.sum("sales").alias("sales"))
@@ -94,7 +93,7 @@ def trend(df: DataFrame, granularity: str = "monthly", family: str = "all", stor
     if granularity == "weekly":
         weekly = F.lit(True)
     elif granularity == "daily":
-        weekly = F.count("*").over(Window.partitionBy()) > DAILY_TREND_LIMIT
+        weekly = F.lit(False) if weekly_above is None else F.count("*").over(Window.partitionBy()) > weekly_above
     else:
         raise ValueError(f"granularity must be daily, weekly or monthly, not {granularity!r}")
     bucket = F.when(F.col("weekly"), week_end(F.col("date"))).otherwise(F.col("date"))
@@ -141,7 +140,8 @@ def category_share(df: DataFrame) -> DataFrame:
 
 
 def top_families(df: DataFrame, n: int = 10) -> DataFrame:
-    n = max(1, min(int(n), MAX_FAMILIES))
+    """The n families with the largest sums, at least one."""
+    n = max(1, int(n))
     promo = F.avg("onpromotion") if "onpromotion" in df.columns else F.lit(None).cast("double")
     totals = df.groupBy("family").agg(F.sum("sales").alias("sales"), promo.alias("onpromotion_avg"))
     return totals.orderBy(F.desc("sales"), "family").limit(n).select("family", family_label(F.col("family")).alias("label"), "sales", "onpromotion_avg")
@@ -207,6 +207,11 @@ def weekday_pattern(df: DataFrame) -> DataFrame:
     return week.join(means, "weekday", "left").select("weekday", F.coalesce("avg_sales", F.lit(0.0)).alias("avg_sales"))
 
 
+def _promotion(df: DataFrame) -> DataFrame:
+    """The data itself, or with an unknown promotion where it has no such column."""
+    return df if "onpromotion" in df.columns else df.withColumn("onpromotion", F.lit(None).cast("long"))
+
+
 def _promo_means() -> list[Column]:
     return [
         F.avg(F.when(F.col("onpromotion") > 0, F.col("sales"))).alias("promo_avg"),
@@ -220,17 +225,24 @@ def _lift() -> Column:
 
 
 def promo_effect(df: DataFrame, family: str = "all") -> DataFrame:
-    """Mean sales with and without promotion (0 where there are no rows) and their ratio."""
-    means = filter_series(df, family).agg(*_promo_means())
+    """Mean sales with and without promotion (0 where there are no rows) and their ratio; no row if the data has no promotions."""
+    known = _promotion(df)
+    means = filter_series(known, family).agg(*_promo_means())
+    means = means if known is df else means.limit(0)
     zero = F.lit(0.0)
     means = means.select(F.coalesce("promo_avg", zero).alias("promo_avg"), F.coalesce("non_promo_avg", zero).alias("non_promo_avg"))
     return means.withColumn("lift", _lift())
 
 
-def promo_effect_by_family(df: DataFrame, top: int = 10) -> DataFrame:
-    """Families by lift, a missing lift sorting as 0; no rows on a side give NULL, not 0."""
-    means = df.groupBy("family").agg(*_promo_means()).withColumn("lift", _lift())
-    best = means.orderBy(F.desc(F.coalesce("lift", F.lit(0.0))), "family").limit(top)
+def promo_effect_by_family(df: DataFrame, top: int | None = 10) -> DataFrame:
+    """Families by lift, a missing lift sorting as 0; no rows on a side give NULL, not 0. Without `top` all families.
+
+    No row if the data has no promotions.
+    """
+    known = _promotion(df)
+    means = known.groupBy("family").agg(*_promo_means()).withColumn("lift", _lift())
+    best = (means if known is df else means.limit(0)).orderBy(F.desc(F.coalesce("lift", F.lit(0.0))), "family")
+    best = best if top is None else best.limit(top)
     return best.select("family", family_label(F.col("family")).alias("label"), "promo_avg", "non_promo_avg", "lift")
 
 

@@ -14,7 +14,7 @@ from shelfcast.operators import clean as cl
 from shelfcast.operators import features as ft
 from shelfcast.operators import validate as va
 from shelfcast.plans.rounding import rounded
-from shelfcast.schema import SERIES
+from shelfcast.schema import DAILY_TREND_LIMIT, SERIES
 from shelfcast.sources.scratch import snapshot
 from shelfcast.sources.tables import calendar, order_calendar, raw_sales, raw_text, sales_panel, table
 
@@ -183,7 +183,7 @@ QUERIES: dict[str, Query] = {
     "overview": lambda s, d: rounded(an.overview(sales_panel(s, d))),
     "yoy_growth": lambda s, d: an.yoy_growth(sales_panel(s, d)),
     "best_family": lambda s, d: an.best_family(sales_panel(s, d)),
-    "trend_daily": lambda s, d: an.trend(sales_panel(s, d), "daily"),
+    "trend_daily": lambda s, d: an.trend(sales_panel(s, d), "daily", weekly_above=DAILY_TREND_LIMIT),
     "trend_weekly": lambda s, d: an.trend(sales_panel(s, d), "weekly"),
     "trend_monthly": lambda s, d: an.trend(sales_panel(s, d), "monthly"),
     "monthly_comparison": _monthly_wide,

@@ -26,7 +26,6 @@ SPIKE_WINDOW, SPIKE_MEDIAN_FACTOR, SPIKE_FENCE, SPIKE_NEIGHBOUR = 7, 10.0, 3.0,
 TRAIN_RATIO, VAL_RATIO = 0.70, 0.15
 LAGS, ROLLING = (7, 14, 30), (7, 30)
 DAILY_TREND_LIMIT = 365
-MAX_FAMILIES = 33
 HORIZON_RANGE = (7, 90)
 MIN_SERIES_ROWS, MIN_ADF_ROWS = 30, 20
 WINDOW_LENGTH = 30

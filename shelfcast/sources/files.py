@@ -9,7 +9,7 @@ from collections.abc import Iterator, Sequence
 
 import pandas as pd
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfcast.functions.values import missing_text_to_null, to_day
@@ -55,9 +55,12 @@ def _decode(content: bytes) -> tuple[str | None, str]:
     return None, ""
 
 
-def _bounded(files: DataFrame) -> DataFrame:
-    """Whole files are decoded in one piece, so only those within the size limit are."""
-    return files.filter(F.col("length") <= MAX_FILE_BYTES)
+def _content() -> Column:
+    """A file's bytes if it can be decoded in one piece; NULL for a larger one, whose row then says so."""
+    return F.when(F.col("length") <= MAX_FILE_BYTES, F.col("content")).alias("content")
+
+
+TOO_LARGE = "larger than 16 MB: read it with read_sales_csv, which splits it"
 
 
 def detect_encoding(files: DataFrame) -> DataFrame:
@@ -65,11 +68,11 @@ def detect_encoding(files: DataFrame) -> DataFrame:
 
     def detect(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            found = [_decode(c)[0] for c in batch["content"]]
-            reason = ["ok" if e else "encoding not recognised, save as UTF-8" for e in found]
+            found = [None if c is None else _decode(c)[0] for c in batch["content"]]
+            reason = [TOO_LARGE if c is None else "ok" if e else "encoding not recognised, save as UTF-8" for c, e in zip(batch["content"], found)]
             yield pd.DataFrame({"path": batch["path"], "encoding": found, "reason": reason})
 
-    return _bounded(files).select("path", "content").mapInPandas(detect, "path string, encoding string, reason string")
+    return files.select("path", _content()).mapInPandas(detect, "path string, encoding string, reason string")
 
 
 def read_sales_files(files: DataFrame) -> DataFrame:
@@ -79,7 +82,9 @@ def read_sales_files(files: DataFrame) -> DataFrame:
     """
     schema = ", ".join(["path string", "reason string", *[f"{c} string" for c in RAW_COLUMNS]])
 
-    def rows_of(path: str, content: bytes) -> pd.DataFrame:
+    def rows_of(path: str, content: bytes | None) -> pd.DataFrame:
+        if content is None:
+            return pd.DataFrame({"path": [path], "reason": [TOO_LARGE]})
         encoding, text = _decode(content)
         if encoding is None:
             return pd.DataFrame({"path": [path], "reason": ["encoding not recognised, save as UTF-8"]})
@@ -94,7 +99,7 @@ def read_sales_files(files: DataFrame) -> DataFrame:
             for path, content in zip(batch["path"], batch["content"]):
                 yield rows_of(path, content).reindex(columns=["path", "reason", *RAW_COLUMNS]).astype(object).where(lambda t: t.notna(), None)
 
-    return _bounded(files).select("path", "content").mapInPandas(read, schema)
+    return files.select("path", _content()).mapInPandas(read, schema)
 
 
 def read_calendar(spark: SparkSession, path: str) -> DataFrame:

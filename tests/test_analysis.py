@@ -33,10 +33,11 @@ def test_trend_buckets(panel, freq, granularity, label):
     assert rows_of(an.trend(df, granularity), "label", "sales") == [(d.strftime(label), v) for d, v in want.items()]
 
 
-def test_long_daily_trend_turns_weekly_and_unknown_is_refused(one):
-    labels = rows_of(an.trend(one([1.0] * 366), "daily"), "label")
+def test_long_daily_trend_turns_weekly_on_demand_and_unknown_is_refused(one):
+    labels = rows_of(an.trend(one([1.0] * 366), "daily", weekly_above=365), "label")
     assert labels[0][0] == "2020-W00" and len(labels) == 53
-    assert rows_of(an.trend(one([1.0] * 365), "daily"), "label")[0][0] == "2020-01-01"
+    assert rows_of(an.trend(one([1.0] * 365), "daily", weekly_above=365), "label")[0][0] == "2020-01-01"
+    assert len(rows_of(an.trend(one([1.0] * 400), "daily"), "label")) == 400
     with pytest.raises(ValueError):
         an.trend(one([1.0]), "hourly")
 
@@ -148,3 +149,16 @@ def test_classical_decomposition_adds_up(one):
     got = an.seasonal_classical(one([float(10 + i % 7) for i in range(35)])).toPandas()
     assert np.allclose(got["observed"], got["trend"] + got["seasonal"] + got["residual"])
     assert an.seasonal_classical(one([1.0] * 13)).count() == 0
+
+
+def test_top_families_honours_its_number(panel):
+    df = panel([(0, 1, f"F{i:02d}", i) for i in range(60)])
+    assert an.top_families(df, 50).count() == 50
+
+
+def test_analyses_without_promotions(panel):
+    rows = [(d, 1, f, d + 1 + (f == "B")) for d in range(40) for f in "AB"]
+    df = panel(rows, promo=False)
+    assert an.promo_effect(df).count() == 0 == an.promo_effect_by_family(df, None).count()
+    sections = {r["section"] for r in an.analysis_report(df).collect()}
+    assert {"overview", "trend", "share", "top", "weekday"} <= sections and not sections & {"promo", "promo_by_family"}

@@ -124,3 +124,22 @@ def test_stream_cleans_each_file_as_a_session(spark, tmp_path, empty_calendar):
     assert got == {"first": (10, 5 + sum(100 + i for i in range(10))), "second": (4, 0.0)}
     verdicts = {r["session_id"]: r["reason"] for r in spark.read.parquet(f"{out}/verdicts").collect()}
     assert verdicts == {"first": "ok", "second": "ok", "broken": "unreadable dates"}
+
+
+def test_large_files_get_a_reason_row(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(files, "MAX_FILE_BYTES", 60)
+    (tmp_path / "small.csv").write_text("date,store_nbr,family,sales\n2020-01-01,1,A,2\n")
+    (tmp_path / "big.csv").write_text("date,store_nbr,family,sales\n" + "2020-01-01,1,A,2\n" * 9)
+    listed = files.list_files(spark, str(tmp_path), content=True)
+    found = {r["path"].rsplit("/", 1)[1]: r["reason"] for r in files.detect_encoding(listed).collect()}
+    assert found == {"small.csv": "ok", "big.csv": files.TOO_LARGE}
+    assert {r["path"].rsplit("/", 1)[1]: r["reason"] for r in files.read_sales_files(listed).collect()} == found
+
+
+def test_days_need_a_sensible_year(spark):
+    from pyspark.sql import functions as F
+
+    from shelfcast.functions.values import to_day
+
+    df = spark.createDataFrame([("12961",), ("1296",), ("2020-02-29",)], "d string")
+    assert [r[0] is None for r in df.select(to_day(F.col("d"))).collect()] == [True, True, False]
