@@ -2,10 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -147,57 +143,36 @@ def top_families(df: DataFrame, n: int = 10) -> DataFrame:
     return totals.orderBy(F.desc("sales"), "family").limit(n).select("family", family_label(F.col("family")).alias("label"), "sales", "onpromotion_avg")
 
 
-_CELLS = 4_000_000  # most cells of a matrix block held at once
-
-
-def _products(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Sums of products over the days of a batch, for each pair of families and the constant 1 (name NULL)."""
-    for batch in batches:
-        names = sorted({p["family"] for day in batch["points"] for p in day})
-        at, width = {f: i + 1 for i, f in enumerate(names)}, len(names) + 1
-        gram, step = np.zeros((width, width)), max(1, _CELLS // width)
-        for start in range(0, len(batch), step):
-            days = batch["points"].iloc[start : start + step]
-            x = np.zeros((len(days), width))
-            x[:, 0] = 1.0
-            for i, day in enumerate(days):
-                x[i, [at[p["family"]] for p in day]] = [p["s"] for p in day]
-            gram += x.T @ x
-        labels = np.array([None, *names], dtype=object)
-        for start in range(0, width, step):
-            block = gram[start : start + step]
-            yield pd.DataFrame({"f1": np.repeat(labels[start : start + step], width), "f2": np.tile(labels, len(block)), "dot": block.ravel()})
-
-
 def correlation(df: DataFrame) -> DataFrame:
     """Pearson matrix (family_1, family_2, corr) of family daily totals, a missing day counting as 0.
 
-    Each task multiplies its days into one small matrix of sums, so pairs of families are shuffled
-    once per batch and not once per day. A constant family gives NULL; a single family gives no rows.
+    Every day becomes one vector of centred and scaled totals, so sums of products are the result and nothing cancels.
+    Each pair is summed once, map-side first. A constant family gives NULL; a single family gives no rows.
     """
-    days = (
-        df.groupBy("date", "family").agg(F.sum("sales").alias("s")).groupBy("date").agg(F.collect_list(F.struct("family", "s")).alias("points"))
+    daily = df.dropna(subset=["date", "family"]).groupBy("date", "family").agg(F.sum("sales").alias("s"))
+    days = daily.agg(F.count_distinct("date")).scalar()
+    facts = daily.groupBy("family").agg(
+        F.count("s").alias("n"), F.avg("s").alias("mean"), F.var_pop("s").alias("var"), F.min("s").alias("lo"), F.max("s").alias("hi")
+    ).withColumn("days", days)
+    n, mean, gap = F.col("n"), F.col("mean"), F.col("days") - F.col("n")
+    varies = (F.col("lo") < F.col("hi")) | ((gap > 0) & (F.col("lo") != 0))
+    scale = F.when(varies, F.sqrt(n * F.col("var") + mean * mean * n * gap / F.col("days")))
+    family = F.struct("family", (mean * n / F.col("days")).alias("mean"), scale.alias("scale"))
+    families = facts.agg(F.sort_array(F.collect_list(family))).scalar()
+    totals = daily.groupBy("date").agg(F.map_from_entries(F.collect_list(F.struct("family", "s"))).alias("known"))
+    vectors = totals.withColumn("families", families).filter(F.size("families") >= 2)
+    vectors = vectors.select(
+        F.transform(
+            "families",
+            lambda f: F.struct(f["family"].alias("f"), ((F.coalesce(F.try_element_at("known", f["family"]), F.lit(0.0)) - f["mean"]) / f["scale"]).alias("x")),
+        ).alias("v")
     )
-    sums = days.select("points").mapInPandas(_products, "f1 string, f2 string, dot double").groupBy("f1", "f2").agg(F.sum("dot").alias("dot"))
-    n = sums.filter("f1 is null and f2 is null").select("dot").scalar()
-    one, two = Window.partitionBy("f1"), Window.partitionBy("f2")
-    own = F.when(F.col("f1") == F.col("f2"), F.col("dot"))
-    parts = sums.select(
-        "*",
-        n.alias("n"),
-        F.max(F.when(F.col("f2").isNull(), F.col("dot"))).over(one).alias("s1"),
-        F.max(own).over(one).alias("q1"),
-        F.max(F.when(F.col("f1").isNull(), F.col("dot"))).over(two).alias("s2"),
-        F.max(own).over(two).alias("q2"),
-        F.count("f2").over(one).alias("families"),
-    ).filter("f1 is not null and f2 is not null and families >= 2")
-    cov = F.col("n") * F.col("dot") - F.col("s1") * F.col("s2")
-    var1 = F.col("n") * F.col("q1") - F.col("s1") * F.col("s1")
-    var2 = F.col("n") * F.col("q2") - F.col("s2") * F.col("s2")
-    # Sums of squares cancel for a constant family; what is left is rounding noise, not variance.
-    flat = (var1 <= F.col("n") * F.col("q1") * 1e-13) | (var2 <= F.col("n") * F.col("q2") * 1e-13)
-    corr = F.when(~flat, ratio(cov, F.sqrt(F.abs(var1)) * F.sqrt(F.abs(var2))))
-    return parts.select(F.col("f1").alias("family_1"), F.col("f2").alias("family_2"), corr.alias("corr"))
+    firsts = vectors.select("v", F.posexplode("v").alias("at", "a"))
+    pairs = firsts.select("a", F.explode(F.slice("v", F.col("at") + 1, F.size("v") - F.col("at"))).alias("b"))
+    sums = pairs.groupBy(F.col("a.f").alias("f1"), F.col("b.f").alias("f2")).agg(F.sum(F.col("a.x") * F.col("b.x")).alias("corr"))
+    there = F.struct(F.col("f1").alias("family_1"), F.col("f2").alias("family_2"))
+    back = F.struct(F.col("f2").alias("family_1"), F.col("f1").alias("family_2"))
+    return sums.select("corr", F.inline(F.when(F.col("f1") == F.col("f2"), F.array(there)).otherwise(F.array(there, back)))).select("family_1", "family_2", "corr")
 
 
 def weekday_pattern(df: DataFrame) -> DataFrame:
