@@ -47,6 +47,12 @@ def to_day(c: Column) -> Column:
     return F.when(F.year(day).between(1678, 2261), day)
 
 
+def to_store(c: Column) -> Column:
+    """Store number of a text or number ('7', '7.0'), NULL where it is not a whole one."""
+    number = to_number(c)
+    return F.coalesce(c.try_cast("int"), F.when(number == F.floor(number), number).try_cast("int"))
+
+
 def ratio(a: Column, b: Column) -> Column:
     """a / b, NULL on a zero divisor (ANSI division would raise)."""
     return F.try_divide(a, b)

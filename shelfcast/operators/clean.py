@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfcast.functions.series import BEFORE, HERE, median_of, neighbours, next_known, ordered, previous_known, up_to_here, whole
-from shelfcast.functions.values import clip_low, to_day, to_number
+from shelfcast.functions.values import clip_low, to_day, to_number, to_store
 from shelfcast.schema import (
     EVENT_WINDOWS,
     LONG_GAP,
@@ -33,7 +33,7 @@ def coerce_types(df: DataFrame, extra: Sequence[str] = ()) -> DataFrame:
     """Unreadable dates and sales become NULL, unreadable promotions 0."""
     cols = [
         to_day(F.col("date")).alias("date"),
-        F.col("store_nbr").try_cast("int").alias("store_nbr"),
+        to_store(F.col("store_nbr")).alias("store_nbr"),
         F.col("family").cast("string").alias("family"),
         to_number(F.col("sales")).alias("sales"),
     ]

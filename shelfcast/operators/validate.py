@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from shelfcast.functions.values import family_label, missing_text_to_null, to_day, to_number
+from shelfcast.functions.values import family_label, missing_text_to_null, to_day, to_number, to_store
 from shelfcast.schema import HORIZON_RANGE, MIN_HISTORY_DAYS, MIN_SERIES_ROWS, MODELS, REQUIRED
 
 
@@ -41,6 +41,10 @@ def _bad_dates(df: DataFrame) -> Column:
     return F.count_if(_day(df).isNull() & ~_missing(df, "date"))
 
 
+def _bad_stores(df: DataFrame) -> Column:
+    return F.count_if(to_store(F.col("store_nbr")).isNull() & ~_missing(df, "store_nbr"))
+
+
 def check_date_parse(df: DataFrame) -> DataFrame:
     """Unreadable, non-empty dates: any of them is an error."""
     return df.agg(_bad_dates(df).alias("bad_dates")).select("bad_dates", (F.col("bad_dates") == 0).alias("ok"))
@@ -84,6 +88,8 @@ def _key_profile(df: DataFrame) -> DataFrame:
         F.sum(_null_cells(df)).alias("null_cells"),
         F.count(to_number(F.col("sales"))).alias("numeric"),
         _bad_dates(df).alias("bad_dates"),
+        _bad_stores(df).alias("bad_stores"),
+        F.count_if(_missing(df, "date") | _missing(df, "family") | _missing(df, "store_nbr")).alias("null_keys"),
         *_negatives(df),
     )
 
@@ -149,6 +155,8 @@ def validation_report(df: DataFrame) -> DataFrame:
     facts = _key_profile(df).agg(
         F.sum("n").alias("rows"),
         F.coalesce(F.sum("bad_dates"), F.lit(0)).alias("bad_dates"),
+        F.coalesce(F.sum("bad_stores"), F.lit(0)).alias("bad_stores"),
+        F.coalesce(F.sum("null_keys"), F.lit(0)).alias("null_keys"),
         F.coalesce(F.sum("numeric"), F.lit(0)).alias("numeric"),
         F.coalesce(F.sum(F.when(F.col("n") > 1, F.col("n"))), F.lit(0)).alias("duplicates"),
         F.sum("negative_sales").alias("negative_sales"),
@@ -160,11 +168,13 @@ def validation_report(df: DataFrame) -> DataFrame:
     def row(level: str, code: str, n: Column, shown: Column) -> Column:
         return F.when(shown, F.struct(F.lit(level).alias("level"), F.lit(code).alias("code"), n.cast("bigint").alias("n")))
 
-    no_error = (F.col("bad_dates") == 0) & (F.col("numeric") > 0)
+    no_error = (F.col("bad_dates") == 0) & (F.col("bad_stores") == 0) & (F.col("numeric") > 0)
     lines = [
         row("error", "bad_date", F.col("bad_dates"), F.col("bad_dates") > 0),
+        row("error", "bad_store", F.col("bad_stores"), F.col("bad_stores") > 0),
         row("error", "no_numeric_sales", F.col("rows"), F.col("numeric") == 0),
         row("warning", "duplicate_rows", F.col("duplicates"), no_error & (F.col("duplicates") > 0)),
+        row("warning", "null_keys", F.col("null_keys"), no_error & (F.col("null_keys") > 0)),
         row("warning", "negative_sales", F.col("negative_sales"), no_error & (F.col("negative_sales") > 0)),
         row("warning", "negative_promo", F.col("negative_promo"), no_error & (F.col("negative_promo") > 0)),
         row("warning", "short_history", F.col("days"), no_error & (F.col("days") < MIN_HISTORY_DAYS)),
@@ -183,13 +193,13 @@ def missing_columns(df: DataFrame) -> list[str]:
 def observed_errors(df: DataFrame) -> tuple[DataFrame, Observation]:
     """The same rows, with the facts that decide about errors counted while another job reads them."""
     facts = Observation()
-    return df.observe(facts, _bad_dates(df).alias("bad_date"), F.count(to_number(F.col("sales"))).alias("numeric")), facts
+    return df.observe(facts, _bad_dates(df).alias("bad_date"), _bad_stores(df).alias("bad_store"), F.count(to_number(F.col("sales"))).alias("numeric")), facts
 
 
 def require_observed(facts: Observation) -> None:
     """Raises on an error that `observed_errors` saw. Rereading a lost part may raise a count, never hide an error."""
     seen = facts.get
-    errors = [f"bad_date ({seen['bad_date']})"] if seen["bad_date"] else []
+    errors = [f"{code} ({seen[code]})" for code in ("bad_date", "bad_store") if seen[code]]
     if not seen["numeric"]:
         errors.append("no_numeric_sales")
     if errors:

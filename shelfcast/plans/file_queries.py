@@ -58,11 +58,10 @@ def _read_files(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _gate(spark: SparkSession, sf: str) -> DataFrame:
-    path, panel = scratch_path(spark, "landing"), sales_panel(spark, sf)
-    panel.write.option("header", True).csv(f"{path}/csv")
-    files.read_sales_csv(spark, f"{path}/csv").write.json(f"{path}/json")
-    gate = files.file_gate(files.list_files(spark, path))
-    return gate.groupBy("suffix", "accepted", "reason").agg(F.count("*").alias("files"), F.sum("length").alias("bytes"))
+    """The uploaded files under names whose suffix goes by store."""
+    suffix = F.element_at(F.array(*[F.lit(s) for s in (".csv", ".CSV", ".xls", ".xlsx", ".json")]), F.substring("path", 1, 1).cast("int"))
+    named = uploaded_files(spark, sf).select(F.concat(F.regexp_replace("path", r"\.csv$", ""), suffix).alias("path"), "length")
+    return files.file_gate(named).drop("length")
 
 
 def _subset(spark: SparkSession, sf: str) -> DataFrame:

@@ -17,6 +17,12 @@ ORACLES: dict[str, str] = {
         'ok' as reason from raw_text""",
         TEXT,
     ),
+    "file_gate": raw(
+        """select distinct store_nbr || '-' || substr(date, 1, 7) || '-sales' || ['.csv', '.CSV', '.xls', '.xlsx', '.json'][cast(store_nbr as int)] as path,
+        ['.csv', '.csv', '.xls', '.xlsx', '.json'][cast(store_nbr as int)] as suffix, store_nbr in ('1', '2') as accepted,
+        ['ok', 'ok', 'save .xls as .xlsx or CSV first', 'land .xlsx as CSV or Parquet', 'file type not supported'][cast(store_nbr as int)] as reason from raw_text""",
+        TEXT,
+    ),
     "read_sales_files": raw(
         f"""select {_PATH} as path, 'ok' as reason, count(*) as rows, coalesce(sum({_NULLS}), 0) as sales,
         count(*) filter (date = 'bad-date') as bad_dates from raw_text group by 1""",

@@ -143,3 +143,39 @@ def test_days_need_a_sensible_year(spark):
 
     df = spark.createDataFrame([("12961",), ("1296",), ("2020-02-29",)], "d string")
     assert [r[0] is None for r in df.select(to_day(F.col("d"))).collect()] == [True, True, False]
+
+
+def test_stream_finds_columns_by_name_and_reads_gbk(spark, tmp_path, empty_calendar):
+    landing, out = tmp_path / "landing", str(tmp_path / "out")
+    landing.mkdir()
+    rows = [f"2020-01-{d:02d}" for d in range(1, 11)]
+    tables = {
+        "promo_first": ("date,store_nbr,family,onpromotion,sales", [f"{d},1,饮料,7,{50 + i}" for i, d in enumerate(rows)], "utf-8"),
+        "with_id": ("id,date,store_nbr,family,sales,onpromotion", [f"{i},{d},1.0,饮料,{50 + i},7" for i, d in enumerate(rows)], "utf-8-sig"),
+        "turned": ("family,sales,date,store_nbr", [f'"饮料","{50 + i}",{d},1' for i, d in enumerate(rows)], "gbk"),
+        "no_sales": ("date,store_nbr,family,price,onpromotion", [f"{d},1,饮料,9,0" for d in rows], "utf-8"),
+        "text_store": ("date,store_nbr,family,sales", [f"{d},S01,饮料,9" for d in rows], "utf-8"),
+        "wide": ("date,store_nbr,family,sales", [f"{d},1,饮料,9,8,7" for d in rows], "utf-8"),
+        "quoted": ("date,store_nbr,family,sales", [f'{d},1,"饮\n料",9' for d in rows], "utf-8"),
+        "only_header": ("date,store_nbr,family,sales", [], "utf-8"),
+    }
+    for name, (header, body_rows, encoding) in tables.items():
+        (landing / f"{name}.csv").write_bytes(("\n".join([header, *body_rows]) + "\n\n").encode(encoding))
+    (landing / "other.csv").write_bytes(b"date,store_nbr,family,sales\n2020-01-01,1,\xff\xff\x81,3\n")
+    ingest_stream(spark, str(landing), out, str(tmp_path / "state"), empty_calendar)
+    verdicts = {r["session_id"]: r["reason"] for r in spark.read.parquet(f"{out}/verdicts").collect()}
+    assert verdicts == {
+        "promo_first": "ok", "with_id": "ok", "turned": "ok", "no_sales": "missing columns: sales", "text_store": "unreadable stores",
+        "wide": "rows with more cells than the header", "quoted": "line break or single quote mark inside a cell",
+        "only_header": "no numeric sales", "other": "encoding not recognised, save as UTF-8",
+    }
+    got = {(r["session_id"], r["family"]): (r["sales"], r["promo"]) for r in spark.read.parquet(f"{out}/clean").groupBy("session_id", "family").agg({"sales": "sum", "onpromotion": "sum"}).toDF("session_id", "family", "a", "b").selectExpr("session_id", "family", "greatest(a, b) as sales", "least(a, b) as promo").collect()}
+    assert got == {("promo_first", "饮料"): (545.0, 70.0), ("with_id", "饮料"): (545.0, 70.0), ("turned", "饮料"): (545.0, 0.0)}
+
+
+def test_stream_size_limit_is_a_choice(spark, tmp_path, empty_calendar):
+    landing, out = tmp_path / "landing", str(tmp_path / "out")
+    landing.mkdir()
+    (landing / "a.csv").write_text(body(10, "A"))
+    ingest_stream(spark, str(landing), out, str(tmp_path / "state"), empty_calendar, max_bytes=20)
+    assert [r["reason"] for r in spark.read.parquet(f"{out}/verdicts").collect()] == ["file too large"]
