@@ -35,9 +35,9 @@ CHECKSUM_FLAG = 0x80
 FILE_BYTES = 40_000_000
 #: Token ids after which a frame is closed, and words whose ids a task remembers before it starts anew.
 FRAME_TOKENS = 1 << 17
-REMEMBERED = 600_000
+REMEMBERED = 250_000
 #: Pieces, and bytes of text, that are worked on at a time.
-BATCHED, TEXT_BYTES = 2000, 6_000_000
+BATCHED, TEXT_BYTES = 2000, 4_000_000
 
 
 def file_system(uri: str):
@@ -144,14 +144,26 @@ class FrameReader:
                 yield from ((d, x) for d, x in unpack(self.frame(i)) if ids is None or d is not None and ids[min(int(np.searchsorted(ids, d)), len(ids) - 1)] == d)
 
 
-def gather(flat: np.ndarray, lengths: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The runs with the wanted numbers, one after another, and their lengths; run i follows run i - 1 in `flat`."""
-    n = lengths[wanted]
+def gather(flat: np.ndarray, edges: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The runs with the wanted numbers, one after another, and their lengths; run i lies between the edges i and i + 1 of `flat`."""
+    starts = edges[wanted]
+    n = edges[wanted + 1] - starts
     ends = np.cumsum(n)
-    starts = (np.cumsum(lengths) - lengths)[wanted]
     return flat[np.repeat(starts - (ends - n), n) + np.arange(ends[-1] if len(ends) else 0)], n
 
 
+def edges_of(lengths: np.ndarray) -> np.ndarray:
+    return np.concatenate([[0], np.cumsum(lengths)])
+
+
+def appended(buffer: np.ndarray, used: int, more: np.ndarray) -> np.ndarray:
+    """The buffer with more values after its used ones, at twice the size if they do not fit."""
+    if used + len(more) > len(buffer):
+        buffer = np.concatenate([buffer[:used], np.zeros(max(len(buffer), len(more)), buffer.dtype)])
+    buffer[used : used + len(more)] = more
+    return buffer
+
+
 class Encoder:
     """Encodes texts to their token ids as u32 bytes, each with the end id.
 
@@ -166,12 +178,12 @@ class Encoder:
         self._forget()
 
     def _forget(self) -> None:
-        self.number, self.flat, self.lengths = {"": 0}, np.zeros(0, "<u4"), np.zeros(1, "i8")
+        self.number, self.flat, self.edges = {"": 0}, np.zeros(1024, "<u4"), np.zeros(1024, "i8")
 
     def _numbers(self, strings: list[str], letters: bool) -> np.ndarray:
         """The numbers of pieces or, if they are not of letters, of whole words."""
         number, new = self.number, [x for x in strings if x not in self.number]
-        flat, lengths = [self.flat], [self.lengths]
+        flat, lengths = [np.zeros(0, "<u4")], [np.zeros(0, "i8")]
         if letters:
             for i in range(0, len(new), BATCHED):
                 part = new[i : i + BATCHED]
@@ -184,8 +196,11 @@ class Encoder:
                 ids = [i for p in self.splitter.split(word) for i in ([p] if type(p) is int else [t.id for t in tokenize(p)])]
                 flat.append(np.array(ids, "<u4"))
                 lengths.append(np.array([len(ids)]))
-        number.update(zip(new, range(len(number), len(number) + len(new))))
-        self.flat, self.lengths = np.concatenate(flat), np.concatenate(lengths)
+        known = len(number)
+        used = int(self.edges[known])
+        self.flat = appended(self.flat, used, np.concatenate(flat))
+        self.edges = appended(self.edges, known + 1, used + np.cumsum(np.concatenate(lengths)))
+        number.update(zip(new, range(known, known + len(new))))
         return np.fromiter(map(number.__getitem__, strings), "i8", len(strings))
 
     def _words(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -202,7 +217,7 @@ class Encoder:
             both[at, 0] = self._numbers(first.dictionary.to_pylist(), True)[first.indices.to_numpy()]
             both[at, 1] = self._numbers(second.dictionary.to_pylist(), False)[second.indices.to_numpy()]
         both[~at, 0] = self._numbers(words.filter(pc.invert(plain)).to_pylist(), False)
-        ids, n = gather(self.flat, self.lengths, both.reshape(-1))
+        ids, n = gather(self.flat, self.edges, both.reshape(-1))
         return ids, n.reshape(-1, 2).sum(axis=1)
 
     def __call__(self, batch: pa.Array) -> Iterator[bytes]:
@@ -212,9 +227,9 @@ class Encoder:
             part = pc.replace_substring(batch.slice(some[0], len(some)), "\n", " ")
             split = pc.split_pattern(part, " ")
             coded = split.flatten().dictionary_encode()
-            ids, n = gather(*self._words(coded.dictionary), coded.indices.to_numpy())
-            ends = np.concatenate([[0], np.cumsum(n)])
-            edges = ends[np.concatenate([[0], np.cumsum(pc.list_value_length(split).to_numpy())])].tolist()
+            flat, lengths = self._words(coded.dictionary)
+            ids, n = gather(flat, edges_of(lengths), coded.indices.to_numpy())
+            edges = edges_of(n)[edges_of(pc.list_value_length(split).to_numpy())].tolist()
             for a, b in zip(edges, edges[1:]):
                 yield ids[a:b].tobytes() + self.end.tobytes()
 
@@ -253,7 +268,7 @@ def write_files(docs: DataFrame, folder: str, vocabulary: str, end_id: int | Non
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     ranges = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").repartitionByRange(int(size // FILE_BYTES) + 1, F.asc_nulls_first("doc_id"))
     dealt = ranges.sortWithinPartitions(F.asc_nulls_first("doc_id"), "text")
-    with small_batches(spark, 2000):
+    with small_batches(spark, 1000):
         written = dealt.mapInArrow(run, "shard long, path string, n_docs long, n_tokens long").collect()
     return sorted(tuple(r) for r in written)
 

@@ -6,6 +6,7 @@ again, and the count is the initial number of symbols less the merges.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 from heapq import heapify, heappop, heappush
 
@@ -56,7 +57,8 @@ def counter(vocabulary: str) -> Callable[[str], int]:
     vocabulary, so texts are counted by space-separated words, each of which is worked out once.
     """
     splitter = Pieces(vocabulary)
-    ranks = {tuple(pair if isinstance(pair, list) else pair.split(" ")): i for i, pair in enumerate(splitter.model["merges"])}
+    merges = json.loads(vocabulary)["model"]["merges"]
+    ranks = {tuple(pair if isinstance(pair, list) else pair.split(" ")): i for i, pair in enumerate(merges)}
     known: dict[str, int] = {}
     pieces: dict[str, int] = {}
 

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import json
 import re
 
 #: Letters of the Latin blocks that lower-case to one letter and are composed already.
@@ -23,11 +22,9 @@ class Pieces:
     def __init__(self, vocabulary: str):
         from tokenizers import Tokenizer
 
-        described = json.loads(vocabulary)
         self.tokenizer = Tokenizer.from_str(vocabulary)
-        self.special = {x["content"]: x["id"] for x in described["added_tokens"]}
-        self.model = described["model"]
-        self.suffix = self.model.get("end_of_word_suffix") or ""
+        self.special = {x.content: i for i, x in self.tokenizer.get_added_tokens_decoder().items()}
+        self.suffix = self.tokenizer.model.end_of_word_suffix or ""
         names = sorted(self.special, key=len, reverse=True)
         self._cut = re.compile("(" + "|".join(map(re.escape, names)) + ")").split if names else lambda word: [word]
         self._letters, self._plain = byte_letters(), _PLAIN.fullmatch
