@@ -33,13 +33,13 @@ def texts(rows: pa.RecordBatch | pa.StructArray, name: str = "text") -> list[byt
     return [x or b"" for x in column.cast(pa.binary()).to_pylist()]
 
 
-def mapped(rows: Callable[[pa.RecordBatch], dict], schema: pa.Schema) -> Callable[[Iterator], Iterator]:
-    """A function for mapInArrow that makes one batch of columns from each batch."""
+def mapped(rows: Callable[[pa.RecordBatch], dict], schema: pa.Schema, at_once: int = 500) -> Callable[[Iterator], Iterator]:
+    """A function for mapInArrow that makes columns from each batch, a few rows at a time, since texts can be long."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if batch.num_rows:
-                yield pa.RecordBatch.from_pydict(rows(batch), schema=schema)
+            for i in range(0, batch.num_rows, at_once):
+                yield pa.RecordBatch.from_pydict(rows(batch.slice(i, at_once)), schema=schema)
 
     return run
 

@@ -24,8 +24,10 @@ BASE = np.uint64(0x9E3779B97F4A7C15)
 MIX = np.uint64(0xD6E8FEB86659FD93)
 #: Odd multipliers of the minimum hashes that form groups.
 ROUNDS = np.array([(0xBF58476D1CE4E5B9 * (2 * i + 1)) % (1 << 64) for i in range(6)], "u8")
-#: A token is frequent from this share of the documents on, and from this count; a batch reports tokens that it has this often.
-FREQUENT_SHARE, FREQUENT, IN_BATCH = 5e-5, 16, 2
+#: A token is frequent from this share of the documents on, and from this count.
+FREQUENT_SHARE, FREQUENT = 5e-5, 16
+#: Tokens that a task counts at a time; of these it reports those that come up this often.
+COUNTED, IN_COUNTED = 1_500_000, 2
 
 
 def shingles(text: bytes, k: int) -> np.ndarray:
@@ -51,19 +53,28 @@ def _least_overlap(n: int, percent: int) -> int:
 def frequent_tokens(docs: DataFrame, k: int) -> tuple[np.ndarray, np.ndarray]:
     """Frequent tokens, sorted, and their counts.
 
-    A batch reports only tokens that it has several times, so counts are lower bounds; they order tokens and any order gives the
-    same links. A document has its words as tokens at most, so at most (words per document) / FREQUENT_SHARE tokens are frequent,
+    Tokens are reported only where some documents have them several times, so counts are lower bounds; they order tokens and any
+    order gives the same links. A document has its words as tokens at most, so at most (words per document) / FREQUENT_SHARE tokens are frequent,
     whatever the number of documents, and they can be sent to every task.
     """
     schema = pa.schema([("token", pa.int64()), ("n", pa.int64())])
 
+    def counted(found):
+        tokens, counts = np.unique(np.concatenate(found), return_counts=True)
+        often = counts >= IN_COUNTED
+        return pa.RecordBatch.from_pydict({"token": tokens[often].view("i8"), "n": counts[often]}, schema=schema)
+
     def run(batches):
+        found, held = [], 0
         for batch in batches:
-            found = [shingles(t, k) for t in texts(batch)]
-            if found and sum(map(len, found)):
-                tokens, counts = np.unique(np.concatenate(found), return_counts=True)
-                often = counts >= IN_BATCH
-                yield pa.RecordBatch.from_pydict({"token": tokens[often].view("i8"), "n": counts[often]}, schema=schema)
+            for text in texts(batch):
+                found.append(shingles(text, k))
+                held += len(found[-1])
+                if held >= COUNTED:
+                    yield counted(found)
+                    found, held = [], 0
+        if held:
+            yield counted(found)
 
     least = max(FREQUENT, int(docs.count() * FREQUENT_SHARE))
     rows = docs.select("text").mapInArrow(run, "token long, n long").groupBy("token").agg(F.sum("n").alias("n")).where(F.col("n") >= least).toArrow()
@@ -180,7 +191,8 @@ def linked_classes(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     it links through any of its texts, each row keeping its own n_shingles. Other columns are not read; ids must be integers.
     """
     docs, spark = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), docs.sparkSession
-    signed = stored(signatures(docs, k, percent), "signatures")
+    with small_batches(spark):
+        signed = stored(signatures(docs, k, percent), "signatures")
     sets = signed.where(F.col("key").isNotNull() & F.col("doc_id").isNotNull())
     copies = stored(sets.groupBy("key").agg(F.min("doc_id").alias("node")), "copies")
     nodes = stored(sets.join(copies, "key").where(F.col("doc_id") == F.col("node")).select("node", F.col("n_shingles").alias("n"), "mins", "prefix").distinct(), "nodes")
