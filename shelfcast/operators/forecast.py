@@ -88,17 +88,24 @@ def order_candidates(df: DataFrame, series: Sequence[str] = SERIES) -> DataFrame
 
 def order_search(df: DataFrame, criterion: str = "aic", series: Sequence[str] = SERIES) -> DataFrame:
     """The order with the least criterion per series, (1, 1, 1) for a series where none fits."""
-    found = order_candidates(df, series).groupBy(*series).agg(F.min(F.struct(F.col(criterion).alias("least"), "p", "d", "q", "aic", "bic")).alias("best"))
-    p, d, q = FALLBACK
-    known = df.groupBy(*series).agg(F.count("*").alias("n")).filter(F.col("n") >= MIN_SERIES_ROWS)
-    return known.join(found, list(series), "left").select(
-        *series,
-        F.coalesce("best.p", F.lit(p)).alias("p"),
-        F.coalesce("best.d", F.lit(d)).alias("d"),
-        F.coalesce("best.q", F.lit(q)).alias("q"),
-        "best.aic",
-        "best.bic",
-    )
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        y, columns = pdf["sales"].to_numpy(float), ["p", "d", "q", "aic", "bic"]
+        if len(y) < MIN_SERIES_ROWS:
+            return pd.DataFrame(columns=columns)
+        d, found = _orders(y[: _ends(len(y))[0]])
+        if not found:
+            return pd.DataFrame([(*FALLBACK, None, None)], columns=columns)
+        (p, q), model = min(found.items(), key=lambda kv: (kv[1][criterion], kv[0]))
+        return pd.DataFrame([(p, d, q, model["aic"], model["bic"])], columns=columns)
+
+    return per_series(spread(df.select(*series, "date", "sales"), series), run, "p int, d int, q int, aic double, bic double", series)
+
+
+def forecast_status(df: DataFrame, series: Sequence[str] = SERIES) -> DataFrame:
+    """Per series its days and 'ok', or why the models leave it out."""
+    facts = df.groupBy(*series).agg(F.count("*").alias("days"))
+    return facts.select(*series, "days", F.when(F.col("days") < MIN_SERIES_ROWS, f"fewer than {MIN_SERIES_ROWS} days").otherwise("ok").alias("reason"))
 
 
 _ARIMA_COLUMNS = "kind string, date date, actual double, value double, lower_ci double, upper_ci double, p int, d int, q int, aic double, bic double"

@@ -82,6 +82,82 @@ def _window_backtest(spark: SparkSession, sf: str) -> DataFrame:
     return fc.backtest_window(df, *fc.fit_window_model(fc.model_windows(df)))
 
 
+#: Given weights of seven days, so that SQL can state what the window model makes of them.
+GIVEN_WEIGHTS, GIVEN_INTERCEPT = [0.05, 0.05, 0.1, 0.1, 0.1, 0.2, 0.3], 0.01
+
+
+def _given_recursion(spark: SparkSession, sf: str) -> DataFrame:
+    return rounded(fc.recursive_forecast(sales_panel(spark, sf), GIVEN_WEIGHTS, GIVEN_INTERCEPT, horizon=10, length=7))
+
+
+def _given_backtest(spark: SparkSession, sf: str) -> DataFrame:
+    return rounded(fc.backtest_window(sales_panel(spark, sf), GIVEN_WEIGHTS, GIVEN_INTERCEPT, length=7))
+
+
+def _forecast_shape(forecasts: DataFrame, panel: DataFrame) -> DataFrame:
+    """Per series: number of rows, first day after the history, gaps between days, rows out of bounds."""
+    last = panel.groupBy(*SERIES).agg(F.max("date").alias("last"))
+    low, high = (F.coalesce(c, F.col("forecast")) for c in ("lower_ci", "upper_ci"))
+    odd = (low < 0) | (low > F.col("forecast")) | (high < F.col("forecast")) | F.col("forecast").isNull() | F.isnan("forecast")
+    facts = forecasts.groupBy(*SERIES).agg(
+        F.count("*").alias("rows"), F.count_distinct("date").alias("days"), F.min("date").alias("first_day"), F.max("date").alias("last_day"), F.count_if(odd).alias("odd")
+    )
+    return facts.join(last, list(SERIES)).select(
+        *SERIES, "rows", "days", F.datediff("first_day", "last").alias("starts_after"), F.datediff("last_day", "first_day").alias("span"), "odd"
+    )
+
+
+def _shape(fit: Callable[[SparkSession, DataFrame], DataFrame]) -> Query:
+    def run(spark: SparkSession, sf: str) -> DataFrame:
+        panel = saved_panel(spark, sf)
+        return _forecast_shape(fit(spark, panel), panel)
+
+    return run
+
+
+def _backtest_shape(backtest: DataFrame) -> DataFrame:
+    """Per series: tested days, sum of the actual values, predictions that are missing or below 0."""
+    odd = F.col("predicted").isNull() | F.isnan("predicted") | (F.col("predicted") < 0)
+    return rounded(backtest.groupBy(*SERIES).agg(F.count("*").alias("rows"), F.min("date").alias("first_day"), F.sum("actual").alias("actual"), F.count_if(odd).alias("odd")))
+
+
+def _decomposition_sums(spark: SparkSession, sf: str) -> DataFrame:
+    """Per series: days, sum of the observed values, days whose parts do not add up to them."""
+    parts = dc.seasonal_decomposition(sales_panel(spark, sf))
+    gap = F.abs(F.col("observed") - F.col("trend") - F.col("seasonal") - F.col("residual"))
+    return rounded(parts.groupBy(*SERIES).agg(F.count("*").alias("rows"), F.sum("observed").alias("observed"), F.count_if(~(gap <= 1e-6 * (1 + F.abs("observed")))).alias("odd")))
+
+
+def _fitted_shape(spark: SparkSession, sf: str) -> DataFrame:
+    fitted = fc.fitted_vs_actual(sales_panel(spark, sf))
+    odd = F.col("fitted").isNull() | F.isnan("fitted") | (F.col("fitted") < 0)
+    return rounded(fitted.groupBy(*SERIES).agg(F.count("*").alias("rows"), F.sum("actual").alias("actual"), F.count_if(odd).alias("odd")))
+
+
+def _orders_in_range(spark: SparkSession, sf: str) -> DataFrame:
+    found = fc.order_search(sales_panel(spark, sf))
+    fits = F.col("p").between(0, 3) & F.col("d").between(0, 2) & F.col("q").between(0, 3)
+    return found.select(*SERIES, fits.alias("in_range"))
+
+
+def _fingerprint_classes(spark: SparkSession, sf: str) -> DataFrame:
+    """Whether each series has the same fingerprint after rows are dealt anew, and another one after a change of one value."""
+    panel = sales_panel(spark, sf)
+    same = fc.series_fingerprint(panel.repartition(7, "date")).withColumnRenamed("fingerprint", "same")
+    last = F.row_number().over(ordered().orderBy(F.desc("date"))) == 1
+    changed = panel.withColumn("last", last).withColumn("sales", F.when(F.col("last") & (F.col("store_nbr") % 2 == 1), F.col("sales") + 1).otherwise(F.col("sales")))
+    other = fc.series_fingerprint(changed.drop("last")).withColumnRenamed("fingerprint", "other")
+    both = fc.series_fingerprint(panel).join(same, list(SERIES)).join(other, list(SERIES))
+    return both.select(*SERIES, (F.col("fingerprint") == F.col("same")).alias("stable"), (F.col("fingerprint") != F.col("other")).alias("changed"))
+
+
+def _adf_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """Per series: days, and whether p-value, verdict and suggested order agree with each other."""
+    found = dc.adf_stationarity(sales_panel(spark, sf))
+    agree = F.col("p_value").between(0, 1) & (F.col("is_stationary") == (F.col("p_value") < 0.05)) & (F.col("suggested_d") == F.when(F.col("is_stationary"), 0).otherwise(1))
+    return found.select(*SERIES, "n", "reason", F.coalesce(agree, F.lit(False)).alias("agree"))
+
+
 def _evaluation(spark: SparkSession, sf: str) -> DataFrame:
     report = ev.evaluation_report(_metrics(spark, sf), 30)
     return report.select(
@@ -105,6 +181,19 @@ QUERIES: dict[str, Query] = {
     "decomposable_forecast_promo": lambda s, d: fc.decomposable_forecast(saved_panel(s, d), calendar(s), use_promo=True),
     "changepoints": lambda s, d: fc.changepoints(saved_panel(s, d), calendar(s)),
     "backtest_decomposable": lambda s, d: fc.backtest_decomposable(saved_panel(s, d), calendar(s)),
+    "forecast_status": lambda s, d: fc.forecast_status(sales_panel(s, d)),
+    "arima_forecast_shape": _shape(lambda s, p: fc.arima_forecast(p)),
+    "decomposable_forecast_shape": _shape(lambda s, p: fc.decomposable_forecast(p, calendar(s))),
+    "window_forecast_shape": _shape(lambda s, p: fc.window_forecast(p).withColumns({c: F.lit(None).cast("double") for c in ("lower_ci", "upper_ci")})),
+    "backtest_arima_shape": lambda s, d: _backtest_shape(fc.backtest_arima(sales_panel(s, d))),
+    "backtest_decomposable_shape": lambda s, d: _backtest_shape(fc.backtest_decomposable(saved_panel(s, d), calendar(s))),
+    "recursive_forecast_given": _given_recursion,
+    "backtest_window_given": _given_backtest,
+    "seasonal_decomposition_sums": _decomposition_sums,
+    "fitted_vs_actual_shape": _fitted_shape,
+    "order_search_range": _orders_in_range,
+    "adf_stationarity_rows": _adf_rows,
+    "series_fingerprint_classes": _fingerprint_classes,
     "window_regression": lambda s, d: fc.window_regression(saved_panel(s, d)),
     "recursive_forecast": lambda s, d: fc.window_forecast(saved_panel(s, d)),
     "backtest_window": _window_backtest,

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+from shelfcast.plans.forecast_queries import GIVEN_INTERCEPT, GIVEN_WEIGHTS
 from shelfcast.plans.sales_sql import _FORECAST, _SPLIT, panel
+from shelfcast.plans.sql_views import PANEL, with_views
 
 _W = "partition by family, store_nbr order by date"
 _HISTORY = f"""history as (select *, avg(sales) over ({_W} rows between 7 preceding and 1 preceding) as mean7,
@@ -34,7 +36,67 @@ def _metric(name: str) -> str:
     return panel(f"select model, family, store_nbr, round({name}, 6) as {name}, sample_size from metrics", *_BASE, _METRICS)
 
 
+_SCALED7 = """scaled7 as (select *, (sales - lo) / rg as x, case when least(nt, nv) <= 7 then greatest(1, least(nt, nv) - 1) else 7 end as used from (
+  select *, min(case when split = 'train' then sales end) over s as lo,
+    case when max(case when split = 'train' then sales end) over s = min(case when split = 'train' then sales end) over s then 1
+      else max(case when split = 'train' then sales end) over s - min(case when split = 'train' then sales end) over s end as rg,
+    count(case when split = 'train' then 1 end) over s as nt, count(case when split = 'val' then 1 end) over s as nv
+  from parts window s as (partition by family, store_nbr)) where n >= 30 and least(nt, nv) > 1)"""
+_PADDED = "list_concat(list_transform(range(7 - len(past)), lambda i: past[1]), past)"
+_GIVEN = f"{GIVEN_INTERCEPT}::double" + "".join(f" + w[{i}] * {x}::double" for i, x in enumerate(GIVEN_WEIGHTS, 1))
+
+
+def _shape(rows: int = 30) -> str:
+    """What each series that is long enough must show of a forecast."""
+    return panel(
+        f"""select family, store_nbr, cast({rows} as bigint) as rows, cast({rows} as bigint) as days, 1 as starts_after, {rows - 1} as span, cast(0 as bigint) as odd
+        from panel group by 1, 2 having count(*) >= 30"""
+    )
+
+
+_TESTED = panel(
+    """select family, store_nbr, count(*) as rows, min(date) as first_day, round(sum(sales), 6) as actual, cast(0 as bigint) as odd
+    from parts where split = 'test' and n >= 30 group by 1, 2""",
+    _SPLIT, _FORECAST,
+)
+
 ORACLES: dict[str, str] = {
+    "forecast_status": panel(
+        "select family, store_nbr, count(*) as days, case when count(*) < 30 then 'fewer than 30 days' else 'ok' end as reason from panel group by 1, 2"
+    ),
+    "arima_forecast_shape": _shape(),
+    "decomposable_forecast_shape": _shape(),
+    "window_forecast_shape": _shape(),
+    "backtest_arima_shape": _TESTED,
+    "backtest_decomposable_shape": _TESTED,
+    "recursive_forecast_given": with_views(
+        f"""select family, store_nbr, cast(last_date + k as date) as date, round(greatest(y * rg + lo, 0), 6) as forecast from steps where k > 0""",
+        PANEL, _SPLIT, _FORECAST, _SCALED7,
+        f"""steps as (select family, store_nbr, last_date, lo, rg, 0 as k, {_PADDED} as w, cast(null as double) as y from (
+            select family, store_nbr, max(date) as last_date, any_value(lo) as lo, any_value(rg) as rg, list(x order by date) as past
+            from scaled7 where rn > n - used group by 1, 2)
+          union all select family, store_nbr, last_date, lo, rg, k + 1, list_concat(w[2:7], [nxt]), nxt from (select *, {_GIVEN} as nxt from steps where k < 10))""",
+        recursive=True,
+    ),
+    "backtest_window_given": panel(
+        f"""select family, store_nbr, date, sales as actual, round(greatest(({_GIVEN}) * rg + lo, 0), 6) as predicted from (
+          select *, {_PADDED} as w from (select * replace (past[len(past) - used + 1 : len(past)] as past) from (
+            select *, list(x) over ({_W} rows between 7 preceding and 1 preceding) as past from scaled7 where split <> 'val')) where split = 'test')""",
+        _SPLIT, _FORECAST, _SCALED7,
+    ),
+    "seasonal_decomposition_sums": panel(
+        """select family, store_nbr, count(*) as rows, round(sum(sales), 6) as observed, cast(0 as bigint) as odd from panel group by 1, 2
+        having count(*) >= 14 and min(sales) < max(sales)"""
+    ),
+    "fitted_vs_actual_shape": panel(
+        "select family, store_nbr, count(*) as rows, round(sum(greatest(sales, 0)), 6) as actual, cast(0 as bigint) as odd from panel group by 1, 2 having count(*) >= 30"
+    ),
+    "order_search_range": panel("select family, store_nbr, true as in_range from panel group by 1, 2 having count(*) >= 30"),
+    "adf_stationarity_rows": panel(
+        """select family, store_nbr, cast(count(*) as int) as n, case when count(*) < 20 then 'series too short' when min(sales) = max(sales) then 'constant series' else 'ok' end as reason,
+        count(*) >= 20 and min(sales) < max(sales) as agree from panel group by 1, 2"""
+    ),
+    "series_fingerprint_classes": panel("select family, store_nbr, true as stable, store_nbr % 2 = 1 as changed from panel group by 1, 2"),
     "decomposition_status": panel(
         """select family, store_nbr, count(*) as days, case when count(*) < 14 then 'series too short' when min(sales) = max(sales) then 'constant series' else 'ok' end as reason
         from panel group by 1, 2"""

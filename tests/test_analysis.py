@@ -162,3 +162,22 @@ def test_analyses_without_promotions(panel):
     assert an.promo_effect(df).count() == 0 == an.promo_effect_by_family(df, None).count()
     sections = {r["section"] for r in an.analysis_report(df).collect()}
     assert {"overview", "trend", "share", "top", "weekday"} <= sections and not sections & {"promo", "promo_by_family"}
+
+
+def test_correlation_on_large_sums(panel):
+    import numpy as np
+
+    x = np.array([[1.0, 2, 3, 4, 5, 6], [2.0, 1, 4, 3, 6, 6], [7.0] * 6])
+    rows = [(d, 1, f, 1e9 + x[i, d]) for i, f in enumerate("ABC") for d in range(6)]
+    got = {(r["family_1"], r["family_2"]): r["corr"] for r in an.correlation(panel(rows)).collect()}
+    assert len(got) == 9 and abs(got["A", "B"] - np.corrcoef(x[:2])[0, 1]) < 1e-9 and got["A", "B"] == got["B", "A"]
+    assert got["A", "C"] is None and got["C", "C"] is None
+
+
+def test_correlation_counts_missing_days_as_zero(panel):
+    import numpy as np
+
+    a, b = [5.0, 0, 3, 1], [0.0, 2, 0, 4]
+    rows = [(d, 1, f, v) for f, vs in (("A", a), ("B", b)) for d, v in enumerate(vs) if v]
+    got = {(r["family_1"], r["family_2"]): r["corr"] for r in an.correlation(panel(rows)).collect()}
+    assert abs(got["A", "B"] - np.corrcoef(a, b)[0, 1]) < 1e-12

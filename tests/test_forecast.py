@@ -263,3 +263,8 @@ def test_forecast_all_ranks_every_model(spark, panel):
     assert len(got) == 2 * 3 * 7 and (got["forecast"] >= 0).all()
     for _, g in got.groupby("store_nbr"):
         assert sorted(g.drop_duplicates("model")["rank"]) == [1, 2, 3]
+
+
+def test_status_names_the_series_left_out(panel):
+    df = panel([(i, 1, "A", float(i)) for i in range(40)] + [(i, 2, "A", 1.0) for i in range(25)])
+    assert {r["store_nbr"]: (r["days"], r["reason"]) for r in fc.forecast_status(df).collect()} == {1: (40, "ok"), 2: (25, "fewer than 30 days")}

@@ -44,6 +44,7 @@ def test_upload_is_cleaned_saved_and_ready_for_analysis(spark, tmp_path, empty_c
     [
         (["2020-01-01,1,A"], "date,store_nbr,family", "missing_column:sales"),
         (["2020-01-01,1,A,3,0", "soon,1,A,3,0"], "date,store_nbr,family,sales,onpromotion", r"bad_date \(1\)"),
+        (["2020-01-01,S01,A,3,0", "2020-01-02,1.0,A,3,0"], "date,store_nbr,family,sales,onpromotion", r"bad_store \(1\)"),
         (["2020-01-01,1,A,x,0", "2020-01-02,1,A,NaN,0"], "date,store_nbr,family,sales,onpromotion", "no_numeric_sales"),
     ],
 )
