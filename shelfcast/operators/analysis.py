@@ -146,33 +146,34 @@ def top_families(df: DataFrame, n: int = 10) -> DataFrame:
 def correlation(df: DataFrame) -> DataFrame:
     """Pearson matrix (family_1, family_2, corr) of family daily totals, a missing day counting as 0.
 
-    Every day becomes one vector of centred and scaled totals, so sums of products are the result and nothing cancels.
-    Each pair is summed once, map-side first. A constant family gives NULL; a single family gives no rows.
+    Every day becomes one vector of centred totals, so nothing cancels in the sums of products. Each pair is summed once,
+    map-side first. A constant family gives NULL; a single family gives no rows.
     """
     daily = df.dropna(subset=["date", "family"]).groupBy("date", "family").agg(F.sum("sales").alias("s"))
     days = daily.agg(F.count_distinct("date")).scalar()
     facts = daily.groupBy("family").agg(
-        F.count("s").alias("n"), F.avg("s").alias("mean"), F.var_pop("s").alias("var"), F.min("s").alias("lo"), F.max("s").alias("hi")
+        F.count("s").alias("n"), F.sum("s").alias("total"), F.min("s").alias("lo"), F.max("s").alias("hi")
     ).withColumn("days", days)
-    n, mean, gap = F.col("n"), F.col("mean"), F.col("days") - F.col("n")
-    varies = (F.col("lo") < F.col("hi")) | ((gap > 0) & (F.col("lo") != 0))
-    scale = F.when(varies, F.sqrt(n * F.col("var") + mean * mean * n * gap / F.col("days")))
-    family = F.struct("family", (mean * n / F.col("days")).alias("mean"), scale.alias("scale"))
+    varies = (F.col("lo") < F.col("hi")) | ((F.col("n") < F.col("days")) & (F.col("lo") != 0))
+    family = F.struct("family", F.when(varies, F.col("total") / F.col("days")).alias("mean"))
     families = facts.agg(F.sort_array(F.collect_list(family))).scalar()
     totals = daily.groupBy("date").agg(F.map_from_entries(F.collect_list(F.struct("family", "s"))).alias("known"))
     vectors = totals.withColumn("families", families).filter(F.size("families") >= 2)
     vectors = vectors.select(
         F.transform(
             "families",
-            lambda f: F.struct(f["family"].alias("f"), ((F.coalesce(F.try_element_at("known", f["family"]), F.lit(0.0)) - f["mean"]) / f["scale"]).alias("x")),
+            lambda f: F.struct(f["family"].alias("f"), (F.coalesce(F.try_element_at("known", f["family"]), F.lit(0.0)) - f["mean"]).alias("x")),
         ).alias("v")
     )
     firsts = vectors.select("v", F.posexplode("v").alias("at", "a"))
     pairs = firsts.select("a", F.explode(F.slice("v", F.col("at") + 1, F.size("v") - F.col("at"))).alias("b"))
-    sums = pairs.groupBy(F.col("a.f").alias("f1"), F.col("b.f").alias("f2")).agg(F.sum(F.col("a.x") * F.col("b.x")).alias("corr"))
+    sums = pairs.groupBy(F.col("a.f").alias("f1"), F.col("b.f").alias("f2")).agg(F.sum(F.col("a.x") * F.col("b.x")).alias("dot"))
     there = F.struct(F.col("f1").alias("family_1"), F.col("f2").alias("family_2"))
     back = F.struct(F.col("f2").alias("family_1"), F.col("f1").alias("family_2"))
-    return sums.select("corr", F.inline(F.when(F.col("f1") == F.col("f2"), F.array(there)).otherwise(F.array(there, back)))).select("family_1", "family_2", "corr")
+    matrix = sums.select("dot", F.inline(F.when(F.col("f1") == F.col("f2"), F.array(there)).otherwise(F.array(there, back))))
+    own = F.when(F.col("family_1") == F.col("family_2"), F.sqrt("dot"))
+    one, two = (F.max(own).over(Window.partitionBy(c)) for c in ("family_1", "family_2"))
+    return matrix.withColumns({"one": one, "two": two}).select("family_1", "family_2", ratio(F.col("dot"), F.col("one") * F.col("two")).alias("corr"))
 
 
 def weekday_pattern(df: DataFrame) -> DataFrame:

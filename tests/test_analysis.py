@@ -165,8 +165,6 @@ def test_analyses_without_promotions(panel):
 
 
 def test_correlation_on_large_sums(panel):
-    import numpy as np
-
     x = np.array([[1.0, 2, 3, 4, 5, 6], [2.0, 1, 4, 3, 6, 6], [7.0] * 6])
     rows = [(d, 1, f, 1e9 + x[i, d]) for i, f in enumerate("ABC") for d in range(6)]
     got = {(r["family_1"], r["family_2"]): r["corr"] for r in an.correlation(panel(rows)).collect()}
@@ -175,8 +173,6 @@ def test_correlation_on_large_sums(panel):
 
 
 def test_correlation_counts_missing_days_as_zero(panel):
-    import numpy as np
-
     a, b = [5.0, 0, 3, 1], [0.0, 2, 0, 4]
     rows = [(d, 1, f, v) for f, vs in (("A", a), ("B", b)) for d, v in enumerate(vs) if v]
     got = {(r["family_1"], r["family_2"]): r["corr"] for r in an.correlation(panel(rows)).collect()}
