@@ -282,6 +282,27 @@ def test_rates_meet_targets(spark):
     assert np.allclose(totals, (p * (n * solved(p, n, np.array([4800.0, 2400, 800])))[:, None]).sum(0), rtol=0.01)
 
 
+@pytest.mark.parametrize("sharp", [0.02, 0.3, 0.6])
+@pytest.mark.parametrize("targets", [{"high": 0.94, "low": 0.05, "toxic": 0.01}, {"high": 0.998, "toxic": 0.002}])
+def test_default_rates_meet_small_targets(spark, targets, sharp):
+    """With the defaults every domain is within 1 % of its own target, also with soft posteriors."""
+    rng, k = np.random.default_rng(1), len(targets)
+    p, n = rng.dirichlet(sharp * np.array([6.0, 2.0, 1.0][:k]), 3000), rng.integers(1, 500, 3000)
+    members = spark.createDataFrame([(int(i), int(c), [float(x) for x in q]) for i, (c, q) in enumerate(zip(n, p))], "doc_id long, n_tokens long, p array<double>")
+    rates = np.array([r.rate for r in mixing.solve_rates(members, targets, list(targets)).orderBy("doc_id").collect()])
+    totals = (p * (n * rates)[:, None]).sum(0)
+    assert (rates >= 0).all() and np.allclose(totals, (p * n[:, None]).sum(0)[0] / list(targets.values())[0] * np.array(list(targets.values())), rtol=0.01)
+
+
+def test_rates_out_of_reach_are_reported(spark):
+    members = spark.createDataFrame([(1, 100, [0.9, 0.1]), (2, 100, [0.6, 0.4])], "doc_id long, n_tokens long, p array<double>")
+    with pytest.warns(UserWarning, match="out of reach"):
+        rates = [r.rate for r in mixing.solve_rates(members, {"a": 0.5, "b": 0.5}, ["a", "b"]).orderBy("doc_id").collect()]
+    assert rates[0] < 0.01 and 2 < rates[1] < 4
+    with pytest.warns(UserWarning, match="not solved in 1 steps"):
+        mixing.solve_rates(members, {"a": 0.5, "b": 0.5}, ["a", "b"], max_steps=1)
+
+
 def test_mixing(spark, docs, none):
     labels = spark.createDataFrame([(i, "toxic" if i == 13 else "high") for i in range(14)] + [(None, "high"), (3, None), (999, "other")], "doc_id long, domain string")
     got = mixing.mix(docs, labels, {"high": 0.9, "toxic": 0.1}).collect()
