@@ -1,6 +1,6 @@
 """Language-model scoring with a hierarchical Pitman-Yor process over word pairs.
 
-A word is drawn in the restaurant of its context, which is the word before it, hashed to one of 4096 restaurants. A customer
+A word is drawn in the restaurant of its context, which is the word before it, by its whole hash. A customer
 of a context restaurant either joins a table of its word or opens one, which sends a customer to the root restaurant that all contexts
 share as parent; the root's tables draw from the uniform distribution over the known words and one for all others. Only
 the number of tables per dish matters for predictions, so that is the state. Gibbs sampling unseats customers and seats them
@@ -8,8 +8,10 @@ anew given all others. Predictive probabilities are averaged over the states of
 
 How it is spread: words are dealt to parts by ranges of their hashes. A part has all counts of its words, the rows of the root
 and of all contexts for them, and the tokens of the documents to be scored. What parts need from each other in a round is the
-number of tables per context, 4096 sums. Within a round the parts seat their customers in parallel given the sums of the round
-before. No part sees a whole context, so a context that precedes a third of all tokens is no hot key; a word has at most 4096 rows.
+number of tables per context. Each part tells those of its contexts to slices by ranges of the contexts' hashes; a slice adds
+them up and tells each part the sums it needs, so no task and not the driver holds all contexts. A part adds one number per
+context however often that comes up, so a context that precedes a third of all tokens is no hot key. Within a round the parts seat
+their customers in parallel given the sums of the round before.
 """
 
 from __future__ import annotations
@@ -20,18 +22,18 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfcast.llm.common import crc, small_batches, stored, texts
 
-BITS = 12
-CONTEXTS = 1 << BITS
-MIX = np.uint64(0x9E3779B97F4A7C15)
+#: Least length of a part's vectors over its contexts; they are longer where it has more.
+CONTEXTS = 1 << 12
 #: Tokens of a chunk of documents, about, and bytes of text for which there is one part.
 CHUNK_TOKENS, PART_BYTES = 1_000_000, 16_000_000
 #: Parallel rounds of seating, the last ones of which are averaged; strengths of the two levels; steps in which a round unseats all.
-ROUNDS, AVERAGED, STRENGTH, STEPS = 3, 2, 1.0, 4
+ROUNDS, AVERAGED, STRENGTH, STEPS = 6, 3, 1.0, 4
 #: Steps to which a part's sums of log10 are rounded on their way to the document's: base and model.
 BASE_STEP, STEP = 2.0**-24, 2.0**-16
 #: Customers of a dish up to which the chance that one sits alone is exact.
@@ -72,16 +74,21 @@ def word_hashes(words: list[bytes]) -> np.ndarray:
 
 
 def contexts_of(hashes: np.ndarray) -> np.ndarray:
-    """The restaurant of each token's predecessor; a document begins as if after an end."""
-    before = np.concatenate([word_hashes([b" "]), hashes[:-1]])
-    return ((before * MIX) >> np.uint64(64 - BITS)).astype("u2")
+    """The restaurant of each token, the hash of its predecessor; a document begins as if after an end."""
+    return np.concatenate([word_hashes([b" "]), hashes[:-1]])
+
+
+def _edges(hashes: np.ndarray, parts: int) -> list[int]:
+    """Where each of equal ranges of hashes begins in sorted ones, and their end."""
+    return np.searchsorted(hashes, np.array([-(-(p << 64) // parts) for p in range(parts)], "u8")).tolist() + [len(hashes)]
 
 
 def chunk_rows(chunk: int, docs: list[tuple[int | None, bool, np.ndarray]], parts: int) -> Iterator[tuple[int, int, bytes]]:
     """(part, chunk, payload) of the tokens of some documents (id, training, hashes with the end).
 
     In a chunk training documents come first. A payload holds the number of documents and of training ones, the part's distinct
-    words as differences, how many tokens each has, and per token its context and document. One part also has the ids.
+    words as differences, how many tokens each has, its distinct contexts as differences, and per token the place of its context among
+    them and its document. One part also has the ids.
     """
     docs = sorted(docs, key=lambda d: not d[1])
     lengths = np.array([len(d[2]) for d in docs])
@@ -91,47 +98,57 @@ def chunk_rows(chunk: int, docs: list[tuple[int | None, bool, np.ndarray]], part
     words, contexts, owner = words[order], contexts[order], np.repeat(np.arange(len(docs), dtype="u4"), lengths)[order]
     head = np.array([len(docs), sum(d[1] for d in docs)], "u8")
     ids = np.array([x[0] or 0 for x in docs], "i8"), np.array([x[0] is None for x in docs], "u1")
-    edges = np.searchsorted(words, np.array([-(-(p << 64) // parts) for p in range(parts)], "u8")).tolist() + [len(words)]
+    edges = _edges(words, parts)
     for p in range(parts):
         a, b = edges[p], edges[p + 1]
         home = chunk % parts == p
         if a < b or home:
             distinct, counts = np.unique(words[a:b], return_counts=True)
             named = ids if home else (ids[0][:0], ids[1][:0])
-            yield p, chunk, _squeeze(head, _deltas(distinct), counts.astype("u4"), contexts[a:b], owner[a:b], *named)
+            before, place = np.unique(contexts[a:b], return_inverse=True)
+            yield p, chunk, _squeeze(head, _deltas(distinct), counts.astype("u4"), _deltas(before), place.astype("u4"), owner[a:b], *named)
 
 
 class Chunk:
     def __init__(self, payload: bytes):
-        (self.n_docs, self.n_train), words, counts, self.contexts, self.owner, self.ids, self.nulls = _spread(payload)
+        (self.n_docs, self.n_train), words, counts, before, self.context_at, self.owner, self.ids, self.nulls = _spread(payload)
+        self.contexts = np.cumsum(before, dtype="u8")
         self.n_docs, self.words = int(self.n_docs), np.cumsum(words, dtype="u8")
         self.word_at = np.repeat(np.arange(len(self.words)), counts)
         self.train = self.owner < self.n_train
 
 
-def merge(payloads: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct training words of a part, its pairs (word place * CONTEXTS + context) in order, and their counts.
+def merged(payloads: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct training words of a part, the contexts of all its tokens, its pairs (word place * width + context place) in order, and their
+    counts; the width is the number of contexts, CONTEXTS at least.
 
-    Payloads are unpacked one at a time, first for the words, then for the pairs, which a chunk counts by itself.
+    Payloads are unpacked one at a time, first for the words and contexts, then for the pairs, which a chunk counts by itself.
     """
-    seen = []
+    seen, before = [], []
     for payload in payloads:
         c = Chunk(payload)
         used = np.zeros(len(c.words), bool)
         used[c.word_at[c.train]] = True
         seen.append(c.words[used])
-    words = np.unique(np.concatenate(seen))
-    pairs = []
+        before.append(c.contexts)
+    words, contexts = np.unique(np.concatenate(seen)), np.unique(np.concatenate(before))
+    pairs, width = [], max(CONTEXTS, len(contexts))
     for payload in payloads:
         c = Chunk(payload)
-        place = np.searchsorted(words, c.words)
-        pairs.append(np.unique(place[c.word_at[c.train]] * CONTEXTS + c.contexts[c.train], return_counts=True))
+        place, context = np.searchsorted(words, c.words), np.searchsorted(contexts, c.contexts)
+        pairs.append(np.unique(place[c.word_at[c.train]] * width + context[c.context_at[c.train]], return_counts=True))
     keys, counts = (np.concatenate(x) for x in zip(*pairs))
     del pairs
     order = np.argsort(keys)
     keys, counts = keys[order], counts[order]
     first = np.flatnonzero(np.diff(keys, prepend=-1))
-    return words, keys[first], np.add.reduceat(counts, first) if len(first) else counts
+    return words, contexts, keys[first], np.add.reduceat(counts, first) if len(first) else counts
+
+
+def merge(payloads: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """What `merged` finds, without the contexts."""
+    words, _, keys, counts = merged(payloads)
+    return words, keys, counts
 
 
 def alone(discount: float) -> np.ndarray:
@@ -172,7 +189,7 @@ def reseat(tables: np.ndarray, customers: np.ndarray, opening: np.ndarray, disco
 
 
 class Sums:
-    """What the parts share: training tokens, distinct words, discounts, customers and tables per context, and the root's."""
+    """What a part knows of the others: training tokens, distinct words, discounts, customers and tables per context of its own, and the root's."""
 
     def __init__(self, tokens: int, words: int, discounts: tuple[float, float], customers: np.ndarray, tables: np.ndarray, root_customers: float, root_tables: float):
         self.tokens, self.words, self.discounts, self.customers, self.tables = tokens, words, discounts, customers, tables
@@ -189,9 +206,11 @@ class Sums:
 
 
 class Part:
-    """The customers of a part's words and their seating, replayed from the sums of the rounds so far."""
+    """The customers of a part's words and their seating; contexts are places among the part's own."""
 
-    def __init__(self, number: int, words: np.ndarray, at: np.ndarray, context: np.ndarray, counts: np.ndarray):
+    def __init__(self, number: int, words: np.ndarray, at: np.ndarray, context: np.ndarray, counts: np.ndarray, contexts: np.ndarray | None = None):
+        self.contexts = np.zeros(0, "u8") if contexts is None else contexts
+        self.width = max(CONTEXTS, len(self.contexts))
         self.number, self.words, self.at, self.context, self.counts = number, words, at.astype("i4"), context, counts.astype("i4")
         self.tables = np.ones(len(at), "i4")
         self.root_customers = np.bincount(self.at, minlength=len(words)).astype("i8")
@@ -213,7 +232,7 @@ class Part:
             self.root_tables[several] = reseat(self.root_tables[several], self.root_customers[several], opening, d_root, alone(d_root), rng)
 
     def sums(self) -> dict:
-        return {"tables": np.bincount(self.context, self.tables, CONTEXTS).astype("i8"), "root_customers": int(self.root_customers.sum()), "root_tables": int(self.root_tables.sum())}
+        return {"tables": np.bincount(self.context, self.tables, self.width).astype("i8"), "root_customers": int(self.root_customers.sum()), "root_tables": int(self.root_tables.sum())}
 
 
 def _parts(docs: DataFrame, parts: int) -> DataFrame:
@@ -239,37 +258,84 @@ def _parts(docs: DataFrame, parts: int) -> DataFrame:
     def count(table: pa.Table) -> pa.Table:
         table = table.sort_by("chunk")
         payloads = table.column("payload").to_pylist()
-        words, keys, counts = merge(payloads)
-        at, context = keys // CONTEXTS, keys % CONTEXTS
+        words, contexts, keys, counts = merged(payloads)
+        width = max(CONTEXTS, len(contexts))
+        at, context = keys // width, keys % width
         variety = np.bincount(at, minlength=len(words))
         row = {
             "part": table.column("part")[0].as_py(),
-            "merged": _squeeze(_deltas(words), variety.astype("u4"), context.astype("u2"), counts.astype("u4")),
+            "merged": _squeeze(_deltas(words), variety.astype("u4"), context.astype("u4"), counts.astype("u4"), _deltas(contexts)),
             "chunks": [{"chunk": c, "payload": p} for c, p in zip(table.column("chunk").to_pylist(), payloads)],
-            "customers": np.bincount(context, counts, CONTEXTS).astype("i8"),
-            "tables": np.bincount(context, minlength=CONTEXTS),
             "facts": [int(counts.sum()), len(words), int((counts == 1).sum()), int((counts == 2).sum()), int((variety == 1).sum()), int((variety == 2).sum()), len(keys)],
         }
-        return pa.Table.from_pylist([row], schema=pa.schema([("part", pa.int32()), ("merged", pa.binary()), ("chunks", pa.list_(pa.struct([("chunk", pa.int64()), ("payload", pa.binary())]))), *((x, pa.list_(pa.int64())) for x in ("customers", "tables", "facts"))]))
+        return pa.Table.from_pylist([row], schema=pa.schema([("part", pa.int32()), ("merged", pa.binary()), ("chunks", pa.list_(pa.struct([("chunk", pa.int64()), ("payload", pa.binary())]))), ("facts", pa.list_(pa.int64()))]))
 
-    kind = "part int, merged binary, chunks array<struct<chunk: long, payload: binary>>, customers array<long>, tables array<long>, facts array<long>"
+    kind = "part int, merged binary, chunks array<struct<chunk: long, payload: binary>>, facts array<long>"
     flagged = docs.select(F.col("doc_id").cast("long").alias("doc_id"), (F.pmod(crc(F.col("doc_id")), F.lit(5)) != 1).alias("train"), "text")
     with small_batches(docs.sparkSession):
         return stored(flagged.mapInArrow(encode, "part int, chunk long, payload binary").groupBy("part").applyInArrow(count, kind), "language-model")
 
 
-def _vector(rows: DataFrame, column: str) -> np.ndarray:
-    """The sum of an array column over all rows, summed in Spark; 4096 numbers come to the driver."""
-    found = rows.select(F.posexplode(column).alias("i", "x")).groupBy("i").agg(F.sum("x").alias("x")).orderBy("i").collect()
-    return np.array([r.x for r in found], float)
+#: What parts and slices tell each other: a part's counts (merged), its seating (state), what it adds to a slice (told), what it gets (sums).
+PIECE = pa.schema([("part", pa.int32()), ("kind", pa.string()), ("turn", pa.int32()), ("slice", pa.int64()), ("payload", pa.binary()), ("root_customers", pa.int64()), ("root_tables", pa.int64())])
+PIECE_KIND = "part int, kind string, turn int, slice long, payload binary, root_customers long, root_tables long"
+
+
+def _pieces(rows: list[tuple]) -> pa.Table:
+    return pa.Table.from_pylist([dict(zip(PIECE.names, r)) for r in rows], schema=PIECE)
+
 
+def _told(part: Part, turn: int, slices: int) -> list[tuple]:
+    """What a part adds to the tables per context of every slice, and at first to the customers."""
+    here, edges = part.sums(), _edges(part.contexts, slices)
+    values = [here["tables"]] + ([np.bincount(part.context, part.counts, part.width).astype("i8")] if turn == 0 else [])
+    rows = [(part.number, "state", turn, 0, _squeeze(part.tables, part.root_tables), here["root_customers"], here["root_tables"])]
+    for q in range(slices):
+        a, b = edges[q], edges[q + 1]
+        if a < b:
+            rows.append((part.number, "told", turn, q, _squeeze(_deltas(part.contexts[a:b]), *(v[a:b] for v in values)), 0, 0))
+    return rows
 
-def _load(number: int, merged: bytes) -> Part:
-    words, variety, context, counts = _spread(merged)
-    return Part(number, np.cumsum(words, dtype="u8"), np.repeat(np.arange(len(words)), variety), context, counts)
 
+def _summed(rows: pa.Table) -> pa.Table:
+    """The sums of a slice, for each part those of its contexts."""
+    found = [_spread(x) for x in rows.column("payload").to_pylist()]
+    own = [np.cumsum(x[0], dtype="u8") for x in found]
+    contexts, place = np.unique(np.concatenate(own), return_inverse=True)
+    totals = [np.bincount(place, np.concatenate(v), len(contexts)).astype("i8") for v in zip(*(x[1:] for x in found))]
+    parts, turn, q = rows.column("part").to_pylist(), rows.column("turn")[0].as_py(), rows.column("slice")[0].as_py()
+    return _pieces([(p, "sums", turn, q, _squeeze(*(t[np.searchsorted(contexts, mine)] for t in totals)), 0, 0) for p, mine in zip(parts, own)])
 
-def score_texts(docs: DataFrame) -> DataFrame:
+
+class Told:
+    """A part and the sums it got, from the pieces of a group."""
+
+    def __init__(self, rows: pa.Table, fixed: tuple, roots: list[tuple[float, float]]):
+        held: dict[tuple[str, int], list[tuple[int, bytes]]] = {}
+        for kind, turn, q, payload in zip(*(rows.column(x).to_pylist() for x in ("kind", "turn", "slice", "payload"))):
+            held.setdefault((kind, turn), []).append((q, payload))
+        words, variety, context, counts, before = _spread(held["merged", 0][0][1])
+        self.part = Part(rows.column("part")[0].as_py(), np.cumsum(words, dtype="u8"), np.repeat(np.arange(len(words)), variety), context, counts, np.cumsum(before, dtype="u8"))
+        self.held, self.fixed, self.roots = held, fixed, roots
+        self.customers = self._vector(0, 1)
+
+    def _vector(self, turn: int, which: int) -> np.ndarray:
+        out = np.zeros(self.part.width)
+        found = [_spread(x)[which] for _, x in sorted(self.held.get(("sums", turn), []))]
+        if found:
+            out[: len(self.part.contexts)] = np.concatenate(found)
+        return out
+
+    def sums(self, turn: int) -> Sums:
+        return Sums(*self.fixed, self.customers, self._vector(turn, 0), *self.roots[turn])
+
+    def take_seats(self, turn: int) -> Part:
+        self.part.tables, self.part.root_tables = _spread(self.held["state", turn][0][1])
+        self.part.root_customers = np.bincount(self.part.at, self.part.tables, len(self.part.words)).astype("i8")
+        return self.part
+
+
+def score_texts(docs: DataFrame, rounds: int = ROUNDS, averaged: int = AVERAGED) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score of every document (doc_id, text).
 
     Documents whose id's crc32 is 1 modulo 5 are held out; the others train. Tokens are the words of the lower-cased text and an
@@ -279,41 +345,47 @@ def score_texts(docs: DataFrame) -> DataFrame:
     """
     spark = docs.sparkSession
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    table = _parts(docs, int(size // PART_BYTES) + 1)
+    parts = int(size // PART_BYTES) + 1
+    table = _parts(docs, parts)
     facts = [float(x or 0) for x in table.agg(*(F.sum(F.get("facts", F.lit(i))) for i in range(7))).first()]
     discount = lambda once, twice: min(0.95, max(0.05, once / (once + 2 * twice))) if once else 0.5
-    discounts = discount(facts[4], facts[5]), discount(facts[2], facts[3])
-    customers, tables = _vector(table, "customers"), _vector(table, "tables")
+    fixed = (int(facts[0]), int(facts[1]), (discount(facts[4], facts[5]), discount(facts[2], facts[3])))
     kind = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
-    if not len(customers):
-        return spark.createDataFrame([], kind)
-    fixed = (int(facts[0]), int(facts[1]), discounts, customers)
-    history = [(*fixed, tables, facts[6], facts[1])]  # the arguments of Sums by round
-    for turn in range(ROUNDS):
-        known = spark.sparkContext.broadcast(history)
-
-        def seat(batches, known=known):
-            schema = pa.schema([("tables", pa.list_(pa.int64())), ("root_customers", pa.int64()), ("root_tables", pa.int64())])
-            for batch in batches:
-                for number, merged in zip(batch.column("part").to_pylist(), batch.column("merged")):
-                    part = _load(number, merged.as_py())
-                    for t, sums in enumerate(known.value):
-                        part.seat(Sums(*sums), t)
-                    yield pa.RecordBatch.from_pylist([part.sums()], schema=schema)
-
-        seated = stored(table.select("part", "merged").mapInArrow(seat, "tables array<long>, root_customers long, root_tables long"), "seating")
-        root = seated.agg(F.sum("root_customers"), F.sum("root_tables")).first()
-        history.append((*fixed, _vector(seated, "tables"), float(root[0]), float(root[1])))
-
-    known = spark.sparkContext.broadcast(history)
-
-    def predict(batches):
-        schema = pa.schema([("chunk", pa.int64()), ("payload", pa.binary())])
-        for batch in batches:
-            for number, merged, chunks in zip(batch.column("part").to_pylist(), batch.column("merged"), batch.column("chunks")):
-                model = Predictor(_load(number, merged.as_py()), [Sums(*x) for x in known.value])
-                for c in chunks:
-                    yield pa.RecordBatch.from_pylist([{"chunk": c["chunk"].as_py(), "payload": model.chunk(c["payload"].as_py())}], schema=schema)
+    piece = lambda name, turn, slice_, payload: (F.lit(name).alias("kind"), F.lit(turn).alias("turn"), slice_.alias("slice"), payload.alias("payload"), F.lit(0).cast("long").alias("root_customers"), F.lit(0).cast("long").alias("root_tables"))
+    counted = table.select("part", *piece("merged", 0, F.lit(0).cast("long"), F.col("merged")))
+    states, sums, roots = [], [], []
+
+    def seating(turn: int, roots: tuple):
+        def seat(rows):
+            told = Told(rows, fixed, roots)
+            if turn:
+                told.take_seats(turn - 1).seat(told.sums(turn - 1), turn - 1)
+            return _pieces(_told(told.part, turn, parts))
+
+        return seat
+
+    for turn in range(rounds + 1):
+        known = counted
+        for more in [*states[-1:], *sums[:1], *(sums[-1:] if turn > 1 else [])]:
+            known = known.unionAll(more)
+        seated = stored(known.groupBy("part").applyInArrow(seating(turn, tuple(roots)), PIECE_KIND), "seating")
+        states.append(seated.where(F.col("kind") == "state"))
+        root = states[-1].agg(F.sum("root_customers"), F.sum("root_tables")).first()
+        roots.append((float(root[0] or 0), float(root[1] or 0)))
+        sums.append(stored(seated.where(F.col("kind") == "told").groupBy("slice").applyInArrow(_summed, PIECE_KIND), "context-sums"))
+
+    last = range(max(1, rounds - averaged + 1), rounds + 1)
+
+    def predict(rows: pa.Table) -> pa.Table:
+        chunk = pa.compute.equal(rows.column("kind"), "chunk")
+        told, chunks = Told(rows.filter(pa.compute.invert(chunk)), fixed, roots), rows.filter(chunk)
+        model = Predictor(told, last)
+        return pa.table({"chunk": chunks.column("slice"), "payload": pa.array([model.chunk(x.as_py()) for x in chunks.column("payload")], pa.binary())})
+
+    pieces = counted.unionAll(sums[0])
+    for turn in last:
+        pieces = pieces.unionAll(states[turn]).unionAll(sums[turn])
+    chunks = table.select("part", F.explode("chunks").alias("c")).select("part", *piece("chunk", 0, F.col("c.chunk"), F.col("c.payload")))
 
     def total(rows: pa.Table) -> pa.Table:
         found = [_spread(x.as_py()) for x in rows.column("payload")]
@@ -326,25 +398,23 @@ def score_texts(docs: DataFrame) -> DataFrame:
                 names = pa.array(ids, mask=nulls.astype(bool))
         return pa.table({"doc_id": names, "held_out": np.arange(n_docs) >= n_train, "n_tokens": sums[0].astype("i8"), "n_known": sums[1].astype("i8"), "train_tokens": np.full(n_docs, int(facts[0])), "base_score": -sums[2] * BASE_STEP, "score": -sums[3] * STEP})
 
-    return table.select("part", "merged", "chunks").mapInArrow(predict, "chunk long, payload binary").groupBy("chunk").applyInArrow(total, kind)
+    return pieces.unionAll(chunks).groupBy("part").applyInArrow(predict, "chunk long, payload binary").groupBy("chunk").applyInArrow(total, kind)
 
 
 class Predictor:
     """Averaged predictive probabilities of a part's words."""
 
-    def __init__(self, part: Part, history: list[Sums]):
-        self.part, last = part, history[-1]
-        turns = len(history) - 1
-        self.keys = part.at.astype("i8") * CONTEXTS + part.context
+    def __init__(self, told: Told, turns: range):
+        self.part = part = told.part
+        self.keys = part.at.astype("i8") * part.width + part.context
         self.extra, self.weights, self.roots, self.others = np.zeros(len(self.keys)), [], [], []
-        for t in range(turns):
-            part.seat(history[t], t)
-            if t >= turns - AVERAGED:
-                sums = history[t + 1]
-                self.extra += (part.counts - sums.discounts[1] * part.tables) / (STRENGTH + sums.customers[part.context])
-                self.weights.append(sums.back_off())
-                self.roots.append(sums.root(part.root_customers, part.root_tables))
-                self.others.append(sums.root(0, 0))
+        for t in turns:
+            last = told.sums(t)
+            told.take_seats(t)
+            self.extra += (part.counts - last.discounts[1] * part.tables) / (STRENGTH + last.customers[part.context])
+            self.weights.append(last.back_off())
+            self.roots.append(last.root(part.root_customers, part.root_tables))
+            self.others.append(last.root(0, 0))
         self.extra /= len(self.weights)
         counts = np.bincount(part.at, part.counts, len(part.words)) if len(part.words) else np.zeros(0)
         below = last.tokens + 0.5 * (last.words + 1)
@@ -356,13 +426,13 @@ class Predictor:
         place = np.searchsorted(part.words, c.words)
         found = place < len(part.words)
         found[found] = part.words[place[found]] == c.words[found]
-        known, at, context = found[c.word_at], place[c.word_at], c.contexts.astype("i8")
+        known, at, context = found[c.word_at], place[c.word_at], np.searchsorted(part.contexts, c.contexts)[c.context_at]
         p, base = np.empty(len(at)), np.full(len(at), self.base_other)
         base[known] = self.base[at[known]]
         p[:] = sum(w[context] * other for w, other in zip(self.weights, self.others)) / len(self.weights)
         k_at, k_context = at[known], context[known]
         value = sum(w[k_context] * root[k_at] for w, root in zip(self.weights, self.roots)) / len(self.weights)
-        keys = k_at * CONTEXTS + k_context
+        keys = k_at * part.width + k_context
         pair = np.searchsorted(self.keys, keys)
         pair[pair == len(self.keys)] = 0
         p[known] = value + np.where(self.keys[pair] == keys, self.extra[pair], 0.0) if len(self.keys) else value

@@ -171,6 +171,16 @@ def test_predictive_probabilities_sum_to_one():
         assert math.isclose(extra.sum() + sums.back_off()[b], 1.0, rel_tol=1e-9)
 
 
+def test_every_previous_word_is_a_context(spark, monkeypatch):
+    """More words than 4096, each with one successor: what is learnt of one context must not be shared with others."""
+    monkeypatch.setattr(pitman_yor, "PART_BYTES", 100_000)
+    starts = np.random.default_rng(3).integers(0, 6000, 900).tolist()
+    rows = [(i, " ".join(f"w{(s + j) % 6000}" for j in range(60))) for i, s in enumerate(starts)]
+    assert len(np.unique(pitman_yor.contexts_of(pitman_yor.word_hashes([f"w{i}".encode() for i in range(6000)])))) == 6000
+    found = pitman_yor.score_texts(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).where("held_out").collect()
+    assert 10 ** (-sum(r.score for r in found) / sum(r.n_tokens for r in found)) < 2
+
+
 def test_language(spark, sf, docs, none):
     found = language.identify(docs).collect()
     assert len(found) == docs.count() and {r.lang_pred for r in found if r.doc_id in (8, 9, 10)} == {"und"}
