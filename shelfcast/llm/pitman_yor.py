@@ -7,7 +7,8 @@ the number of tables per dish matters for predictions, so that is the state. Gib
 anew given all others. Predictive probabilities are averaged over the states of the last rounds.
 
 How it is spread: words are dealt to parts by ranges of their hashes. A part has all counts of its words, the rows of the root
-and of all contexts for them, and the tokens of the documents to be scored. What parts need from each other in a round is the
+and of all contexts for them. Every chunk of documents sends its counts of pairs, which are added up in two steps. The tokens to be scored, as counts of (word, context,
+document) in a chunk, are rows of their own: a part with many is scored by many tasks that each get its model. What parts need from each other in a round is the
 number of tables per context. Each part tells those of its contexts to slices by ranges of the contexts' hashes; a slice adds
 them up and tells each part the sums it needs, so no task and not the driver holds all contexts. A part adds one number per
 context however often that comes up, so a context that precedes a third of all tokens is no hot key. Within a round the parts seat
@@ -26,12 +27,14 @@ import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfcast.llm.common import crc, small_batches, stored, texts
+from shelfcast.llm.common import crc, small_batches, small_enough, stored, texts
 
 #: Least length of a part's vectors over its contexts; they are longer where it has more.
 CONTEXTS = 1 << 12
 #: Tokens of a chunk of documents, about, and bytes of text for which there is one part.
 CHUNK_TOKENS, PART_BYTES = 1_000_000, 16_000_000
+#: Bytes of payloads to be scored by one task, and of text for whose chunks a part's counts are added up first.
+SCORED_BYTES, COUNTED_BYTES = 16_000_000, 1_000_000_000
 #: Parallel rounds of seating, the last ones of which are averaged; strengths of the two levels; steps in which a round unseats all.
 ROUNDS, AVERAGED, STRENGTH, STEPS = 6, 3, 1.0, 4
 #: Steps to which a part's sums of log10 are rounded on their way to the document's: base and model.
@@ -87,8 +90,8 @@ def chunk_rows(chunk: int, docs: list[tuple[int | None, bool, np.ndarray]], part
     """(part, chunk, payload) of the tokens of some documents (id, training, hashes with the end).
 
     In a chunk training documents come first. A payload holds the number of documents and of training ones, the part's distinct
-    words as differences, how many tokens each has, its distinct contexts as differences, and per token the place of its context among
-    them and its document. One part also has the ids.
+    words as differences, how many entries each has, its distinct contexts as differences, and per entry (word, context, document) the place
+    of its context among them, its document and its tokens. One part also has the ids.
     """
     docs = sorted(docs, key=lambda d: not d[1])
     lengths = np.array([len(d[2]) for d in docs])
@@ -103,15 +106,21 @@ def chunk_rows(chunk: int, docs: list[tuple[int | None, bool, np.ndarray]], part
         a, b = edges[p], edges[p + 1]
         home = chunk % parts == p
         if a < b or home:
-            distinct, counts = np.unique(words[a:b], return_counts=True)
+            distinct, word = np.unique(words[a:b], return_inverse=True)
             named = ids if home else (ids[0][:0], ids[1][:0])
             before, place = np.unique(contexts[a:b], return_inverse=True)
-            yield p, chunk, _squeeze(head, _deltas(distinct), counts.astype("u4"), _deltas(before), place.astype("u4"), owner[a:b], *named)
+            entry = np.lexsort((owner[a:b], place, word))
+            word, place, document = word[entry], place[entry], owner[a:b][entry]
+            new = np.ones(b - a, bool)
+            new[1:] = (word[1:] != word[:-1]) | (place[1:] != place[:-1]) | (document[1:] != document[:-1])
+            first = np.flatnonzero(new)
+            n = np.diff(first, append=b - a).astype("u4")
+            yield p, chunk, _squeeze(head, _deltas(distinct), np.bincount(word[first], minlength=len(distinct)).astype("u4"), _deltas(before), place[first].astype("u4"), document[first], n, *named)
 
 
 class Chunk:
     def __init__(self, payload: bytes):
-        (self.n_docs, self.n_train), words, counts, before, self.context_at, self.owner, self.ids, self.nulls = _spread(payload)
+        (self.n_docs, self.n_train), words, counts, before, self.context_at, self.owner, self.tokens, self.ids, self.nulls = _spread(payload)
         self.contexts = np.cumsum(before, dtype="u8")
         self.n_docs, self.words = int(self.n_docs), np.cumsum(words, dtype="u8")
         self.word_at = np.repeat(np.arange(len(self.words)), counts)
@@ -136,13 +145,44 @@ def merged(payloads: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, n
     for payload in payloads:
         c = Chunk(payload)
         place, context = np.searchsorted(words, c.words), np.searchsorted(contexts, c.contexts)
-        pairs.append(np.unique(place[c.word_at[c.train]] * width + context[c.context_at[c.train]], return_counts=True))
-    keys, counts = (np.concatenate(x) for x in zip(*pairs))
-    del pairs
+        pairs.append(_added(place[c.word_at[c.train]] * width + context[c.context_at[c.train]], c.tokens[c.train]))
+    return words, contexts, *_added(*(np.concatenate(x) for x in zip(*pairs)))
+
+
+def _added(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys in order and the sums of their counts."""
     order = np.argsort(keys)
-    keys, counts = keys[order], counts[order]
+    keys, counts = keys[order], counts[order].astype("i8")
     first = np.flatnonzero(np.diff(keys, prepend=-1))
-    return words, contexts, keys[first], np.add.reduceat(counts, first) if len(first) else counts
+    return keys[first], np.add.reduceat(counts, first) if len(first) else counts
+
+
+def _packed(words: np.ndarray, contexts: np.ndarray, keys: np.ndarray, counts: np.ndarray) -> bytes:
+    width = max(CONTEXTS, len(contexts))
+    variety = np.bincount(keys // width, minlength=len(words))
+    return _squeeze(_deltas(words), variety.astype("u4"), (keys % width).astype("u4"), counts, _deltas(contexts))
+
+
+def _unpacked(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Words, the place of each pair's word and of its context, counts, contexts."""
+    words, variety, context, counts, before = _spread(data)
+    return np.cumsum(words, dtype="u8"), np.repeat(np.arange(len(words)), variety), context, counts, np.cumsum(before, dtype="u8")
+
+
+def combined(packs: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The same of several packed results of `merged` as of all their payloads, unpacked one at a time."""
+    names = [(x[0], x[4]) for x in map(_unpacked, packs)]
+    words, contexts = (np.unique(np.concatenate(x)) for x in zip(*names))
+    width = max(CONTEXTS, len(contexts))
+    keys, counts = np.zeros(0, "i8"), np.zeros(0, "i8")
+    held, size = [(keys, counts)], 0
+    for pack in packs:
+        mine, at, context, n, before = _unpacked(pack)
+        held.append((np.searchsorted(words, mine)[at] * width + np.searchsorted(contexts, before)[context], n))
+        size += len(n)
+        if size > 4 * len(held[0][0]) + CHUNK_TOKENS:  # so that pairs which come up in many chunks do not pile up
+            held, size = [_added(*(np.concatenate(x) for x in zip(*held)))], 0
+    return words, contexts, *_added(*(np.concatenate(x) for x in zip(*held)))
 
 
 def merge(payloads: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -235,8 +275,9 @@ class Part:
         return {"tables": np.bincount(self.context, self.tables, self.width).astype("i8"), "root_customers": int(self.root_customers.sum()), "root_tables": int(self.root_tables.sum())}
 
 
-def _parts(docs: DataFrame, parts: int) -> DataFrame:
-    """part, the chunks' payloads, and the merged training counts with their sums; one row per part, written."""
+def _parts(docs: DataFrame, parts: int, slots: int) -> tuple[DataFrame, DataFrame]:
+    """part, chunk and payload of all chunks; and the merged training counts with their sums, one row per part. Both are written."""
+    schema = pa.schema([("part", pa.int32()), ("chunk", pa.int64()), ("payload", pa.binary()), ("counts", pa.binary())])
 
     def encode(batches):
         from pyspark import TaskContext
@@ -244,36 +285,38 @@ def _parts(docs: DataFrame, parts: int) -> DataFrame:
         task, number = TaskContext.get().partitionId(), itertools.count()
         end = word_hashes([b" "])
         held, size = [], 0
-        schema = pa.schema([("part", pa.int32()), ("chunk", pa.int64()), ("payload", pa.binary())])
+
+        def rows():
+            for part, chunk, payload in chunk_rows((task << 24) + next(number), held, parts):
+                yield pa.RecordBatch.from_pylist([{"part": part, "chunk": chunk, "payload": payload, "counts": _packed(*merged([payload]))}], schema=schema)
+
         for batch in batches:
             for doc_id, train, text in zip(batch.column("doc_id").to_pylist(), batch.column("train").to_pylist(), texts(batch)):
                 held.append((doc_id, train, np.concatenate([word_hashes(text.lower().split()), end])))
                 size += len(held[-1][2])
                 if size >= CHUNK_TOKENS:
-                    yield pa.RecordBatch.from_pylist([dict(zip(schema.names, r)) for r in chunk_rows((task << 24) + next(number), held, parts)], schema=schema)
+                    yield from rows()
                     held, size = [], 0
         if held:
-            yield pa.RecordBatch.from_pylist([dict(zip(schema.names, r)) for r in chunk_rows((task << 24) + next(number), held, parts)], schema=schema)
-
-    def count(table: pa.Table) -> pa.Table:
-        table = table.sort_by("chunk")
-        payloads = table.column("payload").to_pylist()
-        words, contexts, keys, counts = merged(payloads)
-        width = max(CONTEXTS, len(contexts))
-        at, context = keys // width, keys % width
-        variety = np.bincount(at, minlength=len(words))
-        row = {
-            "part": table.column("part")[0].as_py(),
-            "merged": _squeeze(_deltas(words), variety.astype("u4"), context.astype("u4"), counts.astype("u4"), _deltas(contexts)),
-            "chunks": [{"chunk": c, "payload": p} for c, p in zip(table.column("chunk").to_pylist(), payloads)],
-            "facts": [int(counts.sum()), len(words), int((counts == 1).sum()), int((counts == 2).sum()), int((variety == 1).sum()), int((variety == 2).sum()), len(keys)],
-        }
-        return pa.Table.from_pylist([row], schema=pa.schema([("part", pa.int32()), ("merged", pa.binary()), ("chunks", pa.list_(pa.struct([("chunk", pa.int64()), ("payload", pa.binary())]))), ("facts", pa.list_(pa.int64()))]))
-
-    kind = "part int, merged binary, chunks array<struct<chunk: long, payload: binary>>, facts array<long>"
+            yield from rows()
+
+    def add(rows):
+        return pa.table({"part": rows.column("part")[:1], "counts": pa.array([_packed(*combined(rows.column("counts").to_pylist()))], pa.binary())})
+
+    def count(rows):
+        words, contexts, keys, counts = combined(rows.column("counts").to_pylist())
+        variety = np.bincount(keys // max(CONTEXTS, len(contexts)), minlength=len(words))
+        facts = [int(counts.sum()), len(words), int((counts == 1).sum()), int((counts == 2).sum()), int((variety == 1).sum()), int((variety == 2).sum()), len(keys)]
+        return pa.table({"part": rows.column("part")[:1], "merged": pa.array([_packed(words, contexts, keys, counts)], pa.binary()), "facts": pa.array([facts], pa.list_(pa.int64()))})
+
     flagged = docs.select(F.col("doc_id").cast("long").alias("doc_id"), (F.pmod(crc(F.col("doc_id")), F.lit(5)) != 1).alias("train"), "text")
     with small_batches(docs.sparkSession):
-        return stored(flagged.mapInArrow(encode, "part int, chunk long, payload binary").groupBy("part").applyInArrow(count, kind), "language-model")
+        chunks = stored(flagged.mapInArrow(encode, "part int, chunk long, payload binary, counts binary"), "language-chunks")
+    each = chunks.select("part", F.pmod(F.xxhash64("chunk"), F.lit(slots)).alias("slot"), "counts")
+    if slots > 1:
+        each = each.groupBy("part", "slot").applyInArrow(add, "part int, counts binary")
+    found = each.select("part", "counts").groupBy("part").applyInArrow(count, "part int, merged binary, facts array<long>")
+    return chunks.select("part", "chunk", "payload"), stored(found, "language-model")
 
 
 #: What parts and slices tell each other: a part's counts (merged), its seating (state), what it adds to a slice (told), what it gets (sums).
@@ -314,8 +357,7 @@ class Told:
         held: dict[tuple[str, int], list[tuple[int, bytes]]] = {}
         for kind, turn, q, payload in zip(*(rows.column(x).to_pylist() for x in ("kind", "turn", "slice", "payload"))):
             held.setdefault((kind, turn), []).append((q, payload))
-        words, variety, context, counts, before = _spread(held["merged", 0][0][1])
-        self.part = Part(rows.column("part")[0].as_py(), np.cumsum(words, dtype="u8"), np.repeat(np.arange(len(words)), variety), context, counts, np.cumsum(before, dtype="u8"))
+        self.part = Part(rows.column("part")[0].as_py(), *_unpacked(held["merged", 0][0][1]))
         self.held, self.fixed, self.roots = held, fixed, roots
         self.customers = self._vector(0, 1)
 
@@ -346,7 +388,7 @@ def score_texts(docs: DataFrame, rounds: int = ROUNDS, averaged: int = AVERAGED)
     spark = docs.sparkSession
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts = int(size // PART_BYTES) + 1
-    table = _parts(docs, parts)
+    chunks, table = _parts(docs, parts, int(size // COUNTED_BYTES) + 1)
     facts = [float(x or 0) for x in table.agg(*(F.sum(F.get("facts", F.lit(i))) for i in range(7))).first()]
     discount = lambda once, twice: min(0.95, max(0.05, once / (once + 2 * twice))) if once else 0.5
     fixed = (int(facts[0]), int(facts[1]), (discount(facts[4], facts[5]), discount(facts[2], facts[3])))
@@ -385,7 +427,11 @@ def score_texts(docs: DataFrame, rounds: int = ROUNDS, averaged: int = AVERAGED)
     pieces = counted.unionAll(sums[0])
     for turn in last:
         pieces = pieces.unionAll(states[turn]).unionAll(sums[turn])
-    chunks = table.select("part", F.explode("chunks").alias("c")).select("part", *piece("chunk", 0, F.col("c.chunk"), F.col("c.payload")))
+    tasks = F.ceil(F.sum(F.length("payload")) / SCORED_BYTES).cast("int").alias("tasks")
+    tasks = small_enough(stored(chunks.groupBy("part").agg(tasks), "scoring-tasks"), 16)
+    pieces = pieces.join(tasks, "part").select(F.explode(F.sequence(F.lit(0), F.col("tasks") - 1)).alias("task"), *PIECE.names)
+    scored = chunks.select("part", *piece("chunk", 0, F.col("chunk"), F.col("payload"))).join(tasks, "part")
+    scored = scored.select(F.pmod(F.xxhash64("slice"), F.col("tasks")).cast("int").alias("task"), *PIECE.names)
 
     def total(rows: pa.Table) -> pa.Table:
         found = [_spread(x.as_py()) for x in rows.column("payload")]
@@ -398,7 +444,7 @@ def score_texts(docs: DataFrame, rounds: int = ROUNDS, averaged: int = AVERAGED)
                 names = pa.array(ids, mask=nulls.astype(bool))
         return pa.table({"doc_id": names, "held_out": np.arange(n_docs) >= n_train, "n_tokens": sums[0].astype("i8"), "n_known": sums[1].astype("i8"), "train_tokens": np.full(n_docs, int(facts[0])), "base_score": -sums[2] * BASE_STEP, "score": -sums[3] * STEP})
 
-    return pieces.unionAll(chunks).groupBy("part").applyInArrow(predict, "chunk long, payload binary").groupBy("chunk").applyInArrow(total, kind)
+    return pieces.unionAll(scored).groupBy("part", "task").applyInArrow(predict, "chunk long, payload binary").groupBy("chunk").applyInArrow(total, kind)
 
 
 class Predictor:
@@ -438,7 +484,7 @@ class Predictor:
         p[known] = value + np.where(self.keys[pair] == keys, self.extra[pair], 0.0) if len(self.keys) else value
         logs = np.log10(p)
         docs, where = np.unique(c.owner, return_inverse=True)
-        add = lambda x: np.bincount(where, x, len(docs))
+        add = lambda x: np.bincount(where, x * c.tokens, len(docs))
         rounded = lambda x, step: np.rint(-x / step).astype("i8")
         head = np.array([c.n_docs, int(c.n_train)], "u8")
-        return _squeeze(head, docs, add(None).astype("u4"), add(known.astype(float)).astype("u4"), rounded(add(base), BASE_STEP), rounded(add(logs), STEP), c.ids, c.nulls)
+        return _squeeze(head, docs, add(1).astype("u4"), add(known.astype(float)).astype("u4"), rounded(add(base), BASE_STEP), rounded(add(logs), STEP), c.ids, c.nulls)

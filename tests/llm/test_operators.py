@@ -181,6 +181,22 @@ def test_every_previous_word_is_a_context(spark, monkeypatch):
     assert 10 ** (-sum(r.score for r in found) / sum(r.n_tokens for r in found)) < 2
 
 
+def test_a_hot_word_is_split(spark, monkeypatch):
+    """Many tokens of one word are few entries, their scoring is dealt to several tasks, and the scores stay the same."""
+    end, hot = pitman_yor.word_hashes([b" "]), pitman_yor.word_hashes([b"hot"])
+    sizes = [len(next(pitman_yor.chunk_rows(0, [(1, True, np.concatenate([np.repeat(hot, n), end]))], 1))[2]) for n in (10, 100_000)]
+    assert sizes[1] < sizes[0] + 20
+    rng = np.random.default_rng(5)
+    rows = [(i, " ".join("hot" if x < 0.4 else f"w{int(x * 100)}" for x in rng.random(200))) for i in range(60)]
+    docs, found = spark.createDataFrame(rows, "doc_id long, text string").repartition(4).localCheckpoint(), []
+    monkeypatch.setattr(pitman_yor, "CHUNK_TOKENS", 500)
+    for scored, counted in ((1 << 40, 1 << 40), (500, 20_000)):
+        monkeypatch.setattr(pitman_yor, "SCORED_BYTES", scored)
+        monkeypatch.setattr(pitman_yor, "COUNTED_BYTES", counted)
+        found.append(pitman_yor.score_texts(docs).orderBy("doc_id").collect())
+    assert found[0] == found[1] and len(found[0]) == 60 and all(r.n_tokens == 201 for r in found[0])
+
+
 def test_language(spark, sf, docs, none):
     found = language.identify(docs).collect()
     assert len(found) == docs.count() and {r.lang_pred for r in found if r.doc_id in (8, 9, 10)} == {"und"}
