@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfcast.llm import frames, language, ledger, merge_counts, mixing, pitman_yor, site_lines, tiling, token_groups, url_reputation
+from shelfcast.llm import frames, language, ledger, merge_counts, mixing, pitman_yor, positive_unlabelled, search, site_lines, spelling, tiling, token_groups, url_reputation
 
 #: Shares of the token budget by domain.
 TARGETS = {"high": 0.94, "low": 0.05, "toxic": 0.01}
@@ -71,7 +71,22 @@ def op10_site_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return site_lines.drop_boilerplate(docs).withColumnRenamed("doc_id", "page_id")
 
 
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variant_groups(_table(spark, sf_dir, "documents"))
+
+
+def op12_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search.search(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+def op13_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return positive_unlabelled.score_quality(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 QUERIES = {
     f.__name__: f
-    for f in (op1_mixing, op2_token_groups, op3_url_reputation, op4_tiling, op5_pitman_yor, op6_language, op7_token_counts, op8_token_files, op9_quality_ledger, op10_site_lines)
-}
+    for f in (
+        op1_mixing, op2_token_groups, op3_url_reputation, op4_tiling, op5_pitman_yor, op6_language, op7_token_counts, op8_token_files, op9_quality_ledger,
+        op10_site_lines, op11_spelling, op12_search, op13_quality,
+    )
+}

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from shelfcast.llm.ledger import POLICIES, RULES
 from shelfcast.llm.site_lines import HIDDEN, INLINE
+from shelfcast.llm.spelling import LOWER, UPPER
 from shelfcast.llm.url_reputation import RULES as URL_RULES
 from shelfcast.llm.url_reputation import SUFFIXES
 
@@ -82,4 +83,20 @@ kept as (select id, count(*) as n, count(*) filter (b.line is not null) as dropp
 select page_id, host, coalesce(kept.text, '') as text, coalesce(n, 0)::bigint as n_lines, coalesce(dropped, 0)::bigint as n_dropped from seen left join kept using (id)"""
 
 
-ORACLES = {"op3_url_reputation": _urls(), "op9_quality_ledger": _ledger(), "op10_site_lines": _lines()}
+def _search(top: int = 20) -> str:
+    terms = lambda c: rf"regexp_extract_all(translate(coalesce({c}, ''), '{UPPER}', '{LOWER}'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+    return rf"""
+with items as (select row_number() over () as item, item_id, text from (select distinct item_id, text from benchmark)),
+wanted as (select item, term, count(*) as repeats from (select item, unnest({terms('text')}) as term from items) group by item, term),
+docs as (select row_number() over () as id, doc_id, {terms('text')} as terms from documents),
+sizes as (select id, len(terms) as n from docs where len(terms) > 0),
+totals as (select count(*) as docs, sum(n)::bigint as terms from sizes),
+counted as (select id, term, count(*) as tf from (select id, unnest(terms) as term from docs) semi join wanted using (term) group by id, term),
+weights as (select term, floor(1000 * ln((2 * docs + 2)::double / (2 * df + 1)::double))::bigint as w from (select term, count(*) as df from counted group by term), totals),
+worth as (select id, term, (1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * docs) // terms)) as worth from counted join sizes using (id), totals),
+sums as (select item, id, sum(repeats * w * worth)::bigint as score from wanted join weights using (term) join worth using (term) group by item, id),
+ranked as (select item, doc_id, score, row_number() over (partition by item order by score desc, doc_id nulls last) as place from sums join docs using (id) where score > 0)
+select item_id, place::int as rank, doc_id, score from ranked join items using (item) where place <= {top}"""
+
+
+ORACLES = {"op12_search": _search(), "op3_url_reputation": _urls(), "op9_quality_ledger": _ledger(), "op10_site_lines": _lines()}
