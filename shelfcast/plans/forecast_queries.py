@@ -7,17 +7,19 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from shelfcast.functions.series import ordered
+from shelfcast.functions.series import ordered, whole
 from shelfcast.operators import decompose as dc
 from shelfcast.operators import evaluate as ev
 from shelfcast.operators import forecast as fc
+from shelfcast.operators import results as rs
 from shelfcast.operators.features import split_forecast
 from shelfcast.plans.rounding import rounded
+from shelfcast.plans.sales_queries import forecast_requests
 from shelfcast.schema import SERIES
-from shelfcast.sources.scratch import snapshot
+from shelfcast.sources.scratch import scratch_path, snapshot
 from shelfcast.sources.tables import calendar, sales_panel
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -67,6 +69,42 @@ def _cache(spark: SparkSession, sf: str) -> DataFrame:
     return fc.skip_unchanged(keyed(panel, '{"seq_len":30}'), stored).select("model", *SERIES, "cache_hit")
 
 
+def _answered(spark: SparkSession, sf: str) -> DataFrame:
+    """Per request and model: rows and days of the forecast; or why the request was refused."""
+    answers = rs.answer_requests(forecast_requests(spark, sf), saved_panel(spark, sf), calendar(spark), scratch_path(spark, "store"))
+    facts = answers.forecasts.groupBy("request_id", "model").agg(
+        F.count("*").alias("rows"), F.min("date").alias("first_day"), F.max("date").alias("last_day"), F.count_if(F.col("forecast") < 0).alias("negative")
+    )
+    return answers.status.join(facts, "request_id", "left").select("request_id", "reason", "model", "rows", "first_day", "last_day", "negative")
+
+
+def _ranked_requests(spark: SparkSession, sf: str) -> DataFrame:
+    """Errors and ranks that requests for the autoregressive model get; SQL can state its backtest."""
+    panel = saved_panel(spark, sf)
+    asked = rs.request_everything(panel, 14, ("ARIMA",))
+    ranking = rs.answer_requests(asked, panel, calendar(spark), scratch_path(spark, "store")).ranking
+    return rounded(ranking.select(*SERIES, "model", *ev.METRICS, "sample_size", "score", "rank"))
+
+
+def _reused(spark: SparkSession, sf: str) -> DataFrame:
+    """Three runs on one store: all series, the same again, and with one changed value; hits, rows, and whether rows that were served again are equal."""
+    store, panel = scratch_path(spark, "store"), saved_panel(spark, sf)
+    last = F.col("date") == F.max("date").over(whole())
+    one = (F.col("store_nbr") == 2) & (F.col("family") == "PROMO") & last
+    changed = snapshot(panel.withColumn("sales", F.when(one, F.col("sales") + 1).otherwise(F.col("sales"))), "panel")
+    out = None
+    for i, (given, horizon) in enumerate(((panel, 14), (panel, 30), (changed, 14)), 1):
+        served = rs.answer_requests(rs.request_everything(given, horizon), given, calendar(spark), store).forecasts
+        content = F.bit_xor(F.when(F.datediff("date", "start") < 14, F.xxhash64("date", "forecast", "lower_ci", "upper_ci"))).alias(f"content{i}")
+        facts = served.withColumn("start", F.min("date").over(Window.partitionBy("model", *SERIES))).groupBy("model", *SERIES).agg(
+            F.bool_and("cache_hit").alias(f"hit{i}"), F.count("*").alias(f"rows{i}"), content
+        )
+        facts = snapshot(facts, "served")
+        out = facts if out is None else out.join(facts, ["model", *SERIES])
+    same = lambda i: (F.col(f"content{i}") == F.col("content1")).alias(f"same{i}")
+    return out.select("model", *SERIES, "hit1", "hit2", "hit3", "rows1", "rows2", "rows3", same(2), (same(3) | ~F.col("hit3")).alias("same3"))
+
+
 def _recent(spark: SparkSession, sf: str) -> DataFrame:
     df = fc.recent_window(sales_panel(spark, sf))
     return rounded(
@@ -201,6 +239,9 @@ QUERIES: dict[str, Query] = {
     "short_series_window": lambda s, d: fc.short_series_window(sales_panel(s, d), length=60),
     "series_fingerprint": lambda s, d: fc.series_fingerprint(sales_panel(s, d)),
     "skip_unchanged": _cache,
+    "forecast_by_request": _answered,
+    "request_ranking": _ranked_requests,
+    "results_reuse": _reused,
     "forecast_all": lambda s, d: fc.forecast_all(saved_panel(s, d), calendar(s)),
     # evaluation
     "align_pairs": lambda s, d: rounded(_aligned(s, d)),

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from shelfcast.plans.forecast_queries import GIVEN_INTERCEPT, GIVEN_WEIGHTS
-from shelfcast.plans.sales_sql import _FORECAST, _SPLIT, panel
+from shelfcast.plans.sales_sql import _CHECKED, _FORECAST, _REQUESTS, _SPLIT, panel
 from shelfcast.plans.sql_views import PANEL, with_views
 
 _W = "partition by family, store_nbr order by date"
@@ -97,6 +97,24 @@ ORACLES: dict[str, str] = {
         count(*) >= 20 and min(sales) < max(sales) as agree from panel group by 1, 2"""
     ),
     "series_fingerprint_classes": panel("select family, store_nbr, true as stable, store_nbr % 2 = 1 as changed from panel group by 1, 2"),
+    "forecast_by_request": panel(
+        f"""select c.request_id, c.reason, m.model, case when m.model is not null then cast(r.horizon as bigint) end as rows,
+          cast(s.last_day + 1 as date) as first_day, cast(s.last_day + r.horizon as date) as last_day, case when m.model is not null then cast(0 as bigint) end as negative
+        from ({_CHECKED}) c join requests r using (request_id)
+        left join (values ('ARIMA'), ('Prophet')) as m(model) on c.ok
+        left join (select family, store_nbr, max(date) as last_day from panel group by 1, 2) s on c.ok and s.family = r.family and s.store_nbr = r.store_nbr""",
+        _REQUESTS,
+    ),
+    "request_ranking": panel(
+        f"""select family, store_nbr, model, {_R('mae', 'rmse', 'mape', 'smape', 'r2')}, sample_size, 1.0::double as score, 1 as rank from metrics""",
+        _SPLIT, _FORECAST, _HISTORY,
+        "pairs as (select 'ARIMA' as model, family, store_nbr, date, sales as actual, greatest(mean7, 0) as predicted from history where split = 'test' and n >= 30)", _METRICS,
+    ),
+    "results_reuse": panel(
+        """select model, family, store_nbr, false as hit1, true as hit2, not (store_nbr = 2 and family = 'PROMO') as hit3, cast(14 as bigint) as rows1, cast(30 as bigint) as rows2,
+          cast(14 as bigint) as rows3, true as same2, true as same3
+        from (select family, store_nbr from panel group by 1, 2 having count(*) >= 30), (values ('ARIMA'), ('Prophet'), ('LSTM')) as m(model)"""
+    ),
     "decomposition_status": panel(
         """select family, store_nbr, count(*) as days, case when count(*) < 14 then 'series too short' when min(sales) = max(sales) then 'constant series' else 'ok' end as reason
         from panel group by 1, 2"""

@@ -134,6 +134,13 @@ _REPORT = " union all ".join(
     ]
 )
 
+_CHECKED = """select request_id, reason = 'ok' as ok, reason from (select r.request_id,
+  case when r.family is null then 'family missing' when r.store_nbr is null or r.store_nbr = 0 then 'store missing' when models = 'none' then 'no model chosen'
+    when models = 'bad' then 'model not supported' when horizon not between 7 and 90 then 'horizon out of range'
+    when r.family not in (select family from panel) then 'family unknown'
+    when r.store_nbr not in (select store_nbr from panel) then 'store unknown'
+    when coalesce(s.n, 0) < 30 then 'series too short' else 'ok' end as reason
+  from requests r left join (select family, store_nbr, count(*) as n from panel group by all) s on s.family = r.family and s.store_nbr = r.store_nbr)"""
 _REQUESTS = """requests as (
   select c_custkey as request_id, (['ECONOMY','LARGE','MEDIUM','PROMO','SMALL','STANDARD','GARDEN',null])[c_custkey % 8 + 1] as family,
     cast(c_nationkey as int) as store_nbr, cast(c_custkey % 100 as int) as horizon,
@@ -184,13 +191,7 @@ ORACLES: dict[str, str] = {
     "validation_report_errors": raw(f"select 'error' as level, 'bad_date' as code, count(*) as n from raw_text where date is not null and {_TO_DAY} is null", TEXT),
     "options": panel("select distinct 'family' as kind, family as value, family as label from panel union all select distinct 'store', cast(store_nbr as varchar), cast(store_nbr as varchar) from panel"),
     "forecast_request_check": panel(
-        """select request_id, reason = 'ok' as ok, reason from (select r.request_id,
-        case when r.family is null then 'family missing' when r.store_nbr is null or r.store_nbr = 0 then 'store missing' when models = 'none' then 'no model chosen'
-          when models = 'bad' then 'model not supported' when horizon not between 7 and 90 then 'horizon out of range'
-          when r.family not in (select family from panel) then 'family unknown'
-          when r.store_nbr not in (select store_nbr from panel) then 'store unknown'
-          when coalesce(s.n, 0) < 30 then 'series too short' else 'ok' end as reason
-        from requests r left join (select family, store_nbr, count(*) as n from panel group by all) s on s.family = r.family and s.store_nbr = r.store_nbr)""",
+        _CHECKED,
         _REQUESTS,
     ),
     "coerce_types": raw(
