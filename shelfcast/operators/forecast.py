@@ -18,7 +18,7 @@ from pyspark.ml.regression import GeneralizedLinearRegression
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfcast.functions import solvers
+from shelfcast.functions import arma, solvers
 from shelfcast.functions.series import ordered, spread, whole
 from shelfcast.functions.values import clip_low
 from shelfcast.operators.decompose import key_schema, per_series
@@ -108,7 +108,87 @@ def forecast_status(df: DataFrame, series: Sequence[str] = SERIES) -> DataFrame:
     return facts.select(*series, "days", F.when(F.col("days") < MIN_SERIES_ROWS, f"fewer than {MIN_SERIES_ROWS} days").otherwise("ok").alias("reason"))
 
 
-_ARIMA_COLUMNS = "kind string, date date, actual double, value double, lower_ci double, upper_ci double, p int, d int, q int, aic double, bic double"
+_MODEL = "const double, phi array<double>, theta array<double>, sigma2 double"
+_FIT = f"p int, d int, q int, aic double, bic double, whole struct<{_MODEL}>, trained struct<{_MODEL}>"
+
+
+def _points(df: DataFrame, series: Sequence[str]) -> DataFrame:
+    """One row per series with its days and values in order."""
+    points = F.sort_array(F.collect_list(F.struct("date", F.col("sales").alias("actual"))))
+    return spread(df.select(*series, "date", "sales"), series).groupBy(*series).agg(points.alias("points"))
+
+
+def _values(points: Column | str) -> Column:
+    return F.transform(points, lambda x: x["actual"])
+
+
+def _fitted(points: DataFrame, criterion: str) -> DataFrame:
+    """Adds the columns of `fit_arima` to series of 30 rows and more; Python gets an array and gives back coefficients."""
+
+    def cell(model: dict) -> dict:
+        padded = {c: np.r_[model[c], np.zeros(arma.TERMS - len(model[c]))].tolist() for c in ("phi", "theta")}
+        return {"const": float(model["const"]), **padded, "sigma2": float(model["sigma2"])}
+
+    def one(y: np.ndarray) -> tuple:
+        order, trained = _choose(y[: _ends(len(y))[0]], criterion)
+        full = _fit(y, order) or _mean_model(y, order[1])
+        return (*order, full["aic"], full["bic"], cell(full), cell(trained))
+
+    @F.pandas_udf(_FIT)
+    def fit(values: pd.Series) -> pd.DataFrame:
+        return pd.DataFrame([one(np.asarray(y, float)) for y in values], columns=["p", "d", "q", "aic", "bic", "whole", "trained"])
+
+    return points.filter(F.size("points") >= MIN_SERIES_ROWS).withColumn("fit", fit(_values("points"))).select("*", "fit.*").drop("fit")
+
+
+def fit_arima(df: DataFrame, criterion: str = "aic", series: Sequence[str] = SERIES) -> DataFrame:
+    """Per series the order that is best on its training part, and the coefficients from the whole series and from that part.
+
+    Coefficients come as arrays of equal length, 0 behind the order. Series under 30 rows give no row.
+    """
+    return _fitted(_points(df, series), criterion).drop("points")
+
+
+def apply_arima(
+    df: DataFrame, fitted: DataFrame, horizon: int = 30, kinds: Sequence[str] = ("forecast", "fitted", "backtest"), series: Sequence[str] = SERIES
+) -> DataFrame:
+    """What models with given coefficients (series, p, d, q, aic, bic, whole, trained) make of their series; by kind:
+
+    forecast  h days with the coefficients `whole`, 95 % interval
+    fitted    in-sample one-step values of these beside the actual ones
+    backtest  one-step values of the test part with the coefficients `trained`, validation left out
+    Nothing is below 0. All of it is expressions over one array per series.
+    """
+    return _applied(_points(df, series).join(fitted, list(series)), horizon, kinds, series)
+
+
+def _applied(rows: DataFrame, horizon: int, kinds: Sequence[str], series: Sequence[str]) -> DataFrame:
+    null = "cast(null as double)"
+    low0 = lambda x: f"if({x} < 0, 0D, {x})"
+
+    def cell(kind: str, date: str, actual: str, value: str, low: str = null, high: str = null) -> str:
+        return f"named_struct('kind', '{kind}', 'date', {date}, 'actual', {actual}, 'value', {low0(value)}, 'lower_ci', {low0(low)}, 'upper_ci', {low0(high)})"
+
+    cells = []
+    rows = rows.withColumn("y", _values("points")).withColumn("w", arma.differences("y", "d"))
+    if {"forecast", "fitted"} & set(kinds):
+        rows = rows.withColumn("errors", arma.shocks("w", "whole", "q"))
+    if "forecast" in kinds:
+        rows = rows.withColumn("ahead", arma.ahead("w", "errors", "whole", horizon))
+        rows = rows.withColumns({"path": arma.integrated("y", "ahead", "d"), "se": arma.spread_ahead("d", "whole", horizon)})
+        made = cell("forecast", "date_add(element_at(points, -1).date, i + 1)", null, "x", f"(x - {Z95}D * se[i + 1])", f"(x + {Z95}D * se[i + 1])")
+        cells.append(f"transform(path, (x, i) -> {made})")
+    if "fitted" in kinds:
+        rows = rows.withColumn("one_step", arma.one_step("y", "d", "errors"))
+        cells.append(f"zip_with(points, one_step, (p, x) -> {cell('fitted', 'p.date', 'p.actual', 'x')})")
+    if "backtest" in kinds:
+        n = F.size("points")
+        train_end, val_end = (F.floor(n * F.lit(r)).cast("int") for r in (TRAIN_RATIO, TRAIN_RATIO + VAL_RATIO))
+        rows = rows.withColumns({"train_end": train_end, "tested": F.slice("points", val_end + 1, F.greatest(n - val_end, F.lit(0)))})
+        rows = rows.withColumn("known", F.concat(F.slice("y", F.lit(1), F.col("train_end")), _values("tested"))).withColumn("known_w", arma.differences("known", "d"))
+        rows = rows.withColumn("known_errors", arma.shocks("known_w", "trained", "q")).withColumn("known_step", arma.one_step("known", "d", "known_errors"))
+        cells.append(f"zip_with(tested, slice(known_step, train_end + 1, size(tested)), (p, x) -> {cell('backtest', 'p.date', 'p.actual', 'x')})")
+    return rows.select(*series, F.expr(f"inline(concat({', '.join(cells)}))"), "p", "d", "q", "aic", "bic")
 
 
 def arima(
@@ -118,43 +198,8 @@ def arima(
     criterion: str = "aic",
     series: Sequence[str] = SERIES,
 ) -> DataFrame:
-    """Order from the training part; then, by kind:
-
-    forecast  h days from a fit on the whole series, 95 % interval
-    fitted    in-sample one-step values of that fit beside the actual ones
-    backtest  one-step values of the test part, parameters from the training part, validation left out
-    Nothing is below 0. Series under 30 rows give no rows.
-    """
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        y, dates = pdf["sales"].to_numpy(float), pd.to_datetime(pdf["date"])
-        parts = []
-        if len(y) >= MIN_SERIES_ROWS:
-            train_end, val_end = _ends(len(y))
-            order, trained = _choose(y[:train_end], criterion)
-            d = order[1]
-            full = _fit(y, order) or _mean_model(y, d)
-            labels = dict(zip("pdq", order), aic=full["aic"], bic=full["bic"])
-            if "forecast" in kinds:
-                path, se = solvers.arima_forecast(y, d, full, horizon)
-                days = pd.date_range(dates.iloc[-1] + pd.Timedelta(days=1), periods=horizon)
-                parts.append(pd.DataFrame({"kind": "forecast", "date": days, "value": path, "lower_ci": path - Z95 * se, "upper_ci": path + Z95 * se}))
-            if "fitted" in kinds:
-                parts.append(pd.DataFrame({"kind": "fitted", "date": dates, "actual": y, "value": solvers.arima_one_step(y, d, full)}))
-            if "backtest" in kinds:
-                known = np.r_[y[:train_end], y[val_end:]]
-                value = solvers.arima_one_step(known, d, trained)[train_end:]
-                parts.append(pd.DataFrame({"kind": "backtest", "date": dates[val_end:], "actual": y[val_end:], "value": value}))
-        columns = [c.split()[0] for c in _ARIMA_COLUMNS.split(", ")]
-        if not parts:
-            return pd.DataFrame(columns=columns)
-        out = pd.concat(parts, ignore_index=True).assign(**labels).reindex(columns=columns)
-        values = ["value", "lower_ci", "upper_ci"]
-        out[values] = out[values].clip(lower=0.0)
-        out["date"] = out["date"].dt.date
-        return out
-
-    return per_series(spread(df.select(*series, "date", "sales"), series), run, _ARIMA_COLUMNS, series)
+    """Rows as of `apply_arima` with the coefficients of `fit_arima`: only the fit leaves the JVM."""
+    return _applied(_fitted(_points(df, series), criterion), horizon, kinds, series)
 
 
 def arima_forecast(df: DataFrame, horizon: int = 30, series: Sequence[str] = SERIES) -> DataFrame:
@@ -313,16 +358,21 @@ def decomposable_forecast(
     use_promo: bool = False,
     planned: DataFrame | None = None,
     series: Sequence[str] = SERIES,
+    fitted: DataFrame | None = None,
 ) -> DataFrame:
-    """h days per series with interval and components, fitted on the whole series."""
+    """h days per series with interval and components, fitted on the whole series or with the coefficients in `fitted`."""
     design = design_rows(_with_future(df, horizon, planned if use_promo else None, series), calendar, use_promo, series)
-    return score_decomposable(design.filter(~F.col("learn")), fit_decomposable(design, multiplicative, series), multiplicative, series).drop("actual")
+    return score_decomposable(design.filter(~F.col("learn")), fitted or fit_decomposable(design, multiplicative, series), multiplicative, series).drop("actual")
 
 
 def changepoints(df: DataFrame, calendar: DataFrame, multiplicative: bool = True, series: Sequence[str] = SERIES) -> DataFrame:
     """(series, date, delta): where the trend may bend and by how much, per unit of the series' time span."""
     design = design_rows(_long_enough(df, series).withColumn("learn", F.lit(True)), calendar, series=series)
-    fitted = fit_decomposable(design, multiplicative, series)
+    return bends(df, fit_decomposable(design, multiplicative, series), series)
+
+
+def bends(df: DataFrame, fitted: DataFrame, series: Sequence[str] = SERIES) -> DataFrame:
+    """The days and sizes of the bends in given coefficients (series, beta)."""
     bounds = df.groupBy(*series).agg(F.min("date").alias("first_day"), F.max("date").alias("last_day"))
     bend = F.posexplode(F.slice("beta", 3, CHANGEPOINTS)).alias("pos", "delta")
     offset = F.round(F.datediff("last_day", "first_day") * (F.col("pos") + 1) * F.lit(CHANGE_RANGE / CHANGEPOINTS)).cast("int")
@@ -330,12 +380,17 @@ def changepoints(df: DataFrame, calendar: DataFrame, multiplicative: bool = True
 
 
 def backtest_decomposable(
-    df: DataFrame, calendar: DataFrame, multiplicative: bool = True, use_promo: bool = False, series: Sequence[str] = SERIES
+    df: DataFrame,
+    calendar: DataFrame,
+    multiplicative: bool = True,
+    use_promo: bool = False,
+    series: Sequence[str] = SERIES,
+    fitted: DataFrame | None = None,
 ) -> DataFrame:
-    """Fit on the training part, predict the test days."""
+    """Fit on the training part, or take the coefficients in `fitted`, and predict the test days."""
     rows = split_forecast(_long_enough(df, series), series).withColumn("learn", F.col("split") == "train").filter("split != 'val'")
     design = design_rows(rows, calendar, use_promo, series)
-    scored = score_decomposable(design.filter(~F.col("learn")), fit_decomposable(design, multiplicative, series), multiplicative, series)
+    scored = score_decomposable(design.filter(~F.col("learn")), fitted or fit_decomposable(design, multiplicative, series), multiplicative, series)
     return scored.select(*series, "date", "actual", F.col("forecast").alias("predicted"))
 
 
@@ -397,7 +452,11 @@ def _predict(window: Column, weights: list[float], intercept: float) -> Column:
 def window_regression(df: DataFrame, length: int = WINDOW_LENGTH, series: Sequence[str] = SERIES) -> DataFrame:
     """Train the shared model; per part, its loss (mean squared error of scaled values) and window count."""
     windows = model_windows(df, length, series)
-    weights, intercept = fit_window_model(windows)
+    return window_loss(windows, *fit_window_model(windows))
+
+
+def window_loss(windows: DataFrame, weights: list[float], intercept: float) -> DataFrame:
+    """Per part, the mean squared error of given weights and the number of windows."""
     error = _predict(F.col("window"), weights, intercept) - F.col("label")
     return windows.groupBy("split").agg(F.avg(error * error).alias("loss"), F.count("*").alias("windows"))
 

@@ -40,9 +40,8 @@ ORACLES: dict[str, str] = {
     "write_daily_total": SALES["daily_total"],
     "read_calendar": v.with_views("select distinct date from order_calendar where type in ('Holiday','Event','Additional') and not transferred", ORDER_CALENDAR),
     "export_forecast": panel(
-        """select family, store_nbr, 'ARIMA' as model, date, sales as forecast, sales * 0.5::double as lower_ci, sales * 1.5::double as upper_ci
-        from (select *, row_number() over (partition by family, store_nbr order by date desc) as back from panel) where back > 2
-        union all select family, store_nbr, 'LSTM', date, sales, null, null from panel"""
+        """select family, store_nbr, model, date, sales as forecast, case when model = 'ARIMA' then sales * 0.5::double end as lower_ci, case when model = 'ARIMA' then sales * 1.5::double end as upper_ci
+        from (select *, row_number() over (partition by family, store_nbr order by date desc) as back from panel), (values ('ARIMA'), ('LSTM')) as m(model) where model = 'LSTM' or back > 2"""
     ),
     "ingest_stream": SALES["handle_outliers"],
 }

@@ -10,6 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from shelfcast.functions import arma
 from shelfcast.functions.series import ordered, whole
 from shelfcast.operators import decompose as dc
 from shelfcast.operators import evaluate as ev
@@ -132,6 +133,68 @@ def _given_backtest(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(fc.backtest_window(sales_panel(spark, sf), GIVEN_WEIGHTS, GIVEN_INTERCEPT, length=7))
 
 
+#: Given coefficients by the number of differences: stores with odd numbers are taken as they are, the others differenced once.
+GIVEN_PHI, GIVEN_THETA, GIVEN_CONST, GIVEN_SIGMA2 = (0.4137, 0.1993), (0.3071, -0.2113), {0: 2.0173, 1: 0.1013}, 9.0
+
+
+def _given_arima(kind: str, horizon: int = 10) -> Query:
+    """Rows of one kind from an autoregressive moving-average model with given coefficients."""
+
+    def run(spark: SparkSession, sf: str) -> DataFrame:
+        panel = saved_panel(spark, sf)
+        listed = lambda c: F.array(*map(F.lit, (*c, *[0.0] * (arma.TERMS - len(c)))))
+        d = F.when(F.col("store_nbr") % 2 == 1, 0).otherwise(1)
+        const = F.when(d == 0, GIVEN_CONST[0]).otherwise(GIVEN_CONST[1])
+        model = F.struct(const.alias("const"), listed(GIVEN_PHI).alias("phi"), listed(GIVEN_THETA).alias("theta"), F.lit(GIVEN_SIGMA2).alias("sigma2"))
+        none = F.lit(None).cast("double")
+        series = fc.forecast_status(panel).filter("reason = 'ok'")
+        given = series.select(*SERIES, F.lit(2).alias("p"), d.alias("d"), F.lit(2).alias("q"), none.alias("aic"), none.alias("bic"), model.alias("whole"), model.alias("trained"))
+        rows = fc.apply_arima(panel, given, horizon, (kind,))
+        return rounded(rows.select(*SERIES, "date", *(["value", "lower_ci", "upper_ci"] if kind == "forecast" else ["actual", "value"])))
+
+    return run
+
+
+#: Given coefficients of the decomposable model over its design row, effects of holiday names, and spread.
+GIVEN_BETA = [3.1, 0.4, *(0.05 * (-1) ** j / j for j in range(1, fc.CHANGEPOINTS + 1)), *(0.21 / (k + 2) for k in range(2 * fc.YEARLY)), *(0.07 * (-1) ** k / (k + 1) for k in range(2 * fc.WEEKLY))]
+GIVEN_EFFECTS, GIVEN_SPREAD = {"Xmas": 0.6, "Fair": -0.4, "Town day": 0.25}, 0.3
+
+
+def _given_coefficients(panel: DataFrame) -> DataFrame:
+    listed = lambda values: F.array(*map(F.lit, values))
+    return panel.select(*SERIES).distinct().select(
+        *SERIES, listed(GIVEN_BETA).alias("beta"), listed(GIVEN_EFFECTS).alias("names"), listed(GIVEN_EFFECTS.values()).alias("effects"), F.lit(GIVEN_SPREAD).alias("spread")
+    )
+
+
+def _given_decomposable(spark: SparkSession, sf: str) -> DataFrame:
+    """Ten days ahead with bounds and components."""
+    panel = saved_panel(spark, sf)
+    return rounded(fc.decomposable_forecast(panel, calendar(spark), 10, fitted=_given_coefficients(panel)))
+
+
+def _given_decomposable_history(spark: SparkSession, sf: str) -> DataFrame:
+    """The additive form over the history, with the days of events."""
+    panel = saved_panel(spark, sf)
+    design = fc.design_rows(panel.withColumn("learn", F.lit(True)), calendar(spark))
+    scored = fc.score_decomposable(design, _given_coefficients(panel), multiplicative=False)
+    return rounded(scored.select(*SERIES, "date", "actual", "forecast", "holidays", "weekly"))
+
+
+def _given_decomposable_backtest(spark: SparkSession, sf: str) -> DataFrame:
+    panel = saved_panel(spark, sf)
+    return rounded(fc.backtest_decomposable(panel, calendar(spark), fitted=_given_coefficients(panel)))
+
+
+def _given_bends(spark: SparkSession, sf: str) -> DataFrame:
+    panel = saved_panel(spark, sf)
+    return rounded(fc.bends(panel, _given_coefficients(panel)))
+
+
+def _given_loss(spark: SparkSession, sf: str) -> DataFrame:
+    return rounded(fc.window_loss(fc.model_windows(sales_panel(spark, sf), 7), GIVEN_WEIGHTS, GIVEN_INTERCEPT))
+
+
 def _forecast_shape(forecasts: DataFrame, panel: DataFrame) -> DataFrame:
     """Per series: number of rows, first day after the history, gaps between days, rows out of bounds."""
     last = panel.groupBy(*SERIES).agg(F.max("date").alias("last"))
@@ -227,6 +290,17 @@ QUERIES: dict[str, Query] = {
     "backtest_decomposable_shape": lambda s, d: _backtest_shape(fc.backtest_decomposable(saved_panel(s, d), calendar(s))),
     "recursive_forecast_given": _given_recursion,
     "backtest_window_given": _given_backtest,
+    "unit_root_lag0": lambda s, d: rounded(dc.unit_root_given_lag(sales_panel(s, d), 0)),
+    "unit_root_lag1": lambda s, d: rounded(dc.unit_root_given_lag(sales_panel(s, d), 1)),
+    "difference_order_lag1": lambda s, d: dc.difference_order_given_lag(saved_panel(s, d), 1),
+    "decomposable_given": _given_decomposable,
+    "decomposable_history_given": _given_decomposable_history,
+    "backtest_decomposable_given": _given_decomposable_backtest,
+    "changepoints_given": _given_bends,
+    "window_loss_given": _given_loss,
+    "arima_given": _given_arima("forecast"),
+    "fitted_given": _given_arima("fitted"),
+    "backtest_arima_given": _given_arima("backtest"),
     "seasonal_decomposition_sums": _decomposition_sums,
     "fitted_vs_actual_shape": _fitted_shape,
     "order_search_range": _orders_in_range,

@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
-from shelfcast.plans.forecast_queries import GIVEN_INTERCEPT, GIVEN_WEIGHTS
+import math
+
+from shelfcast.operators.decompose import TAU_STATIONARY
+from shelfcast.operators.forecast import CHANGE_RANGE, CHANGEPOINTS, WEEKLY, YEARLY, Z80, Z95
+from shelfcast.plans.forecast_queries import GIVEN_BETA, GIVEN_CONST, GIVEN_EFFECTS, GIVEN_INTERCEPT, GIVEN_PHI, GIVEN_SIGMA2, GIVEN_SPREAD, GIVEN_THETA, GIVEN_WEIGHTS
 from shelfcast.plans.sales_sql import _CHECKED, _FORECAST, _REQUESTS, _SPLIT, panel
-from shelfcast.plans.sql_views import PANEL, with_views
+from shelfcast.plans.sql_views import CALENDAR, PANEL, with_views
 
 _W = "partition by family, store_nbr order by date"
 _HISTORY = f"""history as (select *, avg(sales) over ({_W} rows between 7 preceding and 1 preceding) as mean7,
@@ -46,6 +50,74 @@ _PADDED = "list_concat(list_transform(range(7 - len(past)), lambda i: past[1]),
 _GIVEN = f"{GIVEN_INTERCEPT}::double" + "".join(f" + w[{i}] * {x}::double" for i, x in enumerate(GIVEN_WEIGHTS, 1))
 
 
+def _given_arma(source: str) -> tuple[str, str]:
+    """One-step errors of the given model over (family, store_nbr, date, y): a recursion along each series' list of values."""
+    (f1, f2), (t1, t2) = GIVEN_PHI, GIVEN_THETA
+    const = f"case when store_nbr % 2 = 1 then {GIVEN_CONST[0]}::double else {GIVEN_CONST[1]}::double end"
+    lists = f"""lists as (select family, store_nbr, days, y, w, c, c / (1 - {f1 + f2}::double) as mean from (
+      select *, {const} as c, case when store_nbr % 2 = 1 then y else list_transform(range(1, len(y)), lambda i: y[i + 1] - y[i]) end as w
+      from (select family, store_nbr, list(date order by date) as days, list(y order by date) as y from ({source}) group by 1, 2)))"""
+    steps = f"""bases as (select *, list_transform(range(1, len(w) + 1), lambda i: w[i] - c - {f1}::double * case when i > 1 then w[i - 1] else mean end
+        - {f2}::double * case when i > 2 then w[i - 2] else mean end) as base from lists),
+    steps as (select family, store_nbr, base, 0 as k, 0.0::double as e1, 0.0::double as e2 from bases
+      union all select family, store_nbr, base, k + 1, base[k + 1] - ({t1}::double * e1 + {t2}::double * e2), e1 from steps where k < len(base))"""
+    return lists, steps
+
+
+_ONE_STEP = """values as (select l.family, l.store_nbr, l.days[pos] as date, l.y[pos] as actual, case when l.store_nbr % 2 = 1 or pos > 1 then l.y[pos] - e1 else l.y[pos] end as value, pos
+  from (select *, k + len(y) - len(w) as pos from steps join lists using (family, store_nbr) where k > 0
+    union all select *, 1 from steps join lists using (family, store_nbr) where k = 0 and store_nbr % 2 = 0) l)"""
+_AHEAD = f"""lasts as (select family, store_nbr, days[len(days)] as last_day, y[len(y)] as last_y, c, w[len(w)] as w1, w[len(w) - 1] as w2, e1, e2
+    from steps join lists using (family, store_nbr) where k = len(base)),
+  path as (select family, store_nbr, 0 as h, w1, w2, e1, e2, last_y, 0.0::double as v, 0.0::double as p1, 0.0::double as p2, 0.0::double as p3, 0.0::double as s from lasts
+    union all select family, store_nbr, h + 1, nxt, w1, 0, e1, nxt_y, nxt_y, psi, p1, p2, s + psi * psi from (
+      select *, case when store_nbr % 2 = 1 then nxt else last_y + nxt end as nxt_y from (
+        select *, case when store_nbr % 2 = 1 then {GIVEN_CONST[0]}::double else {GIVEN_CONST[1]}::double end + {GIVEN_PHI[0]}::double * w1 + {GIVEN_PHI[1]}::double * w2
+            + {GIVEN_THETA[0]}::double * e1 + {GIVEN_THETA[1]}::double * e2 as nxt,
+          case h when 0 then 1.0::double when 1 then {GIVEN_THETA[0]}::double when 2 then {GIVEN_THETA[1]}::double else 0 end
+            + case when store_nbr % 2 = 1 then {GIVEN_PHI[0]}::double * p1 + {GIVEN_PHI[1]}::double * p2
+              else {1 + GIVEN_PHI[0]}::double * p1 + ({GIVEN_PHI[1]}::double - {GIVEN_PHI[0]}::double) * p2 - {GIVEN_PHI[1]}::double * p3 end as psi
+        from path where h < 10)))"""
+_LONG_SERIES = "select family, store_nbr, date, sales as y from parts where n >= 30"
+
+
+def _given_arma_sql(body: str, source: str, *views: str) -> str:
+    return with_views(body, PANEL, _SPLIT, _FORECAST, *_given_arma(source), *views, recursive=True)
+
+
+def _unit_root(lag: int, source: str, name: str) -> str:
+    """Statistic of the regression of the change on the value before and at most one change before it, from covariances."""
+    cells = lambda *names: ", ".join(f"covar_pop({a}, {b}) * count(*) as {a}_{b}" for i, a in enumerate(names) for b in names[i:])
+    rows = f"""select family, store_nbr, v0, change, lag(change) over ({_W}) as v1 from (
+      select *, lag(y) over ({_W}) as v0, y - lag(y) over ({_W}) as change from ({source}) where y is not null)"""
+    known = "v0 is not null" + (" and v1 is not null" if lag else "")
+    left = lambda a, b: f"{a}_{b}" if not lag else f"({a}_{b} - {a}_v1 * {'v1_' + b if b != 'v0' else 'v0_v1'} / v1_v1)"
+    names = ("v0", "v1", "change") if lag else ("v0", "change")
+    return f"""{name} as (select family, store_nbr, n, slope / sqrt((cc - slope * vc) / ((n - {lag + 2}) * vv)) as statistic from (
+      select *, vc / vv as slope from (select family, store_nbr, n, {left('v0', 'v0')} as vv, {left('v0', 'change')} as vc, {left('change', 'change') if not lag else '(change_change - v1_change * v1_change / v1_v1)'} as cc
+        from (select family, store_nbr, count(*) as n, {cells(*names)} from ({rows}) where {known} group by 1, 2))))"""
+
+
+_TERMS = [
+    "1", "t", *(f"greatest(0, t - {CHANGE_RANGE * j / CHANGEPOINTS!r}::double)" for j in range(1, CHANGEPOINTS + 1)),
+    *(f"{f}(day_no * {2 * math.pi * k / period!r}::double)" for period, count in ((365.25, YEARLY), (7.0, WEEKLY)) for k in range(1, count + 1) for f in ("sin", "cos")),
+]
+_PARTS = {"trend": (0, 2 + CHANGEPOINTS), "yearly": (2 + CHANGEPOINTS, 2 + CHANGEPOINTS + 2 * YEARLY), "weekly": (2 + CHANGEPOINTS + 2 * YEARLY, len(_TERMS))}
+_EFFECT = "case holiday " + " ".join(f"when '{k}' then {x}::double" for k, x in GIVEN_EFFECTS.items()) + " else 0 end"
+
+
+def _given_design(days: str) -> str:
+    """Components of the given decomposable model over (family, store_nbr, date, first_day, last_day, actual)."""
+    sums = ", ".join(f"{' + '.join(f'{GIVEN_BETA[i]!r}::double * {_TERMS[i]}' for i in range(*at))} as {name}" for name, at in _PARTS.items())
+    return f"""effects as (select date, sum({_EFFECT}) as effect from (select distinct holiday, date from (
+      select description as holiday, cast(date + unnest(case type when 'Holiday' then [-1, 0, 1] else [0] end) as date) as date from calendar where type in ('Holiday', 'Event', 'Additional') and not transferred)) group by 1),
+    scored as (select s.*, coalesce(effect, 0) as holidays from (select *, {sums} from (
+      select *, date_diff('day', first_day, date)::double / greatest(date_diff('day', first_day, last_day), 1) as t, date_diff('day', date '1970-01-01', date) as day_no from ({days}))) s left join effects using (date))"""
+
+
+_SPAN = "select family, store_nbr, min(date) as first_day, max(date) as last_day from panel group by 1, 2 having count(*) >= 30"
+
+
 def _shape(rows: int = 30) -> str:
     """What each series that is long enough must show of a forecast."""
     return panel(
@@ -69,6 +141,57 @@ ORACLES: dict[str, str] = {
     "window_forecast_shape": _shape(),
     "backtest_arima_shape": _TESTED,
     "backtest_decomposable_shape": _TESTED,
+    "unit_root_lag0": panel(
+        f"select family, store_nbr, n, round(statistic, 6) as statistic, statistic < {TAU_STATIONARY}::double as is_stationary from root", _unit_root(0, "select *, sales as y from panel", "root")
+    ),
+    "unit_root_lag1": panel(
+        f"select family, store_nbr, n, round(statistic, 6) as statistic, statistic < {TAU_STATIONARY}::double as is_stationary from root", _unit_root(1, "select *, sales as y from panel", "root")
+    ),
+    "difference_order_lag1": panel(
+        f"""select family, store_nbr, case when a.statistic < {TAU_STATIONARY}::double then 0 when b.statistic < {TAU_STATIONARY}::double then 1 else 2 end as d
+        from root a join step_root b using (family, store_nbr)""",
+        _unit_root(1, "select *, sales as y from panel", "root"), _unit_root(1, f"select *, sales - lag(sales) over ({_W}) as y from panel", "step_root"),
+    ),
+    "decomposable_given": panel(
+        f"""select family, store_nbr, date, round(greatest(exp(total), 0), 6) as forecast, round(greatest(exp(total - {Z80 * GIVEN_SPREAD!r}::double), 0), 6) as lower_ci,
+          round(greatest(exp(total + {Z80 * GIVEN_SPREAD!r}::double), 0), 6) as upper_ci, round(exp(trend), 6) as trend, round(exp(weekly) - 1, 6) as weekly, round(exp(yearly) - 1, 6) as yearly,
+          round(exp(holidays) - 1, 6) as holidays from (select *, trend + yearly + weekly + holidays as total from scored)""",
+        CALENDAR, _given_design(f"select family, store_nbr, cast(last_day + cast(h as int) as date) as date, first_day, last_day from ({_SPAN}), (select unnest(range(1, 11)) as h)"),
+    ),
+    "decomposable_history_given": panel(
+        """select family, store_nbr, date, actual, round(greatest(trend + yearly + weekly + holidays, 0), 6) as forecast, round(holidays, 6) as holidays, round(weekly, 6) as weekly from scored""",
+        CALENDAR,
+        _given_design("select family, store_nbr, date, sales as actual, min(date) over (partition by family, store_nbr) as first_day, max(date) over (partition by family, store_nbr) as last_day from panel"),
+    ),
+    "backtest_decomposable_given": panel(
+        "select family, store_nbr, date, actual, round(greatest(exp(trend + yearly + weekly + holidays), 0), 6) as predicted from scored",
+        _SPLIT, _FORECAST, CALENDAR,
+        _given_design(
+            """select * exclude (split) from (select family, store_nbr, date, sales as actual, split, min(case when split = 'train' then date end) over (partition by family, store_nbr) as first_day,
+              max(case when split = 'train' then date end) over (partition by family, store_nbr) as last_day from parts where n >= 30) where split = 'test'"""
+        ),
+    ),
+    "changepoints_given": panel(
+        f"""select family, store_nbr, cast(first_day + cast(round(date_diff('day', first_day, last_day) * j * {CHANGE_RANGE / CHANGEPOINTS!r}::double) as int) as date) as date,
+          round(list_extract({GIVEN_BETA[2:2 + CHANGEPOINTS]}, j)::double, 6) as delta
+        from (select family, store_nbr, min(date) as first_day, max(date) as last_day from panel group by 1, 2), (select unnest(range(1, {CHANGEPOINTS + 1})) as j)"""
+    ),
+    "window_loss_given": panel(
+        f"""select split, round(avg(({_GIVEN} - x) * ({_GIVEN} - x)), 6) as loss, count(*) as windows from (
+          select *, {_PADDED} as w from (select * replace (past[len(past) - used + 1 : len(past)] as past) from (
+            select *, list(x) over (partition by family, store_nbr, split order by date rows between 7 preceding and 1 preceding) as past from scaled7 where split <> 'test')) where len(past) = used) group by 1""",
+        _SPLIT, _FORECAST, _SCALED7,
+    ),
+    "arima_given": _given_arma_sql(
+        f"""select family, store_nbr, cast(last_day + h as date) as date, round(greatest(v, 0), 6) as value, round(greatest(v - {Z95}::double * se, 0), 6) as lower_ci,
+          round(greatest(v + {Z95}::double * se, 0), 6) as upper_ci from (select *, sqrt({GIVEN_SIGMA2}::double * s) as se from path join (select family, store_nbr, last_day from lasts) using (family, store_nbr)) where h > 0""",
+        _LONG_SERIES, _AHEAD,
+    ),
+    "fitted_given": _given_arma_sql("select family, store_nbr, cast(date as date) as date, actual, round(greatest(value, 0), 6) as value from values", _LONG_SERIES, _ONE_STEP),
+    "backtest_arima_given": _given_arma_sql(
+        "select v.family, v.store_nbr, cast(v.date as date) as date, actual, round(greatest(value, 0), 6) as value from values v join parts p on p.family = v.family and p.store_nbr = v.store_nbr and p.date = v.date where split = 'test'",
+        _LONG_SERIES + " and split <> 'val'", _ONE_STEP,
+    ),
     "recursive_forecast_given": with_views(
         f"""select family, store_nbr, cast(last_date + k as date) as date, round(greatest(y * rg + lo, 0), 6) as forecast from steps where k > 0""",
         PANEL, _SPLIT, _FORECAST, _SCALED7,

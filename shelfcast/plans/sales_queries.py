@@ -183,7 +183,9 @@ QUERIES: dict[str, Query] = {
     "overview": lambda s, d: rounded(an.overview(sales_panel(s, d))),
     "yoy_growth": lambda s, d: an.yoy_growth(sales_panel(s, d)),
     "best_family": lambda s, d: an.best_family(sales_panel(s, d)),
-    "trend_daily": lambda s, d: an.trend(sales_panel(s, d), "daily", weekly_above=DAILY_TREND_LIMIT),
+    "trend_daily": lambda s, d: an.trend(sales_panel(s, d), "daily"),
+    "trend_daily_or_weekly": lambda s, d: an.trend(sales_panel(s, d), "daily", weekly_above=DAILY_TREND_LIMIT),
+    "trend_daily_one_series": lambda s, d: an.trend(sales_panel(s, d), "daily", family="SMALL", store_nbr=4),
     "trend_weekly": lambda s, d: an.trend(sales_panel(s, d), "weekly"),
     "trend_monthly": lambda s, d: an.trend(sales_panel(s, d), "monthly"),
     "monthly_comparison": _monthly_wide,

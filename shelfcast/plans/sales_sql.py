@@ -149,6 +149,10 @@ _REQUESTS = """requests as (
 
 _PAST = f"partition by family, store_nbr order by date rows between 30 preceding and 1 preceding"
 
+_DAILY_BODY = """select strftime(d.d, '%Y-%m-%d') as label, coalesce(s, 0) as sales
+  from (select cast(unnest(generate_series((select min(date) from panel where {where}), (select max(date) from panel where {where}), interval 1 day)) as date) as d) d
+  left join (select date, sum(sales) as s from panel where {where} group by 1) t on t.date = d.d"""
+
 ORACLES: dict[str, str] = {
     "panel": panel("select * from panel"),
     "filter_series": panel("select * from panel where family = 'PROMO' and store_nbr = 3"),
@@ -310,7 +314,9 @@ ORACLES: dict[str, str] = {
     ),
     "yoy_growth": panel(f"select year, previous_year, {_YOY_VALUE} as yoy_growth from yoy", _YOY),
     "best_family": panel("select family, family as label, sales from best", _OVERVIEW),
-    "trend_daily": panel(
+    "trend_daily": panel(_DAILY_BODY.format(where="true")),
+    "trend_daily_one_series": panel(_DAILY_BODY.format(where="family = 'SMALL' and store_nbr = 4")),
+    "trend_daily_or_weekly": panel(
         f"""select label, sales from (
           select strftime(d.d, '%Y-%m-%d') as label, coalesce(s, 0) as sales
           from (select cast(unnest(generate_series((select min(date) from panel), (select max(date) from panel), interval 1 day)) as date) as d) d

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from shelfcast.functions import solvers
 from shelfcast.operators import decompose as dc
 from shelfcast.operators import forecast as fc
+from tests import plain_arma
 
 
 def calendar(spark, rows=()):
@@ -83,7 +84,7 @@ def test_coefficients_are_recovered():
 def test_forecast_of_a_first_order_model_is_its_formula():
     y = autoregressive(500)
     m = solvers.arma_candidates(y, [(1, 0)], constant=True)[(1, 0)]
-    path, se = solvers.arima_forecast(y, 0, m, 5)
+    path, se = plain_arma.arima_forecast(y, 0, m, 5)
     want, phi = y[-1], m["phi"][0]
     for h, v in enumerate(path, 1):
         want = m["const"] + phi * want
@@ -94,8 +95,8 @@ def test_forecast_of_a_first_order_model_is_its_formula():
 def test_integrated_forecast_continues_a_line():
     y = np.arange(100, dtype=float)
     flat = dict(const=0.0, phi=np.zeros(0), theta=np.zeros(0), sigma2=1.0)
-    assert solvers.arima_forecast(y, 2, flat, 4)[0] == pytest.approx([100, 101, 102, 103])
-    assert solvers.arima_forecast(y, 1, flat, 3)[1] == pytest.approx(np.sqrt([1, 2, 3]))
+    assert plain_arma.arima_forecast(y, 2, flat, 4)[0] == pytest.approx([100, 101, 102, 103])
+    assert plain_arma.arima_forecast(y, 1, flat, 3)[1] == pytest.approx(np.sqrt([1, 2, 3]))
 
 
 def test_one_step_errors_of_a_moving_average():
@@ -103,7 +104,7 @@ def test_one_step_errors_of_a_moving_average():
     e = rng.normal(size=300)
     y = e + 0.5 * np.r_[0, e[:-1]]
     m = dict(const=0.0, phi=np.zeros(0), theta=np.array([0.5]), sigma2=1.0)
-    assert solvers.arma_shocks(y, m) == pytest.approx(e)
+    assert plain_arma.arma_shocks(y, m) == pytest.approx(e)
 
 
 def test_arima_rows(one):
@@ -268,3 +269,51 @@ def test_forecast_all_ranks_every_model(spark, panel):
 def test_status_names_the_series_left_out(panel):
     df = panel([(i, 1, "A", float(i)) for i in range(40)] + [(i, 2, "A", 1.0) for i in range(25)])
     assert {r["store_nbr"]: (r["days"], r["reason"]) for r in fc.forecast_status(df).collect()} == {1: (40, "ok"), 2: (25, "fewer than 30 days")}
+
+
+def test_given_coefficients_equal_the_plain_recursion(spark, panel):
+    rng, rows, given, plain = np.random.default_rng(8), [], [], {}
+    orders = [(0, 0, 0), (1, 0, 0), (0, 1, 1), (3, 0, 3), (2, 2, 1), (0, 2, 0), (3, 1, 0), (1, 0, 2)]
+    for store, (p, d, q) in enumerate(orders, 1):
+        y = np.cumsum(rng.normal(0.3, 1, 60)) + 50
+        m = dict(const=0.2 if d == 0 else 0.05, phi=np.array([0.5, -0.3, 0.2][:p]), theta=np.array([0.4, 0.3, -0.2][:q]), sigma2=1.5)
+        rows += [(i, store, "A", v) for i, v in enumerate(y)]
+        cell = (m["const"], [*m["phi"].tolist(), *[0.0] * (3 - p)], [*m["theta"].tolist(), *[0.0] * (3 - q)], m["sigma2"])
+        given.append(("A", store, p, d, q, None, None, cell, cell))
+        known = np.r_[y[:42], y[51:]]
+        path, se = plain_arma.arima_forecast(y, d, m, 12)
+        plain[store] = {"fitted": plain_arma.arima_one_step(y, d, m), "backtest": plain_arma.arima_one_step(known, d, m)[42:], "forecast": path, "se": se}
+    model = "struct<const: double, phi: array<double>, theta: array<double>, sigma2: double>"
+    models = spark.createDataFrame(given, f"family string, store_nbr int, p int, d int, q int, aic double, bic double, whole {model}, trained {model}")
+    got = fc.apply_arima(panel(rows), models, 12).orderBy("store_nbr", "kind", "date").collect()
+    for store, wanted in plain.items():
+        for kind in ("fitted", "backtest", "forecast"):
+            found = [r for r in got if r.store_nbr == store and r.kind == kind]
+            assert [r.value for r in found] == pytest.approx(np.maximum(wanted[kind], 0).tolist())
+            if kind == "forecast":
+                assert [r.upper_ci for r in found] == pytest.approx(np.maximum(wanted[kind] + fc.Z95 * wanted["se"], 0).tolist())
+                assert [r.lower_ci for r in found] == pytest.approx(np.maximum(wanted[kind] - fc.Z95 * wanted["se"], 0).tolist())
+
+
+@pytest.mark.parametrize("lag", [0, 1, 3])
+def test_unit_root_from_covariances(spark, panel, lag):
+    rng = np.random.default_rng(9)
+    series = [np.cumsum(rng.normal(0, 1, 80)) + 30, 20 + rng.normal(0, 1, 50), 5 + np.sin(np.arange(40)) + 0.1 * rng.normal(0, 1, 40)]
+    df = panel([(i, s, "A", v) for s, y in enumerate(series, 1) for i, v in enumerate(y)] + [(i, 8, "A", 4.0) for i in range(30)] + [(i, 9, "A", float(i * i)) for i in range(3)])
+    got = {r.store_nbr: r for r in dc.unit_root_given_lag(df, lag).collect()}
+    for s, y in enumerate(series, 1):
+        x, dy = solvers._adf_design(y, lag)
+        beta, *_ = np.linalg.lstsq(x, dy, rcond=None)
+        rest = dy - x @ beta
+        error = np.linalg.inv(x.T @ x)[1, 1] * (rest @ rest) / (len(dy) - x.shape[1])
+        assert got[s].statistic == pytest.approx(beta[1] / math.sqrt(error)) and got[s].n == len(dy)
+        assert got[s].is_stationary == (solvers.unit_root_p(got[s].statistic) < 0.05)
+    assert got[8].statistic is None and (9 not in got or got[9].statistic is None)
+
+
+def test_difference_order_given_lag(spark, panel):
+    rng = np.random.default_rng(10)
+    steps = rng.normal(0, 1, (3, 300))
+    series = [steps[0], np.cumsum(steps[1] + 0.5), np.cumsum(np.cumsum(steps[2]))]
+    df = panel([(i, s, "A", v) for s, y in enumerate(series) for i, v in enumerate(y)] + [(0, 7, "A", 1.0)])
+    assert {r.store_nbr: r.d for r in dc.difference_order_given_lag(df).collect()} == {0: 0, 1: 1, 2: 2, 7: 1}
