@@ -35,9 +35,9 @@ CHECKSUM_FLAG = 0x80
 FILE_BYTES = 40_000_000
 #: Token ids after which a frame is closed, and words whose ids a task remembers before it starts anew.
 FRAME_TOKENS = 1 << 17
-REMEMBERED = 250_000
-#: Pieces, and bytes of text, that are worked on at a time.
-BATCHED, TEXT_BYTES = 2000, 4_000_000
+REMEMBERED = 600_000
+#: Bytes of text that are worked on at a time.
+TEXT_BYTES = 4_000_000
 
 
 def file_system(uri: str):
@@ -169,7 +169,7 @@ class Encoder:
 
     Texts are encoded by their space-separated words, which is exact for a vocabulary that drops white space. The distinct words
     of some texts are taken apart in columns: words of Latin letters and marks into these two pieces, others by the splitter. Pieces
-    that are not known yet are encoded together, as each piece of letters is one to the library, and ids are gathered by number.
+    that are not known yet go to the vocabulary's merges, and ids are gathered by number.
     """
 
     def __init__(self, vocabulary: str, end_id: int | None):
@@ -183,23 +183,16 @@ class Encoder:
     def _numbers(self, strings: list[str], letters: bool) -> np.ndarray:
         """The numbers of pieces or, if they are not of letters, of whole words."""
         number, new = self.number, [x for x in strings if x not in self.number]
-        flat, lengths = [np.zeros(0, "<u4")], [np.zeros(0, "i8")]
-        if letters:
-            for i in range(0, len(new), BATCHED):
-                part = new[i : i + BATCHED]
-                found = self.splitter.tokenizer.encode(" ".join(part), add_special_tokens=False)
-                flat.append(np.array(found.ids, "<u4"))
-                lengths.append(np.bincount(np.array(found.word_ids), minlength=len(part)))
-        else:
-            tokenize = self.splitter.tokenizer.model.tokenize
-            for word in new:
-                ids = [i for p in self.splitter.split(word) for i in ([p] if type(p) is int else [t.id for t in tokenize(p)])]
-                flat.append(np.array(ids, "<u4"))
-                lengths.append(np.array([len(ids)]))
+        tokenize, ids, lengths = self.splitter.tokenizer.model.tokenize, [], []
+        for x in new:
+            before = len(ids)
+            for piece in [self.splitter.letters(x)] if letters else self.splitter.split(x):
+                ids += [piece] if type(piece) is int else [t.id for t in tokenize(piece)]
+            lengths.append(len(ids) - before)
         known = len(number)
         used = int(self.edges[known])
-        self.flat = appended(self.flat, used, np.concatenate(flat))
-        self.edges = appended(self.edges, known + 1, used + np.cumsum(np.concatenate(lengths)))
+        self.flat = appended(self.flat, used, np.array(ids, "<u4"))
+        self.edges = appended(self.edges, known + 1, used + np.cumsum(lengths, dtype="i8"))
         number.update(zip(new, range(known, known + len(new))))
         return np.fromiter(map(number.__getitem__, strings), "i8", len(strings))
 
@@ -237,8 +230,8 @@ class Encoder:
 def write_files(docs: DataFrame, folder: str, vocabulary: str, end_id: int | None = 2) -> list[tuple[int, str, int, int]]:
     """Encode every text and write one file per range of ids below `folder`; returns (shard, path, documents, token ids) by shard.
 
-    Documents are dealt by ranges of doc_id, which must be an integer, and sorted within, null ids first. Ties stand together, by
-    text. A null or empty text has the end id alone. A file gets its name when it is complete, so a repeated task replaces
+    Documents are dealt by ranges of doc_id, which must be an integer, and sorted within, null ids first. Rows that share an id
+    stand together, by a hash of their text, and are dealt to several files if they are many. A null or empty text has the end id alone. A file gets its name when it is complete, so a repeated task replaces
     it by an equal one. Only one line per file comes to the driver.
     """
     spark = docs.sparkSession
@@ -266,8 +259,9 @@ def write_files(docs: DataFrame, folder: str, vocabulary: str, end_id: int | Non
         yield pa.RecordBatch.from_pydict({"shard": [shard], "path": [name], "n_docs": [writer.n_docs], "n_tokens": [writer.n_tokens]}, schema=schema)
 
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    ranges = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").repartitionByRange(int(size // FILE_BYTES) + 1, F.asc_nulls_first("doc_id"))
-    dealt = ranges.sortWithinPartitions(F.asc_nulls_first("doc_id"), "text")
+    order = [F.asc_nulls_first("doc_id"), F.asc("hash")]
+    ranges = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("hash")).repartitionByRange(int(size // FILE_BYTES) + 1, *order)
+    dealt = ranges.sortWithinPartitions(*order, "text").drop("hash")
     with small_batches(spark, 1000):
         written = dealt.mapInArrow(run, "shard long, path string, n_docs long, n_tokens long").collect()
     return sorted(tuple(r) for r in written)

@@ -14,7 +14,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfcast.llm.common import crc, mapped
@@ -26,15 +26,20 @@ FAMILIES = {
     "slavic": ("be", "bg", "cs", "hr", "mk", "pl", "ru", "sk", "sl", "sr", "uk"),
 }
 BUCKETS = 1 << 12
-#: Training documents of each language, about: the bound of the sample that the machines are fitted on.
+#: Training documents of each language at most: the bound of the sample that the machines are fitted on.
 PER_LANGUAGE = 1500
-_LETTER = re.compile(r"[^\W\d_]")
+_LETTER = re.compile(r"[^\W\d_]")  # also finds numbers that are no digits
 
 
 def family_of(lang: str) -> str:
     return next((family for family, langs in FAMILIES.items() if lang in langs), f"only {lang}")
 
 
+def has_letter(text: str) -> bool:
+    """Whether a character of Unicode's category L is in the text."""
+    return any(x.group().isalpha() for x in _LETTER.finditer(text))
+
+
 def features(text: str) -> np.ndarray:
     """Square roots of the shares of hashed 1- to 3-character n-grams of the lower-cased text, of length 1."""
     code = np.frombuffer(f" {text.lower()} ".encode("utf-32-le", "surrogatepass"), "<u4").astype("u8")
@@ -67,17 +72,21 @@ def fit_svm(x: np.ndarray, y: np.ndarray, regular: float = 1e-4, steps: int = 20
 
 
 def training_sample(docs: DataFrame, per_language: int = PER_LANGUAGE) -> DataFrame:
-    """doc_id, text and lang of about `per_language` training documents of each language, by a hash of their id and text.
+    """text and lang of at most `per_language` different training texts of each language: those with the smallest hashes.
 
-    Training documents have a language, a text and a crc32 of their id that is not 2 modulo 4. A language's share is its bound over
-    its count, so the size of the sample does not grow with the data.
+    Training documents have a language, a text and a crc32 of their id that is not 2 modulo 4. Copies of a text count once, so they
+    neither fill the sample nor take a language out of it. A first cut by the number of different texts leaves about twice the sample
+    to be ranked, whatever the size of the data.
     """
-    pool = docs.where((F.pmod(crc(F.col("doc_id")), F.lit(4)) != 2) & F.col("lang").isNotNull() & F.col("text").isNotNull()).select("doc_id", "text", "lang")
-    sizes = {r[0]: r[1] for r in pool.groupBy("lang").count().collect()}
+    pool = docs.where((F.pmod(crc(F.col("doc_id")), F.lit(4)) != 2) & F.col("lang").isNotNull() & F.col("text").isNotNull()).select("text", "lang", F.xxhash64("text").alias("hash"))
+    sizes = {r[0]: r[1] for r in pool.groupBy("lang").agg(F.approx_count_distinct("hash")).collect()}
     if not sizes:
-        return pool
-    share = F.create_map(*(x for lang, n in sizes.items() for x in (F.lit(lang), F.lit(min(1.0, per_language / n)))))[F.col("lang")]
-    return pool.where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30)) < share * (1 << 30))
+        return pool.select("text", "lang")
+    share = F.create_map(*(x for lang, n in sizes.items() for x in (F.lit(lang), F.lit(min(1.0, (2 * per_language + 20) / max(1, n))))))[F.col("lang")]
+    cut = pool.where(F.pmod("hash", F.lit(1 << 30)) < share * (1 << 30))
+    different = cut.groupBy("lang", "hash").agg(F.min("text").alias("text"))
+    place = F.row_number().over(Window.partitionBy("lang").orderBy(F.pmod("hash", F.lit(1 << 30)), "hash"))
+    return different.withColumn("place", place).where(F.col("place") <= per_language).select("text", "lang")
 
 
 def train(docs: DataFrame, per_language: int = PER_LANGUAGE) -> dict[tuple[str, str, str], list[float]]:
@@ -89,7 +98,7 @@ def train(docs: DataFrame, per_language: int = PER_LANGUAGE) -> dict[tuple[str,
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [features(t).astype("f4").tobytes() if _LETTER.search(t) else None for t in batch.column("text").to_pylist()]
+            found = [features(t).astype("f4").tobytes() if has_letter(t) else None for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_pydict({"lang": batch.column("lang"), "x": pa.array(found, pa.binary())})
 
     langs = sorted(r[0] for r in sample.select("lang").distinct().collect())
@@ -144,7 +153,7 @@ class Model:
         return names[best], 1 / (1 + math.exp(-max(-50.0, min(50.0, 3 * worst[best]))))
 
     def predict(self, text: str | None) -> tuple[str, float]:
-        if text is None or not _LETTER.search(text) or not self.langs:
+        if text is None or not has_letter(text) or not self.langs:
             return "und", 0.0
         if len(self.langs) == 1:
             return self.langs[0], 1.0

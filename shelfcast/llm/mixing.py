@@ -37,7 +37,7 @@ def posteriors(docs: DataFrame, labelled: DataFrame, domains: list[str], max_lab
     """doc_id, n_tokens (words) and p, the probabilities of the domains, of every document.
 
     labelled: doc_id, domain. A multinomial logistic regression over the presence of hashed words is fitted on about
-    `max_labelled` of its rows, chosen by a hash of the id, whatever the size of the table. With fewer than two domains in that
+    `max_labelled` of its ids, chosen by a hash, one text each, whatever the size of the tables. With fewer than two domains in that
     sample there is nothing to tell apart, and every document has the same share of each domain.
     """
     share = min(1.0, max_labelled / max(1, labelled.count()))
@@ -46,7 +46,8 @@ def posteriors(docs: DataFrame, labelled: DataFrame, domains: list[str], max_lab
     prepare = lambda df, *keep: hashed.transform(df.select(*keep, words(F.col("text")).alias("words")))
     place = F.create_map(*(x for i, d in enumerate(domains) for x in (F.lit(d), F.lit(float(i)))))[F.col("domain")]
     known = chosen.groupBy("doc_id").agg(F.min("domain").alias("domain"))
-    sample = stored(prepare(docs.join(known, "doc_id").withColumn("label", place), "label").select("label", "features"), "mixing-sample")
+    once = docs.join(known, "doc_id").groupBy("doc_id", "domain").agg(F.min("text").alias("text"))  # rows that share an id are one example
+    sample = stored(prepare(once.withColumn("label", place), "label").select("label", "features"), "mixing-sample")
     n_tokens = F.size(F.filter("words", lambda w: w != "")).cast("long").alias("n_tokens")
     if sample.select("label").distinct().count() < 2:
         even = F.array(*(F.lit(1.0 / len(domains)) for _ in domains))
@@ -139,7 +140,7 @@ def solve_rates(members: DataFrame, targets: dict[str, float], domains: list[str
 def mix(docs: DataFrame, labelled: DataFrame, targets: dict[str, float], total_tokens: float | None = None, max_labelled: int = MAX_LABELLED) -> DataFrame:
     """doc_id, n_tokens, domain (the most likely), p (by the order of `targets`), rate and copies of every document.
 
-    copies is the rate rounded up or down by a hash of the id and the text, so that on average a document is used at its rate.
+    copies is the rate rounded up or down by a hash of the id, so that on average a document is used at its rate.
     A null or empty text has 0 tokens, the prior's probabilities and still a rate; documents without a label are as welcome as
     others; labels of unknown documents or domains and null labels are passed over; a null doc_id is kept, without a label;
     repeated rows get equal copies; other columns are not read. With an empty table, or targets that no document serves, the result is

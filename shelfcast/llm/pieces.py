@@ -29,13 +29,15 @@ class Pieces:
         self._cut = re.compile("(" + "|".join(map(re.escape, names)) + ")").split if names else lambda word: [word]
         self._letters, self._plain = byte_letters(), _PLAIN.fullmatch
 
+    def letters(self, piece: str) -> str:
+        """Lower-case letters in the byte-level alphabet."""
+        return piece if piece.isascii() else piece.encode().decode("latin-1").translate(self._letters)
+
     def split(self, word: str) -> list[str | int]:
         """The pieces of a word in the byte-level alphabet, and the ids of special strings."""
         if found := self._plain(word):  # letters, then marks: two pieces under any such vocabulary
             letters, marks = found.groups()
-            letters = letters.lower()
-            if not letters.isascii():
-                letters = letters.encode().decode("latin-1").translate(self._letters)
+            letters = self.letters(letters.lower())
             return [letters, marks] if marks else [letters]
         out: list[str | int] = []
         for part in self._cut(word):

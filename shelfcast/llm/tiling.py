@@ -35,8 +35,8 @@ def windows(numbers: np.ndarray, k: int) -> np.ndarray:
 def tiles(a: list[int], b: list[int], least: int) -> list[tuple[int, int, int]]:
     """Greedy tiles (place in a, place in b, length) of two number sequences, longest first, then by place.
 
-    Every round hashes the unmarked windows of the present length in `a`, looks those of `b` up and compares the words. A length
-    is halved down to `least`, and matches longer than asked for are extended, so that a round marks its maximal matches.
+    Every round hashes the unmarked windows of `least` words in `a` and looks those of `b` up. Windows that are equal are extended word
+    by word, and the round marks the longest matches.
     """
     free_a, free_b, found = [True] * len(a), [True] * len(b), []
     while True:
@@ -158,6 +158,14 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, share: float = 0.5, seed
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, **parameters) -> DataFrame:
-    """The documents, with all their columns, that cover no item."""
-    hit = contaminated(docs, benchmark, **parameters).select("doc_id").distinct()
-    return docs.join(small_enough(stored(hit, "dropped"), 24), "doc_id", "left_anti").select(*docs.columns)
+    """The documents, with all their columns, that cover no item.
+
+    Rows are told apart by id and text, so a row with a null id, or one that shares its id with others, is judged by its own text.
+    Null and empty texts cover nothing and stay; repeated rows stay or go together; empty tables change nothing.
+    """
+    key = [F.col("doc_id"), F.xxhash64("text").alias("hash")]
+    hit = contaminated(docs.select(F.struct(*key).alias("doc_id"), "text"), benchmark, **parameters)
+    hit = hit.select(F.col("doc_id.doc_id").alias("hit_id"), F.col("doc_id.hash").alias("hit_hash")).distinct()
+    whole = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"))
+    same = F.col("row.doc_id").eqNullSafe(F.col("hit_id")) & (F.xxhash64("row.text") == F.col("hit_hash"))
+    return whole.join(small_enough(stored(hit, "dropped"), 32), same, "left_anti").select("row.*")

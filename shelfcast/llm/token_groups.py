@@ -16,8 +16,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from shelfcast.llm.common import small_batches, small_enough, stored, texts
+from shelfcast.llm.common import WORD, small_batches, small_enough, stored, texts
 from shelfcast.llm.components import components
 
 BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -216,9 +217,24 @@ def linked_classes(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
 
 
 def keep_one(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
-    """One document of each class, that with the smallest doc_id, with all its columns; of rows that repeat an id, all or none.
+    """One row of each class of near copies, that with the smallest doc_id, with all its columns.
 
-    Documents without words have no copies and stay; so do those with a null doc_id.
+    Of rows that share the id that stays, one stays: that whose columns have the smallest hash. A row with a null id takes part under
+    a number made from its text, larger than real ids, and has a null id again in the result; where doc_id is no long, such rows
+    all stay. Rows without words have no copies and stay; an empty table stays empty.
     """
-    extra = linked_classes(docs, k, percent).where(F.col("doc_id") != F.col("component_id")).select("doc_id").distinct()
-    return docs.join(small_enough(stored(extra, "dropped"), 24), "doc_id", "left_anti").select(*docs.columns)
+    names = [f"`{c}`" for c in docs.columns]
+    has_words = F.coalesce(F.col("text"), F.lit("")).rlike(WORD)
+    numbered = isinstance(docs.schema["doc_id"].dataType, T.LongType)
+    stand_in = F.lit(1 << 62) + F.shiftrightunsigned(F.xxhash64("text"), 2) if numbered else F.col("doc_id")
+    whole = docs.select(F.struct(*names).alias("row"), F.coalesce("doc_id", F.when(has_words, stand_in)).alias("id"), "text", has_words.alias("has_words"))
+    classes = linked_classes(whole.select(F.col("id").alias("doc_id"), "text"), k, percent).where(F.col("doc_id").isNotNull())
+    # Ids to drop, and ids that several rows have; an id that two of its texts put in a class has one component.
+    facts = classes.groupBy("doc_id").agg(F.min("component_id").alias("component"), F.count("*").alias("rows"))
+    odd = facts.where((F.col("rows") > 1) | (F.col("doc_id") != F.col("component")))
+    odd = stored(odd.select(F.col("doc_id").alias("odd_id"), (F.col("doc_id") != F.col("component")).alias("dropped")), "odd")
+    marked = whole.join(small_enough(odd, 24), (F.col("id") == F.col("odd_id")) & F.col("has_words"), "left")
+    single = marked.where(F.col("odd_id").isNull())
+    # One row per id, found by partial minima in each task, however many rows share it.
+    one = marked.where(~F.col("dropped")).groupBy("id").agg(F.min_by("row", F.xxhash64("row")).alias("row"))
+    return single.select("row.*").unionByName(one.select("row.*"))
