@@ -35,7 +35,7 @@ CHECKSUM_FLAG = 0x80
 FILE_BYTES = 40_000_000
 #: Token ids after which a frame is closed, and words whose ids a task remembers before it starts anew.
 FRAME_TOKENS = 1 << 17
-REMEMBERED = 600_000
+REMEMBERED = 400_000
 #: Bytes of text that are worked on at a time.
 TEXT_BYTES = 4_000_000
 

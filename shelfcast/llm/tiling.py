@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfcast.llm.common import small_enough, stored, texts
+from shelfcast.llm.common import small_batches, small_enough, stored, texts
 
 #: Base of the running hashes; any large odd number.
 BASE = 0x9E3779B97F4A7C15
@@ -168,4 +168,6 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, **parameters) -> DataFr
     hit = hit.select(F.col("doc_id.doc_id").alias("hit_id"), F.col("doc_id.hash").alias("hit_hash")).distinct()
     whole = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"))
     same = F.col("row.doc_id").eqNullSafe(F.col("hit_id")) & (F.xxhash64("row.text") == F.col("hit_hash"))
-    return whole.join(small_enough(stored(hit, "dropped"), 32), same, "left_anti").select("row.*")
+    with small_batches(docs.sparkSession):
+        hit = stored(hit, "dropped")
+    return whole.join(small_enough(hit, 32), same, "left_anti").select("row.*")

@@ -224,17 +224,20 @@ def keep_one(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     all stay. Rows without words have no copies and stay; an empty table stays empty.
     """
     names = [f"`{c}`" for c in docs.columns]
-    has_words = F.coalesce(F.col("text"), F.lit("")).rlike(WORD)
+    has_words = F.coalesce(F.substring("text", 1, 200).rlike(WORD) | F.col("text").rlike(WORD), F.lit(False))
     numbered = isinstance(docs.schema["doc_id"].dataType, T.LongType)
     stand_in = F.lit(1 << 62) + F.shiftrightunsigned(F.xxhash64("text"), 2) if numbered else F.col("doc_id")
-    whole = docs.select(F.struct(*names).alias("row"), F.coalesce("doc_id", F.when(has_words, stand_in)).alias("id"), "text", has_words.alias("has_words"))
+    whole = docs.select(F.struct(*names).alias("row"), F.coalesce("doc_id", F.when(has_words, stand_in)).alias("id"), "text")
     classes = linked_classes(whole.select(F.col("id").alias("doc_id"), "text"), k, percent).where(F.col("doc_id").isNotNull())
     # Ids to drop, and ids that several rows have; an id that two of its texts put in a class has one component.
     facts = classes.groupBy("doc_id").agg(F.min("component_id").alias("component"), F.count("*").alias("rows"))
-    odd = facts.where((F.col("rows") > 1) | (F.col("doc_id") != F.col("component")))
-    odd = stored(odd.select(F.col("doc_id").alias("odd_id"), (F.col("doc_id") != F.col("component")).alias("dropped")), "odd")
-    marked = whole.join(small_enough(odd, 24), (F.col("id") == F.col("odd_id")) & F.col("has_words"), "left")
-    single = marked.where(F.col("odd_id").isNull())
+    dropped = F.col("doc_id") != F.col("component")
+    odd = stored(facts.where((F.col("rows") > 1) | dropped).select(F.col("doc_id").alias("odd_id"), dropped.alias("dropped")), "odd")
+    same = (F.col("id") == F.col("odd_id")) & has_words
+    single = whole.join(small_enough(odd, 24), same, "left_anti").select("row.*")
+    shared = odd.where(~F.col("dropped"))
+    if shared.isEmpty():
+        return single
     # One row per id, found by partial minima in each task, however many rows share it.
-    one = marked.where(~F.col("dropped")).groupBy("id").agg(F.min_by("row", F.xxhash64("row")).alias("row"))
-    return single.select("row.*").unionByName(one.select("row.*"))
+    one = whole.join(small_enough(shared, 24), same, "left_semi").groupBy("id").agg(F.min_by("row", F.xxhash64("row")).alias("row"))
+    return single.unionByName(one.select("row.*"))
