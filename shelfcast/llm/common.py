@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
@@ -59,3 +60,12 @@ def small_batches(spark: SparkSession, records: int = 500) -> Iterator[None]:
 def small_enough(df: DataFrame, row_bytes: int, limit: int = 32 << 20) -> DataFrame:
     """Mark a side for broadcast if its counted rows need at most `limit` bytes; else leave the join to Spark."""
     return F.broadcast(df) if df.count() * row_bytes <= limit else df
+
+
+def release_shuffles(spark: SparkSession) -> None:
+    """Have Spark delete the shuffle files of jobs whose results are written: it does once the driver has collected their plans.
+
+    Between the rounds of a long job that would wait for the driver's next full collection, with the files of all rounds on disk.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()

@@ -7,12 +7,16 @@ the number of tables per dish matters for predictions, so that is the state. Gib
 anew given all others. Predictive probabilities are averaged over the states of the last rounds.
 
 How it is spread: words are dealt to parts by ranges of their hashes. A part has all counts of its words, the rows of the root
-and of all contexts for them. Every chunk of documents sends its counts of pairs, which are added up in two steps. The tokens to be scored, as counts of (word, context,
-document) in a chunk, are rows of their own: a part with many is scored by many tasks that each get its model. What parts need from each other in a round is the
-number of tables per context. Each part tells those of its contexts to slices by ranges of the contexts' hashes; a slice adds
-them up and tells each part the sums it needs, so no task and not the driver holds all contexts. A part adds one number per
-context however often that comes up, so a context that precedes a third of all tokens is no hot key. Within a round the parts seat
-their customers in parallel given the sums of the round before.
+and of all contexts for them. A first pass over the documents adds the counts of pairs up, by chunk and then by part. A pair that
+comes up once has one table whatever happens, so only the other pairs take part in the rounds, with the number of single ones per
+word. What parts need from each other in a round is the number of tables per context. Each part tells the tables beyond one a pair to
+slices by ranges of the contexts' hashes; a slice adds them up and tells each part the sums it needs, so no task and not the driver
+holds all contexts. A part adds one number per context however often that comes up, so a context that precedes a third of all
+tokens is no hot key. Within a round the parts seat their customers in parallel given the sums of the round before. A second pass over the
+documents sends the tokens to be scored, as counts of (word, context, document) in a chunk, to the parts; a part with many
+tokens is scored by many tasks that each get its model.
+
+Chunks are numbered by task and place: a task that runs again must read the same rows in the same order, as a scan of files does.
 """
 
 from __future__ import annotations
@@ -27,14 +31,14 @@ import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfcast.llm.common import crc, small_batches, small_enough, stored, texts
+from shelfcast.llm.common import crc, release_shuffles, small_batches, small_enough, stored, texts
 
 #: Least length of a part's vectors over its contexts; they are longer where it has more.
 CONTEXTS = 1 << 12
-#: Tokens of a chunk of documents, about, and bytes of text for which there is one part.
-CHUNK_TOKENS, PART_BYTES = 1_000_000, 16_000_000
-#: Bytes of payloads to be scored by one task, and of text for whose chunks a part's counts are added up first.
-SCORED_BYTES, COUNTED_BYTES = 16_000_000, 1_000_000_000
+#: Tokens of a chunk of documents, about, bytes of text for which there is one part, and parts for which there is one slice.
+CHUNK_TOKENS, PART_BYTES, SLICE_PARTS = 4_000_000, 48_000_000, 4
+#: Bytes of payloads, at about so many a token, to be scored by one task, and of text for whose chunks a part's counts are added up first.
+SCORED_BYTES, TOKEN_BYTES, COUNTED_BYTES = 64_000_000, 6, 1_000_000_000
 #: Parallel rounds of seating, the last ones of which are averaged; strengths of the two levels; steps in which a round unseats all.
 ROUNDS, AVERAGED, STRENGTH, STEPS = 6, 3, 1.0, 4
 #: Steps to which a part's sums of log10 are rounded on their way to the document's: base and model.
@@ -86,6 +90,27 @@ def _edges(hashes: np.ndarray, parts: int) -> list[int]:
     return np.searchsorted(hashes, np.array([-(-(p << 64) // parts) for p in range(parts)], "u8")).tolist() + [len(hashes)]
 
 
+def _columns(docs: list[tuple[int | None, bool, np.ndarray]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Words in order, the contexts and the documents' places of all tokens of some documents (id, training, hashes with the end)."""
+    lengths = np.array([len(d[2]) for d in docs])
+    words = np.concatenate([d[2] for d in docs])
+    order = np.argsort(words, kind="stable")
+    return words[order], contexts_of(words)[order], np.repeat(np.arange(len(docs), dtype="u4"), lengths)[order]
+
+
+def count_rows(docs: list[tuple[int | None, bool, np.ndarray]], parts: int) -> Iterator[tuple[int, bytes, int]]:
+    """(part, packed training counts, tokens) of some documents, for every part."""
+    words, contexts, owner = _columns(docs)
+    train = np.array([d[1] for d in docs])[owner]
+    edges = _edges(words, parts)
+    for p in range(parts):
+        a, b = edges[p], edges[p + 1]
+        before, place = np.unique(contexts[a:b], return_inverse=True)
+        known, word = np.unique(words[a:b][train[a:b]], return_inverse=True)
+        keys, counts = _added(word * max(CONTEXTS, len(before)) + place[train[a:b]], np.ones(len(word), "i8"))
+        yield p, _packed(known, before, keys, counts), b - a
+
+
 def chunk_rows(chunk: int, docs: list[tuple[int | None, bool, np.ndarray]], parts: int) -> Iterator[tuple[int, int, bytes]]:
     """(part, chunk, payload) of the tokens of some documents (id, training, hashes with the end).
 
@@ -94,11 +119,7 @@ def chunk_rows(chunk: int, docs: list[tuple[int | None, bool, np.ndarray]], part
     of its context among them, its document and its tokens. One part also has the ids.
     """
     docs = sorted(docs, key=lambda d: not d[1])
-    lengths = np.array([len(d[2]) for d in docs])
-    words = np.concatenate([d[2] for d in docs])
-    contexts = contexts_of(words)
-    order = np.argsort(words, kind="stable")
-    words, contexts, owner = words[order], contexts[order], np.repeat(np.arange(len(docs), dtype="u4"), lengths)[order]
+    words, contexts, owner = _columns(docs)
     head = np.array([len(docs), sum(d[1] for d in docs)], "u8")
     ids = np.array([x[0] or 0 for x in docs], "i8"), np.array([x[0] is None for x in docs], "u1")
     edges = _edges(words, parts)
@@ -127,28 +148,6 @@ class Chunk:
         self.train = self.owner < self.n_train
 
 
-def merged(payloads: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct training words of a part, the contexts of all its tokens, its pairs (word place * width + context place) in order, and their
-    counts; the width is the number of contexts, CONTEXTS at least.
-
-    Payloads are unpacked one at a time, first for the words and contexts, then for the pairs, which a chunk counts by itself.
-    """
-    seen, before = [], []
-    for payload in payloads:
-        c = Chunk(payload)
-        used = np.zeros(len(c.words), bool)
-        used[c.word_at[c.train]] = True
-        seen.append(c.words[used])
-        before.append(c.contexts)
-    words, contexts = np.unique(np.concatenate(seen)), np.unique(np.concatenate(before))
-    pairs, width = [], max(CONTEXTS, len(contexts))
-    for payload in payloads:
-        c = Chunk(payload)
-        place, context = np.searchsorted(words, c.words), np.searchsorted(contexts, c.contexts)
-        pairs.append(_added(place[c.word_at[c.train]] * width + context[c.context_at[c.train]], c.tokens[c.train]))
-    return words, contexts, *_added(*(np.concatenate(x) for x in zip(*pairs)))
-
-
 def _added(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Distinct keys in order and the sums of their counts."""
     order = np.argsort(keys)
@@ -170,7 +169,9 @@ def _unpacked(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarr
 
 
 def combined(packs: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """The same of several packed results of `merged` as of all their payloads, unpacked one at a time."""
+    """Distinct training words of a part, the contexts of all its tokens, its pairs (word place * width + context place) in order, and their
+    counts; the width is the number of contexts, CONTEXTS at least. The packs are unpacked one at a time.
+    """
     names = [(x[0], x[4]) for x in map(_unpacked, packs)]
     words, contexts = (np.unique(np.concatenate(x)) for x in zip(*names))
     width = max(CONTEXTS, len(contexts))
@@ -246,136 +247,212 @@ class Sums:
 
 
 class Part:
-    """The customers of a part's words and their seating; contexts are places among the part's own."""
+    """The customers of a part's words and their seating; contexts are places among the part's own.
+
+    single: pairs per word that come up once and are not among those given; each has one table.
+    """
+
+    def __init__(self, number: int, words: int, at: np.ndarray, context: np.ndarray, counts: np.ndarray, contexts: np.ndarray, single: np.ndarray | None = None):
+        self.number, self.n_words, self.at, self.context, self.counts = number, words, at.astype("i4"), context, counts.astype("i4")
+        self.contexts, self.single = contexts, np.zeros(words, "i8") if single is None else single
+        self.several = np.flatnonzero(self.counts > 1)
+        self.tables, self.root_tables = np.ones(len(at), "i4"), np.ones(words, "i8")
+        self._count()
+
+    def _count(self) -> None:
+        self.root_customers = self.single + np.bincount(self.at, self.tables, self.n_words).astype("i8")
+
+    def take_seats(self, tables: np.ndarray, root_tables: np.ndarray) -> None:
+        """A seating: tables of the pairs that come up several times, and the root's."""
+        self.tables[self.several], self.root_tables = tables, root_tables.astype("i8")
+        self._count()
 
-    def __init__(self, number: int, words: np.ndarray, at: np.ndarray, context: np.ndarray, counts: np.ndarray, contexts: np.ndarray | None = None):
-        self.contexts = np.zeros(0, "u8") if contexts is None else contexts
-        self.width = max(CONTEXTS, len(self.contexts))
-        self.number, self.words, self.at, self.context, self.counts = number, words, at.astype("i4"), context, counts.astype("i4")
-        self.tables = np.ones(len(at), "i4")
-        self.root_customers = np.bincount(self.at, minlength=len(words)).astype("i8")
-        self.root_tables = np.ones(len(words), "i8")
+    def seats(self) -> tuple[np.ndarray, np.ndarray]:
+        return self.tables[self.several], self.root_tables
 
     def seat(self, sums: Sums, turn: int) -> None:
         rng = np.random.Generator(np.random.Philox(key=[self.number, turn]))
         d_root, d = sums.discounts
-        several = np.flatnonzero(self.counts > 1)
-        if len(several):
-            at, context = self.at[several], self.context[several]
+        if len(self.several):
+            at, context = self.at[self.several], self.context[self.several]
             opening = (STRENGTH + d * sums.tables[context]) * sums.root(self.root_customers, self.root_tables)[at]
-            self.tables[several] = reseat(self.tables[several], self.counts[several], opening, d, alone(d), rng)
-        self.root_customers = np.bincount(self.at, self.tables, len(self.words)).astype("i8")
+            self.tables[self.several] = reseat(self.tables[self.several], self.counts[self.several], opening, d, alone(d), rng)
+        self._count()
         self.root_tables = np.minimum(self.root_tables, self.root_customers)
-        several = np.flatnonzero(self.root_customers > 1)
-        if len(several):
-            opening = np.full(len(several), (STRENGTH + d_root * sums.root_tables) / (sums.words + 1))
-            self.root_tables[several] = reseat(self.root_tables[several], self.root_customers[several], opening, d_root, alone(d_root), rng)
+        shared = np.flatnonzero(self.root_customers > 1)
+        if len(shared):
+            opening = np.full(len(shared), (STRENGTH + d_root * sums.root_tables) / (sums.words + 1))
+            self.root_tables[shared] = reseat(self.root_tables[shared], self.root_customers[shared], opening, d_root, alone(d_root), rng)
+
+    def beyond(self) -> np.ndarray:
+        """Tables per context beyond one a pair."""
+        return np.bincount(self.context, self.tables - 1, len(self.contexts)).astype("i8")
+
+
+#: What parts and slices tell each other: a part's counts (merged), those of its pairs that come up several times (thin), its contexts (own), its
+#: seating (state), what it adds to a slice (told); what it gets for all its contexts (sums, more) and for those of thin (base, extra).
+PIECE = pa.schema([("part", pa.int32()), ("kind", pa.string()), ("turn", pa.int32()), ("slice", pa.int64()), ("payload", pa.binary()), ("root_customers", pa.int64()), ("root_tables", pa.int64())])
+PIECE_KIND = "part int, kind string, turn int, slice long, payload binary, root_customers long, root_tables long"
+
+
+def _pieces(rows: list[tuple]) -> pa.Table:
+    return pa.Table.from_pylist([dict(zip(PIECE.names, r)) for r in rows], schema=PIECE)
+
 
-    def sums(self) -> dict:
-        return {"tables": np.bincount(self.context, self.tables, self.width).astype("i8"), "root_customers": int(self.root_customers.sum()), "root_tables": int(self.root_tables.sum())}
+def _cut(contexts: np.ndarray, slices: int) -> Iterator[tuple[int, int, int]]:
+    """Every slice that has some of the sorted contexts, and where they are."""
+    edges = _edges(contexts, slices)
+    return ((q, edges[q], edges[q + 1]) for q in range(slices) if edges[q] < edges[q + 1])
 
 
-def _parts(docs: DataFrame, parts: int, slots: int) -> tuple[DataFrame, DataFrame]:
-    """part, chunk and payload of all chunks; and the merged training counts with their sums, one row per part. Both are written."""
-    schema = pa.schema([("part", pa.int32()), ("chunk", pa.int64()), ("payload", pa.binary()), ("counts", pa.binary())])
+def _first_rows(number: int, words: np.ndarray, contexts: np.ndarray, keys: np.ndarray, counts: np.ndarray, slices: int) -> list[tuple]:
+    """What a part has to begin with, and tells slices of its contexts: whether thin has them, pairs and customers."""
+    width = max(CONTEXTS, len(contexts))
+    at, context, several = keys // width, keys % width, counts > 1
+    used = np.zeros(len(contexts), "u1")
+    used[context[several]] = 1
+    place = np.cumsum(used) - 1
+    single, many = (np.bincount(at[x], minlength=len(words)).astype("u4") for x in (~several, several))
+    thin = _squeeze(single, many, place[context[several]].astype("u4"), counts[several], _deltas(contexts[used > 0]))
+    rows = [(number, "merged", 0, 0, _packed(words, contexts, keys, counts), 0, 0), (number, "thin", 0, 0, thin, 0, 0)]
+    pairs, customers = np.bincount(context, minlength=len(contexts)), np.bincount(context, counts, len(contexts)).astype("i8")
+    return rows + [(number, "own", 0, q, _squeeze(_deltas(contexts[a:b]), used[a:b], pairs[a:b], customers[a:b]), 0, 0) for q, a, b in _cut(contexts, slices)]
+
+
+def _thin(number: int, payload: bytes) -> Part:
+    single, many, context, counts, contexts = _spread(payload)
+    return Part(number, len(single), np.repeat(np.arange(len(many)), many), context, counts, np.cumsum(contexts, dtype="u8"), single.astype("i8"))
+
+
+def _hashed(batches) -> Iterator[list[tuple[int | None, bool, np.ndarray]]]:
+    """The documents of a task in chunks: id, training, hashes with the end."""
+    end, held, size = word_hashes([b" "]), [], 0
+    for batch in batches:
+        for doc_id, train, text in zip(batch.column("doc_id").to_pylist(), batch.column("train").to_pylist(), texts(batch)):
+            held.append((doc_id, train, np.concatenate([word_hashes(text.lower().split()), end])))
+            size += len(held[-1][2])
+            if size >= CHUNK_TOKENS:
+                yield held
+                held, size = [], 0
+    if held:
+        yield held
+
+
+def _counted(docs: DataFrame, parts: int, slots: int, slices: int) -> DataFrame:
+    """The first pieces of every part, written, with its number of tokens and facts on the training counts."""
+    schema = pa.schema([("part", pa.int32()), ("slot", pa.int32()), ("counts", pa.binary()), ("tokens", pa.int64())])
 
     def encode(batches):
         from pyspark import TaskContext
 
-        task, number = TaskContext.get().partitionId(), itertools.count()
-        end = word_hashes([b" "])
-        held, size = [], 0
-
-        def rows():
-            for part, chunk, payload in chunk_rows((task << 24) + next(number), held, parts):
-                yield pa.RecordBatch.from_pylist([{"part": part, "chunk": chunk, "payload": payload, "counts": _packed(*merged([payload]))}], schema=schema)
-
-        for batch in batches:
-            for doc_id, train, text in zip(batch.column("doc_id").to_pylist(), batch.column("train").to_pylist(), texts(batch)):
-                held.append((doc_id, train, np.concatenate([word_hashes(text.lower().split()), end])))
-                size += len(held[-1][2])
-                if size >= CHUNK_TOKENS:
-                    yield from rows()
-                    held, size = [], 0
-        if held:
-            yield from rows()
+        slot = TaskContext.get().partitionId() % slots
+        for held in _hashed(batches):
+            for part, counts, tokens in count_rows(held, parts):
+                yield pa.RecordBatch.from_pylist([{"part": part, "slot": slot, "counts": counts, "tokens": tokens}], schema=schema)
 
     def add(rows):
-        return pa.table({"part": rows.column("part")[:1], "counts": pa.array([_packed(*combined(rows.column("counts").to_pylist()))], pa.binary())})
+        return pa.table({"part": rows.column("part")[:1], "counts": pa.array([_packed(*combined(rows.column("counts").to_pylist()))], pa.binary()), "tokens": [sum(rows.column("tokens").to_pylist())]})
 
     def count(rows):
         words, contexts, keys, counts = combined(rows.column("counts").to_pylist())
         variety = np.bincount(keys // max(CONTEXTS, len(contexts)), minlength=len(words))
-        facts = [int(counts.sum()), len(words), int((counts == 1).sum()), int((counts == 2).sum()), int((variety == 1).sum()), int((variety == 2).sum()), len(keys)]
-        return pa.table({"part": rows.column("part")[:1], "merged": pa.array([_packed(words, contexts, keys, counts)], pa.binary()), "facts": pa.array([facts], pa.list_(pa.int64()))})
+        facts = [int(counts.sum()), len(words), int((counts == 1).sum()), int((counts == 2).sum()), int((variety == 1).sum()), int((variety == 2).sum()), len(keys), sum(rows.column("tokens").to_pylist())]
+        out = _pieces(_first_rows(rows.column("part")[0].as_py(), words, contexts, keys, counts, slices))
+        return out.append_column("facts", pa.array([facts] + [None] * (len(out) - 1), pa.list_(pa.int64())))
 
-    flagged = docs.select(F.col("doc_id").cast("long").alias("doc_id"), (F.pmod(crc(F.col("doc_id")), F.lit(5)) != 1).alias("train"), "text")
     with small_batches(docs.sparkSession):
-        chunks = stored(flagged.mapInArrow(encode, "part int, chunk long, payload binary, counts binary"), "language-chunks")
-    each = chunks.select("part", F.pmod(F.xxhash64("chunk"), F.lit(slots)).alias("slot"), "counts")
-    if slots > 1:
-        each = each.groupBy("part", "slot").applyInArrow(add, "part int, counts binary")
-    found = each.select("part", "counts").groupBy("part").applyInArrow(count, "part int, merged binary, facts array<long>")
-    return chunks.select("part", "chunk", "payload"), stored(found, "language-model")
+        each = docs.mapInArrow(encode, "part int, slot int, counts binary, tokens long")
+        if slots > 1:
+            each = each.groupBy("part", "slot").applyInArrow(add, "part int, counts binary, tokens long")
+        return stored(each.select("part", "counts", "tokens").groupBy("part").applyInArrow(count, f"{PIECE_KIND}, facts array<long>"), "language-model")
+
+
+class Slice:
+    """The contexts of a slice, from what parts say of theirs."""
+
+    def __init__(self, rows: pa.Table, kind: str):
+        here = rows.filter(pa.compute.equal(rows.column("kind"), kind))
+        self.turns, self.number = here.column("turn").to_pylist(), rows.column("slice")[0].as_py()
+        self.parts, self.found = here.column("part").to_pylist(), [_spread(x) for x in here.column("payload").to_pylist()]
+        self.own = [np.cumsum(x[0], dtype="u8") for x in self.found]
+        self.contexts = np.unique(np.concatenate(self.own)) if self.own else np.zeros(0, "u8")
+
+    def total(self, which: int, turn: int = 0) -> np.ndarray:
+        out = np.zeros(len(self.contexts), "i8")
+        for own, values, t in zip(self.own, self.found, self.turns):
+            if t == turn:
+                out[np.searchsorted(self.contexts, own)] += values[which]
+        return out
 
 
-#: What parts and slices tell each other: a part's counts (merged), its seating (state), what it adds to a slice (told), what it gets (sums).
-PIECE = pa.schema([("part", pa.int32()), ("kind", pa.string()), ("turn", pa.int32()), ("slice", pa.int64()), ("payload", pa.binary()), ("root_customers", pa.int64()), ("root_tables", pa.int64())])
-PIECE_KIND = "part int, kind string, turn int, slice long, payload binary, root_customers long, root_tables long"
+def _first_sums(rows: pa.Table) -> pa.Table:
+    """Pairs and customers of the contexts, to every part for all of its own and for those of thin."""
+    s, out = Slice(rows, "own"), []
+    pairs, customers = s.total(2), s.total(3)
+    for part, own, values in zip(s.parts, s.own, s.found):
+        place = np.searchsorted(s.contexts, own)
+        thin = place[values[1] > 0]
+        out += [(part, "sums", 0, s.number, _squeeze(pairs[place], customers[place]), 0, 0), (part, "base", 0, s.number, _squeeze(pairs[thin], customers[thin]), 0, 0)]
+    return _pieces(out)
 
 
-def _pieces(rows: list[tuple]) -> pa.Table:
-    return pa.Table.from_pylist([dict(zip(PIECE.names, r)) for r in rows], schema=PIECE)
+def _extra(rows: pa.Table) -> pa.Table:
+    """Tables beyond one a pair, to every part for the contexts it told."""
+    s = Slice(rows, "told")
+    extra = s.total(1, s.turns[0])
+    return _pieces([(part, "extra", s.turns[0], s.number, _squeeze(extra[np.searchsorted(s.contexts, own)]), 0, 0) for part, own in zip(s.parts, s.own)])
 
 
-def _told(part: Part, turn: int, slices: int) -> list[tuple]:
-    """What a part adds to the tables per context of every slice, and at first to the customers."""
-    here, edges = part.sums(), _edges(part.contexts, slices)
-    values = [here["tables"]] + ([np.bincount(part.context, part.counts, part.width).astype("i8")] if turn == 0 else [])
-    rows = [(part.number, "state", turn, 0, _squeeze(part.tables, part.root_tables), here["root_customers"], here["root_tables"])]
-    for q in range(slices):
-        a, b = edges[q], edges[q + 1]
-        if a < b:
-            rows.append((part.number, "told", turn, q, _squeeze(_deltas(part.contexts[a:b]), *(v[a:b] for v in values)), 0, 0))
-    return rows
+def _last_sums(turns: range):
+    """Tables beyond one a pair in several rounds, to every part for all of its contexts."""
 
+    def run(rows: pa.Table) -> pa.Table:
+        told, all_ = Slice(rows, "told"), Slice(rows, "own")
+        out = []
+        for turn in turns:
+            extra = np.zeros(len(all_.contexts), "i8")
+            extra[np.searchsorted(all_.contexts, told.contexts)] = told.total(1, turn)
+            out += [(part, "more", turn, all_.number, _squeeze(extra[np.searchsorted(all_.contexts, own)]), 0, 0) for part, own in zip(all_.parts, all_.own)]
+        return _pieces(out)
 
-def _summed(rows: pa.Table) -> pa.Table:
-    """The sums of a slice, for each part those of its contexts."""
-    found = [_spread(x) for x in rows.column("payload").to_pylist()]
-    own = [np.cumsum(x[0], dtype="u8") for x in found]
-    contexts, place = np.unique(np.concatenate(own), return_inverse=True)
-    totals = [np.bincount(place, np.concatenate(v), len(contexts)).astype("i8") for v in zip(*(x[1:] for x in found))]
-    parts, turn, q = rows.column("part").to_pylist(), rows.column("turn")[0].as_py(), rows.column("slice")[0].as_py()
-    return _pieces([(p, "sums", turn, q, _squeeze(*(t[np.searchsorted(contexts, mine)] for t in totals)), 0, 0) for p, mine in zip(parts, own)])
+    return run
 
 
 class Told:
-    """A part and the sums it got, from the pieces of a group."""
+    """A part and the sums it got, from the pieces of a group: from thin, base and extra, or from merged, sums and more."""
 
     def __init__(self, rows: pa.Table, fixed: tuple, roots: list[tuple[float, float]]):
         held: dict[tuple[str, int], list[tuple[int, bytes]]] = {}
         for kind, turn, q, payload in zip(*(rows.column(x).to_pylist() for x in ("kind", "turn", "slice", "payload"))):
             held.setdefault((kind, turn), []).append((q, payload))
-        self.part = Part(rows.column("part")[0].as_py(), *_unpacked(held["merged", 0][0][1]))
-        self.held, self.fixed, self.roots = held, fixed, roots
-        self.customers = self._vector(0, 1)
-
-    def _vector(self, turn: int, which: int) -> np.ndarray:
-        out = np.zeros(self.part.width)
-        found = [_spread(x)[which] for _, x in sorted(self.held.get(("sums", turn), []))]
-        if found:
-            out[: len(self.part.contexts)] = np.concatenate(found)
-        return out
+        self.held, self.fixed, self.roots, self.whole = held, fixed, roots, ("merged", 0) in held
+        number = rows.column("part")[0].as_py()
+        if self.whole:
+            self.words, at, context, counts, contexts = _unpacked(held["merged", 0][0][1])
+            self.part = Part(number, len(self.words), at, context, counts, contexts)
+        else:
+            self.part = _thin(number, held["thin", 0][0][1])
+        first = "sums" if self.whole else "base"
+        self.pairs, self.customers = self._vector(first, 0, 0), self._vector(first, 0, 1)
+
+    def _vector(self, kind: str, turn: int, which: int) -> np.ndarray:
+        found = [_spread(x)[which] for _, x in sorted(self.held.get((kind, turn), []))]
+        return np.concatenate(found) if found else np.zeros(len(self.part.contexts), "i8")
 
     def sums(self, turn: int) -> Sums:
-        return Sums(*self.fixed, self.customers, self._vector(turn, 0), *self.roots[turn])
+        return Sums(*self.fixed, self.customers, self.pairs + self._vector("more" if self.whole else "extra", turn, 0), *self.roots[turn])
 
     def take_seats(self, turn: int) -> Part:
-        self.part.tables, self.part.root_tables = _spread(self.held["state", turn][0][1])
-        self.part.root_customers = np.bincount(self.part.at, self.part.tables, len(self.part.words)).astype("i8")
+        if ("state", turn) in self.held:
+            self.part.take_seats(*_spread(self.held["state", turn][0][1]))
         return self.part
 
+    def rows(self, turn: int, slices: int) -> list[tuple]:
+        """The part's seating and what it adds to the slices."""
+        part, beyond = self.part, self.part.beyond()
+        rows = [(part.number, "state", turn, 0, _squeeze(*part.seats()), int(part.root_customers.sum()), int(part.root_tables.sum()))]
+        return rows + [(part.number, "told", turn, q, _squeeze(_deltas(part.contexts[a:b]), beyond[a:b]), 0, 0) for q, a, b in _cut(part.contexts, slices)]
+
 
 def score_texts(docs: DataFrame, rounds: int = ROUNDS, averaged: int = AVERAGED) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score of every document (doc_id, text).
@@ -388,33 +465,37 @@ def score_texts(docs: DataFrame, rounds: int = ROUNDS, averaged: int = AVERAGED)
     spark = docs.sparkSession
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts = int(size // PART_BYTES) + 1
-    chunks, table = _parts(docs, parts, int(size // COUNTED_BYTES) + 1)
+    slices = -(-parts // SLICE_PARTS)
+    flagged = docs.select(F.col("doc_id").cast("long").alias("doc_id"), (F.pmod(crc(F.col("doc_id")), F.lit(5)) != 1).alias("train"), "text")
+    table = _counted(flagged, parts, int(size // COUNTED_BYTES) + 1, slices)
     facts = [float(x or 0) for x in table.agg(*(F.sum(F.get("facts", F.lit(i))) for i in range(7))).first()]
     discount = lambda once, twice: min(0.95, max(0.05, once / (once + 2 * twice))) if once else 0.5
     fixed = (int(facts[0]), int(facts[1]), (discount(facts[4], facts[5]), discount(facts[2], facts[3])))
     kind = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
-    piece = lambda name, turn, slice_, payload: (F.lit(name).alias("kind"), F.lit(turn).alias("turn"), slice_.alias("slice"), payload.alias("payload"), F.lit(0).cast("long").alias("root_customers"), F.lit(0).cast("long").alias("root_tables"))
-    counted = table.select("part", *piece("merged", 0, F.lit(0).cast("long"), F.col("merged")))
-    states, sums, roots = [], [], []
+    only = lambda df, *kinds: df.where(F.col("kind").isin(*kinds)).select(*PIECE.names)
+    first = stored(only(table, "own").groupBy("slice").applyInArrow(_first_sums, PIECE_KIND), "context-sums")
+    states, told, roots, extra = [], [], [(facts[6], facts[1])], None
 
     def seating(turn: int, roots: tuple):
         def seat(rows):
-            told = Told(rows, fixed, roots)
-            if turn:
-                told.take_seats(turn - 1).seat(told.sums(turn - 1), turn - 1)
-            return _pieces(_told(told.part, turn, parts))
+            here = Told(rows, fixed, roots)
+            here.take_seats(turn - 1).seat(here.sums(turn - 1), turn - 1)
+            return _pieces(here.rows(turn, slices))
 
         return seat
 
-    for turn in range(rounds + 1):
-        known = counted
-        for more in [*states[-1:], *sums[:1], *(sums[-1:] if turn > 1 else [])]:
+    for turn in range(1, rounds + 1):
+        known = only(table, "thin").unionAll(only(first, "base"))
+        for more in [*states[-1:], *([extra] if extra else [])]:
             known = known.unionAll(more)
         seated = stored(known.groupBy("part").applyInArrow(seating(turn, tuple(roots)), PIECE_KIND), "seating")
-        states.append(seated.where(F.col("kind") == "state"))
+        states.append(only(seated, "state"))
+        told.append(only(seated, "told"))
         root = states[-1].agg(F.sum("root_customers"), F.sum("root_tables")).first()
         roots.append((float(root[0] or 0), float(root[1] or 0)))
-        sums.append(stored(seated.where(F.col("kind") == "told").groupBy("slice").applyInArrow(_summed, PIECE_KIND), "context-sums"))
+        if turn < rounds:
+            extra = stored(told[-1].groupBy("slice").applyInArrow(_extra, PIECE_KIND), "context-sums")
+        release_shuffles(spark)
 
     last = range(max(1, rounds - averaged + 1), rounds + 1)
 
@@ -424,13 +505,26 @@ def score_texts(docs: DataFrame, rounds: int = ROUNDS, averaged: int = AVERAGED)
         model = Predictor(told, last)
         return pa.table({"chunk": chunks.column("slice"), "payload": pa.array([model.chunk(x.as_py()) for x in chunks.column("payload")], pa.binary())})
 
-    pieces = counted.unionAll(sums[0])
+    ending = only(table, "own")
+    for turn in last:
+        ending = ending.unionAll(told[turn - 1])
+    pieces = only(table, "merged").unionAll(only(first, "sums")).unionAll(stored(ending.groupBy("slice").applyInArrow(_last_sums(last), PIECE_KIND), "context-sums"))
     for turn in last:
-        pieces = pieces.unionAll(states[turn]).unionAll(sums[turn])
-    tasks = F.ceil(F.sum(F.length("payload")) / SCORED_BYTES).cast("int").alias("tasks")
-    tasks = small_enough(stored(chunks.groupBy("part").agg(tasks), "scoring-tasks"), 16)
+        pieces = pieces.unionAll(states[turn - 1])
+    release_shuffles(spark)
+    tasks = F.greatest(F.lit(1), F.ceil(F.get("facts", F.lit(7)) * TOKEN_BYTES / SCORED_BYTES)).cast("int").alias("tasks")
+    tasks = small_enough(stored(table.where(F.col("facts").isNotNull()).select("part", tasks), "scoring-tasks"), 16)
     pieces = pieces.join(tasks, "part").select(F.explode(F.sequence(F.lit(0), F.col("tasks") - 1)).alias("task"), *PIECE.names)
-    scored = chunks.select("part", *piece("chunk", 0, F.col("chunk"), F.col("payload"))).join(tasks, "part")
+
+    def encode(batches):
+        from pyspark import TaskContext
+
+        task, number = TaskContext.get().partitionId(), itertools.count()
+        for held in _hashed(batches):
+            for part, chunk, payload in chunk_rows((task << 24) + next(number), held, parts):
+                yield _pieces([(part, "chunk", 0, chunk, payload, 0, 0)]).to_batches()[0]
+
+    scored = flagged.select("doc_id", "train", "text").mapInArrow(encode, PIECE_KIND).join(tasks, "part")
     scored = scored.select(F.pmod(F.xxhash64("slice"), F.col("tasks")).cast("int").alias("task"), *PIECE.names)
 
     def total(rows: pa.Table) -> pa.Table:
@@ -444,15 +538,19 @@ def score_texts(docs: DataFrame, rounds: int = ROUNDS, averaged: int = AVERAGED)
                 names = pa.array(ids, mask=nulls.astype(bool))
         return pa.table({"doc_id": names, "held_out": np.arange(n_docs) >= n_train, "n_tokens": sums[0].astype("i8"), "n_known": sums[1].astype("i8"), "train_tokens": np.full(n_docs, int(facts[0])), "base_score": -sums[2] * BASE_STEP, "score": -sums[3] * STEP})
 
-    return pieces.unionAll(scored).groupBy("part", "task").applyInArrow(predict, "chunk long, payload binary").groupBy("chunk").applyInArrow(total, kind)
+    with small_batches(spark):
+        results = stored(pieces.unionAll(scored).groupBy("part", "task").applyInArrow(predict, "chunk long, payload binary"), "chunk-scores")
+    return results.groupBy("chunk").applyInArrow(total, kind)
 
 
 class Predictor:
     """Averaged predictive probabilities of a part's words."""
 
     def __init__(self, told: Told, turns: range):
-        self.part = part = told.part
-        self.keys = part.at.astype("i8") * part.width + part.context
+        self.part, self.words = told.part, told.words
+        part = self.part
+        self.width = max(CONTEXTS, len(part.contexts))
+        self.keys = part.at.astype("i8") * self.width + part.context
         self.extra, self.weights, self.roots, self.others = np.zeros(len(self.keys)), [], [], []
         for t in turns:
             last = told.sums(t)
@@ -462,23 +560,23 @@ class Predictor:
             self.roots.append(last.root(part.root_customers, part.root_tables))
             self.others.append(last.root(0, 0))
         self.extra /= len(self.weights)
-        counts = np.bincount(part.at, part.counts, len(part.words)) if len(part.words) else np.zeros(0)
+        counts = np.bincount(part.at, part.counts, len(self.words)) if len(self.words) else np.zeros(0)
         below = last.tokens + 0.5 * (last.words + 1)
         self.base, self.base_other = np.log10((counts + 0.5) / below), np.log10(0.5 / below)
 
     def chunk(self, payload: bytes) -> bytes:
         """Sums over the part's tokens per document of a chunk: documents, tokens, known ones, base and model log10; and the ids."""
         c, part = Chunk(payload), self.part
-        place = np.searchsorted(part.words, c.words)
-        found = place < len(part.words)
-        found[found] = part.words[place[found]] == c.words[found]
+        place = np.searchsorted(self.words, c.words)
+        found = place < len(self.words)
+        found[found] = self.words[place[found]] == c.words[found]
         known, at, context = found[c.word_at], place[c.word_at], np.searchsorted(part.contexts, c.contexts)[c.context_at]
         p, base = np.empty(len(at)), np.full(len(at), self.base_other)
         base[known] = self.base[at[known]]
         p[:] = sum(w[context] * other for w, other in zip(self.weights, self.others)) / len(self.weights)
         k_at, k_context = at[known], context[known]
         value = sum(w[k_context] * root[k_at] for w, root in zip(self.weights, self.roots)) / len(self.weights)
-        keys = k_at * part.width + k_context
+        keys = k_at * self.width + k_context
         pair = np.searchsorted(self.keys, keys)
         pair[pair == len(self.keys)] = 0
         p[known] = value + np.where(self.keys[pair] == keys, self.extra[pair], 0.0) if len(self.keys) else value

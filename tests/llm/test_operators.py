@@ -13,6 +13,7 @@ import pytest
 
 import corpus_pipeline
 from shelfcast.llm import frames, language, ledger, merge_counts, mixing, pitman_yor, site_lines, tiling, token_groups, url_reputation
+from shelfcast.llm.common import stored
 from shelfcast.llm.components import components
 from shelfcast.llm.queries import vocabulary
 
@@ -153,16 +154,19 @@ def test_language_model(spark, docs, none):
 def test_predictive_probabilities_sum_to_one():
     rng = np.random.default_rng(1)
     hashes = [pitman_yor.word_hashes([f"v{i}".encode() for i in rng.zipf(1.5, 300) % 40] + [b" "]) for _ in range(30)]
-    payload = next(pitman_yor.chunk_rows(0, [(i, True, h) for i, h in enumerate(hashes)], 1))[2]
-    known, keys, counts = pitman_yor.merge([payload])
+    known, contexts, keys, counts = pitman_yor.combined([next(pitman_yor.count_rows([(i, True, h) for i, h in enumerate(hashes)], 1))[1]])
     at, context = keys // pitman_yor.CONTEXTS, keys % pitman_yor.CONTEXTS
-    customers = np.bincount(context, counts, pitman_yor.CONTEXTS)
-    sums = pitman_yor.Sums(int(counts.sum()), len(known), (0.5, 0.6), customers, np.bincount(context, minlength=pitman_yor.CONTEXTS), len(keys), len(known))
-    part = pitman_yor.Part(0, known, at, context, counts)
+    customers, pairs = np.bincount(context, counts, len(contexts)), np.bincount(context, minlength=len(contexts))
+    sums = pitman_yor.Sums(int(counts.sum()), len(known), (0.5, 0.6), customers, pairs, len(keys), len(known))
+    part = pitman_yor.Part(0, len(known), at, context, counts, contexts)
+    thin = pitman_yor._thin(0, pitman_yor._first_rows(0, known, contexts, keys, counts, 2)[1][4])
     part.seat(sums, 0)
-    after = part.sums()
+    place = np.searchsorted(contexts, thin.contexts)
+    thin.seat(pitman_yor.Sums(sums.tokens, sums.words, sums.discounts, customers[place], pairs[place], len(keys), len(known)), 0)
+    assert all((a == b).all() for a, b in zip(thin.seats(), part.seats())) and (thin.root_customers == part.root_customers).all()
+    assert (thin.beyond() == part.beyond()[place]).all() and part.beyond().sum() == thin.beyond().sum()
     assert (part.tables >= 1).all() and (part.tables <= part.counts).all()
-    sums = pitman_yor.Sums(sums.tokens, sums.words, sums.discounts, customers, np.array(after["tables"]), after["root_customers"], after["root_tables"])
+    sums = pitman_yor.Sums(sums.tokens, sums.words, sums.discounts, customers, pairs + part.beyond(), int(part.root_customers.sum()), int(part.root_tables.sum()))
     root = sums.root(part.root_customers, part.root_tables)
     assert math.isclose(root.sum() + sums.root(0, 0), 1.0, rel_tol=1e-9)
     for b in np.unique(context)[:5]:
@@ -188,7 +192,7 @@ def test_a_hot_word_is_split(spark, monkeypatch):
     assert sizes[1] < sizes[0] + 20
     rng = np.random.default_rng(5)
     rows = [(i, " ".join("hot" if x < 0.4 else f"w{int(x * 100)}" for x in rng.random(200))) for i in range(60)]
-    docs, found = spark.createDataFrame(rows, "doc_id long, text string").repartition(4).localCheckpoint(), []
+    docs, found = stored(spark.createDataFrame(rows, "doc_id long, text string").repartition(4), "hot"), []
     monkeypatch.setattr(pitman_yor, "CHUNK_TOKENS", 500)
     for scored, counted in ((1 << 40, 1 << 40), (500, 20_000)):
         monkeypatch.setattr(pitman_yor, "SCORED_BYTES", scored)
