@@ -36,9 +36,9 @@ from shelfcast.llm.common import crc, release_shuffles, small_batches, small_eno
 #: Least length of a part's vectors over its contexts; they are longer where it has more.
 CONTEXTS = 1 << 12
 #: Tokens of a chunk of documents, about, bytes of text for which there is one part, and parts for which there is one slice.
-CHUNK_TOKENS, PART_BYTES, SLICE_PARTS = 4_000_000, 48_000_000, 4
+CHUNK_TOKENS, PART_BYTES, SLICE_PARTS = 3_000_000, 32_000_000, 4
 #: Bytes of payloads, at about so many a token, to be scored by one task, and of text for whose chunks a part's counts are added up first.
-SCORED_BYTES, TOKEN_BYTES, COUNTED_BYTES = 64_000_000, 6, 1_000_000_000
+SCORED_BYTES, TOKEN_BYTES, COUNTED_BYTES = 48_000_000, 6, 1_000_000_000
 #: Parallel rounds of seating, the last ones of which are averaged; strengths of the two levels; steps in which a round unseats all.
 ROUNDS, AVERAGED, STRENGTH, STEPS = 6, 3, 1.0, 4
 #: Steps to which a part's sums of log10 are rounded on their way to the document's: base and model.
@@ -423,8 +423,10 @@ class Told:
 
     def __init__(self, rows: pa.Table, fixed: tuple, roots: list[tuple[float, float]]):
         held: dict[tuple[str, int], list[tuple[int, bytes]]] = {}
-        for kind, turn, q, payload in zip(*(rows.column(x).to_pylist() for x in ("kind", "turn", "slice", "payload"))):
-            held.setdefault((kind, turn), []).append((q, payload))
+        payloads = rows.column("payload")
+        for i, (kind, turn, q) in enumerate(zip(*(rows.column(x).to_pylist() for x in ("kind", "turn", "slice")))):
+            if kind != "chunk":  # their payloads are read one at a time
+                held.setdefault((kind, turn), []).append((q, payloads[i].as_py()))
         self.held, self.fixed, self.roots, self.whole = held, fixed, roots, ("merged", 0) in held
         number = rows.column("part")[0].as_py()
         if self.whole:
@@ -500,10 +502,9 @@ def score_texts(docs: DataFrame, rounds: int = ROUNDS, averaged: int = AVERAGED)
     last = range(max(1, rounds - averaged + 1), rounds + 1)
 
     def predict(rows: pa.Table) -> pa.Table:
-        chunk = pa.compute.equal(rows.column("kind"), "chunk")
-        told, chunks = Told(rows.filter(pa.compute.invert(chunk)), fixed, roots), rows.filter(chunk)
-        model = Predictor(told, last)
-        return pa.table({"chunk": chunks.column("slice"), "payload": pa.array([model.chunk(x.as_py()) for x in chunks.column("payload")], pa.binary())})
+        model, payloads = Predictor(Told(rows, fixed, roots), last), rows.column("payload")
+        places = [i for i, kind in enumerate(rows.column("kind").to_pylist()) if kind == "chunk"]
+        return pa.table({"chunk": rows.column("slice").take(pa.array(places, pa.int64())), "payload": pa.array([model.chunk(payloads[i].as_py()) for i in places], pa.binary())})
 
     ending = only(table, "own")
     for turn in last:
