@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfcast.functions.values import family_label
-from shelfcast.schema import SERIES
+from shelfcast.schema import MIN_HISTORY_DAYS, SERIES
 
 
 def daily_total(df: DataFrame) -> DataFrame:
@@ -42,8 +42,11 @@ def _flag(df: DataFrame, name: str):
     return F.count_if(F.col(name)) if name in df.columns else F.lit(0).cast("bigint")
 
 
-def dataset_summary(df: DataFrame) -> DataFrame:
-    """One row: size, range, days, families with totals, stores, NULL sales, spikes replaced, events kept.
+def dataset_summary(df: DataFrame, observed: dict[str, int] | None = None) -> DataFrame:
+    """One row: size, range, days, families with totals, stores, NULL sales, spikes replaced, events kept, completeness and warnings.
+
+    observed: counts of the raw rows, from `observed_facts`; without them missing_before is NULL and the warnings are those the panel shows.
+    completeness_rate is the share of stores x families x days that have a row, NULL for an empty panel. A warning is a code with its count.
 
     Grouping sets by day, family and store are folded once more, so the panel is read once. The two
     lists are as long as the family and store dimensions, which is what a summary shows.
@@ -58,7 +61,7 @@ def dataset_summary(df: DataFrame) -> DataFrame:
     )
     day, fam, store = F.col("gid") == 3, F.col("gid") == 5, F.col("gid") == 6
     families = F.collect_list(F.when(fam, F.struct(F.col("family").alias("name"), family_label(F.col("family")).alias("label"), F.col("sales").alias("total_sales"))))
-    return sets.agg(
+    summary = sets.agg(
         F.sum(F.when(day, F.col("n"))).alias("total_rows"),
         F.min("date").alias("start"),
         F.max("date").alias("end"),
@@ -71,3 +74,22 @@ def dataset_summary(df: DataFrame) -> DataFrame:
         F.sum(F.when(day, F.col("replaced"))).alias("outliers_replaced"),
         F.sum(F.when(day, F.col("kept"))).alias("outliers_kept"),
     )
+    raw = observed or {}
+    expected = F.col("store_count") * F.col("family_count") * F.col("days")
+    known = {c: F.lit(raw.get(c)).cast("bigint") for c in ("raw_rows", "missing_before", "null_keys", "negative_sales", "negative_promo")}
+    counts = {
+        "merged_rows": known["raw_rows"] - known["null_keys"] - F.col("total_rows"),
+        "null_keys": known["null_keys"],
+        "negative_sales": known["negative_sales"],
+        "negative_promo": known["negative_promo"],
+        "missing_sales": known["missing_before"],
+        "incomplete_panel": expected - F.col("total_rows"),
+    }
+    warnings = [F.when(n > 0, F.concat(F.lit(f"{code} ("), n.cast("string"), F.lit(")"))) for code, n in counts.items()]
+    short = F.when(F.col("days") < MIN_HISTORY_DAYS, F.concat(F.lit("short_history ("), F.col("days").cast("string"), F.lit(")")))
+    return summary.select(
+        "*",
+        known["missing_before"].alias("missing_before"),
+        F.when(expected > 0, F.col("total_rows") / expected).alias("completeness_rate"),
+        F.array_compact(F.array(*warnings, short)).alias("warnings"),
+    )

@@ -191,9 +191,17 @@ def missing_columns(df: DataFrame) -> list[str]:
 
 
 def observed_errors(df: DataFrame) -> tuple[DataFrame, Observation]:
-    """The same rows, with the facts that decide about errors counted while another job reads them."""
+    """The same rows, with the facts that decide about errors, and those a summary shows, counted while another job reads them."""
     facts = Observation()
-    return df.observe(facts, _bad_dates(df).alias("bad_date"), _bad_stores(df).alias("bad_store"), F.count(to_number(F.col("sales"))).alias("numeric")), facts
+    no_key = _day(df).isNull() | to_store(F.col("store_nbr")).isNull() | F.col("family").isNull()
+    counts = [_bad_dates(df).alias("bad_date"), _bad_stores(df).alias("bad_store"), F.count(to_number(F.col("sales"))).alias("numeric")]
+    return df.observe(facts, *counts, F.count(F.lit(1)).alias("raw_rows"), F.count_if(no_key).alias("null_keys"), *_negatives(df)), facts
+
+
+def observed_facts(facts: Observation) -> dict[str, int]:
+    """What a summary shows of the raw rows: how many, without a number of sales, without a key, negative ones. A part that is read again may raise a count."""
+    seen = facts.get
+    return {"raw_rows": seen["raw_rows"], "missing_before": seen["raw_rows"] - seen["numeric"], **{c: seen[c] for c in ("null_keys", "negative_sales", "negative_promo")}}
 
 
 def require_observed(facts: Observation) -> None:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from shelfcast.operators import aggregate as agg
 from shelfcast.operators import clean as cl
-from shelfcast.plans.process import process
+from shelfcast.plans.process import process, process_report
 from shelfcast.schema import SERIES
 from shelfcast.sources import files
 from shelfcast.sources.scratch import scratch_path
@@ -83,6 +83,13 @@ def _process(spark: SparkSession, sf: str) -> DataFrame:
     return process(spark, files.read_sales_csv(spark, f"{path}/raw"), calendar(spark), f"{path}/out", "s1")
 
 
+def _upload_summary(spark: SparkSession, sf: str) -> DataFrame:
+    """What the upload path says of the raw rows it saw and of the panel it saved."""
+    summary = process_report(spark, raw_sales(spark, sf), calendar(spark), scratch_path(spark, "upload"), "s1")[1]
+    rate = F.round("completeness_rate", 6).alias("completeness_rate")
+    return summary.select("session_id", "total_rows", "missing_before", "missing_after", rate, F.array_join("warnings", ", ").alias("warnings"))
+
+
 def _save_daily(spark: SparkSession, sf: str) -> DataFrame:
     path = scratch_path(spark, "daily")
     files.write_session(agg.daily_total(sales_panel(spark, sf)), path, "s1")
@@ -137,6 +144,7 @@ QUERIES: dict[str, Query] = {
     "file_gate": _gate,
     "extract_subset": _subset,
     "process": _process,
+    "upload_summary": _upload_summary,
     "write_clean": lambda s, d: _two_sessions(s, d, "second"),
     "load_clean": lambda s, d: _two_sessions(s, d, "first"),
     "write_daily_total": _save_daily,

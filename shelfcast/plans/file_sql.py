@@ -30,6 +30,15 @@ ORACLES: dict[str, str] = {
     ),
     "extract_subset": panel("select * from panel where store_nbr in (1, 3, 5)"),
     "process": SALES["handle_outliers"],
+    "upload_summary": raw(
+        """select 's1' as session_id, total_rows, missing_before, cast(0 as bigint) as missing_after, round(total_rows / expected, 6) as completeness_rate,
+        concat_ws(', ', case when merged > 0 then 'merged_rows (' || merged || ')' end, case when neg > 0 then 'negative_sales (' || neg || ')' end,
+          case when negp > 0 then 'negative_promo (' || negp || ')' end, case when missing_before > 0 then 'missing_sales (' || missing_before || ')' end,
+          case when expected > total_rows then 'incomplete_panel (' || (expected - total_rows) || ')' end, case when days < 90 then 'short_history (' || days || ')' end) as warnings
+        from (select count(distinct (date, family, store_nbr)) as total_rows, count(*) - count(distinct (date, family, store_nbr)) as merged, count(*) filter (sales is null) as missing_before,
+          count(*) filter (sales < 0) as neg, count(*) filter (onpromotion < 0) as negp, count(distinct date) as days,
+          count(distinct date) * count(distinct family) * count(distinct store_nbr) as expected from raw_sales)"""
+    ),
     "write_clean": SALES["handle_outliers"],
     "load_clean": SALES["panel"],
     "write_summary": spiked(

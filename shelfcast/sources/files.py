@@ -135,9 +135,9 @@ def load_session(spark: SparkSession, path: str, session_id: str) -> DataFrame:
     return spark.read.parquet(f"{path}/session_id={session_id}")
 
 
-def write_summary(df: DataFrame, path: str, session_id: str) -> None:
-    """The dataset summary as one JSON document."""
-    summary = dataset_summary(df)
+def write_summary(df: DataFrame, path: str, session_id: str, observed: dict[str, int] | None = None) -> None:
+    """The dataset summary as one JSON document, with what was observed of the raw rows, if given."""
+    summary = dataset_summary(df, observed)
     row = summary.select(
         F.lit(session_id).alias("session_id"), F.current_timestamp().alias("created_at"), F.struct(*summary.columns).alias("summary")
     )

@@ -6,7 +6,8 @@ import os
 import pytest
 
 from shelfcast.operators import analysis
-from shelfcast.plans.process import process
+from shelfcast.operators.aggregate import dataset_summary
+from shelfcast.plans.process import process, process_report
 from shelfcast.sources import files
 
 
@@ -39,6 +40,23 @@ def test_upload_is_cleaned_saved_and_ready_for_analysis(spark, tmp_path, empty_c
     assert analysis.trend(panel, "monthly").count() == 4
 
 
+def test_summary_says_what_was_seen_of_the_raw_rows(spark, tmp_path, empty_calendar):
+    rows = ["2020-01-01,1,A,-5,0", "2020-01-01,1,A,x,-2", "2020-01-02,2,A,3,0", "2020-01-02,,A,4,0", "2020-01-03,1,B,NaN,0"]
+    panel, summary = process_report(spark, files.read_sales_csv(spark, land(tmp_path, rows)), empty_calendar, str(tmp_path / "out"), "s1")
+    got = summary.first()
+    assert panel.count() == got["total_rows"] == 3 and (got["missing_before"], got["missing_after"]) == (2, 0)
+    assert got["completeness_rate"] == 3 / 12
+    assert got["warnings"] == ["merged_rows (1)", "null_keys (1)", "negative_sales (1)", "negative_promo (1)", "missing_sales (2)", "incomplete_panel (9)", "short_history (3)"]
+    assert got["session_id"] == "s1" and spark.read.json(str(tmp_path / "out" / "summary" / "s1")).count() == 1
+
+
+def test_summary_of_a_panel_alone(panel):
+    full = dataset_summary(panel([(d, s, f, 1) for d in range(100) for s in (1, 2) for f in "AB"])).first()
+    assert (full["missing_before"], full["completeness_rate"], full["warnings"]) == (None, 1.0, [])
+    empty = dataset_summary(panel([(0, 1, "A", 1)]).limit(0)).first()
+    assert empty["completeness_rate"] is None and empty["warnings"] == ["short_history (0)"]
+
+
 @pytest.mark.parametrize(
     ("rows", "header", "reason"),
     [
