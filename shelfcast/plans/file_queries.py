@@ -15,7 +15,7 @@ from shelfcast.schema import SERIES
 from shelfcast.sources import files
 from shelfcast.sources.scratch import scratch_path
 from shelfcast.sources.tables import calendar, order_calendar, raw_sales, raw_text, sales_panel
-from shelfcast.streaming.ingest import ingest_stream
+from shelfcast.streaming.ingest import ingest_stream, read_ledger
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -137,6 +137,17 @@ def _ingest(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.parquet(f"{base}/out/clean").drop("session_id")
 
 
+def _ledger(spark: SparkSession, sf: str) -> DataFrame:
+    """Raw sales land as files that two streams bring, the second one twice: rows by landing, and those of the clean table as landing 0."""
+    base = scratch_path(spark, "stream")
+    raw_sales(spark, sf).select("date", "store_nbr", "family", "sales", "onpromotion").repartition(*SERIES).write.option("header", True).csv(f"{base}/landing")
+    for state in ("first", "second", "second"):
+        ingest_stream(spark, f"{base}/landing", f"{base}/out", f"{base}/{state}", calendar(spark))
+    landings = read_ledger(spark, f"{base}/out").groupBy("landing", "reason").agg(F.sum("rows").alias("rows"))
+    clean = spark.read.parquet(f"{base}/out/clean").agg(F.lit(0).cast("long").alias("landing"), F.lit("clean").alias("reason"), F.count("*").alias("rows"))
+    return landings.unionByName(clean)
+
+
 QUERIES: dict[str, Query] = {
     "read_sales_csv": _read_csv,
     "detect_encoding": lambda s, d: files.detect_encoding(uploaded_files(s, d)),
@@ -152,4 +163,5 @@ QUERIES: dict[str, Query] = {
     "read_calendar": _calendar_file,
     "export_forecast": _export,
     "ingest_stream": _ingest,
+    "ingest_ledger": _ledger,
 }

@@ -53,4 +53,8 @@ ORACLES: dict[str, str] = {
         from (select *, row_number() over (partition by family, store_nbr order by date desc) as back from panel), (values ('ARIMA'), ('LSTM')) as m(model) where model = 'LSTM' or back > 2"""
     ),
     "ingest_stream": SALES["handle_outliers"],
+    "ingest_ledger": raw(
+        """select landing, 'ok' as reason, (select count(*) from raw_sales) as rows from (values (cast(1 as bigint)), (cast(2 as bigint))) as t(landing)
+        union all select cast(0 as bigint), 'clean', count(distinct (date, family, store_nbr)) from raw_sales"""
+    ),
 }

@@ -3,14 +3,20 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from concurrent.futures import Future
 from contextlib import contextmanager
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfcast.functions.values import missing_text_to_null, to_day, to_number, to_store
 from shelfcast.operators.clean import clean
 from shelfcast.schema import RAW_COLUMNS, REQUIRED, SERIES
+from shelfcast.sources.scratch import snapshot
+
+#: The commit ledger: one row per file and batch that has been saved; landing counts the batches that brought the session.
+LEDGER = "session_id string, landing long, reason string, bytes long, rows long, stream string, batch_id long"
 
 #: Lets `decode` read GBK, and mark what it cannot read instead of failing the batch.
 _CHARSETS = ("spark.sql.legacy.javaCharsets", "spark.sql.legacy.codingErrorAction")
@@ -80,7 +86,7 @@ def named_rows(lines: DataFrame) -> DataFrame:
 
 
 def session_verdicts(df: DataFrame, max_bytes: int | None = None) -> DataFrame:
-    """Per session of `named_rows`: why its file is refused, or 'ok'. Combines map-side; a large file is no hot spot."""
+    """Per session of `named_rows`: why its file is refused, or 'ok', its bytes and rows. Combines map-side; a large file is no hot spot."""
     unreadable = F.col("date").isNotNull() & to_day(F.col("date")).isNull()
     bad_store = F.col("store_nbr").isNotNull() & to_store(F.col("store_nbr")).isNull()
     facts = df.groupBy("session_id").agg(
@@ -90,6 +96,7 @@ def session_verdicts(df: DataFrame, max_bytes: int | None = None) -> DataFrame:
         F.count_if(unreadable).alias("bad_dates"),
         F.count_if(bad_store).alias("bad_stores"),
         F.count(to_number(F.col("sales"))).alias("numeric"),
+        F.count_if(~F.col("is_head")).alias("rows"),
     )
     too_large = F.lit(False) if max_bytes is None else F.col("bytes") > max_bytes
     reason = (
@@ -103,7 +110,46 @@ def session_verdicts(df: DataFrame, max_bytes: int | None = None) -> DataFrame:
         .when(F.col("numeric") == 0, "no numeric sales")
         .otherwise("ok")
     )
-    return facts.select("session_id", reason.alias("reason"))
+    return facts.select("session_id", reason.alias("reason"), "bytes", "rows")
+
+
+def read_ledger(spark: SparkSession, out: str) -> DataFrame:
+    """The commit ledger of `out`, empty before the first batch. One small file a batch."""
+    try:
+        return spark.read.schema(LEDGER).parquet(f"{out}/ledger")
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], LEDGER)
+
+
+def commit_batch(batch: DataFrame, batch_id: int, stream: str, out: str, calendar: DataFrame, max_bytes: int | None = None) -> bool:
+    """Save one batch of lines under `out`; False if the ledger has it already, as when a stream repeats its last batch.
+
+    A batch that fails on the way has no row in the ledger, which is written last; repeated, it overwrites the partitions of its own
+    sessions. A file that lands again under its name is another batch: if accepted, it replaces the session, if refused, the
+    rows saved before stay; the ledger has both landings. A batch reads its own verdicts, and of the ledger the rows of its sessions.
+    """
+    spark = batch.sparkSession
+    ledger = read_ledger(spark, out)
+    if not ledger.where((F.col("stream") == stream) & (F.col("batch_id") == batch_id)).isEmpty():
+        return False
+
+    def save(df: DataFrame, name: str) -> None:
+        df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("session_id").parquet(f"{out}/{name}")
+
+    placed = snapshot(batch.withColumn("place", F.monotonically_increasing_id()), "landed-lines")
+    with _all_charsets(spark):
+        rows = named_rows(placed)
+        verdicts = snapshot(session_verdicts(rows, max_bytes), "verdicts")
+        accepted = verdicts.where("reason = 'ok'").select("session_id")
+        kept = rows.filter("not is_head").join(accepted, "session_id", "left_semi").select("session_id", *RAW_COLUMNS)
+        save(clean(kept, calendar, series=("session_id", *SERIES)), "clean")
+    save(verdicts.select("session_id", "reason"), "verdicts")
+    before = ledger.join(verdicts.select("session_id"), "session_id", "left_semi").groupBy("session_id").agg(F.max("landing").alias("before"))
+    landed = verdicts.join(before, "session_id", "left").select("session_id", (F.coalesce("before", F.lit(0)) + 1).alias("landing"), "reason", "bytes", "rows")
+    landed.coalesce(1).write.mode("overwrite").parquet(f"{out}/ledger/stream={stream}/batch_id={batch_id}")
+    return True
 
 
 def ingest_stream(
@@ -111,8 +157,9 @@ def ingest_stream(
 ) -> None:
     """Process all files that are new since the last call.
 
-    The file name is the session. A repeated batch overwrites the partitions of its own sessions, so
-    the tables `out`/clean and `out`/verdicts stay the same after a retry. A file of 0 bytes has no verdict.
+    The file name is the session. Tables: `out`/clean, `out`/verdicts (the last word on each session) and `out`/ledger (every landing
+    that was saved, see `commit_batch`). They stay the same after a retry. A file of 0 bytes has no verdict. A stream is known by
+    the id in its checkpoint, so one that begins anew brings its files again.
     """
     lines = (
         spark.readStream.option("pathGlobFilter", "*.csv")
@@ -126,17 +173,8 @@ def ingest_stream(
         )
     )
 
-    def save(df: DataFrame, name: str) -> None:
-        df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("session_id").parquet(f"{out}/{name}")
-
-    def append(batch: DataFrame, batch_id: int) -> None:
-        placed = batch.withColumn("place", F.monotonically_increasing_id()).persist()
-        with _all_charsets(batch.sparkSession):
-            rows = named_rows(placed)
-            save(session_verdicts(rows, max_bytes), "verdicts")
-            accepted = batch.sparkSession.read.parquet(f"{out}/verdicts").filter("reason = 'ok'").select(F.col("session_id").cast("string"))
-            kept = rows.filter("not is_head").join(accepted, "session_id", "left_semi").select("session_id", *RAW_COLUMNS)
-            save(clean(kept, calendar, series=("session_id", *SERIES)), "clean")
-        placed.unpersist()
-
-    lines.writeStream.foreachBatch(append).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+    stream: Future[str] = Future()
+    writer = lines.writeStream.foreachBatch(lambda batch, batch_id: commit_batch(batch, batch_id, stream.result(), out, calendar, max_bytes))
+    query = writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    stream.set_result(str(query.id))
+    query.awaitTermination()

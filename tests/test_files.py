@@ -6,7 +6,7 @@ import pytest
 
 from shelfcast.operators import clean as cl
 from shelfcast.sources import files
-from shelfcast.streaming.ingest import ingest_stream
+from shelfcast.streaming.ingest import commit_batch, ingest_stream, read_ledger
 
 HEADER = "date,store_nbr,family,sales,onpromotion\n"
 
@@ -126,6 +126,20 @@ def test_stream_cleans_each_file_as_a_session(spark, tmp_path, empty_calendar):
     assert verdicts == {"first": "ok", "second": "ok", "broken": "unreadable dates"}
 
 
+def test_a_repeated_batch_is_told_from_a_file_that_lands_again(spark, tmp_path, empty_calendar):
+    out, text = str(tmp_path / "out"), lambda s: [x for x in s.splitlines()]
+    lines = lambda *files_: spark.createDataFrame([(line, name, 9, 0) for name, content in files_ for line in text(content)], "value string, session_id string, file_size long, block_start long").coalesce(1)
+    total = lambda: {r[0]: r[1] for r in spark.read.parquet(f"{out}/clean").groupBy("session_id").sum("sales").collect()}
+    seen = lambda: sorted((r.session_id, r.landing, r.reason, r.rows, r.stream, r.batch_id) for r in read_ledger(spark, out).collect())
+    assert seen() == []
+    first = lines(("a", body(3, "A", 5)), ("b", body(2, "A", 1)))
+    assert commit_batch(first, 0, "s", out, empty_calendar)
+    assert not commit_batch(first, 0, "s", out, empty_calendar) and total() == {"a": 15.0, "b": 2.0}
+    assert commit_batch(lines(("a", body(3, "A", 7))), 1, "s", out, empty_calendar) and total() == {"a": 21.0, "b": 2.0}
+    assert commit_batch(lines(("a", HEADER + "soon,1,A,5,0\n")), 0, "t", out, empty_calendar) and total() == {"a": 21.0, "b": 2.0}
+    assert seen() == [("a", 1, "ok", 3, "s", 0), ("a", 2, "ok", 3, "s", 1), ("a", 3, "unreadable dates", 1, "t", 0), ("b", 1, "ok", 2, "s", 0)]
+
+
 def test_large_files_get_a_reason_row(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(files, "MAX_FILE_BYTES", 60)
     (tmp_path / "small.csv").write_text("date,store_nbr,family,sales\n2020-01-01,1,A,2\n")
