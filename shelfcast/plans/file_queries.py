@@ -13,6 +13,7 @@ from shelfcast.operators import clean as cl
 from shelfcast.plans.process import process, process_report
 from shelfcast.schema import SERIES
 from shelfcast.sources import files
+from shelfcast.sources.landed import all_charsets, read_landed
 from shelfcast.sources.scratch import scratch_path
 from shelfcast.sources.tables import calendar, order_calendar, raw_sales, raw_text, sales_panel
 from shelfcast.streaming.ingest import ingest_stream, read_ledger
@@ -57,6 +58,22 @@ def _read_files(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def _read_landed(spark: SparkSession, sf: str) -> DataFrame:
+    """The raw text lands as files of any size, those of even stores in GBK, with other columns in another order."""
+    path, raw = scratch_path(spark, "landed"), raw_text(spark, sf)
+    even = F.col("store_nbr").cast("int") % 2 == 0
+    with all_charsets(spark):
+        for encoding, part in (("GBK", raw.filter(even)), ("UTF-8", raw.filter(~even))):
+            named = part.select("family", "sales", F.lit("备注").alias("备注"), "date", "store_nbr", *(["onpromotion"] if encoding == "GBK" else []))
+            named.write.mode("append").option("header", True).option("encoding", encoding).csv(path)
+    return read_landed(spark, path).groupBy("store_nbr", "encoding", "reason").agg(
+        F.count("*").alias("rows"),
+        F.round(F.sum(F.col("sales").cast("double")), 2).alias("sales"),
+        F.count_if(F.col("date") == "bad-date").alias("bad_dates"),
+        F.count("onpromotion").alias("promotions"),
+    )
+
+
 def _gate(spark: SparkSession, sf: str) -> DataFrame:
     """The uploaded files under names whose suffix goes by store."""
     suffix = F.element_at(F.array(*[F.lit(s) for s in (".csv", ".CSV", ".xls", ".xlsx", ".json")]), F.substring("path", 1, 1).cast("int"))
@@ -152,6 +169,7 @@ QUERIES: dict[str, Query] = {
     "read_sales_csv": _read_csv,
     "detect_encoding": lambda s, d: files.detect_encoding(uploaded_files(s, d)),
     "read_sales_files": _read_files,
+    "read_landed": _read_landed,
     "file_gate": _gate,
     "extract_subset": _subset,
     "process": _process,

@@ -28,6 +28,11 @@ ORACLES: dict[str, str] = {
         count(*) filter (date = 'bad-date') as bad_dates from raw_text group by 1""",
         TEXT,
     ),
+    "read_landed": raw(
+        f"""select store_nbr, case when cast(store_nbr as int) % 2 = 0 then 'gbk' else 'utf-8' end as encoding, 'ok' as reason, count(*) as rows, round(sum({_NULLS}), 2) as sales,
+        count(*) filter (date = 'bad-date') as bad_dates, count(onpromotion) filter (cast(store_nbr as int) % 2 = 0) as promotions from raw_text group by 1""",
+        TEXT,
+    ),
     "extract_subset": panel("select * from panel where store_nbr in (1, 3, 5)"),
     "process": SALES["handle_outliers"],
     "upload_summary": raw(

@@ -21,7 +21,7 @@ def read_sales_csv(spark: SparkSession, path: str) -> DataFrame:
     """A header CSV (or a folder of files with one header) as text columns; missing markers are NULL.
 
     Splittable: one large file is read by many tasks. Files in other encodings or with headers of
-    their own go through `read_sales_files`.
+    their own go through `landed.read_landed`, or, if they are small, `read_sales_files`.
     """
     df = spark.read.option("header", True).option("escape", '"').csv(path)
     return df.select(*[missing_text_to_null(F.col(f"`{c}`")).alias(c.strip()) for c in df.columns])
@@ -60,7 +60,7 @@ def _content() -> Column:
     return F.when(F.col("length") <= MAX_FILE_BYTES, F.col("content")).alias("content")
 
 
-TOO_LARGE = "larger than 16 MB: read it with read_sales_csv, which splits it"
+TOO_LARGE = "larger than 16 MB: read it with read_landed, which splits it"
 
 
 def detect_encoding(files: DataFrame) -> DataFrame:

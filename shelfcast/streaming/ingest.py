@@ -2,89 +2,21 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from concurrent.futures import Future
-from contextlib import contextmanager
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfcast.functions.values import missing_text_to_null, to_day, to_number, to_store
+from shelfcast.functions.values import to_day, to_number, to_store
 from shelfcast.operators.clean import clean
 from shelfcast.schema import RAW_COLUMNS, REQUIRED, SERIES
+from shelfcast.sources.landed import ODD_QUOTES, TOO_WIDE, UNKNOWN_ENCODING, all_charsets, named_rows
 from shelfcast.sources.scratch import snapshot
 
 #: The commit ledger: one row per file and batch that has been saved; landing counts the batches that brought the session.
 LEDGER = "session_id string, landing long, reason string, bytes long, rows long, stream string, batch_id long"
 
-#: Lets `decode` read GBK, and mark what it cannot read instead of failing the batch.
-_CHARSETS = ("spark.sql.legacy.javaCharsets", "spark.sql.legacy.codingErrorAction")
-_UNREADABLE = "�"
-
-
-@contextmanager
-def _all_charsets(spark: SparkSession) -> Iterator[None]:
-    before = {key: spark.conf.get(key) for key in _CHARSETS}
-    for key in _CHARSETS:
-        spark.conf.set(key, "true")
-    try:
-        yield
-    finally:
-        for key, value in before.items():
-            spark.conf.set(key, value)
-
-
-def named_rows(lines: DataFrame) -> DataFrame:
-    """Raw sales rows from the lines of CSV files (session_id, file_size, block_start, place, value), columns found by name.
-
-    `place` grows with the lines of a block. Each file brings its own header and is UTF-8 (with or without a mark) or
-    GBK, found from all its lines. Columns that a file lacks are NULL. The facts about the file come along: names,
-    odd_text (neither encoding), odd_quotes (a line break inside quotes), too_wide (more cells than names). A file with
-    nothing but its header yields one row of NULLs. Splittable: the file is read by as many tasks as it has blocks.
-    """
-    first = F.min(F.when(F.col("block_start") == 0, F.struct("place", F.col("value").alias("line"))))
-    heads = lines.groupBy("session_id").agg(F.bool_and(F.is_valid_utf8("value")).alias("utf8"), first.alias("head"))
-    widest = heads.agg(F.max(F.size(F.split(F.col("head.line"), ",")))).first()[0] or 0
-    schema = ", ".join(f"c{i} string" for i in range(widest + 1))
-
-    def text(value: str) -> F.Column:
-        return F.when(F.col("utf8"), F.col(value)).otherwise(F.decode(F.col(value).cast("binary"), "GBK"))
-
-    def cells(value: F.Column) -> F.Column:
-        return F.from_csv(value, schema, {"escape": '"'})
-
-    def listed(struct: str) -> F.Column:
-        return F.array(*[F.col(f"{struct}.c{i}") for i in range(widest + 1)])
-
-    known = (
-        heads.withColumn("cells", cells(F.regexp_replace(text("head.line"), "^﻿", "")))
-        .withColumn("names", F.transform(F.array_compact(listed("cells")), lambda c: F.trim(c)))
-        .select("session_id", "utf8", "names", F.col("head.place").alias("head_place"))
-    )
-    rows = (
-        lines.join(known, "session_id")
-        .withColumn("text", text("value"))
-        .withColumn("is_head", (F.col("place") == F.col("head_place")) & (F.col("block_start") == 0))
-        .filter("is_head or trim(text) <> ''")
-        .withColumn("cells", cells(F.when(~F.col("is_head"), F.col("text"))))
-        .withColumn("listed", listed("cells"))
-    )
-    cell = lambda c: F.try_element_at("listed", F.nullif(F.array_position("names", c), F.lit(0)).cast("int"))
-    quotes = F.length("text") - F.length(F.replace("text", F.lit('"')))
-    extra = F.try_element_at("listed", F.size("names") + 1)
-    return rows.select(
-        *[missing_text_to_null(cell(c)).alias(c) for c in RAW_COLUMNS],
-        "session_id",
-        "file_size",
-        "names",
-        "is_head",
-        F.contains("text", F.lit(_UNREADABLE)).alias("odd_text"),
-        (quotes % 2 == 1).alias("odd_quotes"),
-        F.coalesce(extra.isNotNull(), F.lit(False)).alias("too_wide"),
-    )
-
-
 def session_verdicts(df: DataFrame, max_bytes: int | None = None) -> DataFrame:
     """Per session of `named_rows`: why its file is refused, or 'ok', its bytes and rows. Combines map-side; a large file is no hot spot."""
     unreadable = F.col("date").isNotNull() & to_day(F.col("date")).isNull()
@@ -101,10 +33,10 @@ def session_verdicts(df: DataFrame, max_bytes: int | None = None) -> DataFrame:
     too_large = F.lit(False) if max_bytes is None else F.col("bytes") > max_bytes
     reason = (
         F.when(too_large, "file too large")
-        .when(F.col("odd_text"), "encoding not recognised, save as UTF-8")
-        .when(F.col("odd_quotes"), "line break or single quote mark inside a cell")
+        .when(F.col("odd_text"), UNKNOWN_ENCODING)
+        .when(F.col("odd_quotes"), ODD_QUOTES)
         .when(F.col("missing") != "", F.concat(F.lit("missing columns: "), "missing"))
-        .when(F.col("too_wide"), "rows with more cells than the header")
+        .when(F.col("too_wide"), TOO_WIDE)
         .when(F.col("bad_dates") > 0, "unreadable dates")
         .when(F.col("bad_stores") > 0, "unreadable stores")
         .when(F.col("numeric") == 0, "no numeric sales")
@@ -139,7 +71,7 @@ def commit_batch(batch: DataFrame, batch_id: int, stream: str, out: str, calenda
         df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("session_id").parquet(f"{out}/{name}")
 
     placed = snapshot(batch.withColumn("place", F.monotonically_increasing_id()), "landed-lines")
-    with _all_charsets(spark):
+    with all_charsets(spark):
         rows = named_rows(placed)
         verdicts = snapshot(session_verdicts(rows, max_bytes), "verdicts")
         accepted = verdicts.where("reason = 'ok'").select("session_id")

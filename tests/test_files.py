@@ -3,9 +3,11 @@ from __future__ import annotations
 import datetime as dt
 
 import pytest
+from pyspark.sql import functions as F
 
 from shelfcast.operators import clean as cl
 from shelfcast.sources import files
+from shelfcast.sources.landed import read_landed
 from shelfcast.streaming.ingest import commit_batch, ingest_stream, read_ledger
 
 HEADER = "date,store_nbr,family,sales,onpromotion\n"
@@ -36,6 +38,32 @@ def test_encodings_and_rows(spark, tmp_path):
     assert [r["reason"] for r in rows if r["path"].endswith("d.csv")] == ["encoding not recognised, save as UTF-8"]
 
 
+def test_a_large_gbk_file_is_read_by_many_tasks(spark, tmp_path):
+    line = "2020-01-01,1,饮料和酒类及其他,{},0,备注\n".encode("gbk")
+    with open(tmp_path / "big.csv", "wb") as f:
+        f.write("date,store_nbr,family,sales,onpromotion,备注\n".encode("gbk"))
+        for i in range(1200):
+            f.write(b"".join(line.replace(b"{}", str(i * 1000 + j).encode()) for j in range(1000)))
+    assert (tmp_path / "big.csv").stat().st_size > 40_000_000
+    rows = read_landed(spark, str(tmp_path))
+    assert rows.rdd.getNumPartitions() > 1
+    got = rows.groupBy("encoding", "reason", "family").agg(F.count("*").alias("n"), F.sum(F.col("sales").cast("long")).alias("s")).collect()
+    assert [tuple(r) for r in got] == [("gbk", "ok", "饮料和酒类及其他", 1_200_000, sum(range(1_200_000)))]
+
+
+def test_landed_lines_that_cannot_be_read_say_so(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('sales,date\n"4",2020-01-01\n5,2020-01-02,6\n"7,2020-01-03\n\n')
+    (tmp_path / "b.csv").write_bytes(b"sales,date\n\xff\xff\x81,2020-01-04\n")
+    (tmp_path / "c.csv").write_text(HEADER)
+    (tmp_path / "d.csv").write_bytes("\ufeffdate,sales\n2020-01-05,NaN\n".encode())
+    got = {r["date"] or "-": (r["path"][-5:], r["encoding"], r["reason"], r["sales"], r["family"]) for r in read_landed(spark, str(tmp_path)).collect()}
+    assert got["2020-01-01"] == ("a.csv", "utf-8", "ok", "4", None)
+    assert got["2020-01-02"][2] == "rows with more cells than the header"
+    assert got["2020-01-04"][:3] == ("b.csv", "gbk", "encoding not recognised, save as UTF-8")
+    assert got["2020-01-05"] == ("d.csv", "utf-8", "ok", None, None)
+    assert [v[2] for v in got.values()].count("line break or single quote mark inside a cell") == 1 and len(got) == 5
+
+
 def test_a_broken_table_reports_its_real_cause(spark, tmp_path):
     (tmp_path / "x.csv").write_text('date,sales\n"2020-01-01,1\n2020-01-02,2,3,4\n')
     (tmp_path / "y.csv").write_text("\n")
