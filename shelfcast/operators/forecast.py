@@ -2,19 +2,20 @@
 
 Input is a clean panel: at most one row per series and day. Three models: an autoregressive one with
 its order searched per series, a decomposable one (trend with changepoints, seasons, holidays), and
-one linear window model shared by all series.
+one window model shared by all series, linear or of boosted trees.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.ml.functions import array_to_vector
-from pyspark.ml.regression import GeneralizedLinearRegression
+from pyspark.ml.regression import GBTRegressor, GeneralizedLinearRegression
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -226,7 +227,7 @@ def backtest_rolling_mean(df: DataFrame, series: Sequence[str] = SERIES) -> Data
     return tested.select(*series, "date", F.col("sales").alias("actual"), "predicted")
 
 
-# Decomposable model: design rows and scoring are Spark expressions, only the ridge solve is numpy.
+# Decomposable model: design rows and scoring are Spark expressions, only the solve is numpy.
 
 CHANGEPOINTS, CHANGE_RANGE, YEARLY, WEEKLY = 25, 0.8, 10, 3
 CHANGE_SCALE, SEASON_SCALE, HOLIDAY_SCALE, BASE_SCALE = 0.05, 10.0, 10.0, 5.0
@@ -265,7 +266,7 @@ def design_rows(rows: DataFrame, calendar: DataFrame, use_promo: bool = False, s
 def fit_decomposable(design: DataFrame, multiplicative: bool = True, series: Sequence[str] = SERIES) -> DataFrame:
     """Coefficients per series: beta over x, one effect per holiday name, residual spread.
 
-    The multiplicative form is fitted on logarithms, zero sales counting as 0.01.
+    Bends have Laplace priors, so the trend bends only where the data ask for it; the rest have normal ones. The multiplicative form is fitted on logarithms, zero sales counting as 0.01.
     """
 
     def run(key: tuple, rows: pa.Table) -> pa.Table:
@@ -280,7 +281,8 @@ def fit_decomposable(design: DataFrame, multiplicative: bool = True, series: Seq
         centre, scale = float(y.mean()), float(y.std()) or 1.0
         scales = np.full(x.shape[1], SEASON_SCALE)
         scales[:2], scales[2:_TREND] = BASE_SCALE, CHANGE_SCALE
-        beta, spread = solvers.ridge(np.hstack([x, flags]), (y - centre) / scale, np.r_[scales, np.full(len(names), HOLIDAY_SCALE)])
+        scales = np.r_[scales, np.full(len(names), HOLIDAY_SCALE)]
+        beta, spread = solvers.sparse_ridge(np.hstack([x, flags]), (y - centre) / scale, scales, slice(2, _TREND))
         beta = beta * scale
         beta[0] += centre
         found = [[beta[: x.shape[1]].tolist()], [names], [beta[x.shape[1] :].tolist()], [spread * scale]]
@@ -295,7 +297,11 @@ def fit_decomposable(design: DataFrame, multiplicative: bool = True, series: Seq
 
 
 def score_decomposable(design: DataFrame, coefficients: DataFrame, multiplicative: bool = True, series: Sequence[str] = SERIES) -> DataFrame:
-    """Forecast, 80 % interval and components of each design row; forecast and bounds are not below 0."""
+    """Forecast, 80 % interval and components of each design row; forecast and bounds are not below 0.
+
+    After the last day (t > 1) the trend is taken to bend as often as it may before, each time by the mean size of the past bends and either
+    way. A bend at u moves t by (t - u), so over evenly spread bends the variance grows with 2 (t - 1)^3 / 3.
+    """
 
     def dot(start: int, length: int | None = None) -> Column:
         size = F.lit(length) if length is not None else F.greatest(F.size("x") - F.lit(start - 1), F.lit(0))
@@ -315,6 +321,9 @@ def score_decomposable(design: DataFrame, coefficients: DataFrame, multiplicativ
     }
     scored = design.join(coefficients, list(series)).withColumns(parts)
     total = sum((F.col(c) for c in list(parts)[1:]), F.col("trend"))
+    bend = F.aggregate(F.slice("beta", 3, CHANGEPOINTS), F.lit(0.0), lambda s, v: s + F.abs(v)) / CHANGEPOINTS
+    after = F.greatest(F.col("t") - 1, F.lit(0.0))
+    wide = Z80 * F.sqrt(F.col("spread") * F.col("spread") + F.lit(2 * CHANGEPOINTS / 3) * bend * bend * after * after * after)
     shape = F.exp if multiplicative else (lambda c: c)
     component = (lambda c: F.exp(c) - 1) if multiplicative else F.col
     low0 = lambda c: F.greatest(shape(c), F.lit(0.0))
@@ -323,8 +332,8 @@ def score_decomposable(design: DataFrame, coefficients: DataFrame, multiplicativ
         "date",
         F.col("sales").alias("actual"),
         low0(F.col("total")).alias("forecast"),
-        low0(F.col("total") - Z80 * F.col("spread")).alias("lower_ci"),
-        low0(F.col("total") + Z80 * F.col("spread")).alias("upper_ci"),
+        low0(F.col("total") - wide).alias("lower_ci"),
+        low0(F.col("total") + wide).alias("upper_ci"),
         shape(F.col("trend")).alias("trend"),
         component("weekly").alias("weekly"),
         component("yearly").alias("yearly"),
@@ -394,7 +403,7 @@ def backtest_decomposable(
     return scored.select(*series, "date", "actual", F.col("forecast").alias("predicted"))
 
 
-# Window model: one linear regression over the scaled windows of all series.
+# Window model: one linear regression, or one ensemble of trees, over the scaled windows of all series.
 
 
 def short_series_window(df: DataFrame, length: int = WINDOW_LENGTH, series: Sequence[str] = SERIES) -> DataFrame:
@@ -444,7 +453,58 @@ def fit_window_model(windows: DataFrame) -> tuple[list[float], float]:
     return [float(v) for v in model.coefficients], float(model.intercept)
 
 
-def _predict(window: Column, weights: list[float], intercept: float) -> Column:
+class Trees(NamedTuple):
+    """Regression trees as arrays over the nodes of all of them: a window goes left where its value `feature` is at most `threshold`.
+
+    `left` and `right` are places of nodes, both a leaf's own place; `value` is a leaf's; `roots` the trees' first nodes.
+    """
+
+    roots: list[int]
+    weights: list[float]
+    feature: list[int]
+    threshold: list[float]
+    left: list[int]
+    right: list[int]
+    value: list[float]
+    depth: int
+
+
+def fit_trees(windows: DataFrame, rounds: int = 20, depth: int = 4, step: float = 0.2) -> Trees:
+    """Boosted trees from the training windows; those are added until the loss of the validation windows falls no further.
+
+    MLlib grows each tree level by level over the partitions. The fitted nodes, at most 2^(depth + 1) a tree, become arrays.
+    """
+    rows = windows.select(array_to_vector("window").alias("features"), "label", (F.col("split") == "val").alias("held"))
+    grown = GBTRegressor(maxIter=rounds, maxDepth=depth, stepSize=step, validationIndicatorCol="held", validationTol=1e-3, seed=1, cacheNodeIds=False).fit(rows)
+    nodes, roots = [], []
+
+    def add(node) -> int:
+        at = len(nodes)
+        nodes.append([0, 0.0, at, at, float(node.prediction())])
+        if node.subtreeDepth() > 0:
+            split = node.split()
+            nodes[at][:2] = split.featureIndex(), float(split.threshold())
+            nodes[at][2] = add(node.leftChild())
+            nodes[at][3] = add(node.rightChild())
+        return at
+
+    for tree in grown.trees:
+        roots.append(add(tree._java_obj.rootNode()))
+    return Trees(roots, [float(w) for w in grown.treeWeights], *map(list, zip(*nodes)), max(tree.depth for tree in grown.trees))
+
+
+def _predict_trees(window: Column, trees: Trees) -> Column:
+    """The sum of the trees, each walked from its root as a fold over its levels."""
+    at = lambda values, i: F.get(F.array(*map(F.lit, values)), i)
+    start = F.arrays_zip(F.array(*map(F.lit, trees.roots)).alias("root"), F.array(*map(F.lit, trees.weights)).alias("weight"))
+    down = lambda i, _: F.when(F.get(window, at(trees.feature, i)) <= at(trees.threshold, i), at(trees.left, i)).otherwise(at(trees.right, i))
+    leaf = lambda root: F.aggregate(F.array_repeat(F.lit(0), trees.depth), root, down)
+    return F.aggregate(start, F.lit(0.0), lambda s, t: s + t["weight"] * at(trees.value, leaf(t["root"])))
+
+
+def _predict(window: Column, weights: list[float] | Trees, intercept: float = 0.0) -> Column:
+    if isinstance(weights, Trees):
+        return _predict_trees(window, weights)
     products = F.zip_with(window, F.array(*[F.lit(w) for w in weights]), lambda a, b: a * b)
     return F.aggregate(products, F.lit(float(intercept)), lambda s, v: s + v)
 
@@ -455,12 +515,19 @@ def window_regression(df: DataFrame, length: int = WINDOW_LENGTH, series: Sequen
     return window_loss(windows, *fit_window_model(windows))
 
 
-def window_loss(windows: DataFrame, weights: list[float], intercept: float) -> DataFrame:
-    """Per part, the mean squared error of given weights and the number of windows."""
+def window_loss(windows: DataFrame, weights: list[float] | Trees, intercept: float = 0.0) -> DataFrame:
+    """Per part, the mean squared error of given weights or trees and the number of windows."""
     error = _predict(F.col("window"), weights, intercept) - F.col("label")
     return windows.groupBy("split").agg(F.avg(error * error).alias("loss"), F.count("*").alias("windows"))
 
 
+def tree_regression(df: DataFrame, length: int = WINDOW_LENGTH, series: Sequence[str] = SERIES) -> DataFrame:
+    """Grow the shared trees; per part, their loss, the window count, and the best round, the number of trees kept."""
+    windows = model_windows(df, length, series)
+    trees = fit_trees(windows)
+    return window_loss(windows, trees).withColumn("best_round", F.lit(len(trees.roots)))
+
+
 def recent_window(df: DataFrame, length: int = WINDOW_LENGTH, series: Sequence[str] = SERIES) -> DataFrame:
     """The last values of the whole series, scaled by its training part, with its last day."""
     rows = _scaled(df, length, series).filter(F.col("n") >= F.col("used")).filter(F.col("rn") > F.col("n") - F.col("used"))
@@ -472,7 +539,7 @@ def recent_window(df: DataFrame, length: int = WINDOW_LENGTH, series: Sequence[s
 
 
 def recursive_forecast(
-    df: DataFrame, weights: list[float], intercept: float, horizon: int = 30, length: int = WINDOW_LENGTH, series: Sequence[str] = SERIES
+    df: DataFrame, weights: list[float] | Trees, intercept: float = 0.0, horizon: int = 30, length: int = WINDOW_LENGTH, series: Sequence[str] = SERIES
 ) -> DataFrame:
     """h steps, each prediction shifted into the window; not below 0, no interval. One fold per series."""
     start = F.struct(_padded(F.col("window"), length).alias("w"), F.array().cast("array<double>").alias("out"))
@@ -495,8 +562,13 @@ def window_forecast(df: DataFrame, horizon: int = 30, length: int = WINDOW_LENGT
     return recursive_forecast(df, weights, intercept, horizon, length, series)
 
 
+def tree_forecast(df: DataFrame, horizon: int = 30, length: int = WINDOW_LENGTH, series: Sequence[str] = SERIES) -> DataFrame:
+    """`window_forecast` with trees grown until the validation part's loss falls no further."""
+    return recursive_forecast(df, fit_trees(model_windows(df, length, series)), horizon=horizon, length=length, series=series)
+
+
 def backtest_window(
-    df: DataFrame, weights: list[float], intercept: float, length: int = WINDOW_LENGTH, series: Sequence[str] = SERIES
+    df: DataFrame, weights: list[float] | Trees, intercept: float = 0.0, length: int = WINDOW_LENGTH, series: Sequence[str] = SERIES
 ) -> DataFrame:
     """One-step predictions of the test part from real history, validation left out."""
     rows = _scaled(df, length, series).filter(F.col("split") != "val")

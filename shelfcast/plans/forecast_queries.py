@@ -125,6 +125,10 @@ def _window_backtest(spark: SparkSession, sf: str) -> DataFrame:
 GIVEN_WEIGHTS, GIVEN_INTERCEPT = [0.05, 0.05, 0.1, 0.1, 0.1, 0.2, 0.3], 0.01
 
 
+#: Given trees over the same windows: one of two splits and one of a single split, which counts half.
+GIVEN_TREES = fc.Trees([0, 5], [1.0, 0.5], [6, 0, 0, 0, 0, 3, 0, 0], [0.4037, 0, 0.2519, 0, 0, 0.3571, 0, 0], [1, 1, 3, 3, 4, 6, 6, 7], [2, 1, 4, 3, 4, 7, 6, 7], [0, 0.31, 0, 0.52, 0.83, 0, -0.05, 0.11], 2)
+
+
 def _given_recursion(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(fc.recursive_forecast(sales_panel(spark, sf), GIVEN_WEIGHTS, GIVEN_INTERCEPT, horizon=10, length=7))
 
@@ -191,6 +195,18 @@ def _given_bends(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(fc.bends(panel, _given_coefficients(panel)))
 
 
+def _tree_recursion(spark: SparkSession, sf: str) -> DataFrame:
+    return rounded(fc.recursive_forecast(sales_panel(spark, sf), GIVEN_TREES, horizon=10, length=7))
+
+
+def _tree_backtest(spark: SparkSession, sf: str) -> DataFrame:
+    return rounded(fc.backtest_window(sales_panel(spark, sf), GIVEN_TREES, length=7))
+
+
+def _tree_loss(spark: SparkSession, sf: str) -> DataFrame:
+    return rounded(fc.window_loss(fc.model_windows(sales_panel(spark, sf), 7), GIVEN_TREES))
+
+
 def _given_loss(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(fc.window_loss(fc.model_windows(sales_panel(spark, sf), 7), GIVEN_WEIGHTS, GIVEN_INTERCEPT))
 
@@ -298,6 +314,9 @@ QUERIES: dict[str, Query] = {
     "backtest_decomposable_given": _given_decomposable_backtest,
     "changepoints_given": _given_bends,
     "window_loss_given": _given_loss,
+    "tree_loss_given": _tree_loss,
+    "tree_recursion_given": _tree_recursion,
+    "tree_backtest_given": _tree_backtest,
     "arima_given": _given_arima("forecast"),
     "fitted_given": _given_arima("fitted"),
     "backtest_arima_given": _given_arima("backtest"),
@@ -308,6 +327,8 @@ QUERIES: dict[str, Query] = {
     "series_fingerprint_classes": _fingerprint_classes,
     "window_regression": lambda s, d: fc.window_regression(saved_panel(s, d)),
     "recursive_forecast": lambda s, d: fc.window_forecast(saved_panel(s, d)),
+    "tree_regression": lambda s, d: fc.tree_regression(saved_panel(s, d)),
+    "tree_forecast": lambda s, d: fc.tree_forecast(saved_panel(s, d)),
     "backtest_window": _window_backtest,
     "recent_window": _recent,
     "short_series_window": lambda s, d: fc.short_series_window(sales_panel(s, d), length=60),

@@ -48,6 +48,8 @@ _SCALED7 = """scaled7 as (select *, (sales - lo) / rg as x, case when least(nt,
   from parts window s as (partition by family, store_nbr)) where n >= 30 and least(nt, nv) > 1)"""
 _PADDED = "list_concat(list_transform(range(7 - len(past)), lambda i: past[1]), past)"
 _GIVEN = f"{GIVEN_INTERCEPT}::double" + "".join(f" + w[{i}] * {x}::double" for i, x in enumerate(GIVEN_WEIGHTS, 1))
+_TREES = """(case when w[7] <= 0.4037::double then 0.31::double when w[1] <= 0.2519::double then 0.52::double else 0.83::double end
+  + 0.5::double * case when w[4] <= 0.3571::double then -0.05::double else 0.11::double end)"""
 
 
 def _given_arma(source: str) -> tuple[str, str]:
@@ -115,9 +117,44 @@ def _given_design(days: str) -> str:
       select *, date_diff('day', first_day, date)::double / greatest(date_diff('day', first_day, last_day), 1) as t, date_diff('day', date '1970-01-01', date) as day_no from ({days}))) s left join effects using (date))"""
 
 
+#: The mean size of the given bends.
+GIVEN_BEND = sum(map(abs, GIVEN_BETA[2 : 2 + CHANGEPOINTS])) / CHANGEPOINTS
 _SPAN = "select family, store_nbr, min(date) as first_day, max(date) as last_day from panel group by 1, 2 having count(*) >= 30"
 
 
+def _loss(predicted: str) -> str:
+    """Loss per part of a model given as an expression over the window w."""
+    return panel(
+        f"""select split, round(avg(({predicted} - x) * ({predicted} - x)), 6) as loss, count(*) as windows from (
+          select *, {_PADDED} as w from (select * replace (past[len(past) - used + 1 : len(past)] as past) from (
+            select *, list(x) over (partition by family, store_nbr, split order by date rows between 7 preceding and 1 preceding) as past from scaled7 where split <> 'test')) where len(past) = used) group by 1""",
+        _SPLIT, _FORECAST, _SCALED7,
+    )
+
+
+def _recursion(predicted: str) -> str:
+    """Ten days ahead, each prediction shifted into the window."""
+    return with_views(
+        f"""select family, store_nbr, cast(last_date + k as date) as date, round(greatest(y * rg + lo, 0), 6) as forecast from steps where k > 0""",
+        PANEL, _SPLIT, _FORECAST, _SCALED7,
+        f"""steps as (select family, store_nbr, last_date, lo, rg, 0 as k, {_PADDED} as w, cast(null as double) as y from (
+            select family, store_nbr, max(date) as last_date, any_value(lo) as lo, any_value(rg) as rg, list(x order by date) as past
+            from scaled7 where rn > n - used group by 1, 2)
+          union all select family, store_nbr, last_date, lo, rg, k + 1, list_concat(w[2:7], [nxt]), nxt from (select *, {predicted} as nxt from steps where k < 10))""",
+        recursive=True,
+    )
+
+
+def _backtest(predicted: str) -> str:
+    """One-step predictions of the test part."""
+    return panel(
+        f"""select family, store_nbr, date, sales as actual, round(greatest(({predicted}) * rg + lo, 0), 6) as predicted from (
+          select *, {_PADDED} as w from (select * replace (past[len(past) - used + 1 : len(past)] as past) from (
+            select *, list(x) over ({_W} rows between 7 preceding and 1 preceding) as past from scaled7 where split <> 'val')) where split = 'test')""",
+        _SPLIT, _FORECAST, _SCALED7,
+    )
+
+
 def _shape(rows: int = 30) -> str:
     """What each series that is long enough must show of a forecast."""
     return panel(
@@ -153,9 +190,10 @@ ORACLES: dict[str, str] = {
         _unit_root(1, "select *, sales as y from panel", "root"), _unit_root(1, f"select *, sales - lag(sales) over ({_W}) as y from panel", "step_root"),
     ),
     "decomposable_given": panel(
-        f"""select family, store_nbr, date, round(greatest(exp(total), 0), 6) as forecast, round(greatest(exp(total - {Z80 * GIVEN_SPREAD!r}::double), 0), 6) as lower_ci,
-          round(greatest(exp(total + {Z80 * GIVEN_SPREAD!r}::double), 0), 6) as upper_ci, round(exp(trend), 6) as trend, round(exp(weekly) - 1, 6) as weekly, round(exp(yearly) - 1, 6) as yearly,
-          round(exp(holidays) - 1, 6) as holidays from (select *, trend + yearly + weekly + holidays as total from scored)""",
+        f"""select family, store_nbr, date, round(greatest(exp(total), 0), 6) as forecast, round(greatest(exp(total - wide), 0), 6) as lower_ci,
+          round(greatest(exp(total + wide), 0), 6) as upper_ci, round(exp(trend), 6) as trend, round(exp(weekly) - 1, 6) as weekly, round(exp(yearly) - 1, 6) as yearly,
+          round(exp(holidays) - 1, 6) as holidays from (select *, trend + yearly + weekly + holidays as total,
+            {Z80!r}::double * sqrt({GIVEN_SPREAD**2!r}::double + {2 * CHANGEPOINTS / 3 * GIVEN_BEND**2!r}::double * greatest(t - 1, 0) ** 3) as wide from scored)""",
         CALENDAR, _given_design(f"select family, store_nbr, cast(last_day + cast(h as int) as date) as date, first_day, last_day from ({_SPAN}), (select unnest(range(1, 11)) as h)"),
     ),
     "decomposable_history_given": panel(
@@ -176,12 +214,8 @@ ORACLES: dict[str, str] = {
           round(list_extract({GIVEN_BETA[2:2 + CHANGEPOINTS]}, j)::double, 6) as delta
         from (select family, store_nbr, min(date) as first_day, max(date) as last_day from panel group by 1, 2), (select unnest(range(1, {CHANGEPOINTS + 1})) as j)"""
     ),
-    "window_loss_given": panel(
-        f"""select split, round(avg(({_GIVEN} - x) * ({_GIVEN} - x)), 6) as loss, count(*) as windows from (
-          select *, {_PADDED} as w from (select * replace (past[len(past) - used + 1 : len(past)] as past) from (
-            select *, list(x) over (partition by family, store_nbr, split order by date rows between 7 preceding and 1 preceding) as past from scaled7 where split <> 'test')) where len(past) = used) group by 1""",
-        _SPLIT, _FORECAST, _SCALED7,
-    ),
+    "window_loss_given": _loss(_GIVEN),
+    "tree_loss_given": _loss(_TREES),
     "arima_given": _given_arma_sql(
         f"""select family, store_nbr, cast(last_day + h as date) as date, round(greatest(v, 0), 6) as value, round(greatest(v - {Z95}::double * se, 0), 6) as lower_ci,
           round(greatest(v + {Z95}::double * se, 0), 6) as upper_ci from (select *, sqrt({GIVEN_SIGMA2}::double * s) as se from path join (select family, store_nbr, last_day from lasts) using (family, store_nbr)) where h > 0""",
@@ -192,21 +226,10 @@ ORACLES: dict[str, str] = {
         "select v.family, v.store_nbr, cast(v.date as date) as date, actual, round(greatest(value, 0), 6) as value from values v join parts p on p.family = v.family and p.store_nbr = v.store_nbr and p.date = v.date where split = 'test'",
         _LONG_SERIES + " and split <> 'val'", _ONE_STEP,
     ),
-    "recursive_forecast_given": with_views(
-        f"""select family, store_nbr, cast(last_date + k as date) as date, round(greatest(y * rg + lo, 0), 6) as forecast from steps where k > 0""",
-        PANEL, _SPLIT, _FORECAST, _SCALED7,
-        f"""steps as (select family, store_nbr, last_date, lo, rg, 0 as k, {_PADDED} as w, cast(null as double) as y from (
-            select family, store_nbr, max(date) as last_date, any_value(lo) as lo, any_value(rg) as rg, list(x order by date) as past
-            from scaled7 where rn > n - used group by 1, 2)
-          union all select family, store_nbr, last_date, lo, rg, k + 1, list_concat(w[2:7], [nxt]), nxt from (select *, {_GIVEN} as nxt from steps where k < 10))""",
-        recursive=True,
-    ),
-    "backtest_window_given": panel(
-        f"""select family, store_nbr, date, sales as actual, round(greatest(({_GIVEN}) * rg + lo, 0), 6) as predicted from (
-          select *, {_PADDED} as w from (select * replace (past[len(past) - used + 1 : len(past)] as past) from (
-            select *, list(x) over ({_W} rows between 7 preceding and 1 preceding) as past from scaled7 where split <> 'val')) where split = 'test')""",
-        _SPLIT, _FORECAST, _SCALED7,
-    ),
+    "recursive_forecast_given": _recursion(_GIVEN),
+    "tree_recursion_given": _recursion(_TREES),
+    "backtest_window_given": _backtest(_GIVEN),
+    "tree_backtest_given": _backtest(_TREES),
     "seasonal_decomposition_sums": panel(
         """select family, store_nbr, count(*) as rows, round(sum(sales), 6) as observed, cast(0 as bigint) as odd from panel group by 1, 2
         having count(*) >= 14 and min(sales) < max(sales)"""

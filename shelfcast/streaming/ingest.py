@@ -70,13 +70,12 @@ def commit_batch(batch: DataFrame, batch_id: int, stream: str, out: str, calenda
     def save(df: DataFrame, name: str) -> None:
         df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("session_id").parquet(f"{out}/{name}")
 
-    placed = snapshot(batch.withColumn("place", F.monotonically_increasing_id()), "landed-lines")
-    with all_charsets(spark):
-        rows = named_rows(placed)
-        verdicts = snapshot(session_verdicts(rows, max_bytes), "verdicts")
-        accepted = verdicts.where("reason = 'ok'").select("session_id")
-        kept = rows.filter("not is_head").join(accepted, "session_id", "left_semi").select("session_id", *RAW_COLUMNS)
-        save(clean(kept, calendar, series=("session_id", *SERIES)), "clean")
+    with all_charsets(spark):  # lines are parsed once
+        rows = snapshot(named_rows(batch.withColumn("place", F.monotonically_increasing_id())), "landed-rows")
+    verdicts = snapshot(session_verdicts(rows, max_bytes), "verdicts")
+    accepted = verdicts.where("reason = 'ok'").select("session_id")
+    kept = rows.filter("not is_head").join(accepted, "session_id", "left_semi").select("session_id", *RAW_COLUMNS)
+    save(clean(kept, calendar, series=("session_id", *SERIES)), "clean")
     save(verdicts.select("session_id", "reason"), "verdicts")
     before = ledger.join(verdicts.select("session_id"), "session_id", "left_semi").groupBy("session_id").agg(F.max("landing").alias("before"))
     landed = verdicts.join(before, "session_id", "left").select("session_id", (F.coalesce("before", F.lit(0)) + 1).alias("landing"), "reason", "bytes", "rows")

@@ -187,6 +187,33 @@ def test_changepoints_are_in_the_first_part(spark, one):
     assert got["delta"].min() < 0  # the line bends down in the middle
 
 
+def test_a_single_bend_is_found_and_others_are_zero(spark, one):
+    noise = np.random.default_rng(7).normal(0, 0.5, 1501)
+    df = one([float(100 + 0.5 * min(i, 576) + noise[i]) for i in range(1501)])  # bends at 0.384 of the span, where the twelfth may be
+    got = fc.changepoints(df, calendar(spark), multiplicative=False).orderBy("date").toPandas()
+    near = got["delta"][10:13].sum()
+    assert near == pytest.approx(-0.5 * 1500, rel=0.1)
+    assert (got["delta"].drop([10, 11, 12]).abs() < 0.02 * abs(near)).all() and (got["delta"] == 0).sum() >= 12
+
+
+def test_the_interval_widens_with_the_horizon(spark, one):
+    df = one([float(50 + 0.4 * min(i, 576) + 3 * math.sin(i)) for i in range(1501)])
+    got = fc.decomposable_forecast(df, calendar(spark), 60, multiplicative=False).orderBy("date").toPandas()
+    width = (got["upper_ci"] - got["lower_ci"]).to_numpy()
+    assert (np.diff(width) > 0).all() and width[-1] > 1.05 * width[0]
+
+
+def test_sparse_solver_meets_its_optimality_conditions():
+    rng = np.random.default_rng(3)
+    x, scales = rng.normal(size=(200, 9)), np.r_[5.0, 5.0, np.full(5, 0.05), 10.0, 10.0]
+    y = x @ np.r_[1.0, -2.0, 0.0, 0.6, 0.0, 0.0, -0.4, 0.5, 0.0] + rng.normal(0, 0.5, 200)
+    beta, spread = solvers.sparse_ridge(x, y, scales, slice(2, 7), rounds=40)
+    slope = x.T @ (y - x @ beta) / spread**2
+    assert slope[[0, 1, 7, 8]] == pytest.approx((beta / scales**2)[[0, 1, 7, 8]], abs=1e-3)
+    on = beta[2:7] != 0
+    assert slope[2:7][on] == pytest.approx(np.sign(beta[2:7][on]) / 0.05, rel=1e-4) and (np.abs(slope[2:7]) <= 20 + 1e-3).all() and 1 <= on.sum() < 5
+
+
 def test_decomposable_backtest_covers_the_test_part(spark, one):
     got = fc.backtest_decomposable(one(wave(200)), calendar(spark)).orderBy("date").toPandas()
     assert len(got) == 200 - int(200 * (0.7 + 0.15)) and (np.abs(got["actual"] - got["predicted"]) / got["actual"]).mean() < 0.4
@@ -195,6 +222,46 @@ def test_decomposable_backtest_covers_the_test_part(spark, one):
 # Window model
 
 
+def test_trees_equal_their_own_model_and_stop_early(spark, panel):
+    rng, rows = np.random.default_rng(1), []
+    for store in (1, 2):
+        y = 20.0
+        for i in range(400):
+            y = (60.0 if y < 50 else 30.0) + rng.normal(0, 4)  # a step that no line follows
+            rows.append((i, store, "A", y))
+    df = panel(rows)
+    windows = fc.model_windows(df, 5).cache()
+    trees = fc.fit_trees(windows, rounds=30, depth=3)
+    assert 1 <= len(trees.roots) < 30 and trees.depth <= 3
+    loss = {r["split"]: r["loss"] for r in fc.window_loss(windows, trees).collect()}
+    line = {r["split"]: r["loss"] for r in fc.window_loss(windows, *fc.fit_window_model(windows)).collect()}
+    assert loss["val"] < line["val"]
+
+    def walk(window, at):
+        while trees.left[at] != at:
+            at = trees.left[at] if window[trees.feature[at]] <= trees.threshold[at] else trees.right[at]
+        return trees.value[at]
+
+    for r in windows.select("window", fc._predict(F.col("window"), trees).alias("x")).limit(100).collect():
+        assert r["x"] == pytest.approx(sum(w * walk(r["window"], at) for w, at in zip(trees.weights, trees.roots)), abs=1e-12)
+    path = fc.recursive_forecast(df, trees, horizon=6, length=5).filter("store_nbr = 1").orderBy("date").toPandas()["forecast"]
+    assert len(path) == 6 and (path >= 0).all() and ((path < 50).astype(int).diff().abs().dropna() == 1).mean() > 0.5
+
+
+def test_exported_trees_predict_as_the_fitted_model(spark):
+    from pyspark.ml.functions import array_to_vector
+    from pyspark.ml.regression import GBTRegressor
+
+    rng = np.random.default_rng(5)
+    data = [([float(v) for v in x], float(np.sin(4 * x[0]) + (x[1] > 0.5) * x[2]), "val" if i % 5 == 0 else "train") for i, x in enumerate(rng.random((400, 3)))]
+    windows = spark.createDataFrame(data, "window array<double>, label double, split string").coalesce(1).cache()
+    rows = windows.select("*", array_to_vector("window").alias("features"), (F.col("split") == "val").alias("held"))
+    model = GBTRegressor(maxIter=10, maxDepth=3, stepSize=0.2, validationIndicatorCol="held", validationTol=1e-3, seed=1, cacheNodeIds=False).fit(rows)
+    trees = fc.fit_trees(windows, rounds=10, depth=3)
+    gap = model.transform(rows).select(F.max(F.abs(F.col("prediction") - fc._predict(F.col("window"), trees)))).first()[0]
+    assert len(trees.roots) == len(model.trees) and gap < 1e-12
+
+
 def test_window_model_learns_a_linear_rule(panel):
     rng, rows = np.random.default_rng(0), []
     for store in (1, 2, 3):
