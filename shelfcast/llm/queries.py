@@ -65,6 +65,11 @@ def op9_quality_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("row.doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "n_lines", "n_upper", "n_lower", "failed")
 
 
+def rule_ablation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per rule of the policy: documents that fail it, and those that only it rejects."""
+    return ledger.ablation(ledger.ledger(_table(spark, sf_dir, "documents")))
+
+
 def op10_site_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = _table(spark, sf_dir, "pages")
     docs = pages.select(F.col("page_id").alias("doc_id"), url_reputation.host_of(F.col("url")).alias("host"), site_lines.html_lines(F.col("html")).alias("text"))
@@ -86,7 +91,7 @@ def op13_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        op1_mixing, op2_token_groups, op3_url_reputation, op4_tiling, op5_pitman_yor, op6_language, op7_token_counts, op8_token_files, op9_quality_ledger,
+        op1_mixing, op2_token_groups, op3_url_reputation, op4_tiling, op5_pitman_yor, op6_language, op7_token_counts, op8_token_files, op9_quality_ledger, rule_ablation,
         op10_site_lines, op11_spelling, op12_search, op13_quality,
     )
 }

@@ -10,12 +10,8 @@ from shelfcast.llm.url_reputation import SUFFIXES
 
 _WORDS = r"regexp_extract_all(text, '[^\x20\x09-\x0D]+')"
 
-
-def _ledger() -> str:
-    bits = " + ".join(f"case when {condition} then {1 << i} else 0 end" for i, (_, condition) in enumerate(RULES))
-    fails = lambda policy: " or ".join(f"({c})" for name, c in RULES if name in POLICIES[policy])
-    return rf"""
-with docs as (select row_number() over () as id, doc_id, coalesce(text, '') as text from documents),
+#: What the rules measure of every document.
+_MEASURED = rf"""with docs as (select row_number() over () as id, doc_id, coalesce(text, '') as text from documents),
 words as (select id, {_WORDS} as w from docs),
 placed as (select id, w[i] as a, w[i + 1] as b, w[i + 2] as c, i from (select id, w, unnest(range(1, len(w) - 1)) as i from words)),
 often as (select *, count(*) over (partition by id, a, b, c) as n from placed),
@@ -27,12 +23,27 @@ measured as (
     length(regexp_replace(text, '[^#*$%&|<>]', '', 'g'))::bigint as n_symbols, coalesce(l.n, 0)::bigint as n_lines,
     coalesce(l.n - l.d, 0)::bigint as n_dup_lines, coalesce(m.n, 0)::bigint as n_repeat_words,
     length(regexp_replace(text, '[^A-Z]', '', 'g'))::bigint as n_upper, length(regexp_replace(text, '[^a-z]', '', 'g'))::bigint as n_lower
-  from docs join words using (id) left join marked m using (id) left join real_lines l using (id))
+  from docs join words using (id) left join marked m using (id) left join real_lines l using (id))"""
+
+
+def _ledger() -> str:
+    bits = " + ".join(f"case when {condition} then {1 << i} else 0 end" for i, (_, condition) in enumerate(RULES))
+    fails = lambda policy: " or ".join(f"({c})" for name, c in RULES if name in POLICIES[policy])
+    return rf"""{_MEASURED}
 select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, ({fails('base')}) as base_failed,
   not ({fails('base')} or {fails('v1')}) as kept, n_lines, n_upper, n_lower, ({bits})::bigint as failed
 from measured"""
 
 
+def _ablation(policy: str = "v1") -> str:
+    """Rules are tried one by one on the measurements, without bits."""
+    wanted = [(name, condition) for name, condition in RULES if name in POLICIES[policy]]
+    failed = ", ".join(f"({condition})::int as f{i}" for i, (_, condition) in enumerate(wanted))
+    total = " + ".join(f"f{i}" for i in range(len(wanted)))
+    rows = " union all ".join(f"select '{name}' as rule, coalesce(sum(f{i}), 0)::bigint as failing, count(*) filter (f{i} = 1 and total = 1) as only_this from tried" for i, (name, _) in enumerate(wanted))
+    return f"{_MEASURED}, tried as (select *, {total} as total from (select {failed} from measured)) {rows}"
+
+
 def _urls(z: float = 1.645, limit: float = 0.25) -> str:
     known = "|".join(s.replace(".", r"\.") for s in sorted(SUFFIXES, key=len, reverse=True))
     fits = lambda r: f"((host = '{r.partition('/')[0]}' or ends_with(host, '.{r.partition('/')[0]}')) and starts_with(path, '/{r.partition('/')[2]}'))"
@@ -99,4 +110,4 @@ ranked as (select item, doc_id, score, row_number() over (partition by item orde
 select item_id, place::int as rank, doc_id, score from ranked join items using (item) where place <= {top}"""
 
 
-ORACLES = {"op12_search": _search(), "op3_url_reputation": _urls(), "op9_quality_ledger": _ledger(), "op10_site_lines": _lines()}
+ORACLES = {"op12_search": _search(), "op3_url_reputation": _urls(), "op9_quality_ledger": _ledger(), "rule_ablation": _ablation(), "op10_site_lines": _lines()}

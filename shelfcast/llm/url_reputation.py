@@ -12,6 +12,8 @@ import re
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from shelfcast.llm.common import small_enough, stored
+
 #: Suffixes with a dot under which anyone can register a name; a host under none of them has its last label as suffix.
 SUFFIXES = ("example.com", "example.net", "example.org", "co.uk")
 #: Verdict and rule, a host and the start of a path.
@@ -30,8 +32,8 @@ def path_of(url: Column) -> Column:
 
 
 def suffix_of(host: Column, suffixes: tuple[str, ...] = SUFFIXES) -> Column:
-    known = "|".join(re.escape(s) for s in sorted(suffixes, key=len, reverse=True))
-    return F.regexp_extract(host, rf"(?:^|\.)({known}|[^.]*)$", 1)
+    known = "|".join([*(re.escape(s) for s in sorted(suffixes, key=len, reverse=True)), "[^.]*"])
+    return F.regexp_extract(host, rf"(?:^|\.)({known})$", 1)
 
 
 def domain_of(host: Column, suffixes: tuple[str, ...] = SUFFIXES) -> Column:
@@ -40,6 +42,23 @@ def domain_of(host: Column, suffixes: tuple[str, ...] = SUFFIXES) -> Column:
     return F.regexp_extract(host, rf"((?:^|[^.]*\.)(?:{known}|[^.]*))$", 1)
 
 
+def named_hosts(hosts: DataFrame, suffixes: tuple[str, ...] | DataFrame = SUFFIXES) -> DataFrame:
+    """`hosts` (host, one row each) with suffix and domain.
+
+    suffixes are those with a dot, or a table of them (suffix; nulls and repeated rows are passed over), such as a public list has. Of those
+    that end a host at a label's border the longest counts, else the host's last label.
+    """
+    if not isinstance(suffixes, DataFrame):
+        return hosts.withColumns({"domain": domain_of(F.col("host"), suffixes), "suffix": suffix_of(F.col("host"), suffixes)})
+    known = suffixes.select(F.col("suffix").alias("known")).where("known is not null").distinct()
+    labels = F.split("host", r"\.")
+    ends = F.explode(F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), ".")))
+    held = hosts.select("host", ends.alias("known")).join(small_enough(known, 64), "known").groupBy("host").agg(F.max_by("known", F.length("known")).alias("known"))
+    found = hosts.join(held, "host", "left").withColumn("suffix", F.coalesce("known", suffix_of(F.col("host"), ()))).drop("known")
+    above = F.when(F.length("host") > F.length("suffix"), F.substring_index(F.expr("left(host, length(host) - length(suffix) - 1)"), ".", -1))
+    return found.withColumn("domain", F.concat_ws(".", above, "suffix"))
+
+
 def rule_of(host: Column, path: Column, rules: tuple[tuple[str, str], ...] = RULES) -> Column:
     """The longest rule that fits the host or a domain above it and starts the path; null if none does."""
     fits = []
@@ -67,16 +86,15 @@ def _weight(units: DataFrame, n: str, bad: str) -> Column:
     return fitted.select((1 / F.col("rho") - 1).alias("weight")).scalar()
 
 
-def reputation(pages: DataFrame, outcomes: DataFrame, z: float = 1.645) -> DataFrame:
+def reputation(pages: DataFrame, outcomes: DataFrame, suffixes: tuple[str, ...] | DataFrame = SUFFIXES, z: float = 1.645) -> DataFrame:
     """host, n_labelled, n_bad, mean and lower: the posterior of the rate of bad pages of every host in `pages`.
 
-    pages: page_id, host, domain, suffix; outcomes: page_id and bad (0 or 1; null counts as not labelled). Several outcomes of a
+    pages: page_id, host; outcomes: page_id and bad (0 or 1; null counts as not labelled). Several outcomes of a
     page each count. Counts are summed before any join, so a host with a third of all pages is one row per task.
     """
     marks = outcomes.where(F.col("bad").isNotNull()).groupBy("page_id").agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("bad").cast("long")).alias("x"))
-    hosts = (
-        pages.join(marks, "page_id", "left").groupBy("host", "domain", "suffix").agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n_labelled"), F.coalesce(F.sum("x"), F.lit(0)).alias("n_bad"))
-    )
+    counts = pages.join(marks, "page_id", "left").groupBy("host").agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n_labelled"), F.coalesce(F.sum("x"), F.lit(0)).alias("n_bad"))
+    hosts = stored(named_hosts(counts, suffixes), "hosts")  # every prior reads it
     above = lambda *keys: hosts.groupBy(*keys).agg(F.sum("n_labelled").alias("n"), F.sum("n_bad").alias("x"))
     suffixes, domains = above("suffix"), above("suffix", "domain")
     root = hosts.agg(((F.sum("n_bad") + 0.5) / (F.sum("n_labelled") + 1)).alias("rate")).scalar()
@@ -95,12 +113,11 @@ def judge_urls(pages: DataFrame, outcomes: DataFrame, rules=RULES, suffixes=SUFF
 
     A fitting rule decides; else a host whose lower posterior bound is above `limit` is blocked. A url that is null or has no
     `://` has an empty host and path and is judged as the host ''. Without any outcome every host keeps the prior 0.5 with its
-    wide bound, so no page is blocked. Repeated page_ids are judged each; other columns are not read.
+    wide bound, so no page is blocked. `suffixes` may be a table, see `named_hosts`. Repeated page_ids are judged each; other columns are not read.
     """
     host, path = host_of(F.col("url")), path_of(F.col("url"))
     seen = pages.select("page_id", host.alias("host"), path.alias("path"))
-    units = seen.select("page_id", "host", domain_of(F.col("host"), suffixes).alias("domain"), suffix_of(F.col("host"), suffixes).alias("suffix"))
-    known = reputation(units, outcomes)
+    known = reputation(seen.select("page_id", "host"), outcomes, suffixes)
     rule = rule_of(F.col("host"), F.col("path"), rules)
     decided = F.create_map(*(F.lit(x) for verdict, r in rules for x in (r, verdict)))[F.col("rule")] if rules else F.lit(None).cast("string")
     judged = seen.join(known, "host").withColumn("rule", rule)

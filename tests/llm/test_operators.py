@@ -123,6 +123,67 @@ def test_urls(spark):
     assert url_reputation.judge_urls(pages, outcomes).count() == len(PAGES)
 
 
+def test_suffixes_from_a_table(spark):
+    names = ["a.b.co.uk", "b.co.uk", "co.uk", "x.y.org", "org", "", "q.kawasaki.jp", "city.kawasaki.jp", "notco.uk", "w..jp"]
+    hosts = spark.createDataFrame([(h,) for h in names], "host string")
+    table = spark.createDataFrame([("co.uk",), ("uk",), ("kawasaki.jp",), ("jp",), ("jp",), (None,)], "suffix string")
+    got = {r.host: (r.domain, r.suffix) for r in url_reputation.named_hosts(hosts, table).collect()}
+    plain = {r.host: (r.domain, r.suffix) for r in url_reputation.named_hosts(hosts, ("co.uk", "kawasaki.jp")).collect()}
+    assert got == plain and len(got) == len(names)
+    assert got["a.b.co.uk"] == ("b.co.uk", "co.uk") and got["co.uk"] == ("co.uk", "co.uk") and got["notco.uk"] == ("notco.uk", "uk")
+    assert got["x.y.org"] == ("y.org", "org") and got["q.kawasaki.jp"] == ("q.kawasaki.jp", "kawasaki.jp")
+    pages = spark.createDataFrame(PAGES, "page_id long, url string")
+    outcomes = spark.createDataFrame([(5, 1)] * 400 + [(1, 0)] * 400, "page_id long, bad long")
+    listed = spark.createDataFrame([(x,) for x in url_reputation.SUFFIXES], "suffix string")
+    assert sorted(url_reputation.judge_urls(pages, outcomes, suffixes=listed).collect(), key=str) == sorted(url_reputation.judge_urls(pages, outcomes).collect(), key=str)
+
+
+def plain_tiling(a, b, least):
+    """Greedy string tiling by all pairs of places, without seeds."""
+    free_a, free_b, found = [True] * len(a), [True] * len(b), []
+
+    def match(i, j):
+        n = 0
+        while i + n < len(a) and j + n < len(b) and free_a[i + n] and free_b[j + n] and a[i + n] == b[j + n]:
+            n += 1
+        return n
+
+    while True:
+        matches = [(match(i, j), i, j) for i in range(len(a)) for j in range(len(b))]
+        longest = max((n for n, _, _ in matches), default=0)
+        if longest < least:
+            return found
+        for n, i, j in sorted(m for m in matches if m[0] == longest):
+            if all(free_a[i : i + n]) and all(free_b[j : j + n]):
+                free_a[i : i + n] = free_b[j : j + n] = [False] * n
+                found.append((i, j, n))
+
+
+def test_contamination_equals_plain_tiling(spark):
+    rng = random.Random(11)
+    items = [(i, [f"W{rng.randrange(9 if i % 3 else 40)}" for _ in range(rng.randrange(3, 30))]) for i in range(12)]
+    texts = []
+    for d in range(60):
+        pieces = []
+        for _ in range(rng.randrange(4)):
+            item = rng.choice(items)[1]
+            start = rng.randrange(len(item))
+            pieces += [item[start : start + rng.randrange(3, 25)], [f"w{rng.randrange(40)}" for _ in range(rng.randrange(4))]]
+        rng.shuffle(pieces)
+        texts.append((d, [w for p in pieces for w in p]))
+    expected = set()
+    for d, text in texts:
+        for i, item in items:
+            found = plain_tiling([w.lower() for w in text], [w.lower() for w in item], 5)
+            covered = sum(n for _, _, n in found)
+            if found and 2 * covered >= len(item):
+                expected.add((d, i, covered, len(item), len(found)))
+    docs = spark.createDataFrame([(d, " ".join(t)) for d, t in texts], "doc_id long, text string")
+    bench = spark.createDataFrame([(i, " ".join(t)) for i, t in items], "item_id long, text string")
+    got = {(r.doc_id, r.item_id, r.covered, r.item_words, r.tiles) for r in tiling.contaminated(docs, bench).collect()}
+    assert got == expected and len(expected) > 20
+
+
 def test_tiles_cover_reordered_passages():
     a, b = list(range(1, 31)), [*range(16, 31), *range(1, 16)]
     assert sorted(tiling.tiles(a, b, 5)) == [(0, 15, 15), (15, 0, 15)]
@@ -292,6 +353,15 @@ def test_site_lines(spark):
     assert site_lines.drop_boilerplate(spark.createDataFrame([], "doc_id long, host string, text string")).count() == 0
 
 
+def test_a_large_host_is_dealt_to_several_groups(spark, monkeypatch):
+    rows = [(i % 40, "big" if i % 3 else f"h{i % 5}", f"menu\nbody {i}\nfooter {i % 2}") for i in range(120)]
+    docs = spark.createDataFrame(rows, "doc_id long, host string, text string")
+    whole = sorted(map(tuple, site_lines.drop_boilerplate(docs).collect()))
+    monkeypatch.setattr(site_lines, "AT_ONCE", 7)
+    assert sorted(map(tuple, site_lines.drop_boilerplate(docs).collect())) == whole
+    assert all("menu" not in r[2] for r in whole if r[1] == "big")
+
+
 def solved(p, n, wanted, steps=4000):
     """Plain projected gradient steps."""
     r, present = np.ones(len(n)), (p * n[:, None]).sum(0)
