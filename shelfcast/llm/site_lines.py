@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from shelfcast.llm.common import small_enough, stored
 
 #: Documents of a host that meet its lines in one group; a larger host's are dealt to as many groups as they need.
-AT_ONCE = 2048
+AT_ONCE = 256
 #: Tags that do not end a line.
 INLINE = r"(?i)</?(?:a|b|i|em|strong|span|u|small)(?:\s[^>]*)?>"
 #: Elements whose content is no text, and comments.
