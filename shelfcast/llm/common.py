@@ -16,10 +16,13 @@ from shelfcast.sources.scratch import scratch_path
 WORD = r"[^\x20\x09-\x0D]+"
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """Write a frame to the shared folder and read it back: the lineage ends here and survives lost executors."""
+def stored(df: DataFrame, name: str, **options: str) -> DataFrame:
+    """Write a frame to the shared folder and read it back: the lineage ends here and survives lost executors.
+
+    options: of the writer.
+    """
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -21,6 +21,7 @@ Chunks are numbered by task and place: a task that runs again must read the same
 
 from __future__ import annotations
 
+import bisect
 import itertools
 import struct
 from collections.abc import Iterator
@@ -45,6 +46,9 @@ ROUNDS, AVERAGED, STRENGTH, STEPS = 6, 3, 1.0, 4
 BASE_STEP, STEP = 2.0**-24, 2.0**-16
 #: Customers of a dish up to which the chance that one sits alone is exact.
 EXACT = 64
+#: How payloads are written. They are compressed already; writer and reader hold a row group at a time, so these are small, and sizes are
+#: looked at every few rows, since a row can have megabytes.
+PAYLOADS = {"compression": "none", "parquet.block.size": str(8 << 20), "parquet.page.size.row.check.min": "1", "parquet.page.size.row.check.max": "4", "parquet.enable.dictionary": "false"}
 
 
 def _squeeze(*arrays: np.ndarray) -> bytes:
@@ -80,9 +84,10 @@ def word_hashes(words: list[bytes]) -> np.ndarray:
     return np.fromiter(map(xxhash.xxh3_64_intdigest, words), "u8", len(words))
 
 
-def contexts_of(hashes: np.ndarray) -> np.ndarray:
-    """The restaurant of each token, the hash of its predecessor; a document begins as if after an end."""
-    return np.concatenate([word_hashes([b" "]), hashes[:-1]])
+def contexts_of(hashes: np.ndarray, at: np.ndarray | None = None) -> np.ndarray:
+    """The restaurant of each token, or of those at some places: the hash of its predecessor; a document begins as if after an end."""
+    at = np.arange(len(hashes)) if at is None else at
+    return np.where(at > 0, hashes[at - 1], word_hashes([b" "]))
 
 
 def _edges(hashes: np.ndarray, parts: int) -> list[int]:
@@ -90,25 +95,40 @@ def _edges(hashes: np.ndarray, parts: int) -> list[int]:
     return np.searchsorted(hashes, np.array([-(-(p << 64) // parts) for p in range(parts)], "u8")).tolist() + [len(hashes)]
 
 
-def _columns(docs: list[tuple[int | None, bool, np.ndarray]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Words in order, the contexts and the documents' places of all tokens of some documents (id, training, hashes with the end)."""
-    lengths = np.array([len(d[2]) for d in docs])
+def _columns(docs: list[tuple[int | None, bool, np.ndarray]], parts: int) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+    """Every part with its words in order, the contexts and the documents' places of all its tokens of some documents (id, training, hashes
+    with the end). Only the order of the tokens is held for all parts at once.
+    """
     words = np.concatenate([d[2] for d in docs])
     order = np.argsort(words, kind="stable")
-    return words[order], contexts_of(words)[order], np.repeat(np.arange(len(docs), dtype="u4"), lengths)[order]
+    owner = np.repeat(np.arange(len(docs), dtype="u4"), [len(d[2]) for d in docs])
+    edges = [bisect.bisect_left(order, -(-(p << 64) // parts), key=words.__getitem__) for p in range(parts)] + [len(words)]
+    for p in range(parts):
+        at = order[edges[p] : edges[p + 1]]
+        yield p, words[at], contexts_of(words, at), owner[at]
+
+
+def _runs(ordered: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct values of an ordered array and the place of each entry's value among them."""
+    new = np.ones(len(ordered), bool)
+    new[1:] = ordered[1:] != ordered[:-1]
+    return ordered[new], np.cumsum(new, dtype="i8") - 1
 
 
 def count_rows(docs: list[tuple[int | None, bool, np.ndarray]], parts: int) -> Iterator[tuple[int, bytes, int]]:
     """(part, packed training counts, tokens) of some documents, for every part."""
-    words, contexts, owner = _columns(docs)
-    train = np.array([d[1] for d in docs])[owner]
-    edges = _edges(words, parts)
-    for p in range(parts):
-        a, b = edges[p], edges[p + 1]
-        before, place = np.unique(contexts[a:b], return_inverse=True)
-        known, word = np.unique(words[a:b][train[a:b]], return_inverse=True)
-        keys, counts = _added(word * max(CONTEXTS, len(before)) + place[train[a:b]], np.ones(len(word), "i8"))
-        yield p, _packed(known, before, keys, counts), b - a
+    training = np.array([d[1] for d in docs])
+    for p, words, contexts, owner in _columns(docs, parts):
+        train, tokens = training[owner], len(words)
+        del owner
+        known, word = _runs(words[train])
+        del words
+        before, place = np.unique(contexts, return_inverse=True)
+        del contexts
+        word *= max(CONTEXTS, len(before))
+        word += place[train]
+        del place, train
+        yield p, _packed(known, before, *np.unique(word, return_counts=True)), tokens
 
 
 def chunk_rows(chunk: int, docs: list[tuple[int | None, bool, np.ndarray]], parts: int) -> Iterator[tuple[int, int, bytes]]:
@@ -119,23 +139,20 @@ def chunk_rows(chunk: int, docs: list[tuple[int | None, bool, np.ndarray]], part
     of its context among them, its document and its tokens. One part also has the ids.
     """
     docs = sorted(docs, key=lambda d: not d[1])
-    words, contexts, owner = _columns(docs)
     head = np.array([len(docs), sum(d[1] for d in docs)], "u8")
     ids = np.array([x[0] or 0 for x in docs], "i8"), np.array([x[0] is None for x in docs], "u1")
-    edges = _edges(words, parts)
-    for p in range(parts):
-        a, b = edges[p], edges[p + 1]
+    for p, words, contexts, owner in _columns(docs, parts):
         home = chunk % parts == p
-        if a < b or home:
-            distinct, word = np.unique(words[a:b], return_inverse=True)
+        if len(words) or home:
+            distinct, word = _runs(words)
             named = ids if home else (ids[0][:0], ids[1][:0])
-            before, place = np.unique(contexts[a:b], return_inverse=True)
-            entry = np.lexsort((owner[a:b], place, word))
-            word, place, document = word[entry], place[entry], owner[a:b][entry]
-            new = np.ones(b - a, bool)
+            before, place = np.unique(contexts, return_inverse=True)
+            entry = np.lexsort((owner, place, word))
+            word, place, document = word[entry], place[entry], owner[entry]
+            new = np.ones(len(words), bool)
             new[1:] = (word[1:] != word[:-1]) | (place[1:] != place[:-1]) | (document[1:] != document[:-1])
             first = np.flatnonzero(new)
-            n = np.diff(first, append=b - a).astype("u4")
+            n = np.diff(first, append=len(words)).astype("u4")
             yield p, chunk, _squeeze(head, _deltas(distinct), np.bincount(word[first], minlength=len(distinct)).astype("u4"), _deltas(before), place[first].astype("u4"), document[first], n, *named)
 
 
@@ -168,12 +185,22 @@ def _unpacked(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarr
     return np.cumsum(words, dtype="u8"), np.repeat(np.arange(len(words)), variety), context, counts, np.cumsum(before, dtype="u8")
 
 
+def _distinct(found: Iterator[tuple[np.ndarray, ...]], columns: int) -> list[np.ndarray]:
+    """Distinct numbers of each column, in order; those that come up in many rows do not pile up."""
+    held, size = [[np.zeros(0, "u8")] * columns], 0
+    for row in found:
+        held.append(row)
+        size += sum(map(len, row))
+        if size > sum(map(len, held[0])) + CHUNK_TOKENS // 8:
+            held, size = [[np.unique(np.concatenate(x)) for x in zip(*held)]], 0
+    return [np.unique(np.concatenate(x)) for x in zip(*held)]
+
+
 def combined(packs: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Distinct training words of a part, the contexts of all its tokens, its pairs (word place * width + context place) in order, and their
     counts; the width is the number of contexts, CONTEXTS at least. The packs are unpacked one at a time.
     """
-    names = [(x[0], x[4]) for x in map(_unpacked, packs)]
-    words, contexts = (np.unique(np.concatenate(x)) for x in zip(*names))
+    words, contexts = _distinct((_unpacked(x)[::4] for x in packs), 2)
     width = max(CONTEXTS, len(contexts))
     keys, counts = np.zeros(0, "i8"), np.zeros(0, "i8")
     held, size = [(keys, counts)], 0
@@ -181,7 +208,7 @@ def combined(packs: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np
         mine, at, context, n, before = _unpacked(pack)
         held.append((np.searchsorted(words, mine)[at] * width + np.searchsorted(contexts, before)[context], n))
         size += len(n)
-        if size > 4 * len(held[0][0]) + CHUNK_TOKENS:  # so that pairs which come up in many chunks do not pile up
+        if size > len(held[0][0]) // 2 + CHUNK_TOKENS // 8:  # so that pairs which come up in many chunks do not pile up
             held, size = [_added(*(np.concatenate(x) for x in zip(*held)))], 0
     return words, contexts, *_added(*(np.concatenate(x) for x in zip(*held)))
 
@@ -339,7 +366,10 @@ def _hashed(batches) -> Iterator[list[tuple[int | None, bool, np.ndarray]]]:
 
 
 def _counted(docs: DataFrame, parts: int, slots: int, slices: int) -> DataFrame:
-    """The first pieces of every part, written, with its number of tokens and facts on the training counts."""
+    """The first pieces of every part, written, with its number of tokens and facts on the training counts.
+
+    The payload of merged is in a column of its own, model, that the rounds do not read.
+    """
     schema = pa.schema([("part", pa.int32()), ("slot", pa.int32()), ("counts", pa.binary()), ("tokens", pa.int64())])
 
     def encode(batches):
@@ -357,14 +387,16 @@ def _counted(docs: DataFrame, parts: int, slots: int, slices: int) -> DataFrame:
         words, contexts, keys, counts = combined(rows.column("counts").to_pylist())
         variety = np.bincount(keys // max(CONTEXTS, len(contexts)), minlength=len(words))
         facts = [int(counts.sum()), len(words), int((counts == 1).sum()), int((counts == 2).sum()), int((variety == 1).sum()), int((variety == 2).sum()), len(keys), sum(rows.column("tokens").to_pylist())]
-        out = _pieces(_first_rows(rows.column("part")[0].as_py(), words, contexts, keys, counts, slices))
-        return out.append_column("facts", pa.array([facts] + [None] * (len(out) - 1), pa.list_(pa.int64())))
+        model, *others = _first_rows(rows.column("part")[0].as_py(), words, contexts, keys, counts, slices)
+        out = _pieces([(*model[:4], None, *model[5:]), *others])
+        out = out.append_column("model", pa.array([model[4]] + [None] * len(others), pa.binary()))
+        return out.append_column("facts", pa.array([facts] + [None] * len(others), pa.list_(pa.int64())))
 
     with small_batches(docs.sparkSession):
         each = docs.mapInArrow(encode, "part int, slot int, counts binary, tokens long")
         if slots > 1:
             each = each.groupBy("part", "slot").applyInArrow(add, "part int, counts binary, tokens long")
-        return stored(each.select("part", "counts", "tokens").groupBy("part").applyInArrow(count, f"{PIECE_KIND}, facts array<long>"), "language-model")
+        return stored(each.select("part", "counts", "tokens").groupBy("part").applyInArrow(count, f"{PIECE_KIND}, model binary, facts array<long>"), "language-model", **PAYLOADS)
 
 
 class Slice:
@@ -475,7 +507,7 @@ def score_texts(docs: DataFrame, rounds: int = ROUNDS, averaged: int = AVERAGED)
     fixed = (int(facts[0]), int(facts[1]), (discount(facts[4], facts[5]), discount(facts[2], facts[3])))
     kind = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
     only = lambda df, *kinds: df.where(F.col("kind").isin(*kinds)).select(*PIECE.names)
-    first = stored(only(table, "own").groupBy("slice").applyInArrow(_first_sums, PIECE_KIND), "context-sums")
+    first = stored(only(table, "own").groupBy("slice").applyInArrow(_first_sums, PIECE_KIND), "context-sums", **PAYLOADS)
     states, told, roots, extra = [], [], [(facts[6], facts[1])], None
 
     def seating(turn: int, roots: tuple):
@@ -490,13 +522,13 @@ def score_texts(docs: DataFrame, rounds: int = ROUNDS, averaged: int = AVERAGED)
         known = only(table, "thin").unionAll(only(first, "base"))
         for more in [*states[-1:], *([extra] if extra else [])]:
             known = known.unionAll(more)
-        seated = stored(known.groupBy("part").applyInArrow(seating(turn, tuple(roots)), PIECE_KIND), "seating")
+        seated = stored(known.groupBy("part").applyInArrow(seating(turn, tuple(roots)), PIECE_KIND), "seating", **PAYLOADS)
         states.append(only(seated, "state"))
         told.append(only(seated, "told"))
         root = states[-1].agg(F.sum("root_customers"), F.sum("root_tables")).first()
         roots.append((float(root[0] or 0), float(root[1] or 0)))
         if turn < rounds:
-            extra = stored(told[-1].groupBy("slice").applyInArrow(_extra, PIECE_KIND), "context-sums")
+            extra = stored(told[-1].groupBy("slice").applyInArrow(_extra, PIECE_KIND), "context-sums", **PAYLOADS)
         release_shuffles(spark)
 
     last = range(max(1, rounds - averaged + 1), rounds + 1)
@@ -509,7 +541,8 @@ def score_texts(docs: DataFrame, rounds: int = ROUNDS, averaged: int = AVERAGED)
     ending = only(table, "own")
     for turn in last:
         ending = ending.unionAll(told[turn - 1])
-    pieces = only(table, "merged").unionAll(only(first, "sums")).unionAll(stored(ending.groupBy("slice").applyInArrow(_last_sums(last), PIECE_KIND), "context-sums"))
+    merged = only(table.withColumn("payload", F.col("model")), "merged")
+    pieces = merged.unionAll(only(first, "sums")).unionAll(stored(ending.groupBy("slice").applyInArrow(_last_sums(last), PIECE_KIND), "context-sums", **PAYLOADS))
     for turn in last:
         pieces = pieces.unionAll(states[turn - 1])
     release_shuffles(spark)
@@ -540,7 +573,7 @@ def score_texts(docs: DataFrame, rounds: int = ROUNDS, averaged: int = AVERAGED)
         return pa.table({"doc_id": names, "held_out": np.arange(n_docs) >= n_train, "n_tokens": sums[0].astype("i8"), "n_known": sums[1].astype("i8"), "train_tokens": np.full(n_docs, int(facts[0])), "base_score": -sums[2] * BASE_STEP, "score": -sums[3] * STEP})
 
     with small_batches(spark):
-        results = stored(pieces.unionAll(scored).groupBy("part", "task").applyInArrow(predict, "chunk long, payload binary"), "chunk-scores")
+        results = stored(pieces.unionAll(scored).groupBy("part", "task").applyInArrow(predict, "chunk long, payload binary"), "chunk-scores", **PAYLOADS)
     return results.groupBy("chunk").applyInArrow(total, kind)
 
 

@@ -262,6 +262,61 @@ def test_a_hot_word_is_split(spark, monkeypatch):
     assert found[0] == found[1] and len(found[0]) == 60 and all(r.n_tokens == 201 for r in found[0])
 
 
+def peak(run):
+    """Bytes that were held at most while `run` went on."""
+    import tracemalloc
+
+    tracemalloc.start()
+    try:
+        run()
+        return tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+
+
+def test_a_chunk_is_sorted_in_little_memory():
+    """Words, their order and their documents are held for all tokens; sorted copies and contexts for one part at a time."""
+    rng, words = np.random.default_rng(7), pitman_yor.word_hashes([f"w{i}".encode() for i in range(5000)])
+    end = pitman_yor.word_hashes([b" "])
+    docs = [(i, i % 5 != 1, np.concatenate([words[rng.integers(0, 5000, 399)], end])) for i in range(750)]
+    for rows in (lambda: pitman_yor.count_rows(docs, 30), lambda: pitman_yor.chunk_rows(3, docs, 30)):
+        assert peak(lambda rows=rows: [None for _ in rows()]) < 34 * 300_000
+    tokens = np.concatenate([d[2] for d in docs])
+    before = np.concatenate([end, tokens[:-1]])
+    for part, in_order, contexts, owner in pitman_yor._columns(docs, 30):
+        here = np.flatnonzero([int(t) * 30 >> 64 == part for t in tokens])
+        here = here[np.argsort(tokens[here], kind="stable")]
+        assert (in_order == tokens[here]).all() and (contexts == before[here]).all() and (owner == here // 400).all()
+
+
+def test_counts_of_many_chunks_do_not_pile_up(monkeypatch):
+    """The same words, contexts and pairs in every chunk take the memory of a few chunks, not of all."""
+    monkeypatch.setattr(pitman_yor, "CHUNK_TOKENS", 80_000)
+    hashes = pitman_yor.word_hashes([f"w{i}".encode() for i in range(20_000)] + [b" "])
+    pack = next(pitman_yor.count_rows([(1, True, hashes)], 1))[1]
+    words, contexts, keys, counts = pitman_yor.combined([pack] * 60)
+    assert len(words) == len(contexts) == len(keys) == 20_001 and (counts == 60).all()
+    assert peak(lambda: pitman_yor.combined([pack] * 60)) < 400 * 20_001
+
+
+def test_payloads_are_written_plain_and_models_apart(spark, docs):
+    """The rounds read no models, and payloads, packed already, go to small row groups without another compression."""
+    from urllib.parse import urlparse
+
+    import pyarrow.parquet as pq
+
+    def groups(df):
+        found = [pq.ParquetFile(urlparse(f).path).metadata for f in df.inputFiles()]
+        return [m.row_group(i) for m in found for i in range(m.num_row_groups)]
+
+    table = pitman_yor._counted(docs.selectExpr("doc_id", "coalesce(doc_id, 0) % 2 = 0 as train", "text"), 3, 1, 1)
+    assert {g.column(c).compression for g in groups(table) for c in range(g.num_columns)} == {"UNCOMPRESSED"}
+    found = table.selectExpr("kind", "payload is null as apart", "model is null as plain").collect()
+    assert found and all(r.apart == (r.kind == "merged") and r.plain == (r.kind != "merged") for r in found)
+    large = stored(spark.range(0, 40, 1, 1).selectExpr("repeat(cast(id as string), 600000) as payload"), "payloads", **pitman_yor.PAYLOADS)
+    assert max(g.total_byte_size for g in groups(large)) < 12 << 20
+
+
 def test_language(spark, sf, docs, none):
     found = language.identify(docs).collect()
     assert len(found) == docs.count() and {r.lang_pred for r in found if r.doc_id in (8, 9, 10)} == {"und"}
