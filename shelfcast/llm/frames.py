@@ -231,7 +231,7 @@ def write_files(docs: DataFrame, folder: str, vocabulary: str, end_id: int | Non
     """Encode every text and write one file per range of ids below `folder`; returns (shard, path, documents, token ids) by shard.
 
     Documents are dealt by ranges of doc_id, which must be an integer, and sorted within, null ids first. Rows that share an id
-    stand together, by a hash of their text, and are dealt to several files if they are many. A null or empty text has the end id alone. A file gets its name when it is complete, so a repeated task replaces
+    stand together, by their text; if they are many, they are dealt to several files by a hash of it. A null or empty text has the end id alone. A file gets its name when it is complete, so a repeated task replaces
     it by an equal one. Only one line per file comes to the driver.
     """
     spark = docs.sparkSession
@@ -261,7 +261,7 @@ def write_files(docs: DataFrame, folder: str, vocabulary: str, end_id: int | Non
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     order = [F.asc_nulls_first("doc_id"), F.asc("hash")]
     ranges = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("hash")).repartitionByRange(int(size // FILE_BYTES) + 1, *order)
-    dealt = ranges.sortWithinPartitions(*order, "text").drop("hash")
+    dealt = ranges.sortWithinPartitions(order[0], "text").drop("hash")
     with small_batches(spark, 1000):
         written = dealt.mapInArrow(run, "shard long, path string, n_docs long, n_tokens long").collect()
     return sorted(tuple(r) for r in written)
