@@ -14,12 +14,12 @@ import warnings
 from functools import reduce
 
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import HashingTF
+from pyspark.ml.feature import HashingTF, VarianceThresholdSelector
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfcast.llm.common import small_enough, stored
+from shelfcast.llm.common import release_shuffles, small_enough, stored
 
 #: Hashed words of the classifier, and the bound of its sample of labelled rows.
 BUCKETS = 1 << 16
@@ -52,8 +52,18 @@ def posteriors(docs: DataFrame, labelled: DataFrame, domains: list[str], max_lab
     if sample.select("label").distinct().count() < 2:
         even = F.array(*(F.lit(1.0 / len(domains)) for _ in domains))
         return docs.select("doc_id", words(F.col("text")).alias("words")).select("doc_id", n_tokens, even.alias("p"))
-    model = LogisticRegression(regParam=0.002, maxIter=40, family="multinomial").fit(sample.coalesce(12))  # bounded rows, so few sums
-    scored = model.transform(prepare(docs, "doc_id")).select("doc_id", n_tokens, vector_to_array("probability").alias("p"))
+    few = sample.coalesce(12)  # bounded rows, so few sums
+    # The fit keeps dozens of vectors of all weights on the driver. A bucket that is the same in all of the sample has none, and the
+    # column's metadata, a line for each bucket, is not needed.
+    selector = VarianceThresholdSelector(featuresCol="features", outputCol="varied").fit(few)
+    if 0 < len(selector.selectedFeatures) < BUCKETS:
+        pick = lambda df: selector.transform(df).withColumn("varied", F.col("varied").alias("varied", metadata={}))
+    else:
+        pick = lambda df: df.withColumnRenamed("features", "varied")
+    release_shuffles(docs.sparkSession)  # the fit starts on a heap without gaps, and its vectors are gone before the documents are scored
+    model = LogisticRegression(featuresCol="varied", regParam=0.002, maxIter=40, family="multinomial").fit(pick(few).select("label", "varied"))
+    release_shuffles(docs.sparkSession)
+    scored = model.transform(pick(prepare(docs, "doc_id"))).select("doc_id", n_tokens, vector_to_array("probability").alias("p"))
     missing = len(domains) - model.numClasses
     return scored.withColumn("p", F.concat("p", F.array(*[F.lit(0.0)] * missing))) if missing else scored
 

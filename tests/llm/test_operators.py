@@ -468,6 +468,31 @@ def test_mixing(spark, docs, none):
     assert mixing.mixed(docs, labels, {"high": 0.9, "toxic": 0.1}).columns == docs.columns
 
 
+def test_mixing_fit_is_no_wider_than_its_words(spark, monkeypatch):
+    """Buckets that are the same in all of the sample are left out of the fit, which keeps vectors of all its weights on the driver."""
+    texts = [f"all w{i % 7} w{i % 5} {'bad' if i % 3 == 0 else 'good'}" for i in range(60)]
+    docs = spark.createDataFrame(list(enumerate([*texts, "unseen words"])), "doc_id long, text string")
+    labelled = spark.createDataFrame([(i, "toxic" if i % 3 == 0 else "high") for i in range(60)], "doc_id long, domain string")
+    sizes, fit = [], mixing.LogisticRegression.fit
+    monkeypatch.setattr(mixing.LogisticRegression, "fit", lambda self, df: sizes.append(df.first()["varied" if "varied" in df.columns else "features"].size) or fit(self, df))
+    got = {r.doc_id: r.p for r in mixing.posteriors(docs, labelled, ["high", "toxic"]).collect()}
+    assert sizes == [9]
+    monkeypatch.setattr(mixing, "BUCKETS", 9)  # every bucket comes up, so none is left out
+    assert mixing.posteriors(docs, labelled, ["high", "toxic"]).count() == 61
+    whole = mixing.HashingTF(inputCol="words", outputCol="features", numFeatures=1 << 16, binary=True).transform(docs.select("doc_id", mixing.words(mixing.F.col("text")).alias("words")))
+    sample = whole.join(labelled, "doc_id").select((mixing.F.col("domain") == "toxic").cast("double").alias("label"), "features")
+    model = fit(mixing.LogisticRegression(regParam=0.002, maxIter=40, family="multinomial"), sample)
+    plain = {r.doc_id: r.p for r in model.transform(whole).select("doc_id", mixing.vector_to_array("probability").alias("p")).collect()}
+    assert all(np.allclose(got[i], plain[i], atol=1e-6) for i in plain) and len(got) == len(plain) == 61
+
+
+def test_mixing_fit_without_any_difference(spark):
+    """Equal texts with different labels: no bucket varies, and every document has the labels' shares."""
+    docs = spark.createDataFrame([(i, "same words") for i in range(8)], "doc_id long, text string")
+    labelled = spark.createDataFrame([(i, "toxic" if i < 2 else "high") for i in range(8)], "doc_id long, domain string")
+    assert all(np.allclose(r.p, [0.75, 0.25], atol=1e-4) for r in mixing.posteriors(docs, labelled, ["high", "toxic"]).collect())
+
+
 def test_pipeline(spark, sf):
     """Every stage against a plain version on its own input."""
     docs = spark.read.parquet(f"{sf}/documents.parquet")
